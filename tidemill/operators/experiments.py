@@ -89,11 +89,16 @@ def unit_totals(
 
 
 def metric_values(events: DataFrame, day: Column, metric: str, value: str, measure: str = "sum") -> DataFrame:
-    """The value of each metric per day."""
-    chosen = {"sum": F.sum, "count": F.count, "mean": F.avg}[measure]
+    """The value of each metric per day: ``sum``, ``count`` or ``mean``."""
+    chosen = {"sum": F.sum, "count": F.count, "mean": exact_mean}[measure]
     return events.groupBy(day.alias("ds"), F.col(metric)).agg(chosen(value).alias("metric_value"))
 
 
+def exact_mean(value: Column | str) -> Column:
+    """Sum over count; on decimals the sum is exact and the order of rows cannot show."""
+    return F.sum(value).cast("double") / F.count(value)
+
+
 def ratio_metric(events: DataFrame, by: Sequence[str], numerator: Column, denominator: Column) -> DataFrame:
     """Sum over sum, NULL where the denominator is zero."""
     sums = events.groupBy(*by).agg(F.sum(numerator).alias("numerator"), F.sum(denominator).alias("denominator"))
@@ -105,7 +110,7 @@ def user_warehouse_metric(events: DataFrame, unit: str, by: Sequence[str], value
     """A per-unit total, then its mean over the units."""
     per_unit = events.groupBy(*by, unit).agg(F.sum(value).alias("_total"))
     return per_unit.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("units"), F.avg(F.col("_total").cast("double")).alias("mean_per_unit")
+        F.count(F.lit(1)).alias("units"), exact_mean("_total").alias("mean_per_unit")
     )
 
 

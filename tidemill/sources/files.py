@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 HEAD_BYTES = 65_536
 HEAD_LINES = 10
+# Fixed value: everything that ends a line of text.
+LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 
 
 def file_inventory(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
@@ -26,15 +28,17 @@ def file_inventory(spark: SparkSession, path: str, glob: str | None = None) -> D
 
 
 def head_text(content: Column, lines: int = HEAD_LINES, size: int = HEAD_BYTES) -> Column:
-    """The first lines of the first ``size`` bytes; bytes that are no UTF-8 become U+FFFD."""
+    """The first lines of the first ``size`` bytes, joined by newlines."""
     text = cat_text(content, size)
     # a line end closes a line, so it opens no empty last one
-    rows = F.split(F.regexp_replace(text, r"(\r\n|\r|\n)\z", ""), r"\r\n|\r|\n")
+    rows = F.split(F.regexp_replace(text, f"(?:{LINE_END})\\z", ""), LINE_END)
     return F.array_join(F.slice(rows, 1, lines), "\n")
 
 
-def cat_text(content: Column, size: int) -> Column:
-    return F.decode(F.substring(content, 1, size), "UTF-8")
+def cat_text(content: Column, size: int | Column) -> Column:
+    """The first ``size`` bytes as text; bytes that are no UTF-8 become U+FFFD."""
+    cut = F.substring(content, F.lit(1), size if isinstance(size, Column) else F.lit(size))
+    return F.make_valid_utf8(cut.cast("string"))
 
 
 def object_head(spark: SparkSession, path: str, lines: int = HEAD_LINES, size: int = HEAD_BYTES) -> DataFrame:
