@@ -67,7 +67,7 @@ def sha256_text(text: Column) -> Column:
 def last_line(text: Column) -> Column:
     """The last line of a trimmed text, empty when there is none."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\r\n"))
-    return F.regexp_extract(trimmed, r"([^\r\n]*)\z", 1)
+    return F.substring_index(F.substring_index(trimmed, "\n", -1), "\r", -1)
 
 
 def bind_variables(text: Column, bindings: dict[str, str]) -> Column:

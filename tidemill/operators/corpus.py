@@ -144,34 +144,47 @@ def inherit_datasource(targets: DataFrame, datasources: DataFrame, default_uid:
     )
 
 
-def _text_fields(target: Column, names: list[str]) -> dict[str, Column]:
-    """String-valued fields of a target; other JSON types count as absent."""
-    doc = F.try_parse_json(target)
+_TEXT_FIELDS = ("type", "expr", "query", "queryType", "target", "rawSql", "rawSQL", "sql")
 
-    def one(name: str) -> Column:
-        kind = F.schema_of_variant(F.try_variant_get(doc, f"$.{name}", "variant"))
-        return F.when(kind == "STRING", F.try_variant_get(doc, f"$.{name}", "string"))
 
-    return {name: one(name) for name in names}
+def with_fields(targets: DataFrame) -> DataFrame:
+    """Add ``_field``: the text members of each target, NULL where a member is no JSON string.
 
+    The target is parsed once, in a projection of its own.
+    """
+
+    def text(name: str) -> Column:
+        kind = F.schema_of_variant(F.try_variant_get("_target", f"$.{name}", "variant"))
+        return F.when(kind == "STRING", F.try_variant_get("_target", f"$.{name}", "string"))
+
+    # the first non-empty of the three SQL members counts, even when it is no text
+    raw = [F.nullif(F.try_variant_get("_target", f"$.{n}", "string"), F.lit("")) for n in _TEXT_FIELDS[5:]]
+    sql = F.when(raw[0].isNotNull(), text("rawSql")).when(raw[1].isNotNull(), text("rawSQL")).otherwise(text("sql"))
+    own = F.try_variant_get("_target", "$.datasource", "string")
+    parsed = targets.withColumn("_target", F.try_parse_json("target"))
+    members = [text(n).alias(n) for n in _TEXT_FIELDS[:5]]
+    return parsed.withColumn(
+        "_field",
+        F.struct(
+            *members,
+            sql.alias("sql"),
+            F.coalesce(F.try_variant_get("_target", "$.datasource.uid", "string"), own).alias("uid"),
+            F.try_variant_get("_target", "$.datasource.type", "string").alias("kind"),
+        ),
+    ).drop("_target")
 
-def classify_query(target: Column, datasource_type: Column) -> Column:
-    """The query language of a target: the first rule that fits."""
-    field = _text_fields(target, ["type", "expr", "query", "queryType", "target"])
-    uid = F.coalesce(F.get_json_object(target, "$.datasource.uid"), F.get_json_object(target, "$.datasource"))
-    kind = F.lower(
-        F.coalesce(
-            F.nullif(datasource_type, F.lit("")), F.get_json_object(target, "$.datasource.type"), F.lit("")
-        )
-    )
+
+def classify_query(field: Column, datasource_type: Column) -> Column:
+    """The query language of a target from its ``_field`` struct: the first rule that fits."""
+    kind = F.lower(F.coalesce(F.nullif(datasource_type, F.lit("")), field["kind"], F.lit("")))
 
     def filled(value: Column) -> Column:
         return F.coalesce(F.btrim(value, F.lit(" \t\r\n")) != "", F.lit(False))
 
     expr, query = filled(field["expr"]), filled(field["query"])
     return (
-        F.when((field["type"] == "math") | (uid == EXPRESSION), "grafana-expression")
-        .when(filled(sql_text(target)), "sql")
+        F.when((field["type"] == "math") | (field["uid"] == EXPRESSION), "grafana-expression")
+        .when(filled(field["sql"]), "sql")
         .when(expr & kind.contains("loki"), "logql")
         .when(expr & (kind.contains("tempo") | kind.contains("trace")), "traceql")
         .when(expr, "promql")
@@ -182,26 +195,14 @@ def classify_query(target: Column, datasource_type: Column) -> Column:
     )
 
 
-def sql_text(target: Column) -> Column:
-    """The first non-empty of rawSql, rawSQL and sql, if it is a string."""
-    raw = [F.nullif(F.get_json_object(target, f"$.{n}"), F.lit("")) for n in ("rawSql", "rawSQL", "sql")]
-    texts = _text_fields(target, ["rawSql", "rawSQL", "sql"])
-    return (
-        F.when(raw[0].isNotNull(), texts["rawSql"])
-        .when(raw[1].isNotNull(), texts["rawSQL"])
-        .when(raw[2].isNotNull(), texts["sql"])
-    )
-
-
 def corpus_entries(targets: DataFrame) -> DataFrame:
     """Manifest entries with their text, from targets that carry a datasource.
 
     Query texts keep their templates; expressions and unknown targets become their
     redacted JSON.
     """
-    target = F.col("target")
-    rows = targets.withColumn("language", classify_query(target, F.col("datasource_type")))
-    fields = _text_fields(target, ["expr", "query", "target"])
+    fields = F.col("_field")
+    rows = with_fields(targets).withColumn("language", classify_query(fields, F.col("datasource_type")))
     trimmed = F.lit(" \t\r\n")
     plain = (
         F.when(F.col("language").isin("promql", "logql", "traceql"), fields["expr"])
@@ -211,11 +212,11 @@ def corpus_entries(targets: DataFrame) -> DataFrame:
             F.coalesce(F.nullif(F.btrim(fields["query"], trimmed), F.lit("")), fields["target"]),
         )
     )
-    structured = F.when(F.col("language").isin("grafana-expression", "unknown"), target)
+    structured = F.when(F.col("language").isin("grafana-expression", "unknown"), F.col("target"))
     title = F.coalesce("panel_title", "panel_id")
     as_sql = sql_document(
         {"Dashboard": F.coalesce("dashboard_title", F.lit("")), "Panel": title, "RefId": F.col("ref_id")},
-        sql_text(target),
+        fields["sql"],
     )
     rows = rows.withColumn("_json", redact_keys(structured, METRIC_DASHBOARD_SECRET_KEYS, indent=2))
     text = (

@@ -91,12 +91,16 @@ def contains_rows(actual: DataFrame, expected: DataFrame, keys: Sequence[str]) -
 
 
 def rows_equal(
-    left: DataFrame, right: DataFrame, left_order: Sequence[Column | str], right_order: Sequence[Column | str]
+    left: DataFrame, right: DataFrame, left_order: Sequence[Column | str], right_order: Sequence[Column | str],
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Position-by-position comparison of two ordered results as text: one row per differing position."""
+    """Position-by-position comparison of two ordered results as text: one row per differing position.
+
+    All columns are compared, or the named ones; the order tuples must be unique.
+    """
 
     def numbered(df: DataFrame, order: Sequence[Column | str], side: str) -> DataFrame:
-        cells = F.array(*[cell_text(df, c) for c in df.columns]).alias(side)
+        cells = F.array(*[cell_text(df, c) for c in columns or df.columns]).alias(side)
         return number_rows(df, order).select("position", cells)
 
     pairs = numbered(left, left_order, "left_cells").join(

@@ -1,6 +1,19 @@
 """Named queries over the standard tables, each with an equal SQL text where SQL can say it."""
 
-from tidemill.plans import charts, corpus, experiments, keyed, logs, objects, series  # noqa: F401
+from tidemill.plans import (  # noqa: F401
+    charts,
+    corpus,
+    experiments,
+    files,
+    keyed,
+    logs,
+    objects,
+    quality,
+    runs,
+    series,
+    sessions,
+    streams,
+)
 from tidemill.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -171,7 +171,8 @@ def visible(t: Tables) -> DataFrame:
 
 @query("classify_query", _TARGETS + "SELECT language, count(*) AS queries FROM e GROUP BY 1")
 def classified(t: Tables) -> DataFrame:
-    rows = _targets(t).select(corpus.classify_query(F.col("target"), F.col("datasource_type")).alias("language"))
+    language = corpus.classify_query(F.col("_field"), F.col("datasource_type"))
+    rows = corpus.with_fields(_targets(t)).select(language.alias("language"))
     return rows.groupBy("language").agg(F.count(F.lit(1)).alias("queries"))
 
 

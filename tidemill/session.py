@@ -54,6 +54,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tidemill/{app}/{label}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists on the path's own file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: cuts the lineage and survives executor loss."""
     context = df.sparkSession.sparkContext

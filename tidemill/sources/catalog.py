@@ -55,14 +55,18 @@ def table_metadata(spark: SparkSession, table: str) -> DataFrame:
     return spark.sql(f"DESCRIBE EXTENDED {table}")
 
 
-def upload_table(spark: SparkSession, path: str, table: str, fmt: str = "csv", schema: str | None = None, **options):
-    """Load files as a managed table; without a schema, CSV types are inferred."""
+def upload_table(
+    spark: SparkSession, path: str, table: str, fmt: str = "csv", schema: str | None = None,
+    location: str | None = None, **options: str,
+) -> DataFrame:
+    """Load files as a table, kept in the warehouse or at ``location``; without a schema, CSV types are inferred."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     if fmt == "csv" and schema is None:
         options = {"inferSchema": "true", **options}
     if fmt == "csv":
         options = {"header": "true", **options}
-    reader.format(fmt).options(**options).load(path).write.mode("errorifexists").saveAsTable(table)
+    writer = reader.format(fmt).options(**options).load(path).write.mode("errorifexists")
+    (writer.option("path", location) if location else writer).saveAsTable(table)
     return spark.table(table)
 
 

@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +18,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from tidemill.operators.keyed import DELETE, INSERT, UPDATE_AFTER, UPDATE_BEFORE, current_state, to_changelog
 from tidemill.operators.ordering import latest_per_key
+from tidemill.session import path_exists
 
 
 def keyed_table_sink(path: str, keys: Sequence[str], order: Sequence[str]) -> Callable[[DataFrame, int], None]:
@@ -71,14 +71,12 @@ def changelog_sink(
         spark = batch.sparkSession
         batch = batch.persist()
         rows = batch.select(*batch.columns, F.lit(True).alias("_new"))
-        try:
+        if path_exists(spark, table):
             past = read_keyed_table(spark, table, keys, order, before_batch=batch_id)
             touched = batch.select(*keys).distinct()
             rows = past.join(touched, list(keys), "left_semi").select(
                 *batch.columns, F.lit(False).alias("_new")
             ).unionByName(rows)
-        except AnalysisException:
-            pass  # the first batch finds no table
         log = to_changelog(rows, keys, [*order, "_new"], values, is_delete, slice_by)
         log.filter(F.col("_new")).drop("_new").write.mode("overwrite").parquet(f"{changes}/batch_id={batch_id}")
         store(batch, batch_id)
