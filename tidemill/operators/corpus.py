@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemill.functions.json import METRIC_DASHBOARD_SECRET_KEYS, find_sql, redact_keys
 from tidemill.functions.text import sha256_text, slug, sql_document, template_variables
 from tidemill.operators.ordering import first_per_key
-from tidemill.operators.skew import skew_join, small_side
+from tidemill.operators.skew import dimension_join, skew_join
 
 # Query languages and the file suffix of each.
 SUFFIXES = {
@@ -72,7 +72,7 @@ def flatten_panels(
     if library is not None:
         models = library.select(F.col("uid").alias("_uid"), F.from_json("model", _PANEL).alias("_model"))
         keyed = rows.withColumn("_uid", F.col("panel.libraryPanel.uid"))
-        rows = skew_join(keyed, models, ["_uid"], salt_on=["_text"], how="left")
+        rows = dimension_join(keyed, models, ["_uid"])
         merged = F.struct(
             F.coalesce("_model.id", "panel.id").alias("id"),
             F.coalesce("_model.title", "panel.title").alias("title"),
@@ -128,7 +128,7 @@ def inherit_datasource(targets: DataFrame, datasources: DataFrame, default_uid:
 
     A target without its own reference takes its panel's, and a panel without one
     the default; a ``$variable`` text counts as none.  ``datasources`` is (uid,
-    type); its size is counted before it is broadcast.
+    type), one row each.
     """
     default = F.lit(default_uid).cast("string")
     rows = targets.withColumn("_panel", _reference(F.col("panel_datasource"), default))
@@ -138,7 +138,7 @@ def inherit_datasource(targets: DataFrame, datasources: DataFrame, default_uid:
     fixed = uid.isNull() | uid.isin(MIXED, EXPRESSION, "") | uid.startswith("$")
     rows = rows.withColumn("datasource_uid", uid).withColumn("_lookup", F.when(~fixed, uid))
     known = datasources.select(F.col("uid").alias("_lookup"), F.col("type").alias("_type"))
-    joined = rows.join(small_side(known), "_lookup", "left")
+    joined = dimension_join(rows, known, ["_lookup"])
     return joined.withColumn("datasource_type", F.coalesce("_type", "_ref.type")).drop(
         "_panel", "_ref", "_lookup", "_type"
     )

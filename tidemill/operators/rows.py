@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.operators.ordering import first_per_key, number_rows
+from tidemill.operators.skew import skew_join
 
 
 def curate_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -87,7 +88,8 @@ def contains_rows(actual: DataFrame, expected: DataFrame, keys: Sequence[str]) -
     texts = [F.coalesce(F.col(k).cast("string"), F.lit("None")).alias(f"_{k}") for k in keys]
     left = expected.select("*", *texts)
     right = actual.select(*texts).distinct()
-    return left.join(right, [f"_{k}" for k in keys], "left_anti").drop(*[f"_{k}" for k in keys])
+    texts_of = [f"_{k}" for k in keys]
+    return skew_join(left, right, texts_of, how="left_anti").drop(*texts_of)
 
 
 def rows_equal(
@@ -119,7 +121,7 @@ def resolve_unique(candidates: DataFrame, requests: DataFrame, on: Mapping[str,
         F.count(F.lit(1)).alias("_matches"), F.min("id").alias("_id")
     )
     renamed = per_value.select(*[F.col(c).alias(r) for r, c in on.items()], "_matches", "_id")
-    joined = requests.join(renamed, list(on), "left")
+    joined = skew_join(requests, renamed, list(on), how="left")
     matches = F.coalesce("_matches", F.lit(0))
     return joined.select(
         *requests.columns,

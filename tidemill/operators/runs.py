@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.time import time_literal
+from tidemill.operators.skew import hot_keys, skew_join
 from tidemill.session import materialize
 
 # What a backfill re-runs besides missing dates.
@@ -67,14 +68,17 @@ def closure(edges: DataFrame, seeds: DataFrame, direction: str = "downstream", m
 
     Breadth first: each round joins only the newest nodes and drops those already
     known, so shared descendants are visited once and cycles end.  Rounds are
-    written to the checkpoint folder, which keeps the plan short.
+    written to the checkpoint folder, which keeps the plan short; a hub's edges are
+    spread by its children.
     """
     source, target = ("parent", "child") if direction == "downstream" else ("child", "parent")
-    steps = edges.select(F.col(source).alias("node"), F.col(target).alias("_next")).distinct()
+    steps = materialize(edges.select(F.col(source).alias("node"), F.col(target).alias("_next")).distinct())
+    hot = hot_keys(steps, ["node"])
     known = materialize(seeds.select("node").distinct().withColumn("distance", F.lit(0)))
     newest = known
     for distance in range(1, max_rounds + 1):
-        found = steps.join(newest.select("node"), "node", "left_semi").select(F.col("_next").alias("node")).distinct()
+        taken = skew_join(steps, newest.select("node"), ["node"], ["_next"], "left_semi", hot=hot)
+        found = taken.select(F.col("_next").alias("node")).distinct()
         newest = materialize(found.join(known, "node", "left_anti").withColumn("distance", F.lit(distance)))
         if newest.isEmpty():
             return known
@@ -106,7 +110,7 @@ def clear_selection(
         rows = rows.filter(F.col(time) >= time_literal(start, like))
     if end is not None:
         rows = rows.filter(F.col(time) <= time_literal(end, like))
-    return rows.join(chosen.distinct().withColumnRenamed("node", task), task, "left_semi")
+    return skew_join(rows, chosen.distinct().withColumnRenamed("node", task), [task], how="left_semi")
 
 
 def tree_expand(
@@ -124,13 +128,14 @@ def tree_expand(
     then each edge below a reached node is one line.  The result has one row per
     reached edge and root, however many paths lead to a node.
     """
-    links = edges.select("parent", F.col("child").alias("node"), F.col(place).cast("long").alias("_place"))
+    links = materialize(edges.select("parent", F.col("child").alias("node"), F.col(place).cast("long").alias("_place")))
+    hot = hot_keys(links, ["parent"])
     firsts = start.select("node", F.array(F.col(place).cast("long")).alias("path"))
     best = materialize(firsts.groupBy("node").agg(F.min("path").alias("path")))
     changed = best
     for _ in range(max_rounds):
         offered = (
-            links.join(changed.withColumnRenamed("node", "parent"), "parent")
+            skew_join(links, changed.withColumnRenamed("node", "parent"), ["parent"], ["node"], hot=hot)
             .select("node", F.concat("path", F.array("_place")).alias("path"))
             .groupBy("node").agg(F.min("path").alias("path"))
         )
@@ -146,10 +151,10 @@ def tree_expand(
     else:
         raise RuntimeError(f"the graph is cyclic or deeper than {max_rounds}")
     at = best.select("node", F.col("path").alias("_home"))
-    below = links.join(best.withColumnRenamed("node", "parent"), "parent").select(
+    below = skew_join(links, best.withColumnRenamed("node", "parent"), ["parent"], ["node"], hot=hot).select(
         "node", F.concat("path", F.array("_place")).alias("path")
     )
-    lines = firsts.unionByName(below).join(at, "node")
+    lines = skew_join(firsts.unionByName(below), at, ["node"], ["path"])
     return lines.select(
         "path", "node", (F.size("path") - 1).alias("depth"), (F.col("path") == F.col("_home")).alias("expanded")
     )

@@ -111,34 +111,51 @@ def counter_rate(
     counting as a reset to zero, over the time between its first and last sample.
     One sample gives NULL.  There is no extrapolation to the window's edges.
 
-    A series is cut into slices at least one window wide; each slice also gets the
-    rows of the previous one that its windows reach back to, so windows are exact
-    and no series is confined to one task.
+    ``(series, time)`` is unique.  A series is cut into slices at least one window
+    wide, and each slice also gets the rows of the previous one that its windows
+    reach back to, so no series is confined to one task.  Inside a slice the work is
+    linear however dense the samples are: increases are summed once from the slice's
+    start, and a marker at the start of every window picks up the first sample at or
+    after it in one backward sweep.
     """
     width = slice_seconds or max(window_seconds, 86_400)
     if width < window_seconds:
         raise ValueError("a slice must be at least one window wide")
     stamp = F.unix_micros(F.col(time).cast("timestamp"))
-    span = F.lit(width * 1_000_000)
-    placed = samples.withColumn("_at", stamp).withColumn("_home", F.floor(F.col("_at") / span))
-    reaches = F.col("_at") + F.lit(window_seconds * 1_000_000) >= (F.col("_home") + 1) * span
-    placed = placed.withColumn(
-        "_slice",
-        F.explode(F.when(reaches, F.array(F.col("_home"), F.col("_home") + 1)).otherwise(F.array("_home"))),
+    span, reach = F.lit(width * 1_000_000), F.lit(window_seconds * 1_000_000)
+    rows = samples.select(
+        *series, stamp.alias("_at"), F.col(value).alias("_value"), F.struct(*samples.columns).alias("_row")
+    ).withColumn("_home", F.floor(F.col("_at") / span))
+    needed_next = F.col("_at") + reach >= (F.col("_home") + 1) * span
+    slices = F.when(needed_next, F.array(F.col("_home"), F.col("_home") + 1)).otherwise(F.array("_home"))
+    placed = rows.withColumn("_slice", F.explode(slices))
+
+    forward = Window.partitionBy(*series, "_slice").orderBy("_at")
+    before = F.lag("_value").over(forward)
+    rise = F.when(F.col("_value") < before, F.col("_value")).otherwise(F.col("_value") - before)
+    so_far = forward.rowsBetween(Window.unboundedPreceding, 0)
+    summed = placed.withColumn("_rise", F.coalesce(rise, F.col("_value") - F.col("_value"))).withColumn(
+        "_sum", F.sum("_rise").over(so_far)
     )
-    ordered = Window.partitionBy(*series, "_slice").orderBy("_at")
-    frame = ordered.rangeBetween(-window_seconds * 1_000_000, 0)
-    before = F.lag(value).over(ordered)
-    rise = F.when(F.col(value) < before, F.col(value)).otherwise(F.col(value) - before)
-    # the first sample's own rise happened before the frame, so it is taken off again
-    increase = F.sum("_rise").over(frame) - F.first("_rise").over(frame)
-    elapsed = (F.col("_at") - F.first("_at").over(frame)) / F.lit(1_000_000)
-    zero = F.col(value) - F.col(value)
-    return (
-        placed.withColumn("_rise", F.coalesce(rise, zero))
-        .withColumn("rate", F.when(elapsed > 0, increase.cast("double") / elapsed))
-        .filter(F.col("_slice") == F.col("_home"))
-        .select(*samples.columns, "rate")
+    at_home = F.col("_slice") == F.col("_home")
+    point = F.struct(F.col("_at").alias("at"), F.col("_sum").alias("sum"))
+    sample = F.struct(F.col("_at").alias("time"), point.alias("point"), F.lit(None).cast(samples.schema).alias("row"))
+    marker = F.struct((F.col("_at") - reach).alias("time"), F.lit(None).cast("void").alias("point"), F.col("_row").alias("row"))
+    both = F.when(at_home, F.array(sample, marker)).otherwise(F.array(sample))
+    merged = summed.select(*series, "_slice", point.alias("_own"), F.explode(both).alias("_m")).select(
+        *series, "_slice", "_own", "_m.*"
+    )
+    # backwards, a sample comes ahead of a marker of the same time
+    backward = (
+        Window.partitionBy(*series, "_slice")
+        .orderBy(F.col("time").desc(), F.col("row").isNotNull())
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    started = merged.withColumn("_first", F.last("point", ignorenulls=True).over(backward)).filter("row IS NOT NULL")
+    elapsed = (F.col("_own.at") - F.col("_first.at")) / F.lit(1_000_000)
+    rate = (F.col("_own.sum") - F.col("_first.sum")).cast("double") / elapsed
+    return started.select(
+        *[F.col("row")[c].alias(c) for c in samples.columns], F.when(elapsed > 0, rate).alias("rate")
     )
 
 

@@ -22,37 +22,39 @@ _CALLS = (
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Non-blank lines of text files with their file, line number, text and problem (NULL when fine).
-
-    Files are read in splits; a line's number is its place in the split plus the
-    lines of the file's earlier splits.  The table of splits has one row per split.
-    """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_mark"),
-        F.col("value").alias("line"),
-    )
-    blocks = lines.groupBy("file", "_block").agg(F.min("_mark").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    numbered = lines.join(blocks, ["file", "_block"]).select(
-        "file", (F.col("_mark") - F.col("_first") + F.col("_before") + 1).alias("number"), "line"
-    )
+    """The lines of text files with their place and problem (NULL when fine); blank ones are in it, too."""
     parsed = F.try_parse_json("line")
     problem = F.when(parsed.isNull(), "invalid JSON").when(
         ~F.schema_of_variant(parsed).startswith("OBJECT"), "payload is not an object"
     )
-    return numbered.filter(F.trim("line") != "").withColumn("problem", problem)
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("mark"),
+        F.col("value").alias("line"),
+    )
+    return lines.withColumn("problem", F.when(F.trim("line") != "", problem))
 
 
 def good_lines(lines: DataFrame) -> DataFrame:
-    return lines.filter(F.col("problem").isNull()).drop("problem")
+    """The payloads: lines that hold one JSON object."""
+    return lines.filter(F.col("problem").isNull() & (F.trim("line") != "")).select("file", "line")
 
 
 def line_errors(lines: DataFrame) -> DataFrame:
-    message = F.concat(F.lit("line "), F.col("number").cast("string"), F.lit(": "), F.col("problem"))
-    return lines.filter(F.col("problem").isNotNull()).select("file", "number", message.alias("error"))
+    """One row per bad line with its line number.
+
+    Files are read in splits; a line's number is its place in the split plus the
+    lines of the file's earlier splits.  Only the bad lines are numbered, so the
+    texts never shuffle: the rest is counted per split in the map tasks.
+    """
+    blocks = lines.groupBy("file", "block").agg(F.min("mark").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    bad = lines.filter(F.col("problem").isNotNull()).join(starts, ["file", "block"])
+    number = F.col("mark") - F.col("_first") + F.col("_before") + 1
+    message = F.concat(F.lit("line "), number.cast("string"), F.lit(": "), F.col("problem"))
+    return bad.select("file", number.alias("number"), message.alias("error"))
 
 
 def _text(node: dict, keys: Sequence[str]) -> str | None:

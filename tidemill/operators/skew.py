@@ -3,57 +3,76 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+HOT_KEYS = 100
+SALTS = 32
+SMALL_ROWS = 100_000
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> DataFrame:
-    """Keys owning more than ``share`` of the rows: never more than ``1/share`` of them."""
+
+def hot_keys(df: DataFrame, keys: Sequence[str], at_most: int = HOT_KEYS) -> DataFrame:
+    """The ``at_most`` keys with the most rows.
+
+    A key owning more than 1/``at_most`` of the rows is certainly among them.  One
+    pass over the key columns with map-side counting.  The list is read once and
+    kept as literal rows, so both sides of a join see the very same keys even when
+    a task is run again.
+    """
     load = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_load"))
-    total = load.agg(F.sum("_load")).first()[0] or 0
-    return load.filter(F.col("_load") > F.lit(total * share)).select(*keys, F.lit(True).alias("_hot"))
+    top = load.orderBy(F.col("_load").desc(), *keys).limit(at_most).select(*keys, F.lit(True).alias("_hot"))
+    return df.sparkSession.createDataFrame(top.collect(), top.schema)
 
 
 def skew_join(
     facts: DataFrame,
     keyed: DataFrame,
     keys: Sequence[str],
-    salt_on: Sequence[str],
+    salt_on: Sequence[str] | None = None,
     how: str = "inner",
-    condition: Column | None = None,
-    salts: int = 32,
-    share: float = 0.01,
+    salts: int = SALTS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """``facts`` joined to ``keyed`` on ``keys`` (inner, left, left_semi, left_anti).
 
-    Rows of hot keys are spread over ``salts`` sub-keys by a hash of ``salt_on``
-    and only the hot rows of ``keyed`` are repeated, so nothing is dropped and the
-    cold bulk is joined as usual.  The list of hot keys holds at most ``1/share``
-    rows; that bound is what allows its broadcast.  Finding it costs one pass over
-    the key columns with map-side counting.
+    Rows of hot keys, and rows whose key is NULL, are spread over ``salts`` sub-keys
+    by a hash of ``salt_on`` (all columns by default); only the hot rows of ``keyed``
+    are repeated.  Nothing is dropped, and the cold bulk is joined as usual.  Any set
+    of ``hot`` keys gives the same result; a loop passes its own to find it once.
     """
-    hot = hot_keys(facts, keys, share)
-    spread = F.when(F.col("_hot"), F.pmod(F.xxhash64(*salt_on), F.lit(salts))).otherwise(F.lit(0).cast("long"))
-    left = facts.join(F.broadcast(hot), list(keys), "left").withColumn("_salt", spread).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).otherwise(
-        F.array(F.lit(0).cast("long"))
-    )
+    hot = hot_keys(facts, keys) if hot is None else hot
+    absent = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    zero = F.lit(0).cast("long")
+    spread = F.when(F.col("_hot") | absent, F.pmod(F.xxhash64(*(salt_on or facts.columns)), F.lit(salts)))
+    left = facts.join(F.broadcast(hot), list(keys), "left")
+    left = left.withColumn("_salt", F.coalesce(spread, zero)).drop("_hot")
+    copies = F.when(F.col("_hot"), F.sequence(zero, F.lit(salts - 1).cast("long"))).otherwise(F.array(zero))
     right = keyed.join(F.broadcast(hot), list(keys), "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    if condition is None:
-        return left.join(right, [*keys, "_salt"], how).drop("_salt")
-    on = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in [*keys, "_salt"]]
-    joined = left.alias("l").join(right.alias("r"), [*on, condition], how)
+    joined = left.join(right, [*keys, "_salt"], how).drop("_salt")
     if how in ("left_semi", "left_anti"):
-        return joined.drop("_salt")
-    extra = [c for c in keyed.columns if c not in keys]
-    return joined.select(*[F.col(f"l.{c}") for c in facts.columns], *[F.col(f"r.{c}") for c in extra])
+        return joined.select(*facts.columns)
+    return joined.select(*facts.columns, *[c for c in keyed.columns if c not in keys])
 
 
-def small_side(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """A broadcast hint only after counting that the side is small; otherwise the plain frame.
+def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame | None:
+    """A broadcast hint, given only after counting that the side is small; else None.
 
-    The count stops at ``max_rows + 1`` rows.  A larger side goes through an ordinary
-    shuffled join, with AQE splitting skewed partitions.
+    The count stops at ``max_rows + 1`` rows.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else None
+
+
+def dimension_join(
+    facts: DataFrame, dimension: DataFrame, keys: Sequence[str], how: str = "left", max_rows: int = SMALL_ROWS
+) -> DataFrame:
+    """A keyed dimension joined by broadcast where it is counted to be small, else by ``skew_join``.
+
+    On a stream a large dimension goes through Spark's own stream-static join.
+    """
+    side = small_side(dimension, max_rows)
+    if side is None and not facts.isStreaming:
+        return skew_join(facts, dimension, keys, how=how)
+    return facts.join(dimension if side is None else side, list(keys), how)
+

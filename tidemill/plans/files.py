@@ -218,7 +218,7 @@ def copied(t: Tables) -> DataFrame:
 
 
 @query(
-    "topic_slice",
+    "bounded_topic_slice",
     "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, event_id % 4 AS partition FROM events WHERE ts >= TIMESTAMP '2024-01-15'",
 )
 def topic(t: Tables) -> DataFrame:

@@ -166,7 +166,7 @@ def pairs(t: Tables) -> DataFrame:
 
 
 @query(
-    "iso_time",
+    "epoch_ms",
     """
     WITH e AS (SELECT event_id, epoch_us(ts) // 1000 AS ms FROM events)
     SELECT event_id, ms, strftime(make_timestamp_ms(ms), '%Y-%m-%dT%H:%M:%S') ||

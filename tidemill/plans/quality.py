@@ -54,7 +54,7 @@ def fields(t: Tables) -> DataFrame:
 
 
 @query(
-    "rows_to_json",
+    "rows_to_text",
     """
     SELECT '{"event_id":' || event_id || ',"event_type":"' || event_type || '","none":null}' AS line FROM events
     """,
@@ -64,7 +64,7 @@ def as_json(t: Tables) -> DataFrame:
 
 
 @query(
-    "rows_to_csv",
+    "rows_to_text_csv",
     """
     SELECT event_id || ',' || event_type || ',"' || replace(props, '"', '""') || '",' AS line FROM events
     """,

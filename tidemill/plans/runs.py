@@ -94,7 +94,7 @@ _EDGES = """
 
 
 @query(
-    "graph_roots",
+    "roots",
     "WITH " + _EDGES + """
     SELECT DISTINCT parent AS node FROM edges WHERE parent NOT IN (SELECT child FROM edges)
     UNION SELECT 'p' || p_partkey FROM part WHERE 'p' || p_partkey NOT IN (SELECT child FROM edges)
@@ -108,7 +108,7 @@ def roots(t: Tables) -> DataFrame:
 
 
 @query(
-    "graph_downstream",
+    "closure",
     "WITH RECURSIVE " + _EDGES + """
     , down AS (SELECT 'n3' AS node, 0 AS distance UNION SELECT child, distance + 1 FROM down JOIN edges ON parent = node)
     SELECT node, min(distance) AS distance FROM down GROUP BY 1
@@ -120,7 +120,7 @@ def downstream(t: Tables) -> DataFrame:
 
 
 @query(
-    "graph_upstream",
+    "closure_upstream",
     "WITH RECURSIVE " + _EDGES + """
     , up AS (SELECT 'p42' AS node, 0 AS distance UNION SELECT parent, distance + 1 FROM up JOIN edges ON child = node)
     SELECT node, min(distance) AS distance FROM up GROUP BY 1
@@ -132,7 +132,7 @@ def upstream(t: Tables) -> DataFrame:
 
 
 @query(
-    "clear_selection",
+    "closure_clear",
     "WITH RECURSIVE " + _EDGES + """
     , down AS (SELECT 's7' AS node UNION SELECT child FROM down JOIN edges ON parent = node),
     up AS (SELECT 's7' AS node UNION SELECT parent FROM up JOIN edges ON child = node),

@@ -46,19 +46,24 @@ def _calls(t: Tables) -> DataFrame:
 @query(
     "json_lines",
     """
-    WITH c AS (SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id, turn) AS n FROM conversations)
-    SELECT CASE WHEN turn % 7 = 6 THEN 'invalid JSON' WHEN turn % 7 = 5 THEN 'payload is not an object' END AS problem, count(*) AS lines
-    FROM c WHERE turn % 7 <> 4 GROUP BY 1
+    SELECT CASE WHEN turn % 7 = 6 THEN 'invalid JSON' WHEN turn % 7 = 5 THEN 'payload is not an object' ELSE 'none' END AS problem,
+           count(*) AS lines FROM conversations WHERE turn % 7 <> 4 GROUP BY 1
     """,
 )
 def json_lines(t: Tables) -> DataFrame:
     """Messages written as text lines, some broken, some no objects, some blank; read back with their problems."""
+    lines = sessions.read_json_lines(t.spark, _lines(t))
+    good = sessions.good_lines(lines).select(F.lit("none").alias("problem"))
+    bad = sessions.line_errors(lines).select(F.regexp_replace("error", r"^line \d+: ", "").alias("problem"))
+    return good.unionByName(bad).groupBy("problem").agg(F.count(F.lit(1)).alias("lines"))
+
+
+def _lines(t: Tables) -> str:
     path = scratch_path(t.spark, "lines")
     rest = F.col("turn") % 7
     line = F.when(rest == 6, "not-json").when(rest == 5, "[1]").when(rest == 4, "  ").otherwise(F.col("message"))
     messages(t).select(line.alias("value")).write.text(path)
-    rows = sessions.read_json_lines(t.spark, path)
-    return rows.groupBy("problem").agg(F.count(F.lit(1)).alias("lines"))
+    return path
 
 
 @query(

@@ -58,36 +58,36 @@ _SESSIONS = """SELECT min(ts) OVER x AS s, max(ts) OVER x + INTERVAL 2 HOUR AS e
                WINDOW x AS (PARTITION BY user_id, n)"""
 
 
-@query("window_tumbling_stream", _window_sql(_TUMBLING, True).replace("{key}", "event_type"))
+@query("time_windows_stream", _window_sql(_TUMBLING, True).replace("{key}", "event_type"))
 def tumbling_stream(t: Tables) -> DataFrame:
     events = t.stream("events", event_time="ts")
     return _windows(_run(t, windows.time_windows(events, "ts", "1 hour", _metrics(), ["event_type"], delay="10 minutes")), "event_type")
 
 
-@query("window_tumbling", _window_sql(_TUMBLING, False).replace("{key}", "event_type"))
+@query("time_windows", _window_sql(_TUMBLING, False).replace("{key}", "event_type"))
 def tumbling(t: Tables) -> DataFrame:
     return _windows(windows.time_windows(t.events, "ts", "1 hour", _metrics(), ["event_type"]), "event_type")
 
 
-@query("window_sliding_stream", _window_sql(_SLIDING, True).replace("{key}", "event_type"))
+@query("time_windows_sliding_stream", _window_sql(_SLIDING, True).replace("{key}", "event_type"))
 def sliding_stream(t: Tables) -> DataFrame:
     events = t.stream("events", event_time="ts")
     rolled = windows.time_windows(events, "ts", "1 hour", _metrics(), ["event_type"], slide="30 minutes", delay="10 minutes")
     return _windows(_run(t, rolled), "event_type")
 
 
-@query("window_sliding", _window_sql(_SLIDING, False).replace("{key}", "event_type"))
+@query("time_windows_sliding", _window_sql(_SLIDING, False).replace("{key}", "event_type"))
 def sliding(t: Tables) -> DataFrame:
     return _windows(windows.time_windows(t.events, "ts", "1 hour", _metrics(), ["event_type"], slide="30 minutes"), "event_type")
 
 
-@query("window_session_stream", _window_sql(_SESSIONS, True).replace("{key}", "user_id"))
+@query("session_windows_stream", _window_sql(_SESSIONS, True).replace("{key}", "user_id"))
 def session_stream(t: Tables) -> DataFrame:
     events = t.stream("events", event_time="ts")
     return _windows(_run(t, windows.session_windows(events, "ts", "2 hours", _metrics(), KEYS, delay="10 minutes")), "user_id")
 
 
-@query("window_session", _window_sql(_SESSIONS, False).replace("{key}", "user_id"))
+@query("session_windows", _window_sql(_SESSIONS, False).replace("{key}", "user_id"))
 def session(t: Tables) -> DataFrame:
     return _windows(windows.session_windows(t.events, "ts", "2 hours", _metrics(), KEYS), "user_id")
 
@@ -340,3 +340,69 @@ def tail(t: Tables) -> DataFrame:
     started.processAllAvailable()
     started.stop()
     return t.spark.read.parquet(path).select("event_id")
+
+
+@query(
+    "stream_join",
+    """
+    SELECT s.user_id, s.event_id AS signup_id, p.event_id AS purchase_id FROM events s JOIN events p ON s.user_id = p.user_id
+    AND s.event_type = 'signup' AND p.event_type = 'purchase' AND s.value > 60 AND p.value > 90
+    """,
+)
+def joined_streams(t: Tables) -> DataFrame:
+    """Two unbounded sides joined on their key alone."""
+    signups = t.stream("events").filter((F.col("event_type") == "signup") & (F.col("value") > 60))
+    bought = t.stream("events").filter((F.col("event_type") == "purchase") & (F.col("value") > 90))
+    pairs = windows.regular_join(
+        signups.select("user_id", F.col("event_id").alias("signup_id")),
+        bought.select("user_id", F.col("event_id").alias("purchase_id")), KEYS,
+    )
+    return _run(t, pairs)
+
+
+@query(
+    "watermark_late",
+    """
+    WITH mark AS (SELECT max(ts) FILTER (WHERE event_id % 10 <> 0) - INTERVAL 10 MINUTE AS first, max(ts) - INTERVAL 10 MINUTE AS last FROM events),
+    w AS (SELECT *, time_bucket(INTERVAL 1 DAY, ts) AS s, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS e FROM events, mark)
+    SELECT strftime(s, '%Y-%m-%d') AS day, count(*) AS events, true AS late_reported FROM w
+    WHERE e <= last AND (event_id % 10 <> 0 OR e > first) GROUP BY 1
+    """,
+)
+def late(t: Tables) -> DataFrame:
+    """A tenth of the events arrives after the rest; what its windows no longer take is dropped and reported."""
+    source, path = scratch_path(t.spark, "source"), scratch_path(t.spark, "late")
+    progress, report = scratch_path(t.spark, "progress"), None
+    for tenth in (False, True):
+        t.events.filter((F.col("event_id") % 10 == 0) == F.lit(tenth)).write.mode("append").parquet(source)
+        events = runs.replay(t.spark, source, t.events.schema, event_time="ts")
+        counted = windows.time_windows(events, "ts", "1 day", {"events": F.count(F.lit(1))}, delay="10 minutes")
+        report = runs.bounded_run(counted, path, progress)
+    rows = t.spark.read.parquet(path)
+    return rows.select(
+        F.date_format("window_start", "yyyy-MM-dd").alias("day"), "events",
+        F.lit(report.late_rows_dropped > 0).alias("late_reported"),
+    )
+
+
+@query(
+    "dual_mode",
+    _window_sql(_TUMBLING, True).replace("{key}", "event_type").replace("WITH w AS", "WITH unused AS (SELECT 1), w AS"),
+)
+def both_modes(t: Tables) -> DataFrame:
+    """The one window function on the batch and on the stream: the rows on which both agree."""
+    stream = windows.time_windows(t.stream("events", event_time="ts"), "ts", "1 hour", _metrics(), ["event_type"], delay="10 minutes")
+    batch = windows.time_windows(t.events.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "1 hour", _metrics(), ["event_type"])
+    return _windows(_run(t, stream).intersect(batch), "event_type")
+
+
+@query(
+    "change_feed",
+    _LATEST.replace("SELECT *", "SELECT user_id, event_id, 'snapshot' AS phase").replace("FROM events", "FROM events WHERE ts < TIMESTAMP '2024-01-15'")
+    + " UNION ALL SELECT user_id, event_id, 'change' FROM events WHERE ts >= TIMESTAMP '2024-01-15'",
+)
+def feed(t: Tables) -> DataFrame:
+    """A change table read from a point on: the state up to there, then every change behind it."""
+    from datetime import datetime
+
+    return keyed.change_feed(t.events, KEYS, ORDER, "ts", datetime(2024, 1, 15)).select("user_id", "event_id", "phase")

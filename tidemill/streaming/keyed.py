@@ -9,6 +9,7 @@ folds the partitions when there are many.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from datetime import datetime
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from tidemill.functions.time import time_literal
 from tidemill.operators.keyed import DELETE, INSERT, UPDATE_AFTER, UPDATE_BEFORE, current_state, to_changelog
 from tidemill.operators.ordering import latest_per_key
 from tidemill.session import path_exists
@@ -153,3 +155,19 @@ def use_rocksdb(spark: SparkSession) -> None:
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
+
+
+def change_feed(
+    changes: DataFrame, keys: Sequence[str], order: Sequence[str], time: str, start: datetime, snapshot: bool = True
+) -> DataFrame:
+    """A change table from ``start`` on, with a ``phase``.
+
+    The first rows are the ``snapshot`` of what the earlier changes left (one row per
+    key), the rest every later ``change`` in full; without a snapshot, only the latter.
+    """
+    mark = time_literal(start, changes.schema[time].dataType.simpleString())
+    later = changes.filter(F.col(time) >= mark).withColumn("phase", F.lit("change"))
+    if not snapshot:
+        return later
+    held = latest_per_key(changes.filter(F.col(time) < mark), keys, order)
+    return held.withColumn("phase", F.lit("snapshot")).unionByName(later)

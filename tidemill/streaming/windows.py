@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.operators.ordering import as_of_join
+from tidemill.operators.skew import dimension_join
 
 
 def watermarked(df: DataFrame, time: str, delay: str) -> DataFrame:
@@ -104,11 +105,15 @@ def temporal_batches(
     return run
 
 
-def lookup_join(stream: DataFrame, dimension: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows with the static dimension's columns, NULL where it has none; read anew for every micro-batch.
+def lookup_join(rows: DataFrame, dimension: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with the static dimension's columns, NULL where it has none; a stream reads it anew for every batch."""
+    return dimension_join(rows, dimension, keys)
 
-    The size of the dimension is counted before it is broadcast.
-    """
-    from tidemill.operators.skew import small_side
 
-    return stream.join(small_side(dimension), list(keys), "left")
+def regular_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """All pairs of equal keys over the whole history.
+
+    On streams neither side ever expires, so use it only where the keys are bounded;
+    the interval form is the one that forgets.
+    """
+    return left.join(right, list(keys), "inner")
