@@ -42,8 +42,9 @@ def to_changelog(
     give nothing.  Only the preceding change of the key is needed, fetched slice by
     slice, so a hot key stays parallel.
     """
-    marked = changes.withColumn("_gone", F.coalesce(is_delete, F.lit(False)))
-    paired = with_previous(marked, keys, order, [*values, "_gone"], slice_by)
+    needed = dict.fromkeys([*keys, *order, *values])
+    marked = changes.select(*needed, F.coalesce(is_delete, F.lit(False)).alias("_gone"), slice_by.alias("_cut"))
+    paired = with_previous(marked, keys, order, [*values, "_gone"], F.col("_cut"))
     old = F.struct(*[F.col(f"previous.{v}").alias(v) for v in values])
     new = F.struct(*[F.col(v) for v in values])
     alive = F.col("previous").isNotNull() & ~F.col("previous._gone")

@@ -116,7 +116,7 @@ def clear_selection(
 def tree_expand(
     edges: DataFrame, start: DataFrame, place: str = "place", max_rounds: int = 100
 ) -> DataFrame:
-    """The depth-first outline of an acyclic graph, each node expanded once.
+    """The depth-first outline of a graph, each node expanded once.
 
     ``start`` is (node, place): the roots in order.  Result rows: path (the places
     from the root down; sorting by it gives the outline), node, depth, and
@@ -124,7 +124,8 @@ def tree_expand(
     children are not repeated.
 
     A node is unfolded at the least of its paths, so the least path of every node
-    is found first, by rounds of edge relaxation that touch changed nodes only;
+    is found first, by rounds of edge relaxation that touch changed nodes only (a
+    path around a cycle is longer than the one it starts with, so cycles end);
     then each edge below a reached node is one line.  The result has one row per
     reached edge and root, however many paths lead to a node.
     """
@@ -149,7 +150,7 @@ def tree_expand(
             break
         best = materialize(best.unionByName(changed).groupBy("node").agg(F.min("path").alias("path")))
     else:
-        raise RuntimeError(f"the graph is cyclic or deeper than {max_rounds}")
+        raise RuntimeError(f"the graph is deeper than {max_rounds}")
     at = best.select("node", F.col("path").alias("_home"))
     below = skew_join(links, best.withColumnRenamed("node", "parent"), ["parent"], ["node"], hot=hot).select(
         "node", F.concat("path", F.array("_place")).alias("path")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators.objects import apply_copy_plan
 from tidemill.plans.registry import Tables, money, query
-from tidemill.session import scratch_path
+from tidemill.session import qualified, scratch_path
 from tidemill.sources import catalog, files, sinks
 from tidemill.sources.connectors import decode_topic
 
@@ -205,10 +205,8 @@ def copied(t: Tables) -> DataFrame:
     source, target = scratch_path(t.spark, "from"), scratch_path(t.spark, "to")
     t.events.write.parquet(source)
     listed = files.file_inventory(t.spark, source, "*.parquet")
-    plan = listed.select(
-        F.concat(F.lit("file://"), F.lit(source), F.lit("/"), F.col("key")).alias("source_uri"),
-        F.concat(F.lit("file://"), F.lit(target), F.lit("/"), F.col("key")).alias("target_uri"),
-    )
+    root = files.uri_of(F.lit(qualified(t.spark, target)))
+    plan = listed.select(F.col("uri").alias("source_uri"), F.concat_ws("/", root, "key").alias("target_uri"))
     failed = apply_copy_plan(plan).filter(F.col("error").isNotNull()).count()
     if failed:
         raise RuntimeError(f"{failed} copies failed")

@@ -33,25 +33,30 @@ def _changes(t: Tables) -> DataFrame:
     return t.events.withColumn("v", F.round(F.col("value") / 50, 0)).withColumn("gone", F.col("event_type") == "error")
 
 
+def _events(t: Tables) -> DataFrame:
+    return t.events.select("user_id", "ts", "event_id", "event_type", "value")
+
+
 def _log(t: Tables) -> DataFrame:
     return keyed.to_changelog(_changes(t), KEYS, ORDER, ["v"], F.col("gone"), time_slice(F.col("ts"), 86_400))
 
 
 @query("latest_per_key", f"SELECT user_id, event_id, event_type, value FROM ({_LATEST})")
 def latest(t: Tables) -> DataFrame:
-    return keyed.current_state(t.events, KEYS, ORDER).select("user_id", "event_id", "event_type", "value")
+    return keyed.current_state(_events(t), KEYS, ORDER).select("user_id", "event_id", "event_type", "value")
 
 
 @query("current_state", f"SELECT user_id, event_id FROM ({_LATEST}) WHERE event_type <> 'error'")
 def current(t: Tables) -> DataFrame:
-    return keyed.current_state(t.events, KEYS, ORDER, F.col("event_type") == "error").select("user_id", "event_id")
+    rows = _events(t).drop("value")
+    return keyed.current_state(rows, KEYS, ORDER, F.col("event_type") == "error").select("user_id", "event_id")
 
 
 @query("merge_state", f"SELECT user_id, event_id FROM ({_LATEST})")
 def merged(t: Tables) -> DataFrame:
-    middle = F.col("event_id") % 2 == 0
-    state = keyed.current_state(t.events.filter(middle), KEYS, ORDER)
-    return keyed.merge_state(state, t.events.filter(~middle), KEYS, ORDER).select("user_id", "event_id")
+    rows, half = t.events.select("user_id", "ts", "event_id"), F.col("event_id") % 2 == 0
+    state = keyed.current_state(rows.filter(half), KEYS, ORDER)
+    return keyed.merge_state(state, rows.filter(~half), KEYS, ORDER).select("user_id", "event_id")
 
 
 @query("to_changelog", _CHANGELOG + "SELECT event_id, user_id, op, v FROM log")

@@ -99,7 +99,7 @@ def one_stream(t: Tables) -> DataFrame:
     """,
 )
 def newest(t: Tables) -> DataFrame:
-    rows = logs.newest_n_per_stream(t.events, ["event_type"], "ts", "event_id", 20)
+    rows = logs.newest_n_per_stream(t.events.select("event_type", "event_id", "ts"), ["event_type"], "ts", "event_id", 20)
     return rows.select("event_type", "event_id", F.col("rank").cast("long").alias("place"))
 
 

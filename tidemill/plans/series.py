@@ -138,8 +138,9 @@ def last_value(t: Tables) -> DataFrame:
     """,
 )
 def changes(t: Tables) -> DataFrame:
+    history = t.events.select("event_id", "user_id", "ts", "event_type")
     rows = series.state_changes(
-        t.events, ["user_id"], ["ts", "event_id"], "event_type", time_slice(F.col("ts"), 86_400)
+        history, ["user_id"], ["ts", "event_id"], "event_type", time_slice(F.col("ts"), 86_400)
     )
     return rows.select("event_id", "user_id", "event_type", "previous_state")
 

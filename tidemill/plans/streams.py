@@ -263,7 +263,9 @@ def _views(t: Tables) -> DataFrame:
 
 @query("temporal_join", _AS_OF)
 def temporal(t: Tables) -> DataFrame:
-    bought = t.events.filter(F.col("event_type") == "purchase").withColumn("ts", F.col("ts").cast("timestamp"))
+    bought = t.events.filter(F.col("event_type") == "purchase").select(
+        "user_id", "event_id", F.col("ts").cast("timestamp").alias("ts")
+    )
     rows = as_of_join(bought, _views(t), KEYS, "ts", "view_ts", lambda c: time_slice(c, 86_400), ["view_id"])
     return rows.select(F.col("event_id").alias("purchase_id"), F.col("version.view_id").alias("view_id"))
 
@@ -405,4 +407,5 @@ def feed(t: Tables) -> DataFrame:
     """A change table read from a point on: the state up to there, then every change behind it."""
     from datetime import datetime
 
-    return keyed.change_feed(t.events, KEYS, ORDER, "ts", datetime(2024, 1, 15)).select("user_id", "event_id", "phase")
+    rows = t.events.select("user_id", "ts", "event_id")
+    return keyed.change_feed(rows, KEYS, ORDER, "ts", datetime(2024, 1, 15)).select("user_id", "event_id", "phase")

@@ -54,10 +54,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tidemill/{app}/{label}-{uuid.uuid4().hex}"
 
 
+def _on_file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), target
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists on the path's own file system."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
+    files, target = _on_file_system(spark, path)
+    return files.exists(target)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, spelled as Spark reports file paths."""
+    files, target = _on_file_system(spark, path)
+    return files.makeQualified(target).toString()
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.functions.paths import relative_to
+from tidemill.session import qualified
+
 HEAD_BYTES = 65_536
 HEAD_LINES = 10
 # Fixed value: everything that ends a line of text.
@@ -14,19 +17,23 @@ LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 
 
 def file_inventory(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Files below a path: (bucket, key, size, updated).  Contents are not read."""
+    """Files below a folder: (bucket, key, uri, size, updated).  Contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    root = path.rstrip("/") + "/"
+    root = qualified(spark, path).rstrip("/") + "/"
     files = reader.load(path).select("path", "length", "modificationTime")
-    key = F.element_at(F.split("path", root.replace(".", r"\.")), -1)
     return files.select(
-        F.lit(root).alias("bucket"), key.alias("key"), F.col("length").alias("size"),
-        F.col("modificationTime").alias("updated"), F.lit(False).alias("is_directory"),
+        F.lit(root).alias("bucket"), relative_to(F.col("path"), root).alias("key"), uri_of("path").alias("uri"),
+        F.col("length").alias("size"), F.col("modificationTime").alias("updated"), F.lit(False).alias("is_directory"),
     )
 
 
+def uri_of(path: Column | str) -> Column:
+    """A reported file path as a URI; local ones are reported as ``file:/x``."""
+    return F.regexp_replace(path, "^file:/+", "file:///")
+
+
 def head_text(content: Column, lines: int = HEAD_LINES, size: int = HEAD_BYTES) -> Column:
     """The first lines of the first ``size`` bytes, joined by newlines."""
     text = cat_text(content, size)
