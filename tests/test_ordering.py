@@ -44,6 +44,13 @@ def test_previous_across_slices(spark, frame, rows, partitions, width):
     assert got == want
 
 
+def test_slices_follow_the_rate(spark):
+    steady = spark.range(1000).select(F.timestamp_seconds(F.col("id") * 10).alias("ts"))
+    assert 990 <= ordering.slice_seconds(steady, "ts", rows_per_slice=100) <= 1000
+    assert ordering.slice_seconds(steady, "ts", rows_per_slice=100, least=3600) == 3600
+    assert ordering.slice_seconds(steady.filter("false"), "ts") == 1
+
+
 def test_number_rows_is_dense(frame, rows):
     got = [tuple(r) for r in ordering.number_rows(frame, ["s", "id"]).select("position", "id").collect()]
     want = [(i, r[2]) for i, r in enumerate(sorted(rows, key=lambda r: (r[3], r[2])), 1)]
@@ -87,15 +94,21 @@ def test_as_of(spark, frame, rows, width):
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_skew_join_equals_plain_join(spark, frame, how):
     names = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("unused", 4)], "k string, n int")
-    hot = spark.createDataFrame([("hot", True), ("k9", True)], "k string, _hot boolean")
+    hot = [r[0] for r in spark.createDataFrame([("hot",), ("k9",)], "k string").select(F.xxhash64("k")).collect()]
     want = sorted(map(str, frame.join(names, "k", how).collect()))
-    for found in (None, hot):
+    for found in (None, [], hot):
         assert sorted(map(str, skew.skew_join(frame, names, ["k"], how=how, hot=found).collect())) == want
 
 
+def test_skew_join_of_different_integer_types(spark):
+    left = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
+    right = spark.createDataFrame([(0, "a"), (1, "b")], "k int, name string")
+    assert skew.skew_join(left, right, ["k"], ["id"]).count() == 67
+
+
 def test_hot_keys_are_bounded(frame):
-    top = [r.k for r in skew.hot_keys(frame, ["k"], at_most=2).collect()]
-    assert top == ["hot", None]
+    hashes = dict(map(tuple, frame.select(F.xxhash64("k"), "k").distinct().collect()))
+    assert [hashes[h] for h in skew.hot_keys(frame, ["k"], at_most=2)] == ["hot", None]
 
 
 def test_dimension_join_beyond_the_bound(spark, frame):

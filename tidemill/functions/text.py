@@ -13,6 +13,8 @@ BEARER_PATTERN = r"(?i)(bearer\s+)[A-Za-z0-9._~+/=-]+"
 ASSIGNMENT_PATTERN = r"(?i)((?:password|secret|token|api[_-]?key)\s*[:=]\s*)[^\s,;]+"
 SECRET_KEY_PATTERN = r"(?i)(?:password|passwd|secret|token|api[_-]?key|private[_-]?key|client[_-]?key)"
 SLUG_LENGTH = 80
+# a word of each rule above, in any case
+SUSPECT_PATTERN = r"(?i)pass(?:word|wd)|secret|token|api[_-]?key|private_key|bearer"
 
 
 def slug(value: Column, fallback: Column | str = "query") -> Column:
@@ -49,10 +51,14 @@ def sql_document(headers: dict[str, Column], sql: Column) -> Column:
 
 
 def redact_text(text: Column) -> Column:
-    """Mask secret-named variables, bearer tokens and ``key: value`` secrets, in this order."""
+    """Mask secret-named variables, bearer tokens and ``key: value`` secrets, in this order.
+
+    One search for the words that every rule needs spares most texts the three rewrites.
+    """
     masked = F.regexp_replace(text, SECRET_ENV_PATTERN, "<redacted-env>")
     masked = F.regexp_replace(masked, BEARER_PATTERN, "$1<redacted>")
-    return F.regexp_replace(masked, ASSIGNMENT_PATTERN, "$1<redacted>")
+    masked = F.regexp_replace(masked, ASSIGNMENT_PATTERN, "$1<redacted>")
+    return F.when(text.rlike(SUSPECT_PATTERN), masked).otherwise(text)
 
 
 def redact_value(key: Column, value: Column) -> Column:

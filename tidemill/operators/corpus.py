@@ -35,17 +35,21 @@ _PANEL = (
 
 
 def _unfold(texts: Column, depth: int) -> Column:
-    """Panel texts with the nested ones right behind their parent."""
+    """Panels from their texts, the nested ones right behind their parent.  Each text is parsed once."""
+    none = F.array().cast("array<string>")
+    panels = F.transform(
+        F.filter(F.coalesce(texts, none), lambda text: text.startswith("{")), lambda text: F.from_json(text, _PANEL)
+    )
 
-    def with_nested(text: Column) -> Column:
-        nested = F.from_json(text, "panels array<string>")["panels"]
+    def with_nested(panel: Column) -> Column:
+        inner = panel["panels"]
         if depth == 0:
-            deeper = F.raise_error(F.lit("panels are nested deeper than max_depth")).cast("array<string>")
-            return F.when(F.size(nested) > 0, deeper).otherwise(F.array(text))
-        below = _unfold(F.coalesce(nested, F.array().cast("array<string>")), depth - 1)
-        return F.concat(F.array(text), below)
+            # an expression of the panels' own type, evaluated only where there is something left
+            failure = F.raise_error(F.lit("panels are nested deeper than max_depth")).cast("string")
+            return F.when(F.size(inner) > 0, F.array(F.from_json(failure, _PANEL))).otherwise(F.array(panel))
+        return F.concat(F.array(panel), _unfold(inner, depth - 1))
 
-    return F.flatten(F.transform(texts, with_nested))
+    return F.flatten(F.transform(panels, with_nested))
 
 
 def flatten_panels(
@@ -64,10 +68,8 @@ def flatten_panels(
     rows = parsed.select(
         *documents.columns,
         F.col("_doc.title").alias("dashboard_title"),
-        F.posexplode(_unfold(F.coalesce("_doc.panels", F.array().cast("array<string>")), max_depth)).alias(
-            "panel_position", "_text"
-        ),
-    ).withColumn("panel", F.from_json("_text", _PANEL))
+        F.posexplode(_unfold(F.col("_doc.panels"), max_depth)).alias("panel_position", "panel"),
+    )
     keep = [c for c in documents.columns if c != doc]
     if library is not None:
         models = library.select(F.col("uid").alias("_uid"), F.from_json("model", _PANEL).alias("_model"))

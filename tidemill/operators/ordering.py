@@ -19,6 +19,20 @@ def order_struct(order: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in order])
 
 
+def slice_seconds(df: DataFrame, time: str, rows_per_slice: int = 2_000_000, least: int = 1) -> int:
+    """A slice width for which a slice holds about ``rows_per_slice`` rows of all keys together.
+
+    Then no key, however hot, brings more than that into one task.  It costs one
+    aggregate over the time column; a caller who knows the data's rate can give the
+    width instead, and bursts call for a smaller target.
+    """
+    moment = F.unix_seconds(F.col(time).cast("timestamp"))
+    seen = df.agg(F.count(moment).alias("n"), F.min(moment).alias("lo"), F.max(moment).alias("hi")).first()
+    if not seen.n:
+        return least
+    return max(least, (seen.hi - seen.lo + 1) * rows_per_slice // seen.n)
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the greatest ``order`` tuple per key.
 

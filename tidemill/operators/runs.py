@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date, datetime
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.time import time_literal
-from tidemill.operators.skew import hot_keys, skew_join
+from tidemill.operators.skew import dimension_join, hot_keys, skew_join
 from tidemill.session import materialize
 
 # What a backfill re-runs besides missing dates.
 REPROCESS = {"none": (), "failed": ("failed",), "completed": ("failed", "success")}
+# rounds of a graph search whose results are read side by side before they are folded into one
+ROUNDS_KEPT = 16
 
 
 def backfill_plan(
@@ -73,16 +76,18 @@ def closure(edges: DataFrame, seeds: DataFrame, direction: str = "downstream", m
     """
     source, target = ("parent", "child") if direction == "downstream" else ("child", "parent")
     steps = materialize(edges.select(F.col(source).alias("node"), F.col(target).alias("_next")).distinct())
-    hot = hot_keys(steps, ["node"])
+    hot = cache(lambda: hot_keys(steps, ["node"]))
     known = materialize(seeds.select("node").distinct().withColumn("distance", F.lit(0)))
     newest = known
     for distance in range(1, max_rounds + 1):
-        taken = skew_join(steps, newest.select("node"), ["node"], ["_next"], "left_semi", hot=hot)
+        taken = dimension_join(steps, newest.select("node"), ["node"], "left_semi", hot=hot)
         found = taken.select(F.col("_next").alias("node")).distinct()
         newest = materialize(found.join(known, "node", "left_anti").withColumn("distance", F.lit(distance)))
         if newest.isEmpty():
             return known
-        known = materialize(known.unionByName(newest))
+        known = known.unionByName(newest)
+        if distance % ROUNDS_KEPT == 0:
+            known = materialize(known)
     raise RuntimeError(f"the graph is deeper than {max_rounds}")
 
 
@@ -130,13 +135,13 @@ def tree_expand(
     reached edge and root, however many paths lead to a node.
     """
     links = materialize(edges.select("parent", F.col("child").alias("node"), F.col(place).cast("long").alias("_place")))
-    hot = hot_keys(links, ["parent"])
+    hot = cache(lambda: hot_keys(links, ["parent"]))
     firsts = start.select("node", F.array(F.col(place).cast("long")).alias("path"))
     best = materialize(firsts.groupBy("node").agg(F.min("path").alias("path")))
     changed = best
     for _ in range(max_rounds):
         offered = (
-            skew_join(links, changed.withColumnRenamed("node", "parent"), ["parent"], ["node"], hot=hot)
+            dimension_join(links, changed.withColumnRenamed("node", "parent"), ["parent"], "inner", hot=hot)
             .select("node", F.concat("path", F.array("_place")).alias("path"))
             .groupBy("node").agg(F.min("path").alias("path"))
         )
@@ -152,10 +157,11 @@ def tree_expand(
     else:
         raise RuntimeError(f"the graph is deeper than {max_rounds}")
     at = best.select("node", F.col("path").alias("_home"))
-    below = skew_join(links, best.withColumnRenamed("node", "parent"), ["parent"], ["node"], hot=hot).select(
+    parents = best.withColumnRenamed("node", "parent")
+    below = dimension_join(links, parents, ["parent"], "inner", hot=hot).select(
         "node", F.concat("path", F.array("_place")).alias("path")
     )
-    lines = skew_join(firsts.unionByName(below), at, ["node"], ["path"])
+    lines = dimension_join(firsts.unionByName(below), at, ["node"], "inner")
     return lines.select(
         "path", "node", (F.size("path") - 1).alias("depth"), (F.col("path") == F.col("_home")).alias("expanded")
     )

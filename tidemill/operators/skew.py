@@ -2,28 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_KEYS = 100
-SALTS = 32
+LEAST_SALTS = 32
 SMALL_ROWS = 100_000
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], at_most: int = HOT_KEYS) -> DataFrame:
-    """The ``at_most`` keys with the most rows.
+def hot_keys(df: DataFrame, keys: Sequence[str], at_most: int = HOT_KEYS) -> list[int]:
+    """Hashes of the ``at_most`` keys with the most rows.
 
     A key owning more than 1/``at_most`` of the rows is certainly among them.  One
-    pass over the key columns with map-side counting.  The list is read once and
-    kept as literal rows, so both sides of a join see the very same keys even when
-    a task is run again.
+    pass over the key columns with map-side counting; ``at_most`` numbers reach the
+    driver, whatever the data's size.
     """
-    load = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_load"))
-    top = load.orderBy(F.col("_load").desc(), *keys).limit(at_most).select(*keys, F.lit(True).alias("_hot"))
-    return df.sparkSession.createDataFrame(top.collect(), top.schema)
+    load = df.groupBy(F.xxhash64(*keys).alias("_key")).agg(F.count(F.lit(1)).alias("_load"))
+    return [r._key for r in load.orderBy(F.col("_load").desc(), "_key").limit(at_most).collect()]
 
 
 def skew_join(
@@ -32,28 +30,39 @@ def skew_join(
     keys: Sequence[str],
     salt_on: Sequence[str] | None = None,
     how: str = "inner",
-    salts: int = SALTS,
-    hot: DataFrame | None = None,
+    salts: int | None = None,
+    hot: list[int] | None = None,
 ) -> DataFrame:
     """``facts`` joined to ``keyed`` on ``keys`` (inner, left, left_semi, left_anti).
 
     Rows of hot keys, and rows whose key is NULL, are spread over ``salts`` sub-keys
-    by a hash of ``salt_on`` (all columns by default); only the hot rows of ``keyed``
-    are repeated.  Nothing is dropped, and the cold bulk is joined as usual.  Any set
-    of ``hot`` keys gives the same result; a loop passes its own to find it once.
+    by a hash of ``salt_on`` (all columns by default).  There are as many salts as
+    shuffle partitions, so a hot key can fill the cluster; only the at most hundred
+    hot rows of ``keyed`` are repeated for it.  Nothing is dropped, and the cold bulk is joined as usual.
+
+    Both sides decide by the same hash and the same literal list, so any list gives
+    the same result, a retried task included; a loop finds it once and passes it as
+    ``hot``.  Keys must not be floating point, where equal values may hash apart.
     """
     hot = hot_keys(facts, keys) if hot is None else hot
+    if salts is None:
+        salts = max(LEAST_SALTS, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    alike = [F.col(k).cast(facts.schema[k].dataType).alias(k) for k in keys]
+    keyed = keyed.select(*alike, *[c for c in keyed.columns if c not in keys])
+    is_hot = F.xxhash64(*keys).isin(hot)
     absent = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     zero = F.lit(0).cast("long")
-    spread = F.when(F.col("_hot") | absent, F.pmod(F.xxhash64(*(salt_on or facts.columns)), F.lit(salts)))
-    left = facts.join(F.broadcast(hot), list(keys), "left")
-    left = left.withColumn("_salt", F.coalesce(spread, zero)).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(zero, F.lit(salts - 1).cast("long"))).otherwise(F.array(zero))
-    right = keyed.join(F.broadcast(hot), list(keys), "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    joined = left.join(right, [*keys, "_salt"], how).drop("_salt")
+    spread = F.pmod(F.xxhash64(*(salt_on or facts.columns)), F.lit(salts))
+    copies = F.sequence(zero, F.lit(salts - 1).cast("long"))
+    left = facts.withColumn("_salt", F.when(is_hot | absent, spread).otherwise(zero))
+    right = keyed.withColumn("_salt", F.explode(F.when(is_hot, copies).otherwise(F.array(zero))))
+    return left.join(right, [*keys, "_salt"], how).select(*_output(facts, keyed, keys, how))
+
+
+def _output(facts: DataFrame, keyed: DataFrame, keys: Sequence[str], how: str) -> list[str]:
     if how in ("left_semi", "left_anti"):
-        return joined.select(*facts.columns)
-    return joined.select(*facts.columns, *[c for c in keyed.columns if c not in keys])
+        return facts.columns
+    return [*facts.columns, *[c for c in keyed.columns if c not in keys]]
 
 
 def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame | None:
@@ -65,7 +74,12 @@ def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame | None:
 
 
 def dimension_join(
-    facts: DataFrame, dimension: DataFrame, keys: Sequence[str], how: str = "left", max_rows: int = SMALL_ROWS
+    facts: DataFrame,
+    dimension: DataFrame,
+    keys: Sequence[str],
+    how: str = "left",
+    max_rows: int = SMALL_ROWS,
+    hot: Callable[[], list[int]] | None = None,
 ) -> DataFrame:
     """A keyed dimension joined by broadcast where it is counted to be small, else by ``skew_join``.
 
@@ -73,6 +87,6 @@ def dimension_join(
     """
     side = small_side(dimension, max_rows)
     if side is None and not facts.isStreaming:
-        return skew_join(facts, dimension, keys, how=how)
-    return facts.join(dimension if side is None else side, list(keys), how)
-
+        return skew_join(facts, dimension, keys, how=how, hot=hot() if hot else None)
+    joined = facts.join(dimension if side is None else side, list(keys), how)
+    return joined.select(*_output(facts, dimension, keys, how))

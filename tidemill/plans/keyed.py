@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.time import time_slice
 from tidemill.operators import keyed
+from tidemill.operators.ordering import slice_seconds
 from tidemill.plans.registry import Tables, query
 from tidemill.session import scratch_path
 from tidemill.sources.sinks import print_rows
@@ -38,7 +39,8 @@ def _events(t: Tables) -> DataFrame:
 
 
 def _log(t: Tables) -> DataFrame:
-    return keyed.to_changelog(_changes(t), KEYS, ORDER, ["v"], F.col("gone"), time_slice(F.col("ts"), 86_400))
+    width = slice_seconds(t.events, "ts")
+    return keyed.to_changelog(_changes(t), KEYS, ORDER, ["v"], F.col("gone"), time_slice(F.col("ts"), width))
 
 
 @query("latest_per_key", f"SELECT user_id, event_id, event_type, value FROM ({_LATEST})")

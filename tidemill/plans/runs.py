@@ -110,32 +110,34 @@ def roots(t: Tables) -> DataFrame:
 @query(
     "closure",
     "WITH RECURSIVE " + _EDGES + """
-    , down AS (SELECT 'n3' AS node, 0 AS distance UNION SELECT child, distance + 1 FROM down JOIN edges ON parent = node)
+    , down AS (SELECT 'r' || r_regionkey AS node, 0 AS distance FROM region
+               UNION SELECT child, distance + 1 FROM down JOIN edges ON parent = node)
     SELECT node, min(distance) AS distance FROM down GROUP BY 1
     """,
 )
 def downstream(t: Tables) -> DataFrame:
-    seeds = t.nation.filter(F.col("n_nationkey") == 3).select(F.lit("n3").alias("node"))
-    return runs.closure(_edges(t), seeds)
+    return runs.closure(_edges(t), t.region.select(F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("node")))
 
 
 @query(
     "closure_upstream",
     "WITH RECURSIVE " + _EDGES + """
-    , up AS (SELECT 'p42' AS node, 0 AS distance UNION SELECT parent, distance + 1 FROM up JOIN edges ON child = node)
+    , up AS (SELECT 'p' || p_partkey AS node, 0 AS distance FROM part
+             UNION SELECT parent, distance + 1 FROM up JOIN edges ON child = node)
     SELECT node, min(distance) AS distance FROM up GROUP BY 1
     """,
 )
 def upstream(t: Tables) -> DataFrame:
-    seeds = t.part.filter(F.col("p_partkey") == 42).select(F.lit("p42").alias("node"))
+    seeds = t.part.select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("node"))
     return runs.closure(_edges(t), seeds, "upstream")
 
 
 @query(
     "closure_clear",
     "WITH RECURSIVE " + _EDGES + """
-    , down AS (SELECT 's7' AS node UNION SELECT child FROM down JOIN edges ON parent = node),
-    up AS (SELECT 's7' AS node UNION SELECT parent FROM up JOIN edges ON child = node),
+    , seeds AS (SELECT 's' || s_suppkey AS node FROM supplier WHERE s_acctbal < 0),
+    down AS (SELECT node FROM seeds UNION SELECT child FROM down JOIN edges ON parent = node),
+    up AS (SELECT node FROM seeds UNION SELECT parent FROM up JOIN edges ON child = node),
     i AS (SELECT l_orderkey, l_linenumber, 'p' || l_partkey AS task_id, l_returnflag, l_shipdate FROM lineitem)
     SELECT DISTINCT l_orderkey, l_linenumber, task_id FROM i
     WHERE l_returnflag IN ('R', 'A') AND l_shipdate >= TIMESTAMP '1996-01-01' AND l_shipdate <= TIMESTAMP '1996-12-31'
@@ -143,11 +145,14 @@ def upstream(t: Tables) -> DataFrame:
     """,
 )
 def cleared(t: Tables) -> DataFrame:
+    """Shipments as task instances; the tasks around suppliers in debt are cleared."""
     instances = t.lineitem.select(
         "l_orderkey", "l_linenumber", F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("task_id"),
         F.col("l_returnflag").alias("state"), F.col("l_shipdate").alias("logical_date"),
     )
-    seeds = t.supplier.filter(F.col("s_suppkey") == 7).select(F.lit("s7").alias("node"))
+    seeds = t.supplier.filter(F.col("s_acctbal") < 0).select(
+        F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("node")
+    )
     chosen = runs.clear_selection(
         instances, _edges(t), seeds, upstream=True, downstream=True, states=["R", "A"],
         start=datetime(1996, 1, 1), end=datetime(1996, 12, 31),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.time import time_slice
 from tidemill.operators import series
+from tidemill.operators.ordering import slice_seconds
 from tidemill.plans.registry import Tables, money, query, shown
 
 AT = datetime(2024, 1, 20, 12)
@@ -55,12 +56,12 @@ def catalog(t: Tables) -> DataFrame:
 @query(
     "label_match",
     """
-    SELECT event_id FROM events WHERE regexp_full_match(event_type, 'p.*|c.*k') AND user_id = 7
+    SELECT event_id FROM events WHERE regexp_full_match(event_type, 'p.*|c.*k') AND CAST(ts AS DATE) = DATE '2024-01-15'
     """,
 )
 def matched(t: Tables) -> DataFrame:
-    labels = {"event_type": ("=~", "$kind"), "user": ("=", "7"), "event_id": ("=~", "$any")}
-    rows = t.events.withColumn("user", F.col("user_id").cast("string"))
+    labels = {"event_type": ("=~", "$kind"), "day": ("=", "2024-01-15"), "event_id": ("=~", "$any")}
+    rows = t.events.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
     return series.label_match(rows, labels, {"kind": "p.*|c.*k"}).select("event_id")
 
 
@@ -114,7 +115,8 @@ def greatest(t: Tables) -> DataFrame:
 )
 def rate(t: Tables) -> DataFrame:
     samples = t.events.select("event_id", "event_type", "ts", money("value").alias("value"))
-    rows = series.counter_rate(samples, ["event_type"], 6 * 3600)
+    width = slice_seconds(samples, "ts", least=6 * 3600)
+    rows = series.counter_rate(samples, ["event_type"], 6 * 3600, slice_seconds=width)
     return rows.select("event_id", F.round("rate", 6).alias("rate"))
 
 
@@ -139,9 +141,8 @@ def last_value(t: Tables) -> DataFrame:
 )
 def changes(t: Tables) -> DataFrame:
     history = t.events.select("event_id", "user_id", "ts", "event_type")
-    rows = series.state_changes(
-        history, ["user_id"], ["ts", "event_id"], "event_type", time_slice(F.col("ts"), 86_400)
-    )
+    cut = time_slice(F.col("ts"), slice_seconds(history, "ts"))
+    rows = series.state_changes(history, ["user_id"], ["ts", "event_id"], "event_type", cut)
     return rows.select("event_id", "user_id", "event_type", "previous_state")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.time import time_slice
-from tidemill.operators.ordering import as_of_join
+from tidemill.operators.ordering import as_of_join, slice_seconds
 from tidemill.operators.skew import skew_join
 from tidemill.plans.keyed import _CHANGELOG, _LATEST
 from tidemill.plans.registry import Tables, money, query, shown
@@ -266,7 +266,8 @@ def temporal(t: Tables) -> DataFrame:
     bought = t.events.filter(F.col("event_type") == "purchase").select(
         "user_id", "event_id", F.col("ts").cast("timestamp").alias("ts")
     )
-    rows = as_of_join(bought, _views(t), KEYS, "ts", "view_ts", lambda c: time_slice(c, 86_400), ["view_id"])
+    width = slice_seconds(t.events, "ts")
+    rows = as_of_join(bought, _views(t), KEYS, "ts", "view_ts", lambda c: time_slice(c, width), ["view_id"])
     return rows.select(F.col("event_id").alias("purchase_id"), F.col("version.view_id").alias("view_id"))
 
 
