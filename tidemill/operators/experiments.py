@@ -180,7 +180,7 @@ def arm_moments(units: DataFrame, value: str, by: Sequence[str] = (), group: str
     """n, mean and sample variance per arm: all a mean comparison needs."""
     y = F.col(value).cast("double")
     return units.groupBy(*by, group).agg(
-        F.count(y).alias("n"), F.avg(y).alias("mean"), F.var_samp(y).alias("variance")
+        F.count(y).alias("n"), exact_mean(value).alias("mean"), F.var_samp(y).alias("variance")
     )
 
 
@@ -240,9 +240,9 @@ def ratio_pulse(
     x, y = F.col(numerator).cast("double"), F.col(denominator).cast("double")
     arms = units.groupBy(*by, group).agg(
         F.count(F.lit(1)).alias("n"),
-        (F.avg(x) / F.nullif(F.avg(y), F.lit(0.0))).alias("mean"),
+        (exact_mean(numerator) / F.nullif(exact_mean(denominator), F.lit(0.0))).alias("mean"),
         F.var_samp(x).alias("_vx"), F.var_samp(y).alias("_vy"),
-        F.covar_samp(x, y).alias("_cxy"), F.avg(y).alias("_my"),
+        F.covar_samp(x, y).alias("_cxy"), exact_mean(denominator).alias("_my"),
     )
     spread = F.col("_vx") - 2 * F.col("mean") * F.col("_cxy") + F.col("mean") * F.col("mean") * F.col("_vy")
     moments = arms.select(*by, group, "n", "mean", (spread / (F.col("_my") * F.col("_my"))).alias("variance"))
@@ -298,12 +298,11 @@ def topline_impact(
 ) -> DataFrame:
     """Per day: (mean_t - mean_c) * n_t, and its share of the day's total."""
     per_unit = joined.groupBy(F.to_date(time).alias("ds"), unit, group).agg(F.sum(value).alias("_value"))
-    v = F.col("_value").cast("double")
     days = per_unit.groupBy("ds").agg(
         F.sum("_value").cast("double").alias("total"),
         F.count(F.when(F.col(group) == test, 1)).alias("test_units"),
-        F.avg(F.when(F.col(group) == test, v)).alias("_mt"),
-        F.avg(F.when(F.col(group) == control, v)).alias("_mc"),
+        exact_mean(F.when(F.col(group) == test, F.col("_value"))).alias("_mt"),
+        exact_mean(F.when(F.col(group) == control, F.col("_value"))).alias("_mc"),
     )
     impact = (F.col("_mt") - F.col("_mc")) * F.col("test_units")
     return days.select(

@@ -35,7 +35,7 @@ _UNITS = _FIRST + """,
         coalesce(sum(CASE WHEN e.ts >= first_ts THEN 1 ELSE 0 END), 0) AS n_events,
         coalesce(sum(CASE WHEN e.ts < first_ts THEN CAST(value AS DECIMAL(18,2)) END), 0) AS x
       FROM first f LEFT JOIN events e ON e.user_id = f.unit GROUP BY 1, 2),
-    units AS (SELECT unit, grp, CAST(y AS DOUBLE) AS y, CAST(n_events AS DOUBLE) AS n_events, CAST(x AS DOUBLE) AS x FROM totals)
+    units AS (SELECT unit, grp, y, CAST(n_events AS BIGINT) AS n_events, x FROM totals)
 """
 _POST = _FIRST + """,
     post AS (SELECT f.unit, f.grp, e.event_id, e.event_type, e.ts, CAST(e.ts AS DATE) AS ds, CAST(e.value AS DECIMAL(18,2)) AS value
@@ -66,18 +66,23 @@ def _comparison(by: str = "") -> str:
     """
 
 
-_SHOWN = f"""
-    cn AS control_n, round(cm, 4) AS control_mean, tn AS test_n, round(tm, 4) AS test_mean,
-    round(diff, 4) AS difference, round(diff / nullif(cm, 0), 4) AS lift, round(se, 4) AS std_error,
+def _shown(exact: bool = True) -> str:
+    """The result columns.  Sums of decimals are exact, and so are means, differences and lifts made of
+    them; whatever holds a variance is rounded."""
+    four = (lambda e: e) if exact else (lambda e: f"round({e}, 4)")
+    return f"""
+    cn AS control_n, {four('cm')} AS control_mean, tn AS test_n, {four('tm')} AS test_mean,
+    {four('diff')} AS difference, {four('diff / nullif(cm, 0)')} AS lift, round(se, 4) AS std_error,
     round(diff - 1.959963984540054 * se, 4) AS ci_low, round(diff + 1.959963984540054 * se, 4) AS ci_high,
     CASE WHEN se > 0 THEN round({_tail('(diff / se)')}, 5) END AS p_value
-"""
+    """
 
 
-def _rounded(df: DataFrame, *by: str, extra: tuple[str, ...] = ()) -> DataFrame:
-    four = ["control_mean", "test_mean", "difference", "lift", "std_error", "ci_low", "ci_high"]
+def _rounded(df: DataFrame, *by: str, extra: tuple[str, ...] = (), exact: bool = True) -> DataFrame:
+    means = ["control_mean", "test_mean", "difference", "lift"]
     return df.select(
-        *by, "control_n", "test_n", *[F.round(c, 4).alias(c) for c in four],
+        *by, "control_n", "test_n", *[F.col(c) if exact else F.round(c, 4).alias(c) for c in means],
+        *[F.round(c, 4).alias(c) for c in ("std_error", "ci_low", "ci_high")],
         F.round("p_value", 5).alias("p_value"), *[F.round(c, 6).alias(c) for c in extra],
     )
 
@@ -262,21 +267,21 @@ def dimensional(t: Tables) -> DataFrame:
     _FIRST + f"""
     , c AS (SELECT count(*) AS n, count(*) FILTER (WHERE grp = 'control') AS a, count(*) FILTER (WHERE grp = 'test') AS b FROM first),
     s AS (SELECT n, (a - n * 0.5) * (a - n * 0.5) / (n * 0.5) + (b - n * 0.5) * (b - n * 0.5) / (n * 0.5) AS chi FROM c)
-    SELECT n AS units, 1 AS df, round(chi, 6) AS chi_square, round({_tail('sqrt(chi)')}, 5) AS p_value FROM s
+    SELECT n AS units, 1 AS df, chi AS chi_square, round({_tail('sqrt(chi)')}, 5) AS p_value FROM s
     """,
 )
 def mismatch(t: Tables) -> DataFrame:
     rows = x.sample_ratio_mismatch(_first(t), {"control": 0.5, "test": 0.5})
     return rows.select(
-        "units", "df", F.round("chi_square", 6).alias("chi_square"), F.round("p_value", 5).alias("p_value")
+        "units", "df", "chi_square", F.round("p_value", 5).alias("p_value")
     )
 
 
 @query(
     "pulse",
     _UNITS + """
-    , m AS (SELECT grp, count(*) AS n, avg(y) AS mean, var_samp(y) AS variance FROM units GROUP BY 1)
-    """ + _comparison() + f"SELECT {_SHOWN} FROM d",
+    , m AS (SELECT grp, count(*) AS n, CAST(sum(y) AS DOUBLE) / count(*) AS mean, var_samp(y) AS variance FROM units GROUP BY 1)
+    """ + _comparison() + f"SELECT {_shown()} FROM d",
 )
 def pulse(t: Tables) -> DataFrame:
     return _rounded(x.pulse(_units(t), "y", "control", "test"))
@@ -285,10 +290,11 @@ def pulse(t: Tables) -> DataFrame:
 @query(
     "ratio_pulse",
     _UNITS + """
-    , a AS (SELECT grp, count(*) AS n, avg(y) / nullif(avg(n_events), 0) AS mean, var_samp(y) AS vx,
-              var_samp(n_events) AS vy, covar_samp(y, n_events) AS cxy, avg(n_events) AS my FROM units GROUP BY 1),
+    , a AS (SELECT grp, count(*) AS n, (CAST(sum(y) AS DOUBLE) / count(*)) / nullif(CAST(sum(n_events) AS DOUBLE) / count(*), 0) AS mean,
+              var_samp(y) AS vx, var_samp(n_events) AS vy, covar_samp(y, n_events) AS cxy,
+              CAST(sum(n_events) AS DOUBLE) / count(*) AS my FROM units GROUP BY 1),
     m AS (SELECT grp, n, mean, (vx - 2 * mean * cxy + mean * mean * vy) / (my * my) AS variance FROM a)
-    """ + _comparison() + f"SELECT {_SHOWN} FROM d",
+    """ + _comparison() + f"SELECT {_shown()} FROM d",
 )
 def ratio_pulse(t: Tables) -> DataFrame:
     return _rounded(x.ratio_pulse(_units(t), "y", "n_events", "control", "test"))
@@ -300,18 +306,18 @@ def ratio_pulse(t: Tables) -> DataFrame:
     , p AS (SELECT covar_samp(y, x) / var_samp(x) AS theta, avg(x) AS centre FROM units),
     v AS (SELECT grp, y - theta * (x - centre) AS adjusted FROM units, p),
     m AS (SELECT grp, count(*) AS n, avg(adjusted) AS mean, var_samp(adjusted) AS variance FROM v GROUP BY 1)
-    """ + _comparison() + f"SELECT {_SHOWN}, (SELECT round(theta, 6) FROM p) AS theta FROM d",
+    """ + _comparison() + f"SELECT {_shown(False)}, (SELECT round(theta, 6) FROM p) AS theta FROM d",
 )
 def adjusted(t: Tables) -> DataFrame:
-    return _rounded(x.cuped(_units(t), "y", "x", "control", "test"), extra=("theta",))
+    return _rounded(x.cuped(_units(t), "y", "x", "control", "test"), extra=("theta",), exact=False)
 
 
 @query(
     "daily_pulse",
     _POST + """
-    , per AS (SELECT ds, unit, grp, CAST(sum(value) AS DOUBLE) AS y FROM post GROUP BY 1, 2, 3),
-    m AS (SELECT ds, grp, count(*) AS n, avg(y) AS mean, var_samp(y) AS variance FROM per GROUP BY 1, 2)
-    """ + _comparison("ds") + f"SELECT strftime(ds, '%Y-%m-%d') AS ds, {_SHOWN} FROM d",
+    , per AS (SELECT ds, unit, grp, sum(value) AS y FROM post GROUP BY 1, 2, 3),
+    m AS (SELECT ds, grp, count(*) AS n, CAST(sum(y) AS DOUBLE) / count(*) AS mean, var_samp(y) AS variance FROM per GROUP BY 1, 2)
+    """ + _comparison("ds") + f"SELECT strftime(ds, '%Y-%m-%d') AS ds, {_shown()} FROM d",
 )
 def by_day(t: Tables) -> DataFrame:
     rows = x.daily_pulse(_post(t), _first(t), F.col("value"), "control", "test")
@@ -321,20 +327,17 @@ def by_day(t: Tables) -> DataFrame:
 @query(
     "topline_impact",
     _POST + """
-    , per AS (SELECT ds, unit, grp, CAST(sum(value) AS DOUBLE) AS y FROM post GROUP BY 1, 2, 3),
-    s AS (SELECT ds, count(*) FILTER (WHERE grp = 'test') AS test_units, sum(y) AS total,
-                 (avg(y) FILTER (WHERE grp = 'test') - avg(y) FILTER (WHERE grp = 'control'))
+    , per AS (SELECT ds, unit, grp, sum(value) AS y FROM post GROUP BY 1, 2, 3),
+    s AS (SELECT ds, count(*) FILTER (WHERE grp = 'test') AS test_units, CAST(sum(y) AS DOUBLE) AS total,
+                 (CAST(sum(y) FILTER (WHERE grp = 'test') AS DOUBLE) / count(*) FILTER (WHERE grp = 'test')
+                  - CAST(sum(y) FILTER (WHERE grp = 'control') AS DOUBLE) / count(*) FILTER (WHERE grp = 'control'))
                  * count(*) FILTER (WHERE grp = 'test') AS impact FROM per GROUP BY 1)
-    SELECT strftime(ds, '%Y-%m-%d') AS ds, test_units, round(total, 2) AS total, round(impact, 4) AS impact,
-           round(impact / nullif(total, 0), 5) AS impact_share FROM s
+    SELECT strftime(ds, '%Y-%m-%d') AS ds, test_units, total, impact, impact / nullif(total, 0) AS impact_share FROM s
     """,
 )
 def topline(t: Tables) -> DataFrame:
     rows = x.topline_impact(_post(t), F.col("value"), "control", "test")
-    return rows.select(
-        F.col("ds").cast("string").alias("ds"), "test_units", F.round("total", 2).alias("total"),
-        F.round("impact", 4).alias("impact"), F.round("impact_share", 5).alias("impact_share"),
-    )
+    return rows.withColumn("ds", F.col("ds").cast("string"))
 
 
 @query(

@@ -46,7 +46,7 @@ def from_parquet(t: Tables) -> DataFrame:
 
 @query(
     "file_inventory",
-    "SELECT DISTINCT 'event_type=' || event_type AS folder, 1 AS files, true AS filled FROM events",
+    "SELECT DISTINCT 'event_type=' || event_type AS folder, CAST(1 AS BIGINT) AS files, true AS filled FROM events",
 )
 def written_files(t: Tables) -> DataFrame:
     """One file per event type, listed without reading it."""
@@ -62,7 +62,7 @@ def written_files(t: Tables) -> DataFrame:
     "datagen",
     """
     SELECT count(*) AS row_count, count(DISTINCT event_id) AS ids, min(event_id) AS least, max(event_id) AS greatest,
-           8 AS text_length, 1 AS sources FROM events
+           8 AS text_length, CAST(1 AS BIGINT) AS sources FROM events
     """,
 )
 def generated(t: Tables) -> DataFrame:
@@ -135,7 +135,7 @@ def refreshed(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "refresh")
     report = sinks.full_refresh(t.orders.filter(F.col("o_orderstatus") == "O"), path)
     stored = t.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("stored"))
-    return stored.select(F.lit(report["status"]).alias("status"), F.lit(report["rows_ingested"]).alias("rows_ingested"), "stored")
+    return stored.select(F.lit(report["status"]).alias("status"), F.lit(report["rows_ingested"]).cast("long").alias("rows_ingested"), "stored")
 
 
 @query(

@@ -14,7 +14,7 @@ def _types(t: Tables, keep: F.Column) -> DataFrame:
     return t.events.filter(keep).select("event_type", "user_id")
 
 
-@query("curate_columns", "SELECT s_name, NULL AS nickname, s_suppkey FROM supplier")
+@query("curate_columns", "SELECT s_name, CAST(NULL AS VARCHAR) AS nickname, s_suppkey FROM supplier")
 def curated(t: Tables) -> DataFrame:
     return rows.curate_columns(t.supplier, ["s_name", "nickname", "s_suppkey"])
 
@@ -223,7 +223,7 @@ _COLUMNS = {"o_orderkey": "o_orderkey", "status": "nullif(o_orderstatus, 'P')",
     " UNION ALL ".join(
         f"""SELECT '{name}' AS "column", count(*) AS rows, count(*) - count({e}) AS nulls, count(DISTINCT {e}) AS distinct_values,
             CAST(min({e}) AS VARCHAR) AS min_value, CAST(max({e}) AS VARCHAR) AS max_value,
-            sum(length(CAST({e} AS VARCHAR))) / count({e}) AS avg_length, max(length(CAST({e} AS VARCHAR))) AS max_length FROM orders"""
+            sum(length(CAST({e} AS VARCHAR))) / count({e}) AS avg_length, CAST(max(length(CAST({e} AS VARCHAR))) AS INTEGER) AS max_length FROM orders"""
         for name, e in _COLUMNS.items()
     ),
 )
@@ -235,7 +235,7 @@ def described(t: Tables) -> DataFrame:
 @query(
     "column_statistics_one_pass",
     """
-    SELECT 'o_orderstatus' AS "column", count(*) AS rows, 0 AS nulls, min(o_orderstatus) AS min_value, max(o_orderstatus) AS max_value FROM orders
+    SELECT 'o_orderstatus' AS "column", count(*) AS rows, CAST(0 AS BIGINT) AS nulls, min(o_orderstatus) AS min_value, max(o_orderstatus) AS max_value FROM orders
     UNION ALL SELECT 'o_custkey', count(*), 0, CAST(min(o_custkey) AS VARCHAR), CAST(max(o_custkey) AS VARCHAR) FROM orders
     """,
 )
@@ -379,7 +379,7 @@ def expected_fields(t: Tables) -> DataFrame:
     "budget_check",
     """
     WITH m AS (SELECT user_id, count(*) AS calls, count(*) FILTER (WHERE event_type = 'error') AS failures FROM events GROUP BY 1)
-    SELECT user_id, 'calls' AS measure, calls AS value, 66 AS "limit" FROM m WHERE calls > 66
+    SELECT user_id, 'calls' AS measure, calls AS value, CAST(66 AS BIGINT) AS "limit" FROM m WHERE calls > 66
     UNION ALL SELECT user_id, 'failures', failures, 13 FROM m WHERE failures > 13
     """,
 )

@@ -138,7 +138,7 @@ def diagnosis(t: Tables) -> DataFrame:
 @query(
     "session_budget",
     _DIAGNOSIS + """
-    SELECT conv_id, 'tool_calls' AS measure, tool_calls AS value, 4 AS "limit" FROM d WHERE tool_calls > 4
+    SELECT conv_id, 'tool_calls' AS measure, tool_calls AS value, CAST(4 AS BIGINT) AS "limit" FROM d WHERE tool_calls > 4
     UNION ALL SELECT conv_id, 'effective_tokens', effective_tokens, 700 FROM d WHERE effective_tokens > 700
     UNION ALL SELECT conv_id, 'unexpected_failures', unexpected_failures, 0 FROM d WHERE unexpected_failures > 0
     """,

@@ -126,7 +126,7 @@ def upserts(t: Tables) -> DataFrame:
     return state.select("user_id", "event_id", "event_type")
 
 
-@query("compact_keyed_table", f"SELECT 1 AS snapshots, count(*) AS rows, count(DISTINCT user_id) AS keys FROM ({_LATEST})")
+@query("compact_keyed_table", f"SELECT CAST(1 AS BIGINT) AS snapshots, count(*) AS rows, count(DISTINCT user_id) AS keys FROM ({_LATEST})")
 def compacted(t: Tables) -> DataFrame:
     table, folded = scratch_path(t.spark, "table"), scratch_path(t.spark, "folded")
     stream = runs.replay(t.spark, _split(t, 3), t.events.schema, max_files=1)
