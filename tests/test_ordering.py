@@ -7,6 +7,7 @@ from conftest import as_set
 from pyspark.sql import functions as F
 
 from tidemill.operators import keyed, ordering, series, skew
+from tidemill.streaming import windows
 
 
 @pytest.fixture(scope="module")
@@ -44,11 +45,29 @@ def test_previous_across_slices(spark, frame, rows, partitions, width):
     assert got == want
 
 
-def test_slices_follow_the_rate(spark):
-    steady = spark.range(1000).select(F.timestamp_seconds(F.col("id") * 10).alias("ts"))
-    assert 990 <= ordering.slice_seconds(steady, "ts", rows_per_slice=100) <= 1000
-    assert ordering.slice_seconds(steady, "ts", rows_per_slice=100, least=3600) == 3600
-    assert ordering.slice_seconds(steady.filter("false"), "ts") == 1
+def test_only_heavy_keys_are_cut(spark, frame, rows):
+    timed = frame.withColumn("ts", F.timestamp_seconds("t"))
+    heavy = ordering.heavy_keys(timed, ["k"], "ts", rows=25)
+    names = {r.k for r in timed.filter(heavy.covers(["k"])).collect()}
+    assert names == {"hot", None} and 1 < heavy.seconds < 1000
+    assert len(ordering.heavy_keys(timed, ["k"], "ts", rows=25, at_most=1).hashes) == 1
+    assert ordering.heavy_keys(timed, ["k"], "ts") == ordering.HeavyKeys((), 1)
+    assert ordering.heavy_keys(timed, ["k"], "ts", rows=25, least=9999).seconds == 9999
+    got = as_set(
+        ordering.with_previous(timed, ["k"], ["t", "id"], ["s"], heavy.slice(["k"], F.col("ts"))).select("id", "previous.s")
+    )
+    assert got == {(b[2], a[3] if a else None) for g in by_key(rows).values() for a, b in zip([None, *g], g)}
+
+
+@pytest.mark.parametrize("gap", [5, 40, 400])
+def test_sessions_of_heavy_keys(spark, frame, gap):
+    timed = frame.withColumn("ts", F.timestamp_seconds(F.col("t") - F.col("t") % 5))
+    metrics = {"n": F.count(F.lit(1)), "ids": F.sum("id")}
+    plain = windows.session_windows(timed.filter("k IS NOT NULL"), "ts", gap, metrics, ["k"])
+    heavy = ordering.heavy_keys(timed, ["k"], "ts", rows=15)
+    assert len(heavy.hashes) >= 2
+    cut = windows.session_windows(timed.filter("k IS NOT NULL"), "ts", gap, metrics, ["k"], heavy=heavy)
+    assert as_set(cut) == as_set(plain)
 
 
 def test_number_rows_is_dense(frame, rows):
@@ -88,7 +107,12 @@ def test_as_of(spark, frame, rows, width):
         known = [(vt, n) for k, vt, n in versions if k == row[0] and vt <= row[1]]
         return max(known)[1] if known else None
 
-    assert got == {(r[2], match(r)) for r in rows}
+    want = {(r[2], match(r)) for r in rows}
+    assert got == want
+    timed = frame.withColumn("ts", F.timestamp_seconds("t"))
+    heavy = ordering.heavy_keys(timed, ["k"], "ts", rows=25)
+    cut = ordering.as_of_join(frame, right, ["k"], "t", "vt", lambda c: heavy.slice(["k"], F.timestamp_seconds(c)), ["n"])
+    assert as_set(cut.select("id", "version.n")) == want
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -135,14 +159,15 @@ def brute_rate(samples, window):
     return want
 
 
-@pytest.mark.parametrize("slice_seconds", [600, 5000])
+@pytest.mark.parametrize("slice_seconds", [0, 600, 5000])
 def test_counter_rate(spark, slice_seconds):
     rng = random.Random(5)
     keys = ["hot"] * 150 + ["a", "b"] * 20
     times = rng.sample(range(20_000), len(keys))
     samples = [(k, t, i, rng.randrange(50)) for i, (k, t) in enumerate(zip(keys, times))]
     df = spark.createDataFrame(samples, "k string, sec int, id int, value int").withColumn("ts", F.timestamp_seconds("sec"))
-    got = {r.id: r.rate for r in series.counter_rate(df, ["k"], 600, slice_seconds=slice_seconds).collect()}
+    heavy = ordering.heavy_keys(df, ["k"], "ts", rows=100, least=slice_seconds) if slice_seconds else None
+    got = {r.id: r.rate for r in series.counter_rate(df, ["k"], 600, heavy=heavy).collect()}
     want = brute_rate(samples, 600)
     assert got.keys() == want.keys()
     for i, rate in want.items():

@@ -72,7 +72,7 @@ def test_top_n_ranks_within_salts_first(spark):
     assert tree.count("Window (") + tree.count("Window\n") >= 2 and "WindowGroupLimit" in tree
 
 
-def test_hot_series_are_cut_into_slices(spark):
+def test_cut_keys_shuffle_by_slice(spark):
     for name in ("state_changes", "to_changelog", "counter_rate", "temporal_join"):
         text = plan(spark, name)
         keyed = [line for line in text.splitlines() if "hashpartitioning" in line]

@@ -1,13 +1,14 @@
 """Order-dependent building blocks that hold when one key owns most rows.
 
 A window over ``partitionBy(key)`` puts a whole key into one task.  The functions
-here never do that on raw rows: they cut a key into slices of its order column,
-work inside slices, and carry one summary row per slice across the cuts.
+here cut a heavy key into slices of its order column, work inside slices, and carry
+one summary row per slice across the cuts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,18 +20,38 @@ def order_struct(order: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in order])
 
 
-def slice_seconds(df: DataFrame, time: str, rows_per_slice: int = 2_000_000, least: int = 1) -> int:
-    """A slice width for which a slice holds about ``rows_per_slice`` rows of all keys together.
+@dataclass(frozen=True)
+class HeavyKeys:
+    """Keys too large for one task, by hash, and the width of the time slices they are cut into."""
 
-    Then no key, however hot, brings more than that into one task.  It costs one
-    aggregate over the time column; a caller who knows the data's rate can give the
-    width instead, and bursts call for a smaller target.
+    hashes: tuple[int, ...]
+    seconds: int
+
+    def covers(self, keys: Sequence[str]) -> Column:
+        return F.xxhash64(*keys).isin(list(self.hashes))
+
+    def slice(self, keys: Sequence[str], moment: Column) -> Column:
+        """The slice number of a heavy key's row; NULL, meaning uncut, for all other keys."""
+        return F.when(self.covers(keys), F.floor(F.unix_seconds(moment.cast("timestamp")) / F.lit(self.seconds)))
+
+
+def heavy_keys(
+    df: DataFrame, keys: Sequence[str], time: str, rows: int = 2_000_000, at_most: int = 10_000, least: int = 1
+) -> HeavyKeys:
+    """Keys with more than ``rows`` rows, and a slice width that gives their slices about that many.
+
+    The densest of them sets the width; ``least`` is a lower bound for it.  Only the
+    ``at_most`` largest keys are listed, so what reaches the driver is bounded, and a
+    key left out owns at most 1/``at_most`` of the rows.  One pass over the key and
+    time columns, reduced in the map tasks.
     """
     moment = F.unix_seconds(F.col(time).cast("timestamp"))
-    seen = df.agg(F.count(moment).alias("n"), F.min(moment).alias("lo"), F.max(moment).alias("hi")).first()
-    if not seen.n:
-        return least
-    return max(least, (seen.hi - seen.lo + 1) * rows_per_slice // seen.n)
+    load = df.groupBy(F.xxhash64(*keys).alias("key")).agg(
+        F.count(moment).alias("n"), F.min(moment).alias("lo"), F.max(moment).alias("hi")
+    )
+    found = load.filter(F.col("n") > rows).orderBy(F.col("n").desc(), "key").limit(at_most).collect()
+    widths = [(r.hi - r.lo + 1) * rows // r.n for r in found]
+    return HeavyKeys(tuple(r.key for r in found), max([least, min(widths, default=least)]))
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -88,10 +109,11 @@ def with_previous(
     """Add ``name``: a struct of ``columns`` from the preceding row of the same key.
 
     NULL on a key's first row.  ``slice_by`` must not decrease along ``order`` (a
-    day or an hour of the time column); ``(keys, order)`` must be unique.  Rows
-    shuffle once by (keys, slice).  The last row of each slice travels into the
-    next one as an extra leading row: one per (key, slice), and the window that
-    passes them on spans a key's slices, whose number the time range sets.
+    day or an hour of the time column, see ``HeavyKeys.slice``) and is NULL for keys
+    that are not to be cut; ``(keys, order)`` must be unique.  Rows shuffle once by
+    (keys, slice).  The last row of each slice travels into the next one as an extra
+    leading row: one per cut key and slice, and the window that passes them on spans
+    a key's slices, whose number the time range sets.
     """
     image = F.struct(*[F.col(c) for c in columns])
     rows = df.select(
@@ -103,7 +125,8 @@ def with_previous(
         F.struct(*df.columns).alias("_row"),
     )
     order_key = [f"_o_{c}" for c in order]
-    tails = rows.groupBy(*keys, "_slice").agg(F.max_by("_image", order_struct(order_key)).alias("_tail"))
+    cut = rows.filter(F.col("_slice").isNotNull())
+    tails = cut.groupBy(*keys, "_slice").agg(F.max_by("_image", order_struct(order_key)).alias("_tail"))
     across = Window.partitionBy(*keys).orderBy("_slice")
     carried = (
         tails.withColumn("_image", F.lag("_tail").over(across))
@@ -133,8 +156,11 @@ def as_of_join(
 
     Facts without an earlier version keep a NULL.  No key-by-key pairing happens:
     facts and versions are merged in time order inside (key, slice), and the last
-    version of the earlier slices enters as one leading row.
+    version of the earlier slices enters as one leading row.  ``slice_of`` gives the
+    slice of a time on either side, NULL for keys that are not to be cut.
     """
+    alike = [F.col(k).cast(facts.schema[k].dataType).alias(k) for k in keys]
+    versions = versions.select(*alike, *[c for c in versions.columns if c not in keys])
     payload = F.struct(*versions.columns)
     none = F.lit(None)
     right = versions.select(
@@ -153,8 +179,9 @@ def as_of_join(
         F.struct(*facts.columns).alias("_fact"),
     )
     # one row per (key, slice) on either side, with the slice's last version if it has one
-    tails = right.groupBy(*keys, "_slice").agg(F.max_by("_version", "_tie").alias("_tail"))
-    visited = left.select(*keys, "_slice").distinct().withColumn("_tail", none.cast(tails.schema["_tail"].dataType))
+    cut = F.col("_slice").isNotNull()
+    tails = right.filter(cut).groupBy(*keys, "_slice").agg(F.max_by("_version", "_tie").alias("_tail"))
+    visited = left.filter(cut).select(*keys, "_slice").distinct().withColumn("_tail", none.cast(tails.schema["_tail"].dataType))
     summary = tails.unionByName(visited).groupBy(*keys, "_slice").agg(F.first("_tail", ignorenulls=True).alias("_tail"))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = (

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.time import time_literal
-from tidemill.operators.ordering import with_previous
+from tidemill.operators.ordering import HeavyKeys, with_previous
 
 # The value a dashboard's "all" selection and interval macro stand for.
 ALL_VALUE = ".+"
@@ -103,7 +103,7 @@ def counter_rate(
     window_seconds: int,
     time: str = "ts",
     value: str = "value",
-    slice_seconds: int | None = None,
+    heavy: HeavyKeys | None = None,
 ) -> DataFrame:
     """Per-second rate of a counter at each sample, over the window that ends there.
 
@@ -111,23 +111,26 @@ def counter_rate(
     counting as a reset to zero, over the time between its first and last sample.
     One sample gives NULL.  There is no extrapolation to the window's edges.
 
-    ``(series, time)`` is unique.  A series is cut into slices at least one window
-    wide, and each slice also gets the rows of the previous one that its windows
-    reach back to, so no series is confined to one task.  Inside a slice the work is
+    ``(series, time)`` is unique.  A ``heavy`` series is cut into slices at least one
+    window wide, and each slice also gets the rows of the previous one that its
+    windows reach back to, so the series is not confined to one task.  The work is
     linear however dense the samples are: increases are summed once from the slice's
     start, and a marker at the start of every window picks up the first sample at or
     after it in one backward sweep.
     """
-    width = slice_seconds or max(window_seconds, 86_400)
-    if width < window_seconds:
-        raise ValueError("a slice must be at least one window wide")
     stamp = F.unix_micros(F.col(time).cast("timestamp"))
-    span, reach = F.lit(width * 1_000_000), F.lit(window_seconds * 1_000_000)
+    reach = F.lit(window_seconds * 1_000_000)
     rows = samples.select(
         *series, stamp.alias("_at"), F.col(value).alias("_value"), F.struct(*samples.columns).alias("_row")
-    ).withColumn("_home", F.floor(F.col("_at") / span))
-    needed_next = F.col("_at") + reach >= (F.col("_home") + 1) * span
-    slices = F.when(needed_next, F.array(F.col("_home"), F.col("_home") + 1)).otherwise(F.array("_home"))
+    )
+    if heavy is not None and heavy.hashes:
+        span = F.lit(max(window_seconds, heavy.seconds) * 1_000_000)
+        rows = rows.withColumn("_home", F.when(heavy.covers(series), F.floor(F.col("_at") / span)))
+        needed_next = F.col("_at") + reach >= (F.col("_home") + 1) * span
+        slices = F.when(needed_next, F.array(F.col("_home"), F.col("_home") + 1)).otherwise(F.array("_home"))
+    else:
+        rows = rows.withColumn("_home", F.lit(None).cast("long"))
+        slices = F.array("_home")
     placed = rows.withColumn("_slice", F.explode(slices))
 
     forward = Window.partitionBy(*series, "_slice").orderBy("_at")
@@ -137,7 +140,7 @@ def counter_rate(
     summed = placed.withColumn("_rise", F.coalesce(rise, F.col("_value") - F.col("_value"))).withColumn(
         "_sum", F.sum("_rise").over(so_far)
     )
-    at_home = F.col("_slice") == F.col("_home")
+    at_home = F.col("_slice").eqNullSafe(F.col("_home"))
     point = F.struct(F.col("_at").alias("at"), F.col("_sum").alias("sum"))
     sample = F.struct(F.col("_at").alias("time"), point.alias("point"), F.lit(None).cast(samples.schema).alias("row"))
     marker = F.struct((F.col("_at") - reach).alias("time"), F.lit(None).cast("void").alias("point"), F.col("_row").alias("row"))

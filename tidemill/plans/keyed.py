@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.functions.time import time_slice
 from tidemill.operators import keyed
-from tidemill.operators.ordering import slice_seconds
+from tidemill.operators.ordering import heavy_keys
 from tidemill.plans.registry import Tables, query
 from tidemill.session import scratch_path
 from tidemill.sources.sinks import print_rows
@@ -39,8 +38,8 @@ def _events(t: Tables) -> DataFrame:
 
 
 def _log(t: Tables) -> DataFrame:
-    width = slice_seconds(t.events, "ts")
-    return keyed.to_changelog(_changes(t), KEYS, ORDER, ["v"], F.col("gone"), time_slice(F.col("ts"), width))
+    cut = heavy_keys(t.events, KEYS, "ts").slice(KEYS, F.col("ts"))
+    return keyed.to_changelog(_changes(t), KEYS, ORDER, ["v"], F.col("gone"), cut)
 
 
 @query("latest_per_key", f"SELECT user_id, event_id, event_type, value FROM ({_LATEST})")

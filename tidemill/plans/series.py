@@ -7,9 +7,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.functions.time import time_slice
 from tidemill.operators import series
-from tidemill.operators.ordering import slice_seconds
+from tidemill.operators.ordering import heavy_keys
 from tidemill.plans.registry import Tables, money, query, shown
 
 AT = datetime(2024, 1, 20, 12)
@@ -115,8 +114,8 @@ def greatest(t: Tables) -> DataFrame:
 )
 def rate(t: Tables) -> DataFrame:
     samples = t.events.select("event_id", "event_type", "ts", money("value").alias("value"))
-    width = slice_seconds(samples, "ts", least=6 * 3600)
-    rows = series.counter_rate(samples, ["event_type"], 6 * 3600, slice_seconds=width)
+    heavy = heavy_keys(samples, ["event_type"], "ts")
+    rows = series.counter_rate(samples, ["event_type"], 6 * 3600, heavy=heavy)
     return rows.select("event_id", F.round("rate", 6).alias("rate"))
 
 
@@ -141,7 +140,7 @@ def last_value(t: Tables) -> DataFrame:
 )
 def changes(t: Tables) -> DataFrame:
     history = t.events.select("event_id", "user_id", "ts", "event_type")
-    cut = time_slice(F.col("ts"), slice_seconds(history, "ts"))
+    cut = heavy_keys(history, ["user_id"], "ts").slice(["user_id"], F.col("ts"))
     rows = series.state_changes(history, ["user_id"], ["ts", "event_id"], "event_type", cut)
     return rows.select("event_id", "user_id", "event_type", "previous_state")
 

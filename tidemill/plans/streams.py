@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.time import time_slice
-from tidemill.operators.ordering import as_of_join, slice_seconds
+from tidemill.operators.ordering import as_of_join, heavy_keys
 from tidemill.operators.skew import skew_join
 from tidemill.plans.keyed import _CHANGELOG, _LATEST
 from tidemill.plans.registry import Tables, money, query, shown
@@ -84,12 +84,12 @@ def sliding(t: Tables) -> DataFrame:
 @query("session_windows_stream", _window_sql(_SESSIONS, True).replace("{key}", "user_id"))
 def session_stream(t: Tables) -> DataFrame:
     events = t.stream("events", event_time="ts")
-    return _windows(_run(t, windows.session_windows(events, "ts", "2 hours", _metrics(), KEYS, delay="10 minutes")), "user_id")
+    return _windows(_run(t, windows.session_windows(events, "ts", 7200, _metrics(), KEYS, delay="10 minutes")), "user_id")
 
 
 @query("session_windows", _window_sql(_SESSIONS, False).replace("{key}", "user_id"))
 def session(t: Tables) -> DataFrame:
-    return _windows(windows.session_windows(t.events, "ts", "2 hours", _metrics(), KEYS), "user_id")
+    return _windows(windows.session_windows(t.events, "ts", 7200, _metrics(), KEYS, heavy=heavy_keys(t.events, KEYS, "ts")), "user_id")
 
 
 @query("dedupe_by_id", "SELECT event_type, count(*) AS events FROM events GROUP BY 1")
@@ -266,8 +266,8 @@ def temporal(t: Tables) -> DataFrame:
     bought = t.events.filter(F.col("event_type") == "purchase").select(
         "user_id", "event_id", F.col("ts").cast("timestamp").alias("ts")
     )
-    width = slice_seconds(t.events, "ts")
-    rows = as_of_join(bought, _views(t), KEYS, "ts", "view_ts", lambda c: time_slice(c, width), ["view_id"])
+    heavy = heavy_keys(t.events, KEYS, "ts")
+    rows = as_of_join(bought, _views(t), KEYS, "ts", "view_ts", lambda c: heavy.slice(KEYS, c), ["view_id"])
     return rows.select(F.col("event_id").alias("purchase_id"), F.col("version.view_id").alias("view_id"))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.operators.ordering import as_of_join
+from tidemill.operators.ordering import HeavyKeys, as_of_join, with_previous
 from tidemill.operators.skew import dimension_join
 
 
@@ -35,18 +35,35 @@ def time_windows(
 
 
 def session_windows(
-    df: DataFrame, time: str, gap: str, metrics: Mapping[str, Column], by: Sequence[str], delay: str = "0 seconds"
+    df: DataFrame, time: str, gap_seconds: int, metrics: Mapping[str, Column], by: Sequence[str],
+    delay: str = "0 seconds", heavy: HeavyKeys | None = None,
 ) -> DataFrame:
-    """Runs of events of a key with pauses shorter than ``gap``.
+    """Runs of events of a key with pauses shorter than the gap; a session ends a gap after its last event.
 
-    Sessions of a key are first merged in the map tasks
-    (``spark.sql.sessionWindow.merge.sessions.in.local.partition``, or the streaming
-    key of the same meaning), so a hot key shuffles sessions, not events.
+    A stream merges the sessions of each micro-batch in the map tasks first.  A batch
+    brings all events of a key together, so ``heavy`` keys go another way: their
+    events are compared slice by slice, those that start a session are few (a key's
+    sessions lie a gap apart), and each event takes its start from them.
     """
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sessionWindow.merge.sessions.in.local.partition", "true")
-    spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
-    return _windowed(watermarked(df, time, delay), F.session_window(F.col(time), gap), metrics, by)
+    if df.isStreaming:
+        df.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+    gap = f"{gap_seconds} seconds"
+    if df.isStreaming or heavy is None or not heavy.hashes:
+        return _windowed(watermarked(df, time, delay), F.session_window(F.col(time), gap), metrics, by)
+    is_heavy = heavy.covers(by)
+    light = _windowed(df.filter(~is_heavy), F.session_window(F.col(time), gap), metrics, by)
+    events = df.filter(is_heavy)
+    pause = F.expr(f"INTERVAL {gap_seconds} SECONDS")
+    # events at one time belong together, so distinct times decide
+    times = events.select(*by, time).distinct()
+    paired = with_previous(times, by, [time], [time], heavy.slice(by, F.col(time)))
+    begins = F.col("previous").isNull() | (F.col(time) > F.col(f"previous.{time}") + pause)
+    starts = paired.filter(begins).select(*by, F.col(time).alias("_start"))
+    placed = as_of_join(events, starts, by, time, "_start", lambda moment: heavy.slice(by, moment), name="_session")
+    sessions = placed.groupBy(F.col("_session._start").alias("window_start"), *by).agg(
+        (F.max(time) + pause).alias("window_end"), *[c.alias(n) for n, c in metrics.items()]
+    )
+    return light.unionByName(sessions.select("window_start", "window_end", *by, *metrics))
 
 
 def _windowed(df: DataFrame, window: Column, metrics: Mapping[str, Column], by: Sequence[str]) -> DataFrame:
