@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.operators.checks import column_statistics
 from tidemill.operators.objects import apply_copy_plan
 from tidemill.plans.registry import Tables, money, query
 from tidemill.session import qualified, scratch_path
@@ -271,3 +273,30 @@ def _holes(t: Tables) -> DataFrame:
         "event_id", F.when(F.col("event_type") != "error", F.col("event_type")).alias("kind"),
         F.when(F.col("user_id") % 10 != 0, F.col("user_id")).alias("user"),
     )
+
+
+@query(
+    "catalog_scan",
+    """
+    SELECT 'orders' AS "table", 'o_custkey' AS "column", 'bigint' AS type, count(o_custkey) AS filled FROM orders
+    UNION ALL SELECT 'customer', 'c_custkey', 'bigint', count(c_custkey) FROM customer
+    UNION ALL SELECT 'lineitem', 'l_suppkey', 'bigint', count(l_suppkey) FROM lineitem
+    UNION ALL SELECT 'lineitem', 'l_partkey', 'bigint', count(l_partkey) FROM lineitem
+    UNION ALL SELECT 'part', 'p_partkey', 'bigint', count(p_partkey) FROM part
+    """,
+)
+def scanned(t: Tables) -> DataFrame:
+    """Tables of a catalog found by a name pattern, their columns by keyword, and how far each column is filled."""
+    database = _table_name("catalog")
+    t.spark.sql(f"CREATE DATABASE {database}")
+    for name in ("orders", "customer", "lineitem", "part", "nation"):
+        t.spark.sql(f"CREATE TABLE {database}.{name} USING parquet OPTIONS (path '{t.folder}/{name}.parquet')")
+    tables = catalog.catalog_tables(t.spark, database, "^[clop]").select(F.col("tableName").alias("table"))
+    keyed = [catalog.catalog_search(t.spark, word, [database]) for word in ("custkey", "l_suppkey", "partkey")]
+    columns = reduce(DataFrame.unionByName, keyed).join(tables, "table", "left_semi")
+    filled = []
+    for name in ("orders", "customer", "lineitem", "part"):
+        rows = t.spark.table(f"{database}.{name}")
+        counts = column_statistics(rows, [c for c in rows.columns if c.endswith("key")], approximate=True)
+        filled.append(counts.select(F.lit(name).alias("table"), "column", (F.col("rows") - F.col("nulls")).alias("filled")))
+    return columns.join(reduce(DataFrame.unionByName, filled), ["table", "column"]).select("table", "column", "type", "filled")

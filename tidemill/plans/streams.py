@@ -14,7 +14,7 @@ from tidemill.operators.skew import skew_join
 from tidemill.plans.keyed import _CHANGELOG, _LATEST
 from tidemill.plans.registry import Tables, money, query, shown
 from tidemill.session import scratch_path
-from tidemill.sources.sinks import shadow_run, statement_set
+from tidemill.sources.sinks import discard, shadow_run, statement_set
 from tidemill.streaming import keyed, runs, windows
 
 KEYS, ORDER = ["user_id"], ["ts", "event_id"]
@@ -410,3 +410,40 @@ def feed(t: Tables) -> DataFrame:
 
     rows = t.events.select("user_id", "ts", "event_id")
     return keyed.change_feed(rows, KEYS, ORDER, "ts", datetime(2024, 1, 15)).select("user_id", "event_id", "phase")
+
+
+@query(
+    "idle_source",
+    _window_sql(_TUMBLING, True).replace("{key}", "event_type"),
+)
+def idle(t: Tables) -> DataFrame:
+    """Two sources, one of which falls silent after a third of the time; the other one drives the watermark."""
+    events = t.stream("events", event_time="ts")
+    silent = (F.col("event_type") == "view") & (F.col("ts") < F.lit("2024-01-10").cast("timestamp"))
+    windows.multi_source_policy(t.spark, slowest=False)
+    try:
+        both = windows.union_sources([events.filter(silent), events.filter(~silent)], "ts", "10 minutes")
+        return _windows(_run(t, windows.time_windows(both, "ts", "1 hour", _metrics(), ["event_type"], delay=None)), "event_type")
+    finally:
+        windows.multi_source_policy(t.spark)
+
+
+@query("run_timeout", "SELECT true AS finished, count(*) AS rows FROM events WHERE event_type <> 'view'")
+def limited_run(t: Tables) -> DataFrame:
+    """A run that may take ten minutes and needs less."""
+    path = scratch_path(t.spark, "limited")
+    kept = t.stream("events").filter(F.col("event_type") != "view")
+    started = (
+        kept.writeStream.format("parquet").option("path", path)
+        .option("checkpointLocation", scratch_path(t.spark, "progress")).trigger(availableNow=True).start()
+    )
+    report = runs.run_timeout(started, 600)
+    return t.spark.read.parquet(path).agg(F.lit(report.finished).alias("finished"), F.count(F.lit(1)).alias("rows"))
+
+
+@query("discard_sink", "SELECT count(*) AS discarded, count(*) AS rows FROM events WHERE value > 20")
+def discarded(t: Tables) -> DataFrame:
+    """The rows a discarded run reports, next to the rows there are."""
+    kept = t.events.filter(F.col("value") > 20)
+    count = discard(kept)
+    return kept.agg(F.lit(count).cast("long").alias("discarded"), F.count(F.lit(1)).alias("rows"))

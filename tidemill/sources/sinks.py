@@ -18,9 +18,11 @@ def print_rows(df: DataFrame, identifier: str = "", op: str | None = None) -> Da
     return df.select(F.concat(lead, kind, F.lit("["), F.concat_ws(", ", *values), F.lit("]")).alias("line"))
 
 
-def discard(df: DataFrame) -> None:
-    """Run the whole plan and keep nothing."""
-    df.write.format("noop").mode("overwrite").save()
+def discard(df: DataFrame) -> int:
+    """Run the whole plan and keep nothing but the number of rows."""
+    seen = Observation("discard")
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("noop").mode("overwrite").save()
+    return seen.get["rows"]
 
 
 def statement_set(shared: DataFrame, sinks: Mapping[str, Callable[[DataFrame], None]]) -> list[str]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,13 +26,22 @@ def multi_source_policy(spark, slowest: bool = True) -> None:
     spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min" if slowest else "max")
 
 
+def union_sources(sources: Sequence[DataFrame], time: str, delay: str) -> DataFrame:
+    """Several streams as one, each with a watermark of its own (see ``multi_source_policy``)."""
+    marked = [watermarked(s, time, delay) for s in sources]
+    return reduce(DataFrame.unionByName, marked)
+
+
 def time_windows(
     df: DataFrame, time: str, width: str, metrics: Mapping[str, Column],
-    by: Sequence[str] = (), slide: str | None = None, delay: str = "0 seconds",
+    by: Sequence[str] = (), slide: str | None = None, delay: str | None = "0 seconds",
 ) -> DataFrame:
-    """Tumbling windows, or sliding ones with ``slide``; a stream emits a window once the watermark passes its end."""
+    """Tumbling windows, or sliding ones with ``slide``; a stream emits a window once the watermark passes its end.
+
+    ``delay=None`` means the rows bring their watermark along.
+    """
     window = F.window(F.col(time), width, slide) if slide else F.window(F.col(time), width)
-    return _windowed(watermarked(df, time, delay), window, metrics, by)
+    return _windowed(df if delay is None else watermarked(df, time, delay), window, metrics, by)
 
 
 def session_windows(
