@@ -11,6 +11,7 @@ from tidemill.functions.json import METRIC_DASHBOARD_SECRET_KEYS, find_sql, reda
 from tidemill.functions.text import sha256_text, slug, sql_document, template_variables
 from tidemill.operators.ordering import first_per_key
 from tidemill.operators.skew import dimension_join, skew_join
+from tidemill.session import materialize
 
 # Query languages and the file suffix of each.
 SUFFIXES = {
@@ -296,10 +297,11 @@ def manifest_summary(entries: DataFrame, by: list[str] | None = None) -> DataFra
 def corpus_export(entries: DataFrame, path: str, overwrite: bool = False) -> Mapping[str, int]:
     """Write the query texts and the manifest below ``path``; refuse an empty corpus.
 
-    The summary is taken first, so nothing is written when no query succeeded; an
-    existing target is refused unless ``overwrite``.  The write's commit makes the
-    files visible together.
+    The entries are worked out once, into a checkpoint, and summed up first, so nothing
+    is written when no query succeeded; an existing target is refused unless
+    ``overwrite``.  A write's commit makes its files visible together.
     """
+    entries = materialize(entries)
     summary = manifest_summary(entries).first().asDict()
     if not summary["succeeded"]:
         raise ValueError("no query could be exported")

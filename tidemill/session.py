@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# folders of local sessions that name none, by application
+_OWN: dict[str, str] = {}
+
 
 def build_session(app_name: str = "tidemill", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library's results rely on."""
@@ -43,9 +46,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    own = tempfile.mkdtemp(prefix="tidemill-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    app = spark.sparkContext.applicationId
+    if app not in _OWN:
+        _OWN[app] = tempfile.mkdtemp(prefix="tidemill-")
+    return _OWN[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
