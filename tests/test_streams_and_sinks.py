@@ -92,6 +92,23 @@ def test_time_limit(spark, tmp_path):
     assert not query.isActive
 
 
+def test_state_partitions_follow_the_input(spark, small):
+    path = f"{small}/events.parquet"
+    assert runs.state_partitions(spark, path) == 8
+    assert runs.state_partitions(spark, path, bytes_each=1) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_a_run_leaves_the_settings_alone(spark, tmp_path):
+    source = str(tmp_path / "source")
+    write(spark, source, ("a", 1, 0, 1, False))
+    names = (runs.IDLE_BATCHES, runs.SHUFFLE_PARTITIONS)
+    before = [spark.conf.get(n) for n in names]
+    counted = runs.replay(spark, source, EVENT).groupBy("k").count()
+    runs.bounded_batches(counted, runs.append_batch(str(tmp_path / "out")), str(tmp_path / "c"), "complete", partitions=3)
+    assert [spark.conf.get(n) for n in names] == before
+    assert len(list((tmp_path / "c" / "state" / "0").glob("[0-9]*"))) == 3
+
+
 def test_policies_are_settings(spark):
     windows.multi_source_policy(spark, slowest=False)
     assert spark.conf.get("spark.sql.streaming.multipleWatermarkPolicy") == "max"

@@ -27,10 +27,14 @@ def _metrics() -> dict:
 
 def _run(t: Tables, stream: DataFrame, **options) -> DataFrame:
     path = scratch_path(t.spark, "stream")
-    runs.bounded_run(stream, path, scratch_path(t.spark, "progress"), **options)
+    runs.bounded_run(stream, path, scratch_path(t.spark, "progress"), partitions=_partitions(t), **options)
     return t.spark.read.parquet(path)
 
 
+def _partitions(t: Tables) -> int:
+    return runs.state_partitions(t.spark, f"{t.folder}/events.parquet")
+
+
 def _windows(df: DataFrame, *by: str) -> DataFrame:
     return df.select(
         shown("window_start").alias("window_start"), shown("window_end").alias("window_end"), *by, "events",
@@ -105,7 +109,7 @@ def dedupe_stream(t: Tables) -> DataFrame:
 def file_sink(t: Tables) -> DataFrame:
     kept = t.stream("events").filter(F.col("value") >= 40).select("event_id", "event_type")
     path = scratch_path(t.spark, "sink")
-    runs.bounded_run(kept, path, scratch_path(t.spark, "progress"), fmt="json")
+    runs.bounded_run(kept, path, scratch_path(t.spark, "progress"), fmt="json", partitions=_partitions(t))
     return t.spark.read.schema("event_id bigint, event_type string").json(path)
 
 
@@ -121,7 +125,7 @@ def upserts(t: Tables) -> DataFrame:
     """Keyed upserts and deletes arriving in four batches, out of order; the table's final state."""
     table = scratch_path(t.spark, "table")
     stream = runs.replay(t.spark, _split(t), t.events.schema, max_files=1)
-    runs.bounded_batches(stream, keyed.keyed_table_sink(table, KEYS, ORDER), scratch_path(t.spark, "progress"))
+    runs.bounded_batches(stream, keyed.keyed_table_sink(table, KEYS, ORDER), scratch_path(t.spark, "progress"), partitions=_partitions(t))
     state = keyed.read_keyed_table(t.spark, table, KEYS, ORDER, F.col("event_type") == "error")
     return state.select("user_id", "event_id", "event_type")
 
@@ -130,7 +134,7 @@ def upserts(t: Tables) -> DataFrame:
 def compacted(t: Tables) -> DataFrame:
     table, folded = scratch_path(t.spark, "table"), scratch_path(t.spark, "folded")
     stream = runs.replay(t.spark, _split(t, 3), t.events.schema, max_files=1)
-    runs.bounded_batches(stream, keyed.keyed_table_sink(table, KEYS, ORDER), scratch_path(t.spark, "progress"))
+    runs.bounded_batches(stream, keyed.keyed_table_sink(table, KEYS, ORDER), scratch_path(t.spark, "progress"), partitions=_partitions(t))
     keyed.compact_keyed_table(t.spark, table, folded, KEYS, ORDER)
     return t.spark.read.parquet(folded).agg(
         F.count_distinct("batch_id").alias("snapshots"), F.count(F.lit(1)).alias("rows"), F.count_distinct("user_id").alias("keys")
@@ -146,7 +150,7 @@ def _changes(t: Tables) -> DataFrame:
 def changelog_stream(t: Tables) -> DataFrame:
     table, log = scratch_path(t.spark, "state"), scratch_path(t.spark, "log")
     sink = keyed.changelog_sink(table, log, KEYS, ORDER, ["v"], F.col("gone"), time_slice(F.col("ts"), 86_400))
-    runs.bounded_batches(_changes(t), sink, scratch_path(t.spark, "progress"))
+    runs.bounded_batches(_changes(t), sink, scratch_path(t.spark, "progress"), partitions=_partitions(t))
     return t.spark.read.parquet(log).select("event_id", "user_id", "op", "v")
 
 
@@ -180,7 +184,7 @@ def several_sinks(t: Tables) -> DataFrame:
         return lambda batch, n: append(batch.groupBy(F.col(key).cast("string").alias("key")).agg(F.count(F.lit(1)).alias("events")), n)
 
     fan = runs.fan_out({"by_type": sink("by_type", "event_type"), "by_user": sink("by_user", "user_id")})
-    runs.bounded_batches(t.stream("events"), fan, scratch_path(t.spark, "progress"))
+    runs.bounded_batches(t.stream("events"), fan, scratch_path(t.spark, "progress"), partitions=_partitions(t))
     parts = [
         t.spark.read.parquet(path).groupBy("key").agg(F.sum("events").alias("events")).select(F.lit(name).alias("sink"), "key", "events")
         for name, path in paths.items()
@@ -276,7 +280,7 @@ def temporal_stream(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "temporal")
     bought = t.stream("events", event_time="ts").filter(F.col("event_type") == "purchase")
     join = windows.temporal_batches(_views(t), KEYS, "ts", "view_ts", lambda c: time_slice(c, 86_400), runs.append_batch(path))
-    runs.bounded_batches(bought, join, scratch_path(t.spark, "progress"))
+    runs.bounded_batches(bought, join, scratch_path(t.spark, "progress"), partitions=_partitions(t))
     return t.spark.read.parquet(path).select(F.col("event_id").alias("purchase_id"), F.col("version.view_id").alias("view_id"))
 
 
@@ -380,7 +384,7 @@ def late(t: Tables) -> DataFrame:
         t.events.filter((F.col("event_id") % 10 == 0) == F.lit(tenth)).write.mode("append").parquet(source)
         events = runs.replay(t.spark, source, t.events.schema, event_time="ts")
         counted = windows.time_windows(events, "ts", "1 day", {"events": F.count(F.lit(1))}, delay="10 minutes")
-        report = runs.bounded_run(counted, path, progress)
+        report = runs.bounded_run(counted, path, progress, partitions=_partitions(t))
     rows = t.spark.read.parquet(path)
     return rows.select(
         F.date_format("window_start", "yyyy-MM-dd").alias("day"), "events",

@@ -69,6 +69,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """The size of a file or folder, from its file system's own listing."""
+    files, target = _on_file_system(spark, path)
+    return files.getContentSummary(target).getLength()
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """The path with its scheme, spelled as Spark reports file paths."""
     files, target = _on_file_system(spark, path)

@@ -7,10 +7,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
+from tidemill.session import stored_bytes
+
 IDLE_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 @dataclass(frozen=True)
@@ -44,7 +47,7 @@ def report(query: StreamingQuery, finished: bool = True) -> RunReport:
 
 def bounded_run(
     stream: DataFrame, path: str, checkpoint: str, output_mode: str = "append", fmt: str = "parquet",
-    idle_batches: bool = True,
+    idle_batches: bool = True, partitions: int | None = None,
 ) -> RunReport:
     """Process everything available into files and stop.
 
@@ -52,34 +55,48 @@ def bounded_run(
     continues behind the last commit.  ``idle_batches`` lets a last batch without
     input close what the watermark has passed; state that expires by the clock asks
     for such batches for ever, so a bounded run over it must turn them off.
+    ``partitions`` sets the number of state partitions, which a checkpoint keeps for
+    good (see ``state_partitions``).
     """
-    conf = stream.sparkSession.conf
-    before = conf.get(IDLE_BATCHES)
-    conf.set(IDLE_BATCHES, str(idle_batches).lower())
-    try:
-        query = (
-            stream.writeStream.format(fmt).outputMode(output_mode)
-            .option("path", path).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start()
-        )
-    finally:
-        conf.set(IDLE_BATCHES, before)
-    query.awaitTermination()
-    return report(query)
+    writer = stream.writeStream.format(fmt).outputMode(output_mode).option("path", path)
+    return _finish(stream, writer, checkpoint, {IDLE_BATCHES: str(idle_batches).lower()}, partitions)
 
 
 def bounded_batches(
-    stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, output_mode: str = "append"
+    stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, output_mode: str = "append",
+    partitions: int | None = None,
 ) -> RunReport:
     """The same with a function per micro-batch, which must be idempotent by batch id."""
-    query = (
-        stream.writeStream.outputMode(output_mode).foreachBatch(write)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+    writer = stream.writeStream.outputMode(output_mode).foreachBatch(write)
+    return _finish(stream, writer, checkpoint, {}, partitions)
+
+
+def _finish(
+    stream: DataFrame, writer: DataStreamWriter, checkpoint: str, settings: dict[str, str], partitions: int | None
+) -> RunReport:
+    """Start with settings of its own (a query keeps those of its start), then run to the end."""
+    conf = stream.sparkSession.conf
+    if partitions:
+        settings = {**settings, SHUFFLE_PARTITIONS: str(partitions)}
+    before = {name: conf.get(name) for name in settings}
+    for name, value in settings.items():
+        conf.set(name, value)
+    try:
+        query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        for name, value in before.items():
+            conf.set(name, value)
     query.awaitTermination()
     return report(query)
 
 
+def state_partitions(spark: SparkSession, path: str, bytes_each: int = 64 << 20) -> int:
+    """State partitions for a stream over files: one per ``bytes_each`` of input, at least one per
+    core, at most the session's shuffle partitions.  Every one is a store to open in every batch."""
+    wanted = max(stored_bytes(spark, path) // bytes_each, spark.sparkContext.defaultParallelism)
+    return int(min(wanted, int(spark.conf.get(SHUFFLE_PARTITIONS))))
+
+
 def run_timeout(query: StreamingQuery, seconds: float) -> RunReport:
     """Let a query run for a while; when the time is up it is stopped and the report says so."""
     finished = query.awaitTermination(seconds)
