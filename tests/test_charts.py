@@ -8,6 +8,7 @@ import pytest
 from tidemill.operators import charts
 
 SUM = {"aggregate": "SUM", "column": {"column_name": "population_millions"}, "label": "SUM(population_millions)"}
+# fixed values: the published totals below depend on them
 POPULATION = [
     ("East Asia & Pacific", "China", 1296, 1371), ("East Asia & Pacific", "Japan", 120, 120),
     ("South Asia", "India", 1120, 1320), ("South Asia", "Pakistan", 140, 160),

@@ -189,16 +189,50 @@ def test_rows_as_text(spark):
 def test_id_regex_without_match(spark):
     names = spark.createDataFrame([("load_a",)], "task_id string")
     assert rows.id_regex(names, "task_id", "ad_").count() == 1
-    with pytest.raises(ValueError):
-        rows.id_regex(names, "task_id", "^x")
+    none = rows.id_regex(names, "task_id", "^x")
+    with pytest.raises(Exception, match="no task_id matches"):
+        none.collect()
 
 
 def test_checks_never_stop(spark):
-    good = spark.createDataFrame([(1,)], "id int")
-    report = checks.run_checks(
-        spark, {"empty": lambda: good.filter("id = 2"), "bad": lambda: good, "broken": lambda: good.select("nope")}
+    good = spark.createDataFrame([(n,) for n in range(30)], "id int")
+    result = checks.run_checks(
+        spark,
+        {
+            "empty": lambda: good.filter("id = 99"), "bad": lambda: good, "broken": lambda: good.select("nope"),
+            "failing": lambda: good.select(F.raise_error(F.lit("while it runs")).alias("x")),
+        },
     )
-    found = {r.check: (r.passed, r.violations, r.evidence, r.error is not None) for r in report.collect()}
-    assert found == {"empty": (True, 0, [], False), "bad": (False, 1, ['{"id":1}'], False), "broken": (False, 0, [], True)}
-    broken = checks.run_checks(spark, {"broken": lambda: good.select("nope")}).first()
-    assert not broken.passed and "nope" in broken.error
+    found = {r.check: (r.passed, r.violations, r.error is not None) for r in result.report.collect()}
+    assert found == {"empty": (True, 0, False), "bad": (False, 30, False), "broken": (False, 0, True), "failing": (False, 0, True)}
+    assert {tuple(r) for r in result.evidence.collect()} == {("bad", f'{{"id":{n}}}') for n in range(30)}
+    only = checks.run_checks(spark, {"broken": lambda: good.select("nope")})
+    assert only.report.columns == result.report.columns and "nope" in only.report.first().error
+    assert checks.run_checks(spark, {}).report.count() == 0
+
+
+def test_manifest_needs_a_source(spark):
+    entries = spark.createDataFrame([("a.sql", "sql", "ok", "x")], "file string, language string, status string, sha256 string")
+    files = spark.createDataFrame([("a.sql", "t")], "file string, text string")
+    found = checks.manifest_check(entries, files, files.limit(0), 1, "sql")
+    assert ("sources", "no source document was kept") in {tuple(r) for r in found.collect()}
+    assert "sources" not in {r.subject for r in checks.manifest_check(entries, files, files, 1, "sql").collect()}
+
+
+def test_cells(spark):
+    nested = "struct<flag: boolean, gone: string, list: array<double>, map: map<string, int>>"
+    rows_ = [(True, (False, None, [1.5, None], {"k": 1}), 'say "hi"\n'), (None, None, None)]
+    frame = spark.createDataFrame(rows_, f"b boolean, n {nested}, t string")
+    cells = [tuple(r) for r in frame.select(*[rows.cell_text(frame, c).alias(c) for c in frame.columns]).collect()]
+    assert cells[0] == ("True", '{"flag": false, "gone": null, "list": [1.5, null], "map": {"k": 1}}', 'say "hi"\n')
+    assert cells[1] == ("", "", "")
+    texts = spark.createDataFrame([(['a"b\\', None],)], "l array<string>")
+    assert texts.select(rows.cell_text(texts, "l")).first()[0] == '["a\\"b\\\\", null]'
+
+
+def test_fields(spark):
+    frame = spark.createDataFrame([(1, 2)], "a int, b int")
+    assert rows.select_fields(frame, " b , a").columns == ["b", "a"]
+    for wrong in ("a,c", "", []):
+        with pytest.raises(ValueError):
+            rows.select_fields(frame, wrong)

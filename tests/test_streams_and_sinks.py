@@ -168,7 +168,12 @@ def test_catalog(spark):
     columns = {(r.column, r.type, r.is_partition) for r in catalog.catalog_columns(spark, "sales", "orders").collect()}
     assert columns == {("id", "bigint", False), ("amount", "double", False), ("dt", "string", True)}
     assert [r.column for r in catalog.catalog_search(spark, "AMOU", ["sales"]).collect()] == ["amount"]
-    assert as_set(catalog.partition_filter(spark, "sales.orders", "dt > '2026-01-01'")) == {("2026-01-02",)}
+    spark.sql("ALTER TABLE sales.orders ADD IF NOT EXISTS PARTITION (dt='2026-01-09') LOCATION '/tmp/elsewhere/none'")
+    listed = {r.dt: r.location for r in catalog.partition_filter(spark, "sales.orders", "dt > '2026-01-01'").collect()}
+    assert listed.keys() == {"2026-01-02", "2026-01-09"}
+    assert listed["2026-01-02"].endswith("/orders/dt=2026-01-02") and listed["2026-01-09"].endswith("/tmp/elsewhere/none")
+    with pytest.raises(Exception, match="amount"):
+        catalog.partition_filter(spark, "sales.orders", "amount > 1")
     assert catalog.table_preview(spark, "sales.orders", ["id"], 1).first().id == 1
     assert catalog.table_metadata(spark, "sales.orders").count() > 3
     assert catalog.analyze_table(spark, "sales.orders", ["id"]).count() > 3

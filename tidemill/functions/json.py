@@ -7,6 +7,7 @@ import re
 from collections.abc import Iterable
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,32 +79,94 @@ def redact_keys(doc: Column, keys: Iterable[str], indent: int | None = None) ->
     return strip(doc)
 
 
+OBJECTS = "array<struct<path: string, members: map<string, struct<kind: string, text: string, at: int, place: int>>>>"
+
+
+def json_objects(doc: Column, keep: Iterable[str] = ()) -> Column:
+    """The objects of a document of any nesting, in reading order, as an array.
+
+    ``path`` spells how an object is reached by keys, ``[]`` standing for a list's place: ``panels[]/targets[]``.
+    A member has its ``kind`` (object, array, string, number, boolean, null), its ``text`` (of a scalar, or of a whole member named in
+    ``keep``), the index ``at`` of the object that it is, and its ``place`` in the document.  Text that is no JSON has no objects.
+
+    This is all that Python does with a document; rules on its parts are Column expressions on the
+    array.  Put it into a projection of its own before rules that use it inside a lambda.
+    """
+    kept = frozenset(keep)
+
+    @F.arrow_udf(OBJECTS)
+    def unfold(docs: pa.Array) -> pa.Array:
+        return pa.array([_objects(text.as_py(), kept) for text in docs], type=_OBJECTS_TYPE)
+
+    return unfold(doc)
+
+
+_MEMBER_TYPE = pa.struct([("kind", pa.string()), ("text", pa.string()), ("at", pa.int32()), ("place", pa.int32())])
+_OBJECTS_TYPE = pa.list_(pa.struct([("path", pa.string()), ("members", pa.map_(pa.string(), _MEMBER_TYPE))]))
+_KINDS = {str: "string", bool: "boolean", int: "number", float: "number", dict: "object", list: "array", type(None): "null"}
+
+
+def _objects(text: str | None, keep: frozenset[str]) -> list[dict]:
+    try:
+        root = json.loads(text)
+    except (TypeError, ValueError):
+        return []
+    found, place = [], 0
+
+    def within(node: dict | list, path: str):
+        """The node's parts, each with the members that it goes into (none for a list) and the path to it."""
+        if isinstance(node, list):
+            return ((None, v, None, path + "[]") for v in node)
+        members: dict[str, dict] = {}
+        found.append({"path": path, "members": members})
+        return ((k, v, members, f"{path}/{k}" if path else k) for k, v in node.items())
+
+    open_nodes = [within(root, "")] if isinstance(root, (dict, list)) else []
+    while open_nodes:
+        part = next(open_nodes[-1], None)
+        if part is None:
+            open_nodes.pop()
+            continue
+        key, value, members, path = part
+        if members is not None:
+            kind, place = _KINDS[type(value)], place + 1
+            shown = value if kind == "string" else json.dumps(value, ensure_ascii=False)
+            if kind == "null" or (kind in ("object", "array") and key not in keep):
+                shown = None
+            members[key] = {"kind": kind, "text": shown, "at": len(found) if kind == "object" else None, "place": place}
+        if isinstance(value, (dict, list)):
+            open_nodes.append(within(value, path))
+    return [{"path": o["path"], "members": list(o["members"].items())} for o in found]
+
+
+def member(of: Column, key: str) -> Column:
+    """A member of one of the objects; NULL where it is absent."""
+    return F.try_element_at(of["members"], F.lit(key))
+
+
+def member_text(of: Column, key: str) -> Column:
+    """The text of a string member; NULL where it is absent or no string."""
+    return F.when(member(of, key)["kind"] == "string", member(of, key)["text"])
+
+
+def member_object(objects: Column, of: Column, key: str) -> Column:
+    """The object that a member is; NULL where it is none."""
+    return F.get(objects, member(of, key)["at"])
+
+
 def find_sql(doc: Column) -> Column:
     """Distinct query texts of a document, in reading order.
 
-    A query is a string that starts like SQL under a key named in ``SQL_KEYS``.
+    A query is a string that starts like SQL under a key named in ``SQL_KEYS``, in any case.
     """
-    starts = re.compile(SQL_PATTERN)
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def search(docs: pd.Series) -> pd.Series:
-        def one(text):
-            try:
-                pending = [(None, json.loads(text))]
-            except (TypeError, ValueError):
-                return []
-            seen: dict[str, None] = {}
-            while pending:
-                name, node = pending.pop()
-                if isinstance(node, str):
-                    if name in SQL_KEYS and starts.match(node.strip()):
-                        seen[node.strip()] = None
-                elif isinstance(node, dict):
-                    pending.extend((k.lower(), v) for k, v in reversed(node.items()))
-                elif isinstance(node, list):
-                    pending.extend((None, v) for v in reversed(node))
-            return list(seen)
+    return sql_texts(json_objects(doc))
 
-        return docs.map(one)
 
-    return search(doc)
+def sql_texts(objects: Column) -> Column:
+    """The same, from the document's objects."""
+    named = lambda e: F.lower(e["key"]).isin(*SQL_KEYS) & (e["value"]["kind"] == "string")
+    found = F.transform(objects, lambda o: F.filter(F.map_entries(o["members"]), named))
+    blanks = F.lit(" \t\r\n\f\u000b")
+    texts = F.transform(F.flatten(found), lambda e: F.struct(e["value"]["place"].alias("place"), F.btrim(e["value"]["text"], blanks).alias("text")))
+    queries = F.filter(F.array_sort(texts), lambda t: t["text"].rlike(SQL_PATTERN))
+    return F.coalesce(F.array_distinct(F.transform(queries, lambda t: t["text"])), F.array().cast("array<string>"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -11,8 +12,6 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.time import time_literal
 
-DEFAULT_ROW_LIMIT = 10_000
-
 _AGGREGATES = {
     "SUM": F.sum,
     "COUNT": F.count,
@@ -85,8 +84,8 @@ def chart_aggregate(df: DataFrame, query: Mapping[str, Any]) -> DataFrame:
     """One chart query.
 
     Grouping pre-aggregates in the map tasks, so a value owning most rows is one
-    row per task in the shuffle.  An ordered limit becomes a top-k, not a sort.
-    Ties in the requested order are settled by the group columns.
+    row per task in the shuffle.  A ``row_limit`` with its order becomes a top-k; without one all groups are given.
+    Ties in the requested order are settled by the group columns, for plain rows by all of them.
     """
     columns = list(query.get("columns") or [])
     metrics = [metric_column(m) for m in query.get("metrics") or []]
@@ -101,11 +100,11 @@ def chart_aggregate(df: DataFrame, query: Mapping[str, Any]) -> DataFrame:
     having = (query.get("extras") or {}).get("having")
     if having:
         result = result.filter(F.expr(having))
-    if not columns:
-        return result
     order = [_order_column(entry) for entry in query.get("orderby") or []]
-    limit = int(query.get("row_limit") or DEFAULT_ROW_LIMIT)
-    return result.orderBy(*order, *[F.col(f"`{c}`") for c in columns]).limit(limit)
+    ties = columns if metrics or columns else result.columns
+    ordered = result.orderBy(*order, *[F.col(f"`{c}`") for c in ties]) if order or ties else result
+    limit = int(query.get("row_limit") or 0)
+    return ordered.limit(limit) if limit else ordered
 
 
 def chart_from_context(df: DataFrame, context: str, index: int = 0) -> DataFrame:
@@ -114,10 +113,15 @@ def chart_from_context(df: DataFrame, context: str, index: int = 0) -> DataFrame
 
 
 def keep_top_series(df: DataFrame, series: Sequence[str], metric: Mapping[str, Any], n: int) -> DataFrame:
-    """Rows of the ``n`` series with the greatest total; the kept list has at most ``n`` rows."""
+    """Rows of the ``n`` series with the greatest total, the NULL series among them if it is one.
+
+    The kept list has at most ``n`` rows; whether it is broadcast is left to Spark.
+    """
     total = metric_label(metric)
     ranked = df.groupBy(*series).agg(metric_column(metric)).orderBy(F.col(f"`{total}`").desc(), *series).limit(n)
-    return df.join(F.broadcast(ranked.select(*series)), list(series), "left_semi")
+    kept = ranked.select(*[F.col(f"`{c}`").alias(f"_s{i}") for i, c in enumerate(series)])
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"_s{i}")) for i, c in enumerate(series)]
+    return df.join(kept, reduce(Column.__and__, same), "left_semi")
 
 
 def big_number(df: DataFrame, metric: Mapping[str, Any], query: Mapping[str, Any] | None = None) -> DataFrame:

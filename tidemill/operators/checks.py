@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,53 +11,44 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.json import json_path
 from tidemill.functions.text import sha256_text
-from tidemill.operators.ordering import top_n_per_group
 from tidemill.operators.rows import cell_text, multiset_diff
 from tidemill.operators.skew import skew_join
+from tidemill.session import materialize
 
 # Fixed value: words that must not survive in an exported source document.
 LEAK_PATTERN = r"(?i)(password|authorization|access[_-]?token|api[_-]?key|clientsecret)"
 
 
-def run_checks(
-    spark: SparkSession, checks: Mapping[str, Callable[[], DataFrame]], evidence_rows: int = 20
-) -> DataFrame:
-    """One row per check: passed, number of violations, some of them as JSON, and an error text.
+@dataclass(frozen=True)
+class CheckReport:
+    """``report``: one row (check, passed, violations, error) per check; ``evidence``: every violation as (check, row)."""
+
+    report: DataFrame
+    evidence: DataFrame
+
+
+def run_checks(spark: SparkSession, checks: Mapping[str, Callable[[], DataFrame]]) -> CheckReport:
+    """Run every check by itself and keep all that it finds.
 
-    A check is a function giving its violations.  One that cannot even be planned
-    becomes a failed row with its error; the others still run.  Violations are
-    counted in one job; only ``evidence_rows`` of them per check are kept as text,
-    the least ones, so the report stays small while the counts stay whole.
+    A check is a function giving its violations.  Each one is planned and computed inside its own
+    ``try``, so one that cannot be planned or fails while it runs becomes a failed row with
+    its error, and the others are whole.  What was found lies in the checkpoint folder; counts are taken from there.
     """
-    parts, names, errors = [], [], []
+    rows, errors = spark.createDataFrame([], "check string, row string"), []
     for name, check in checks.items():
-        names.append(name)
         try:
-            found = check()
-            parts.append(found.select(F.lit(name).alias("check"), F.to_json(F.struct("*")).alias("_row")))
-            errors.append(None)
+            found = check().select(F.lit(name).alias("check"), F.to_json(F.struct("*")).alias("row"))
+            rows = rows.unionByName(materialize(found))
+            errors.append((name, None))
         except Exception as error:  # noqa: BLE001 - the failure itself is the evidence
-            errors.append(f"{type(error).__name__}: {error}")
-    listed = spark.createDataFrame(list(zip(names, errors)), "check string, error string")
-    if not parts:
-        empty = F.array().cast("array<string>")
-        return listed.select("check", F.lit(False).alias("passed"), F.lit(0).alias("violations"), empty, "error")
-    violations = reduce(DataFrame.unionByName, parts)
-    counted = violations.groupBy("check").agg(F.count(F.lit(1)).alias("violations"))
-    kept = top_n_per_group(violations, ["check"], [F.col("_row").asc()], evidence_rows, salt_on=["_row"])
-    shown = kept.groupBy("check").agg(F.sort_array(F.collect_list("_row")).alias("evidence"))
+            errors.append((name, f"{type(error).__name__}: {error}"))
+    listed = spark.createDataFrame(errors, "check string, error string")
+    counted = rows.groupBy("check").agg(F.count(F.lit(1)).alias("violations"))
     count = F.coalesce("violations", F.lit(0))
-    return (
-        listed.join(counted, "check", "left")
-        .join(shown, "check", "left")
-        .select(
-            "check",
-            ((count == 0) & F.col("error").isNull()).alias("passed"),
-            count.alias("violations"),
-            F.coalesce("evidence", F.array().cast("array<string>")).alias("evidence"),
-            "error",
-        )
+    report = listed.join(counted, "check", "left").select(
+        "check", ((count == 0) & F.col("error").isNull()).alias("passed"), count.alias("violations"), "error"
     )
+    return CheckReport(report, rows)
 
 
 def text_expectations(
@@ -92,7 +84,7 @@ def manifest_check(
     """Violations of an exported corpus as (subject, violation) rows.
 
     ``entries`` is the manifest (file, language, status, sha256), ``files`` the texts
-    (file, text), ``sources`` the kept documents (file, text).
+    (file, text), ``sources`` the kept documents (file, text), of which there must be one at least.
     """
     # texts are judged where they are read; only digests and findings are shuffled
     lacks = [F.when(~F.col("text").contains(t), F.lit(f"omitted {t!r}")) for t in required_text]
@@ -126,7 +118,9 @@ def manifest_check(
     leaks = sources.filter(F.col("text").rlike(LEAK_PATTERN)).select(
         F.col("file").alias("subject"), F.lit("source retained a secret word").alias("violation")
     )
-    result = per_file.unionByName(totals).unionByName(leaks)
+    kept = sources.agg(F.count(F.lit(1)).alias("_n")).filter("_n = 0")
+    none = kept.select(F.lit("sources").alias("subject"), F.lit("no source document was kept").alias("violation"))
+    result = per_file.unionByName(totals).unionByName(leaks).unionByName(none)
     if required_any:
         seen = files.agg(*[F.count_if(F.col("text").contains(t)).alias(f"_t{i}") for i, t in enumerate(required_any)])
         absent = [F.when(F.col(f"_t{i}") == 0, F.lit(f"no file has {t!r}")) for i, t in enumerate(required_any)]
@@ -160,8 +154,12 @@ def exactly_one(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
 
 
 def layout_missing(charts: DataFrame, layouts: DataFrame, board: str = "dashboard_id") -> DataFrame:
-    """Charts whose id does not appear in their dashboard's layout text (layouts: one row per dashboard)."""
-    joined = skew_join(charts, layouts, [board], salt_on=["chart_id"], how="left")
+    """Charts whose id does not appear in their dashboard's layout text (layouts: one row per dashboard).
+
+    A layout that is no JSON is an empty one.
+    """
+    readable = layouts.withColumn("layout", F.when(F.try_parse_json("layout").isNotNull(), F.col("layout")))
+    joined = skew_join(charts, readable, [board], salt_on=["chart_id"], how="left")
     present = F.contains(F.coalesce("layout", F.lit("{}")), F.col("chart_id").cast("string"))
     return joined.filter(~present).drop("layout")
 

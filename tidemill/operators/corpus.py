@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.functions.json import METRIC_DASHBOARD_SECRET_KEYS, find_sql, redact_keys
+from tidemill.functions.json import (
+    METRIC_DASHBOARD_SECRET_KEYS,
+    json_objects,
+    member,
+    member_object,
+    member_text,
+    redact_keys,
+    sql_texts,
+)
 from tidemill.functions.text import sha256_text, slug, sql_document, template_variables
 from tidemill.operators.ordering import first_per_key
 from tidemill.operators.skew import dimension_join, skew_join
-from tidemill.session import materialize
+from tidemill.session import materialize, path_exists, publish_folder
 
 # Query languages and the file suffix of each.
 SUFFIXES = {
@@ -28,64 +37,52 @@ SUFFIXES = {
 # Datasource references that are not looked up.
 MIXED, EXPRESSION = "-- Mixed --", "__expr__"
 
-_DOCUMENT = "title string, panels array<string>"
-_PANEL = (
-    "id string, title string, hide boolean, transparent boolean, collapsed boolean, "
-    "datasource string, libraryPanel struct<uid: string>, targets array<string>, panels array<string>"
-)
-
+_PANEL = "id string, title string, hide boolean, transparent boolean, collapsed boolean, datasource string, targets array<string>"
 
-def _unfold(texts: Column, depth: int) -> Column:
-    """Panels from their texts, the nested ones right behind their parent.  Each text is parsed once."""
-    none = F.array().cast("array<string>")
-    panels = F.transform(
-        F.filter(F.coalesce(texts, none), lambda text: text.startswith("{")), lambda text: F.from_json(text, _PANEL)
-    )
-
-    def with_nested(panel: Column) -> Column:
-        inner = panel["panels"]
-        if depth == 0:
-            # an expression of the panels' own type, evaluated only where there is something left
-            failure = F.raise_error(F.lit("panels are nested deeper than max_depth")).cast("string")
-            return F.when(F.size(inner) > 0, F.array(F.from_json(failure, _PANEL))).otherwise(F.array(panel))
-        return F.concat(F.array(panel), _unfold(inner, depth - 1))
 
-    return F.flatten(F.transform(panels, with_nested))
+def _panel_of(objects: Column, panel: Column) -> Column:
+    """A panel's own members, from one of the document's objects."""
+    texts = [member(panel, n)["text"].alias(n) for n in ("id", "title")]
+    flags = [F.coalesce(member(panel, n)["text"] == "true", F.lit(False)).alias(n) for n in ("hide", "transparent", "collapsed")]
+    shared = member_text(member_object(objects, panel, "libraryPanel"), "uid")
+    targets = F.from_json(member(panel, "targets")["text"], "array<string>")
+    return F.struct(*texts, *flags, member(panel, "datasource")["text"].alias("datasource"), shared.alias("shared_uid"), targets.alias("targets"))
 
 
-def flatten_panels(
-    documents: DataFrame, doc: str = "doc", library: DataFrame | None = None, max_depth: int = 3
-) -> DataFrame:
-    """One row per panel, parents before children, in reading order.
+def flatten_panels(documents: DataFrame, doc: str = "doc", library: DataFrame | None = None, uid: str | None = None) -> DataFrame:
+    """One row per panel at any depth, parents before children, in reading order.
 
-    The document may sit under ``dashboard`` or ``spec``.  ``library`` (uid, model)
-    supplies the body of shared panels, which then keep their own id and title only
-    where the model has none.  Everything happens inside the row; nesting below
-    ``max_depth`` stops the job instead of being lost.
+    The document may sit under ``dashboard`` or ``spec``; one without a title has its ``uid`` column's text as title.  ``library`` (uid, model and, if
+    there is one, name) supplies the body of shared panels, which keep their own id and title, or else the shared element's name, only
+    where the model has none.  Everything happens inside the row.
     """
-    text = F.col(doc)
-    body = F.coalesce(F.get_json_object(text, "$.dashboard"), F.get_json_object(text, "$.spec"), text)
-    parsed = documents.withColumn("_doc", F.from_json(body, _DOCUMENT))
+    objects, root = F.col("_objects"), F.get(F.col("_objects"), F.lit(0))
+    place = (
+        F.when(member(root, "dashboard")["kind"] == "object", "dashboard").when(member(root, "spec")["kind"] == "object", "spec").otherwise("")
+    )
+    own = F.coalesce(member_object(objects, root, "dashboard"), member_object(objects, root, "spec"), root)
+    lead = F.when(F.col("_place") == "", "").otherwise(F.concat("_place", F.lit("/")))
+    panels = F.filter(objects, lambda o: o["path"].startswith(lead) & F.substr(o["path"], F.length(lead) + 1).rlike(r"^panels\[\](/panels\[\])*$"))
+    title = F.nullif(member(own, "title")["text"], F.lit(""))
+    parsed = documents.withColumn("_objects", json_objects(F.col(doc), ("targets", "datasource"))).withColumn("_place", place)
     rows = parsed.select(
         *documents.columns,
-        F.col("_doc.title").alias("dashboard_title"),
-        F.posexplode(_unfold(F.col("_doc.panels"), max_depth)).alias("panel_position", "panel"),
+        (F.coalesce(title, F.col(uid).cast("string")) if uid else title).alias("dashboard_title"),
+        F.posexplode(F.transform(panels, lambda p: _panel_of(objects, p))).alias("panel_position", "panel"),
     )
     keep = [c for c in documents.columns if c != doc]
     if library is not None:
-        models = library.select(F.col("uid").alias("_uid"), F.from_json("model", _PANEL).alias("_model"))
-        keyed = rows.withColumn("_uid", F.col("panel.libraryPanel.uid"))
-        rows = dimension_join(keyed, models, ["_uid"])
+        name = F.col("name") if "name" in library.columns else F.lit(None).cast("string")
+        models = library.select(F.col("uid").alias("_uid"), F.from_json("model", _PANEL).alias("_model"), name.alias("_name"))
+        rows = dimension_join(rows.withColumn("_uid", F.col("panel.shared_uid")), models, ["_uid"])
         merged = F.struct(
             F.coalesce("_model.id", "panel.id").alias("id"),
-            F.coalesce("_model.title", "panel.title").alias("title"),
-            *[F.col(f"_model.{f}").alias(f) for f in
-              ("hide", "transparent", "collapsed", "datasource", "libraryPanel", "targets", "panels")],
+            F.coalesce("_model.title", F.nullif("panel.title", F.lit("")), "_name").alias("title"),
+            *[F.coalesce(f"_model.{f}", F.lit(False)).alias(f) for f in ("hide", "transparent", "collapsed")],
+            F.col("_model.datasource").alias("datasource"), F.col("panel.shared_uid").alias("shared_uid"), F.col("_model.targets").alias("targets"),
         )
         rows = rows.withColumn("panel", F.when(F.col("_model").isNotNull(), merged).otherwise(F.col("panel")))
-    hidden = F.coalesce("panel.hide", F.lit(False)) | (
-        F.coalesce("panel.transparent", F.lit(False)) & F.coalesce("panel.collapsed", F.lit(False))
-    )
+    hidden = F.col("panel.hide") | (F.col("panel.transparent") & F.col("panel.collapsed"))
     return rows.select(
         *keep, "dashboard_title", "panel_position",
         F.col("panel.id").alias("panel_id"), F.col("panel.title").alias("panel_title"),
@@ -178,7 +175,11 @@ def with_fields(targets: DataFrame) -> DataFrame:
 
 
 def classify_query(field: Column, datasource_type: Column) -> Column:
-    """The query language of a target from its ``_field`` struct: the first rule that fits."""
+    """The query language of a target from its ``_field`` struct: the first rule that fits.
+
+    The rules are kept as they are followed elsewhere: a type that holds ``influx`` also holds ``flux``, so
+    ``influxql`` has a suffix, but no target reaches it.
+    """
     kind = F.lower(F.coalesce(F.nullif(datasource_type, F.lit("")), field["kind"], F.lit("")))
 
     def filled(value: Column) -> Column:
@@ -261,13 +262,20 @@ def asset_expand(
     """
     unique = first_per_key(charts, ["dashboard_id", "chart_id"], ["position"])
     shown = hide_filter(unique, "hidden", include_hidden)
-    found = details.select("chart_id", F.lit(True).alias("_known"), find_sql(F.col("doc")).alias("_sqls"))
+    parsed = details.select("chart_id", "doc", json_objects(F.col("doc"), ("datasource",)).alias("_objects"))
+    root = F.get("_objects", F.lit(0))
+    inner = member_object(F.col("_objects"), root, "result")
+    source = F.coalesce(*[member(o, k)["text"] for o in (root, inner) for k in ("datasource", "datasource_id")])
+    found = parsed.select(
+        "chart_id", F.lit(True).alias("_known"), sql_texts(F.col("_objects")).alias("_sqls"),
+        source.alias("datasource"), template_variables(F.col("doc")).alias("variables"),
+    )
     joined = skew_join(shown, found, ["chart_id"], salt_on=["dashboard_id"], how="left")
     problem = F.when(F.col("_known").isNull(), "chart not found").when(
         F.size("_sqls") == 0, "no compiled SQL returned"
     )
     rows = joined.select(
-        *charts.columns, problem.alias("error"), F.posexplode_outer("_sqls").alias("_at", "sql")
+        *charts.columns, problem.alias("error"), "datasource", "variables", F.posexplode_outer("_sqls").alias("_at", "sql")
     )
     title = F.coalesce("chart_title", F.concat(F.lit("chart-"), F.col("chart_id").cast("string")))
     ok = F.col("error").isNull()
@@ -279,8 +287,8 @@ def asset_expand(
     return rows.select(
         "dashboard_id", "chart_id", title.alias("asset_title"),
         F.when(ok, F.col("_at") + 1).alias("query_index"),
-        F.lit("sql").alias("language"), "hidden",
-        F.when(ok, file).alias("file"), text.alias("text"),
+        F.lit("sql").alias("language"), F.when(ok, F.col("datasource")).alias("datasource"), "hidden",
+        F.when(ok, F.col("variables")).alias("variables"), F.when(ok, file).alias("file"), text.alias("text"),
         F.when(ok, sha256_text(text)).alias("sha256"),
         F.when(ok, "ok").otherwise("failed").alias("status"), "error",
     )
@@ -299,13 +307,18 @@ def corpus_export(entries: DataFrame, path: str, overwrite: bool = False) -> Map
 
     The entries are worked out once, into a checkpoint, and summed up first, so nothing
     is written when no query succeeded; an existing target is refused unless
-    ``overwrite``.  A write's commit makes its files visible together.
+    ``overwrite``.  Both parts are written next to the target and get its name by one rename, so
+    a reader sees the whole old export, or the whole new one.
     """
+    spark = entries.sparkSession
+    if path_exists(spark, path) and not overwrite:
+        raise FileExistsError(f"{path} already exists")
     entries = materialize(entries)
     summary = manifest_summary(entries).first().asDict()
     if not summary["succeeded"]:
         raise ValueError("no query could be exported")
-    mode = "overwrite" if overwrite else "errorifexists"
-    entries.filter(F.col("status") == "ok").write.mode(mode).parquet(f"{path}/queries")
-    entries.drop("text").write.mode(mode).parquet(f"{path}/manifest")
+    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    entries.filter(F.col("status") == "ok").write.parquet(f"{staged}/queries")
+    entries.drop("text").write.parquet(f"{staged}/manifest")
+    publish_folder(spark, staged, path, overwrite)
     return summary

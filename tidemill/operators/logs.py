@@ -79,14 +79,19 @@ def cursor_page(
     after: tuple[datetime, int] | None = None,
     limit: int = 100,
 ) -> DataFrame:
-    """One page, newest first.  The cursor is the (time, id) of the last row shown."""
+    """One page, newest first.  The cursor is the (time, id) of the last row shown.
+
+    A page has at most ``MAX_PAGE`` rows; a greater limit is refused rather than cut.
+    """
+    if not 0 < limit <= MAX_PAGE:
+        raise ValueError(f"a page has 1 to {MAX_PAGE} rows, not {limit}")
     like = df.schema[time].dataType.simpleString()
     page = df.filter((F.col(time) >= time_literal(start, like)) & (F.col(time) < time_literal(end, like)))
     if after is not None:
         moment, row_id = time_literal(after[0], like), F.lit(after[1])
         # the first test alone reaches the scan; the second settles equal times
         page = page.filter(F.col(time) <= moment).filter((F.col(time) < moment) | (F.col(tiebreak) < row_id))
-    return page.orderBy(F.col(time).desc(), F.col(tiebreak).desc()).limit(min(limit, MAX_PAGE)).select(*columns)
+    return page.orderBy(F.col(time).desc(), F.col(tiebreak).desc()).limit(limit).select(*columns)
 
 
 def follow_cursor(df: DataFrame, time: str, tiebreak: str, last: tuple[datetime, int]) -> DataFrame:
@@ -101,12 +106,17 @@ def log_stats(
     df: DataFrame,
     by: Mapping[str, Column],
     metrics: Mapping[str, Column],
-    limit: int = MAX_PAGE,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Named aggregates over named grouping columns (a time bin among them), first ``limit`` groups in order."""
+    """Named aggregates over named grouping columns (a time bin among them): all groups, or the first ``limit`` in order."""
     grouped = df.groupBy(*[column.alias(name) for name, column in by.items()])
     result = grouped.agg(*[column.alias(name) for name, column in metrics.items()])
-    return result.orderBy(*by).limit(limit) if by else result
+    return result.orderBy(*by).limit(limit) if by and limit is not None else result
+
+
+def first_rows(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:
+    """The first ``n`` rows in ``order``, which must end in a tiebreak: a top-k, not a sort."""
+    return df.orderBy(*order).limit(n)
 
 
 def time_bin(time: str, width: str) -> Column:

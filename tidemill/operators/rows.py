@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -31,12 +32,46 @@ def property_rows(df: DataFrame, ids: Sequence[str], columns: Sequence[str] | No
 
 
 def cell_text(df: DataFrame, column: str) -> Column:
-    """NULL as empty text, nested values as JSON, the rest as text."""
-    nested = isinstance(df.schema[column].dataType, (T.StructType, T.ArrayType, T.MapType))
-    shown = F.to_json(F.col(column)) if nested else F.col(column).cast("string")
+    """NULL as empty text, booleans as ``True`` and ``False``, nested values as spaced JSON with their NULL members, the rest as text."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.BooleanType):
+        shown = F.when(F.col(column), "True").when(~F.col(column), "False")
+    elif isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
+        shown = F.when(F.col(column).isNotNull(), json_text(F.col(column), kind))
+    else:
+        shown = F.col(column).cast("string")
     return F.coalesce(shown, F.lit(""))
 
 
+def json_text(value: Column, kind: T.DataType) -> Column:
+    """A value of a known type as JSON text, members parted by a comma and a blank, NULL members kept."""
+    if isinstance(kind, T.StructType):
+        members = [F.concat(F.lit(_quoted(f.name) + ": "), json_text(value[f.name], f.dataType)) for f in kind.fields]
+        shown = F.concat(F.lit("{"), F.concat_ws(", ", *members), F.lit("}"))
+    elif isinstance(kind, T.ArrayType):
+        parts = F.transform(value, lambda v: json_text(v, kind.elementType))
+        shown = F.concat(F.lit("["), F.array_join(parts, ", "), F.lit("]"))
+    elif isinstance(kind, T.MapType):
+        name = lambda k: _json_string(k.cast("string"))
+        parts = F.transform(F.map_entries(value), lambda e: F.concat(name(e["key"]), F.lit(": "), json_text(e["value"], kind.valueType)))
+        shown = F.concat(F.lit("{"), F.array_join(parts, ", "), F.lit("}"))
+    elif isinstance(kind, (T.NumericType, T.BooleanType)):
+        shown = value.cast("string")
+    else:
+        shown = _json_string(value.cast("string"))
+    return F.coalesce(shown, F.lit("null"))
+
+
+def _json_string(text: Column) -> Column:
+    """A text as a JSON string, escaped as Spark's own writer does."""
+    written = F.to_json(F.struct(text.alias("v")))
+    return F.when(text.isNotNull(), F.substring(written, F.lit(6), F.length(written) - 6))
+
+
+def _quoted(name: str) -> str:
+    return json.dumps(name, ensure_ascii=False)
+
+
 def rows_to_json(df: DataFrame, name: str = "line") -> DataFrame:
     return df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias(name))
 
@@ -51,6 +86,16 @@ def rows_to_csv(df: DataFrame, name: str = "line") -> DataFrame:
     return df.select(F.concat_ws(",", *cells).alias(name))
 
 
+def select_fields(df: DataFrame, fields: str | Sequence[str]) -> DataFrame:
+    """Named columns, given as a list or as comma-separated text; an unknown one is an error."""
+    names = fields.split(",") if isinstance(fields, str) else list(fields)
+    chosen = [n.strip() for n in names if n.strip()]
+    unknown = [n for n in chosen if n not in df.columns]
+    if unknown or not chosen:
+        raise ValueError(f"unknown fields {unknown}" if unknown else "no fields are named")
+    return df.select(*[F.col(f"`{n}`") for n in chosen])
+
+
 def missing_targets(targets: DataFrame, shadows: DataFrame, name: str) -> DataFrame:
     """Names on the left that the right does not cover."""
     return targets.select(name).distinct().join(shadows.select(name).distinct(), name, "left_anti")
@@ -74,6 +119,12 @@ def multiset_diff(left: DataFrame, right: DataFrame, as_sets: bool = False) -> D
     return counts.filter(F.col("left_rows") != F.col("right_rows"))
 
 
+def union_levels(prefixes: DataFrame, leaves: DataFrame, key: str = "key", flag: str = "is_prefix") -> DataFrame:
+    """Sub-prefixes, each once, and leaves of one level under one another, told apart by ``flag``."""
+    above = prefixes.select(key).distinct().withColumn(flag, F.lit(True))
+    return above.unionByName(leaves.select(key).withColumn(flag, F.lit(False)))
+
+
 def ordered_dedupe(df: DataFrame, values: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of each value."""
     return first_per_key(df, values, order)
@@ -146,11 +197,14 @@ def scope_report(df: DataFrame, column: str, prefixes: Sequence[str]) -> DataFra
 
 
 def id_regex(df: DataFrame, column: str, pattern: str) -> DataFrame:
-    """Rows whose id contains a match.  No match at all is an error, raised when the result is read."""
+    """Rows whose id contains a match.  No match at all is an error, raised when the result is read.
+
+    The error is a row of its own behind the matches, which fails where their count, taken in the same job, is zero.
+    """
     import re
 
     re.compile(pattern)
     kept = df.filter(F.col(column).rlike(pattern))
-    if kept.isEmpty():
-        raise ValueError(f"no {column} matches {pattern!r}")
-    return kept
+    problem = F.raise_error(F.lit(f"no {column} matches {pattern!r}")).cast("boolean")
+    none = kept.agg(F.count(F.lit(1)).alias("_n")).filter(F.when(F.col("_n") == 0, problem).otherwise(F.lit(False)))
+    return kept.unionByName(none.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields]))

@@ -2,23 +2,19 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemill.functions.json import json_objects, member, member_object, member_text
+
 # Keys that name a tool or a command, words that mean failure, usage counters.
 TOOL_KEYS = ("tool_name", "tool", "name")
 COMMAND_KEYS = ("command", "cmd", "shell_command")
 FAILURE_WORDS = ("failed", "failure", "error")
 USAGE_FIELDS = ("requests", "input_tokens", "output_tokens", "total_tokens", "cached_tokens")
-
-_CALLS = (
-    "tools array<string>, commands array<string>, failures array<struct<tool: string, status: string>>, "
-    + "usage struct<" + ", ".join(f"{f}: bigint" for f in USAGE_FIELDS) + ">"
-)
+BLANKS = " \t\r\n\f\u000b"
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -33,12 +29,12 @@ def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("mark"),
         F.col("value").alias("line"),
     )
-    return lines.withColumn("problem", F.when(F.trim("line") != "", problem))
+    return lines.withColumn("problem", F.when(F.btrim("line", F.lit(BLANKS)) != "", problem))
 
 
 def good_lines(lines: DataFrame) -> DataFrame:
     """The payloads: lines that hold one JSON object."""
-    return lines.filter(F.col("problem").isNull() & (F.trim("line") != "")).select("file", "line")
+    return lines.filter(F.col("problem").isNull() & (F.btrim("line", F.lit(BLANKS)) != "")).select("file", "line")
 
 
 def line_errors(lines: DataFrame) -> DataFrame:
@@ -57,85 +53,90 @@ def line_errors(lines: DataFrame) -> DataFrame:
     return bad.select("file", number.alias("number"), message.alias("error"))
 
 
-def _text(node: dict, keys: Sequence[str]) -> str | None:
-    return next((node[k] for k in keys if isinstance(node.get(k), str)), None)
-
-
-def _status(node: dict) -> str | None:
-    """The failure word of a record, ``false`` for an unsuccessful one without it, else None."""
-    word = str(node.get("status") or "").lower()
-    return (word or "false") if word in FAILURE_WORDS or node.get("success") is False else None
-
-
-def _calls_of(message) -> dict:
-    """Tools, commands, failures and usage maxima in one decoded message."""
-    out = {"tools": [], "commands": [], "failures": [], "usage": dict.fromkeys(USAGE_FIELDS)}
-    pending, judged = [message], set()
-    while pending:
-        node = pending.pop()
-        if isinstance(node, list):
-            pending.extend(reversed(node))
-            continue
-        if not isinstance(node, dict):
-            continue
-        pending.extend(reversed(node.values()))
-        if id(node) in judged:
-            continue
-        kind = str(node.get("type") or node.get("action_type") or "").lower()
-        body = node.get("payload")
-        if isinstance(body, dict) and kind == "call-tool":
-            name, given = body.get("toolName"), body.get("toolParams")
-            out["tools"].append(name if isinstance(name, str) else "unknown")
-            command = _text(given, COMMAND_KEYS) if isinstance(given, dict) else None
-            if command:
-                out["commands"].append(command.strip())
-        elif isinstance(body, dict) and kind == "call-tool-result":
-            result = body.get("result")
-            if isinstance(result, dict):
-                judged.add(id(result))
-                status = _status(result)
-                if status:
-                    out["failures"].append({"tool": str(body.get("toolName") or "unknown"), "status": status})
-        elif isinstance(body, dict) and kind == "usage":
-            for field in USAGE_FIELDS:
-                try:
-                    out["usage"][field] = max(out["usage"][field] or 0, int(body.get(field) or 0))
-                except (TypeError, ValueError):
-                    pass
-        else:
-            tool = _text(node, TOOL_KEYS)
-            given = next((node[k] for k in ("arguments", "input") if isinstance(node.get(k), dict)), {})
-            command = _text(node, COMMAND_KEYS)
-            command = _text(given, COMMAND_KEYS) if command is None else command
-            if tool and ("tool" in kind or command or "arguments" in node or "input" in node):
-                out["tools"].append(tool)
-            if tool and command:
-                out["commands"].append(command.strip())
-            status = _status(node)
-            if status:
-                out["failures"].append({"tool": tool or "unknown", "status": status})
-    return out
-
-
-def extract_calls(message: Column) -> Column:
-    """Calls inside a JSON message of any nesting, as one struct.
-
-    Three record shapes count: ``call-tool`` and ``call-tool-result`` records, ``usage``
-    records, and plain records naming a tool.  The nesting is open, hence an
-    Arrow-batched function; it sees one message at a time and needs no shuffle.
-    """
+def _kind(of: Column) -> Column:
+    """What a record says it is; an empty, zero or false ``type`` says nothing."""
+    said = [F.when(~member(of, k)["text"].isin("", "false", "0", "0.0") & ~member(of, k)["kind"].isin("object", "array"), member(of, k)["text"]) for k in ("type", "action_type")]
+    return F.lower(F.coalesce(*said, F.lit("")))
+
+
+def _named(of: Column, keys: Sequence[str]) -> Column:
+    """The first of the members that is a string."""
+    return F.coalesce(*[member_text(of, k) for k in keys])
+
+
+def _failure(of: Column, tool: Column) -> Column:
+    """(tool, status) of a record that failed: its failure word, or ``false`` for an unsuccessful one."""
+    word = F.lower(F.coalesce(member(of, "status")["text"], F.lit("")))
+    unsuccessful = F.coalesce((member(of, "success")["kind"] == "boolean") & (member(of, "success")["text"] == "false"), F.lit(False))
+    status = F.when(word.isin(*FAILURE_WORDS), word).when(unsuccessful, F.when(word == "", "false").otherwise(word))
+    return F.when(status.isNotNull(), F.struct(tool.alias("tool"), status.alias("status")))
+
+
+def _filled(text: Column) -> Column:
+    return F.nullif(text, F.lit(""))
 
-    @F.pandas_udf(_CALLS)
-    def calls(messages: pd.Series) -> pd.DataFrame:
-        def one(text):
-            try:
-                return _calls_of(json.loads(text))
-            except (TypeError, ValueError):
-                return _calls_of(None)
 
-        return pd.DataFrame([one(text) for text in messages], columns=["tools", "commands", "failures", "usage"])
+def _whole(of: Column, field: str) -> Column:
+    """A counter as a whole number: absent and empty ones are 0, unreadable ones NULL."""
+    m = member(of, field)
+    number = F.when(m["kind"] == "string", F.btrim(m["text"]).try_cast("bigint")).when(m["kind"] == "number", m["text"].try_cast("double").cast("bigint"))
+    empty = m.isNull() | (m["kind"] == "null") | (m["text"] == "") | (m["text"] == "false")
+    return F.when(empty, F.lit(0)).when(m["text"] == "true", F.lit(1)).otherwise(number).cast("bigint")
 
-    return calls(message)
+
+def extract_calls(messages: DataFrame, message: str, name: str = "calls") -> DataFrame:
+    """Add the calls inside JSON messages of any nesting, as one struct (tools, commands, failures, usage).
+
+    A message is unfolded into its objects; the rules are expressions on them.  ``call-tool`` and
+    ``call-tool-result`` records name a tool and its outcome in their payload, ``usage`` records carry counters of which
+    the greatest count, and any other object that names a tool and looks like a call is one.  The outcome
+    inside a result's payload is judged there and not a second time.  Each message stays in its row.
+    """
+    records = messages.withColumn("_objects", json_objects(F.col(message)))
+    objects = F.col("_objects")
+    payload = lambda o: member_object(objects, o, "payload")
+    carries = lambda o, kind: (_kind(o) == kind) & payload(o).isNotNull()
+    special = lambda o: payload(o).isNotNull() & _kind(o).isin("call-tool", "call-tool-result", "usage")
+    results = F.transform(objects, lambda o: F.when(carries(o, "call-tool-result"), member(payload(o), "result")["at"]))
+    records = records.withColumn("_outcomes", F.array_compact(results))
+    plain = lambda o, i: ~special(o) & ~F.array_contains("_outcomes", i)
+
+    def given(o: Column) -> Column:
+        return F.coalesce(member_object(objects, o, "arguments"), member_object(objects, o, "input"))
+
+    def command(o: Column) -> Column:
+        return _filled(F.coalesce(_named(o, COMMAND_KEYS), _named(given(o), COMMAND_KEYS)))
+
+    def is_call(o: Column) -> Column:
+        looks = _kind(o).contains("tool") | command(o).isNotNull() | member(o, "arguments").isNotNull() | member(o, "input").isNotNull()
+        return _filled(_named(o, TOOL_KEYS)).isNotNull() & looks
+
+    tool_of = lambda o, i: (
+        F.when(carries(o, "call-tool"), F.coalesce(member_text(payload(o), "toolName"), F.lit("unknown")))
+        .when(plain(o, i) & is_call(o), _named(o, TOOL_KEYS))
+    )
+    command_of = lambda o, i: F.btrim(
+        F.when(carries(o, "call-tool"), _filled(_named(member_object(objects, payload(o), "toolParams"), COMMAND_KEYS)))
+        .when(plain(o, i) & _filled(_named(o, TOOL_KEYS)).isNotNull(), command(o)),
+        F.lit(BLANKS),
+    )
+
+    def failure_of(o: Column, i: Column) -> Column:
+        asked = F.coalesce(_filled(member(payload(o), "toolName")["text"]), F.lit("unknown"))
+        own = F.coalesce(_filled(_named(o, TOOL_KEYS)), F.lit("unknown"))
+        outcome = member_object(objects, payload(o), "result")
+        return F.when(carries(o, "call-tool-result"), _failure(outcome, asked)).when(plain(o, i), _failure(o, own))
+
+    def counter(field: str) -> Column:
+        told = lambda o: F.when(carries(o, "usage"), F.greatest(F.lit(0).cast("bigint"), _whole(payload(o), field)))
+        return F.array_max(F.transform(objects, told)).alias(field)
+
+    counters = [counter(f) for f in USAGE_FIELDS]
+    calls = F.struct(
+        F.array_compact(F.transform(objects, tool_of)).alias("tools"), F.array_compact(F.transform(objects, command_of)).alias("commands"),
+        F.array_compact(F.transform(objects, failure_of)).alias("failures"), F.struct(*counters).alias("usage"),
+    )
+    return records.select(*messages.columns, calls.alias(name))
 
 
 def tool_counts(calls: DataFrame, by: Sequence[str], column: str = "calls") -> DataFrame:
@@ -175,22 +176,34 @@ def usage_rollup(turns: DataFrame, by: Sequence[str] = (), details: str = "input
     return effective_usage(totals.select(*by, *filled), "_cached")
 
 
-def diagnose(calls: DataFrame, by: Sequence[str], column: str = "calls") -> DataFrame:
-    """One row per session: call counts, failures and effective usage."""
+def diagnose(calls: DataFrame, by: Sequence[str], column: str = "calls", usage: DataFrame | None = None) -> DataFrame:
+    """One row per session: call counts, failures and effective usage.
+
+    ``usage`` gives counters known from elsewhere, one row per session: where a session has a row, all its
+    counters come from there, NULL counting as 0, and the streamed ones are left aside.
+    """
     sums = calls.groupBy(*by).agg(
         F.sum(F.size(f"{column}.tools")).alias("tool_calls"),
         F.sum(F.size(f"{column}.failures")).alias("unexpected_failures"),
         *[F.coalesce(F.max(f"{column}.usage.{f}"), F.lit(0)).alias(f) for f in USAGE_FIELDS],
     )
+    if usage is not None:
+        told = usage.select(*by, F.struct(*[F.coalesce(F.col(f).cast("bigint"), F.lit(0)).alias(f) for f in USAGE_FIELDS]).alias("_told"))
+        joined = sums.join(told, list(by), "left") if by else sums.join(told, how="left")
+        known = [F.when(F.col("_told").isNotNull(), F.col(f"_told.{f}")).otherwise(F.col(f)).alias(f) for f in USAGE_FIELDS]
+        sums = joined.select(*by, "tool_calls", "unexpected_failures", *known)
     return effective_usage(sums).withColumnRenamed("requests", "turns")
 
 
 def command_expectations(
-    calls: DataFrame, forbidden: Sequence[str] = (), expected: Sequence[str] = (), column: str = "calls"
+    calls: DataFrame, forbidden: Sequence[str] = (), expected: Sequence[str] = (), column: str = "calls", by: Sequence[str] = ()
 ) -> DataFrame:
-    """Forbidden patterns that were seen and expected patterns that were not, one row each."""
+    """Forbidden patterns that were seen and expected patterns that were not, one row each, for every session in ``by``.
+
+    A session without any command has seen nothing, which breaks what was expected of it.
+    """
     from tidemill.operators.checks import text_expectations
 
-    commands = calls.select(F.explode(f"{column}.commands").alias("command"))
-    found = text_expectations(commands, "command", required=expected, forbidden=forbidden)
-    return found.filter(~F.col("passed")).select("pattern", "kind")
+    commands = calls.select(*by, F.explode_outer(f"{column}.commands").alias("command"))
+    found = text_expectations(commands, "command", required=expected, forbidden=forbidden, by=by)
+    return found.filter(~F.col("passed")).select(*by, "pattern", "kind")

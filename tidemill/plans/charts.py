@@ -51,7 +51,7 @@ def chart(t: Tables) -> DataFrame:
     """
     SELECT o_orderstatus, o_orderpriority, count(o_orderkey) AS orders,
            count(DISTINCT o_custkey) AS customers, min(o_totalprice) AS least, max(o_totalprice) AS most,
-           CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean_price
+           avg(o_totalprice) AS mean_price
     FROM orders
     WHERE o_orderstatus IN ('F', 'O') AND o_totalprice >= 1000 AND o_orderpriority NOT IN ('5-LOW')
       AND o_orderpriority LIKE '%-%' AND o_custkey IS NOT NULL AND o_custkey % 7 <> 3
@@ -64,7 +64,7 @@ def filters(t: Tables) -> DataFrame:
         "metrics": [
             _metric("COUNT", "o_orderkey", "orders"), _metric("COUNT_DISTINCT", "o_custkey", "customers"),
             _metric("MIN", "price", "least"), _metric("MAX", "price", "most"),
-            _metric("SUM", "o_totalprice", "total"),
+            _metric("AVG", "price", "mean_price"),
         ],
         "filters": [
             {"col": "o_orderstatus", "op": "IN", "val": ["F", "O"]},
@@ -76,9 +76,20 @@ def filters(t: Tables) -> DataFrame:
         "extras": {"where": "o_custkey % 7 <> 3", "having": "orders > 3"},
         "orderby": [["o_orderstatus", True], ["o_orderpriority", False]],
     }
-    result = chart_aggregate(_orders(t).withColumn("price", F.col("o_totalprice").cast("double")), spec)
-    mean = F.col("total").cast("double") / F.col("orders")
-    return result.withColumn("mean_price", mean).drop("total")
+    return chart_aggregate(_orders(t).withColumn("price", F.col("o_totalprice").cast("double")), spec)
+
+
+@query(
+    "chart_all_groups",
+    """
+    SELECT l_orderkey, l_linenumber, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS price FROM lineitem GROUP BY 1, 2
+    """,
+)
+def every_group(t: Tables) -> DataFrame:
+    """A spec without a row limit gives every group, however many there are."""
+    spec = {"columns": ["l_orderkey", "l_linenumber"], "metrics": [_metric("SUM", "price", "price")]}
+    items = t.lineitem.select("l_orderkey", "l_linenumber", money("l_extendedprice").alias("price"))
+    return chart_aggregate(items, spec).withColumn("price", F.col("price").cast("double"))
 
 
 @query(
@@ -112,20 +123,22 @@ def top_customers(t: Tables) -> DataFrame:
     "series_limit",
     """
     WITH top AS (
-      SELECT l_suppkey FROM lineitem GROUP BY 1
-      ORDER BY sum(CAST(l_extendedprice AS DECIMAL(18,2))) DESC, l_suppkey LIMIT 5)
-    SELECT year(l_shipdate) AS ship_year, l_suppkey,
-           CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue
-    FROM lineitem WHERE l_suppkey IN (SELECT l_suppkey FROM top) GROUP BY 1, 2
+      SELECT nullif(l_suppkey % 7, 3) AS supplier FROM lineitem GROUP BY 1
+      ORDER BY sum(CAST(l_extendedprice AS DECIMAL(18,2)) * CASE WHEN l_suppkey % 7 = 3 THEN 3 ELSE 1 END) DESC, 1 LIMIT 5)
+    SELECT year(l_shipdate) AS ship_year, nullif(l_suppkey % 7, 3) AS supplier,
+           CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * CASE WHEN l_suppkey % 7 = 3 THEN 3 ELSE 1 END) AS DOUBLE) AS revenue
+    FROM lineitem WHERE EXISTS (SELECT 1 FROM top WHERE top.supplier IS NOT DISTINCT FROM nullif(l_suppkey % 7, 3)) GROUP BY 1, 2
     """,
 )
 def top_series(t: Tables) -> DataFrame:
+    """Seven series, of which the greatest has no name."""
+    rest = F.col("l_suppkey") % 7
     items = t.lineitem.select(
-        F.year("l_shipdate").cast("long").alias("ship_year"), "l_suppkey",
-        money("l_extendedprice").alias("price"),
+        F.year("l_shipdate").cast("long").alias("ship_year"), F.nullif(rest, F.lit(3)).alias("supplier"),
+        (money("l_extendedprice") * F.when(rest == 3, 3).otherwise(1)).alias("price"),
     )
     spec = {
-        "columns": ["ship_year", "l_suppkey"], "series_columns": ["l_suppkey"], "series_limit": 5,
+        "columns": ["ship_year", "supplier"], "series_columns": ["supplier"], "series_limit": 5,
         "metrics": [_metric("SUM", "price", "revenue")], "orderby": [["ship_year", True]],
     }
     return chart_aggregate(items, spec).withColumn("revenue", F.col("revenue").cast("double"))

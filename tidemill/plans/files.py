@@ -168,14 +168,22 @@ def recomputed(t: Tables) -> DataFrame:
 
 @query(
     "partition_filter",
-    "SELECT DISTINCT o_orderpriority, year(o_orderdate)::INT AS y FROM orders WHERE year(o_orderdate) >= 1999 AND o_orderpriority <> '5-LOW'",
+    """
+    SELECT DISTINCT o_orderpriority, year(o_orderdate)::INT AS y, 'y=' || year(o_orderdate) AS folder FROM orders
+    WHERE year(o_orderdate) >= 1996 AND o_orderpriority <> '5-LOW'
+    UNION ALL SELECT DISTINCT o_orderpriority, 2050, 'empty' FROM orders WHERE o_orderpriority <> '5-LOW'
+    """,
 )
 def partitions(t: Tables) -> DataFrame:
     name = _table_name("partitions")
     rows = t.orders.select("o_orderkey", "o_orderpriority", F.year("o_orderdate").alias("y"))
     spread = rows.repartition("o_orderpriority", "y")
     spread.write.partitionBy("o_orderpriority", "y").option("path", scratch_path(t.spark, "part")).saveAsTable(name)
-    return catalog.partition_filter(t.spark, name, "y >= 1999 AND o_orderpriority <> '5-LOW'")
+    for row in t.orders.select("o_orderpriority").distinct().collect():  # one empty partition each, kept elsewhere
+        place = f"{scratch_path(t.spark, 'none')}/empty"
+        t.spark.sql(f"ALTER TABLE {name} ADD PARTITION (o_orderpriority='{row[0]}', y=2050) LOCATION '{place}'")
+    found = catalog.partition_filter(t.spark, name, "y >= 1996 AND o_orderpriority <> '5-LOW'")
+    return found.select("o_orderpriority", "y", F.substring_index("location", "/", -1).alias("folder"))
 
 
 @query(

@@ -134,16 +134,16 @@ def follow(t: Tables) -> DataFrame:
 @query(
     "log_stats",
     """
-    SELECT strftime(time_bucket(INTERVAL 1 DAY, ts), '%Y-%m-%d') AS day, event_type,
-           count(*) AS events, count(DISTINCT user_id) AS users
-    FROM events GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 1000
+    SELECT strftime(time_bucket(INTERVAL 1 DAY, ts), '%Y-%m-%d') AS day, user_id,
+           count(*) AS events, count(DISTINCT event_type) AS kinds
+    FROM events GROUP BY 1, 2
     """,
 )
 def stats(t: Tables) -> DataFrame:
-    by = {"bin": logs.time_bin("ts", "1 day"), "event_type": F.col("event_type")}
-    metrics = {"events": F.count(F.lit(1)), "users": F.count_distinct("user_id")}
+    by = {"bin": logs.time_bin("ts", "1 day"), "user_id": F.col("user_id")}
+    metrics = {"events": F.count(F.lit(1)), "kinds": F.count_distinct("event_type")}
     return logs.log_stats(t.events, by, metrics).select(
-        F.date_format("bin", "yyyy-MM-dd").alias("day"), "event_type", "events", "users"
+        F.date_format("bin", "yyyy-MM-dd").alias("day"), "user_id", "events", "kinds"
     )
 
 
@@ -184,4 +184,4 @@ def iso(t: Tables) -> DataFrame:
     "SELECT o_orderkey FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 77",
 )
 def first_rows(t: Tables) -> DataFrame:
-    return t.orders.orderBy("o_orderdate", "o_orderkey").limit(77).select("o_orderkey")
+    return logs.first_rows(t.orders, ["o_orderdate", "o_orderkey"], 77).select("o_orderkey")

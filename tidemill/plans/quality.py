@@ -50,27 +50,33 @@ def properties(t: Tables) -> DataFrame:
 
 @query("select_fields", "SELECT o_orderkey, o_orderstatus FROM orders")
 def fields(t: Tables) -> DataFrame:
-    return t.orders.select(*"o_orderkey,o_orderstatus".split(","))
+    return rows.select_fields(t.orders, "o_orderkey, o_orderstatus")
 
 
 @query(
     "rows_to_text",
     """
-    SELECT '{"event_id":' || event_id || ',"event_type":"' || event_type || '","none":null}' AS line FROM events
+    SELECT '{"event_id":' || event_id || ',"event_type":"' || event_type || '","even":' || (event_id % 2 = 0) || ',"none":null}' AS line FROM events
     """,
 )
 def as_json(t: Tables) -> DataFrame:
-    return rows.rows_to_json(t.events.select("event_id", "event_type", F.lit(None).cast("string").alias("none")))
+    even = (F.col("event_id") % 2 == 0).alias("even")
+    return rows.rows_to_json(t.events.select("event_id", "event_type", even, F.lit(None).cast("string").alias("none")))
 
 
 @query(
     "rows_to_text_csv",
     """
-    SELECT event_id || ',' || event_type || ',"' || replace(props, '"', '""') || '",' AS line FROM events
+    SELECT event_id || ',' || event_type || ',"' || replace(props, '"', '""') || '",' ||
+      CASE WHEN event_id % 2 = 0 THEN 'True' ELSE 'False' END || ',"{""id"": ' || event_id || ', ""even"": ' || (event_id % 2 = 0) ||
+      ', ""gone"": null, ""tags"": [""' || event_type || '"", null]}",' AS line FROM events
     """,
 )
 def as_csv(t: Tables) -> DataFrame:
-    return rows.rows_to_csv(t.events.select("event_id", "event_type", "props", F.lit(None).cast("string").alias("none")))
+    even = (F.col("event_id") % 2 == 0).alias("even")
+    tags = F.array("event_type", F.lit(None)).alias("tags")
+    nested = F.struct(F.col("event_id").alias("id"), even, F.lit(None).cast("string").alias("gone"), tags).alias("nested")
+    return rows.rows_to_csv(t.events.select("event_id", "event_type", "props", even, nested, F.lit(None).cast("string").alias("none")))
 
 
 @query(
@@ -129,9 +135,9 @@ def dedupe(t: Tables) -> DataFrame:
     """,
 )
 def levels(t: Tables) -> DataFrame:
-    prefixes = t.part.select(F.concat(F.substring_index("p_brand", "#", 1), F.lit("/")).alias("key")).distinct()
+    prefixes = t.part.select(F.concat(F.substring_index("p_brand", "#", 1), F.lit("/")).alias("key"))
     leaves = t.part.select(F.concat_ws("-", "p_name", F.col("p_partkey").cast("string")).alias("key"))
-    return prefixes.withColumn("is_prefix", F.lit(True)).unionByName(leaves.withColumn("is_prefix", F.lit(False)))
+    return rows.union_levels(prefixes, leaves)
 
 
 @query(
@@ -315,27 +321,28 @@ def references(t: Tables) -> DataFrame:
 
 @query(
     "exactly_one",
-    "SELECT user_id, count(DISTINCT event_type) AS distinct_values FROM events WHERE value > 250 GROUP BY 1 HAVING count(DISTINCT event_type) <> 1",
+    "SELECT user_id, count(DISTINCT event_type) AS distinct_values FROM events GROUP BY 1 HAVING count(DISTINCT event_type) <> 1",
 )
 def single(t: Tables) -> DataFrame:
-    return checks.exactly_one(t.events.filter(F.col("value") > 250), ["user_id"], "event_type")
+    return checks.exactly_one(t.events, ["user_id"], "event_type")
 
 
 @query(
     "layout_missing",
     "SELECT doc_id AS dashboard_id, 'chart<' || position || '>' AS chart_id FROM documents, range(3) r(position) "
-    "WHERE position = n_chars % 4",
+    "WHERE position = n_chars % 4 OR n_chars % 11 = 5",
 )
 def layout(t: Tables) -> DataFrame:
-    """Three charts per document's board; the layout leaves one out, except where the rest is 3."""
+    """Three charts per document's board; the layout leaves one out, except where the rest is 3; every eleventh is broken."""
     def chart(i) -> F.Column:
         return F.concat(F.lit("chart<"), i.cast("string"), F.lit(">"))
 
     places = F.array(*[F.lit(i) for i in range(3)])
-    boards = t.documents.select(F.col("doc_id").alias("dashboard_id"), (F.col("n_chars") % 4).alias("_left_out"))
+    boards = t.documents.select(F.col("doc_id").alias("dashboard_id"), (F.col("n_chars") % 4).alias("_left_out"), (F.col("n_chars") % 11 == 5).alias("_broken"))
     charts = boards.select("dashboard_id", F.explode(F.transform(places, chart)).alias("chart_id"))
     kept = F.transform(F.filter(places, lambda i: i != F.col("_left_out")), chart)
-    layouts = boards.select("dashboard_id", F.to_json(F.struct(kept.alias("children"))).alias("layout"))
+    whole = F.to_json(F.struct(kept.alias("children")))
+    layouts = boards.select("dashboard_id", F.when(F.col("_broken"), F.concat(F.lit("{broken "), whole)).otherwise(whole).alias("layout"))
     return checks.layout_missing(charts, layouts)
 
 
@@ -343,12 +350,13 @@ def layout(t: Tables) -> DataFrame:
     "series_present",
     """
     SELECT q.user_id, count(DISTINCT event_type) AS series, count(event_type) > 0 AS passed
-    FROM (SELECT DISTINCT user_id FROM events) q LEFT JOIN (SELECT * FROM events WHERE value > 150) e USING (user_id) GROUP BY 1
+    FROM (SELECT c_custkey AS user_id FROM customer) q LEFT JOIN events e USING (user_id) GROUP BY 1
     """,
 )
 def present(t: Tables) -> DataFrame:
-    series = t.events.filter(F.col("value") > 150).select("user_id", "event_type").distinct()
-    return checks.series_present(t.events.select("user_id").distinct(), series, "user_id")
+    """Every customer is a query, every pair of user and event type a series."""
+    series = t.events.select("user_id", "event_type").distinct()
+    return checks.series_present(t.customer.select(F.col("c_custkey").alias("user_id")), series, "user_id")
 
 
 @query(
@@ -397,16 +405,39 @@ def budgets(t: Tables) -> DataFrame:
       (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
     UNION ALL SELECT 'orders without customer', count(*) = 0, count(*) FROM
       (SELECT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer) GROUP BY 1)
+    UNION ALL SELECT 'big orders', count(*) = 0, count(*) FROM orders WHERE o_totalprice > 100000
     UNION ALL SELECT 'broken check', false, 0
+    UNION ALL SELECT 'failing check', false, 0
     """,
 )
 def all_checks(t: Tables) -> DataFrame:
-    report = checks.run_checks(
+    """One check cannot be planned, one fails while it runs, one finds far more than a screenful."""
+    return _checked(t).report.select("check", "passed", "violations")
+
+
+def _checked(t: Tables) -> checks.CheckReport:
+    big = t.orders.filter(F.col("o_totalprice") > 100_000).select("o_orderkey")
+    return checks.run_checks(
         t.spark,
         {
             "duplicate line keys": lambda: checks.duplicates(t.lineitem, "l_orderkey", "l_linenumber"),
             "orders without customer": lambda: checks.referential_check(t.orders, "o_custkey", t.customer, "c_custkey"),
+            "failing check": lambda: t.orders.select(F.raise_error(F.lit("no luck")).alias("x")),
+            "big orders": lambda: big,
             "broken check": lambda: t.orders.select("no_such_column"),
         },
     )
-    return report.select("check", "passed", "violations")
+
+
+@query(
+    "check_evidence",
+    """
+    SELECT 'big orders' AS "check", '{"o_orderkey":' || o_orderkey || '}' AS "row" FROM orders WHERE o_totalprice > 100000
+    UNION ALL SELECT 'orders without customer', '{"key":' || o_custkey || ',"rows":' || count(*) || '}' FROM orders
+      WHERE o_custkey NOT IN (SELECT c_custkey FROM customer) GROUP BY o_custkey
+    UNION ALL SELECT 'duplicate line keys', '{"l_orderkey":' || l_orderkey || ',"l_linenumber":' || l_linenumber || ',"count":' || count(*) || '}'
+      FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+    """,
+)
+def evidence(t: Tables) -> DataFrame:
+    return _checked(t).evidence

@@ -12,7 +12,7 @@ from tidemill.session import scratch_path
 
 
 def messages(t: Tables) -> DataFrame:
-    """Three record shapes in one nested message per turn; the whole text is the command of every fourth."""
+    """Three record shapes in one nested message per turn; every message carries its whole text, every fourth as the command."""
     turn, length = F.col("turn"), F.length("text")
     plain = F.struct(
         F.lit("tool_call").alias("type"), F.col("role").alias("tool_name"),
@@ -34,13 +34,14 @@ def messages(t: Tables) -> DataFrame:
             (turn * 100 + 50 + length % 1000).alias("total_tokens"), (turn * 70 + 40).alias("cached_tokens"),
         ).alias("payload"),
     )
-    content = F.array(F.to_json(called), F.to_json(answered), F.to_json(used))
+    said = F.struct(F.lit("text").alias("type"), F.struct(F.col("text").alias("text"), F.array("text", F.lit("x")).alias("parts")).alias("payload"))
+    content = F.array(F.to_json(called), F.to_json(said), F.to_json(answered), F.to_json(used))
     message = F.concat(F.lit('{"content":['), F.array_join(content, ","), F.lit('],"inner":{"calls":['), F.to_json(plain), F.lit("]}}"))
     return t.conversations.select("conv_id", "turn", message.alias("message"))
 
 
 def _calls(t: Tables) -> DataFrame:
-    return messages(t).select("conv_id", "turn", sessions.extract_calls(F.col("message")).alias("calls"))
+    return sessions.extract_calls(messages(t), "message").select("conv_id", "turn", "calls")
 
 
 @query(
@@ -151,13 +152,19 @@ def budget(t: Tables) -> DataFrame:
 @query(
     "command_expectations",
     """
-    SELECT '^list' AS pattern, 'forbidden' AS kind FROM (SELECT count(*) AS n FROM conversations) WHERE n > 0
-    UNION ALL SELECT '#never#', 'required'
+    WITH c AS (SELECT conv_id, max(turn) AS turns FROM conversations GROUP BY 1)
+    SELECT conv_id, '^run system' AS pattern, 'forbidden' AS kind FROM conversations WHERE role = 'system' AND turn % 4 <> 3 AND conv_id % 5 <> 0 GROUP BY 1
+    UNION ALL SELECT conv_id, '^run assistant$', 'required' FROM conversations GROUP BY 1
+      HAVING NOT bool_or(role = 'assistant' AND turn % 4 <> 3 AND conv_id % 5 <> 0)
+    UNION ALL SELECT conv_id, '#never#', 'required' FROM c
     """,
 )
 def command_rules(t: Tables) -> DataFrame:
+    """Rules per session; every fifth session has no commands at all."""
+    none = F.col("calls").withField("commands", F.array().cast("array<string>"))
+    calls = _calls(t).withColumn("calls", F.when(F.col("conv_id") % 5 == 0, none).otherwise(F.col("calls")))
     return sessions.command_expectations(
-        _calls(t), forbidden=["^list", "#nothing#"], expected=["^run (user|assistant)$", "#never#"]
+        calls, forbidden=["^run system", "#nothing#"], expected=["^run assistant$", "#never#"], by=["conv_id"]
     )
 
 

@@ -81,6 +81,24 @@ def qualified(spark: SparkSession, path: str) -> str:
     return files.makeQualified(target).toString()
 
 
+def publish_folder(spark: SparkSession, staged: str, target: str, overwrite: bool = False) -> None:
+    """Give a finished folder its public name; what had the name before is put back if that fails, else removed."""
+    files, new = _on_file_system(spark, staged)
+    _, public = _on_file_system(spark, target)
+    old = spark._jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}.old-{uuid.uuid4().hex}")
+    held = files.exists(public)
+    if held and not overwrite:
+        raise FileExistsError(f"{target} already exists")
+    if held and not files.rename(public, old):
+        raise OSError(f"{target} cannot be replaced")
+    if not files.rename(new, public):
+        if held:
+            files.rename(old, public)
+        raise OSError(f"{staged} cannot become {target}")
+    if held:
+        files.delete(old, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: cuts the lineage and survives executor loss."""
     context = df.sparkSession.sparkContext

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _COLUMNS = "database string, table string, column string, type string, is_partition boolean"
@@ -38,13 +38,34 @@ def catalog_search(spark: SparkSession, keyword: str, databases: list[str] | Non
     return found.filter(F.concat_ws(" ", "database", "table", "column").rlike("(?i)" + re.escape(keyword)))
 
 
+# Fixed value: the folder name of the NULL partition.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
 def partition_filter(spark: SparkSession, table: str, predicate: str | None = None) -> DataFrame:
-    """Partitions of a table; the predicate is on partition columns, so only listed folders are touched."""
-    keys = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-    rows = spark.table(table)
-    if predicate:
-        rows = rows.filter(F.expr(predicate))
-    return rows.select(*keys).distinct()
+    """Registered partitions of a table, empty ones included: the partition columns and each one's ``location``.
+
+    Everything comes from the catalog; no data file is opened.  The predicate may name partition columns only.
+    The catalog is asked for the location of each partition that the predicate leaves.
+    """
+    keys = [(c.name, c.dataType) for c in spark.catalog.listColumns(table) if c.isPartition]
+
+    def value(i: int) -> Column:
+        shown = F.regexp_extract(F.get(F.split("partition", "/"), F.lit(i)), "^[^=]*=(.*)$", 1)
+        return F.when(shown != NO_VALUE, F.url_decode(F.replace(shown, F.lit("+"), F.lit("%2B"))))
+
+    rows = spark.sql(f"SHOW PARTITIONS {table}").select(*[value(i).cast(kind).alias(name) for i, (name, kind) in enumerate(keys)])
+    rows = rows.filter(F.expr(predicate)) if predicate else rows
+    found = [(*r, _partition_location(spark, table, dict(zip([k for k, _ in keys], r)))) for r in rows.collect()]
+    return spark.createDataFrame(found, ", ".join(f"`{name}` {kind}" for name, kind in [*keys, ("location", "string")]))
+
+
+def _partition_location(spark: SparkSession, table: str, values: dict) -> str:
+    spec = ", ".join("`{}`={}".format(k, "NULL" if v is None else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'") for k, v in values.items())
+    database, _, name = table.rpartition(".")
+    within = f" IN {database}" if database else ""
+    text = spark.sql(f"SHOW TABLE EXTENDED{within} LIKE '{name.strip('`')}' PARTITION ({spec})").first()["information"]
+    return re.search(r"^Location: (.*)$", text, re.M).group(1)
 
 
 def table_preview(spark: SparkSession, table: str, order: list[str], n: int = 100) -> DataFrame:
