@@ -228,5 +228,7 @@ def read_documents(manifest: DataFrame, id_kind: str = "bigint") -> DataFrame:
                 columns = [index.column("doc_id").combine_chunks(), pa.array(first + row["start"]), pa.array(length), pa.array(crc, pa.int64())]
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
-    spread = manifest.select("path", "start").repartition(F.col("path"))
+    # by number, so that as many tasks read as have written, however short the manifest
+    parts = max(1, manifest.agg(F.count_distinct("part")).first()[0])
+    spread = manifest.select("path", "start").repartition(parts, "path")
     return spread.mapInArrow(run, out)
