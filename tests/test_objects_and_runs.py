@@ -127,10 +127,13 @@ def test_cycles_end(spark):
     assert [(r.node, r.depth, r.expanded) for r in lines] == [
         ("a", 0, True), ("u", 1, True), ("w", 2, True), ("u", 3, False), ("v", 2, True), ("a", 3, False),
     ]
-    with pytest.raises(RuntimeError):
-        runs.tree_expand(edges, start, max_rounds=2)
-    with pytest.raises(RuntimeError):
-        runs.closure(edges, start, max_rounds=1)
+
+
+def test_a_chain_is_followed_to_its_end(spark):
+    edges = spark.createDataFrame([(f"n{i}", f"n{i + 1}", 0) for i in range(40)], "parent string, child string, place int")
+    start = spark.createDataFrame([("n0", 0)], "node string, place int")
+    assert as_set(runs.closure(edges, start)) == {(f"n{i}", i) for i in range(41)}
+    assert runs.tree_expand(edges, start).agg({"depth": "max"}).first()[0] == 40
 
 
 def test_clear(spark):

@@ -49,16 +49,38 @@ def test_only_heavy_keys_are_cut(spark, frame, rows):
     timed = frame.withColumn("ts", F.timestamp_seconds("t"))
     heavy = ordering.heavy_keys(timed, ["k"], "ts", rows=25)
     names = {r.k for r in timed.filter(heavy.covers(["k"])).collect()}
-    assert names == {"hot", None} and 1 < heavy.seconds < 1000
+    assert names == {"hot", None} and all(cuts for _, cuts in heavy.cuts)
     assert len(ordering.heavy_keys(timed, ["k"], "ts", rows=25, at_most=1).hashes) == 1
-    assert ordering.heavy_keys(timed, ["k"], "ts") == ordering.HeavyKeys((), 1)
-    assert ordering.heavy_keys(timed, ["k"], "ts", rows=25, least=9999).seconds == 9999
+    assert ordering.heavy_keys(timed, ["k"], "ts", rows=10**6) == ordering.HeavyKeys()
     got = as_set(
         ordering.with_previous(timed, ["k"], ["t", "id"], ["s"], heavy.slice(["k"], F.col("ts"))).select("id", "previous.s")
     )
     assert got == {(b[2], a[3] if a else None) for g in by_key(rows).values() for a, b in zip([None, *g], g)}
 
 
+def test_a_burst_is_cut_where_its_rows_are(spark):
+    """A key with 99 of 100 rows in one minute of ten years, others beside it."""
+    rng = random.Random(8)
+    burst = [("hot", 150_000_000 + rng.random() * 60, i) for i in range(990)] + [("hot", rng.random() * 315_000_000, 990 + i) for i in range(10)]
+    rows = burst + [(f"k{i % 7}", rng.random() * 315_000_000, 2000 + i) for i in range(70)]
+    frame = spark.createDataFrame(rows, "k string, sec double, id int").withColumn("ts", F.timestamp_micros((F.col("sec") * 1_000_000).cast("long")))
+    heavy = ordering.heavy_keys(frame, ["k"], "ts", rows=100)
+    sizes = [r["count"] for r in frame.filter(heavy.covers(["k"])).groupBy(heavy.slice(["k"], F.col("ts"))).count().collect()]
+    assert sum(sizes) == 1000 and max(sizes) <= 200
+    paired = ordering.with_previous(frame, ["k"], ["ts", "id"], ["id"], heavy.slice(["k"], F.col("ts")))
+    got = {(r.id, r.previous.id if r.previous else None) for r in paired.select("id", "previous").collect()}
+    ordered = {}
+    for k, sec, i in sorted(rows, key=lambda r: (r[0], int(r[1] * 1_000_000), r[2])):
+        ordered.setdefault(k, []).append(i)
+    assert got == {(b, a) for ids in ordered.values() for a, b in zip([None, *ids], ids)}
+    samples = frame.withColumn("value", F.col("id") % 13)
+    plain = {r.id: r.rate for r in series.counter_rate(samples, ["k"], 30).collect()}
+    cut = {r.id: r.rate for r in series.counter_rate(samples, ["k"], 30, heavy=heavy).collect()}
+    assert cut.keys() == plain.keys()
+    for i, rate in plain.items():
+        assert (rate is None) == (cut[i] is None) and (rate is None or cut[i] == pytest.approx(rate))
+
+
 @pytest.mark.parametrize("gap", [5, 40, 400])
 def test_sessions_of_heavy_keys(spark, frame, gap):
     timed = frame.withColumn("ts", F.timestamp_seconds(F.col("t") - F.col("t") % 5))
@@ -159,14 +181,14 @@ def brute_rate(samples, window):
     return want
 
 
-@pytest.mark.parametrize("slice_seconds", [0, 600, 5000])
-def test_counter_rate(spark, slice_seconds):
+@pytest.mark.parametrize("bound", [0, 7, 100])
+def test_counter_rate(spark, bound):
     rng = random.Random(5)
     keys = ["hot"] * 150 + ["a", "b"] * 20
     times = rng.sample(range(20_000), len(keys))
     samples = [(k, t, i, rng.randrange(50)) for i, (k, t) in enumerate(zip(keys, times))]
     df = spark.createDataFrame(samples, "k string, sec int, id int, value int").withColumn("ts", F.timestamp_seconds("sec"))
-    heavy = ordering.heavy_keys(df, ["k"], "ts", rows=100, least=slice_seconds) if slice_seconds else None
+    heavy = ordering.heavy_keys(df, ["k"], "ts", rows=bound) if bound else None
     got = {r.id: r.rate for r in series.counter_rate(df, ["k"], 600, heavy=heavy).collect()}
     want = brute_rate(samples, 600)
     assert got.keys() == want.keys()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from statistics import NormalDist
 
 from pyspark.sql import Column
@@ -30,3 +31,21 @@ def critical_z(confidence: float) -> float:
     if not 0 < confidence < 1:
         raise ValueError("confidence lies between 0 and 1")
     return NormalDist().inv_cdf(0.5 + confidence / 2)
+
+
+def chi_square_p(statistic: Column, df: int) -> Column:
+    """The upper tail of the chi-square distribution, in its closed form for whole degrees of freedom."""
+    half = statistic / 2
+    if df % 2 == 0:
+        term, total = F.lit(1.0), F.lit(1.0)
+        for i in range(1, df // 2):
+            term = term * half / i
+            total = total + term
+        return F.exp(-half) * total
+    root = F.sqrt(statistic)
+    tail, term = two_sided_p(root), root
+    density = F.exp(-half) * math.sqrt(2 / math.pi)
+    for i in range(1, (df - 1) // 2 + 1):
+        tail = tail + density * term
+        term = term * statistic / (2 * i + 1)
+    return tail

@@ -205,50 +205,31 @@ def same_multiset(left: DataFrame, right: DataFrame) -> DataFrame:
 def column_statistics(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
     """One row per column: rows, nulls, distinct values, min, max, average and longest text.
 
-    The exact form reduces each column to its distinct values with counts (one map-side
-    aggregate per column) before anything is compared; ``approximate`` does all
-    columns in a single pass with a sketch for the distinct count.
+    All columns share one scan.  The exact distinct counts expand its rows once, by column, and are reduced map-side to
+    one row per value and task; ``approximate`` counts distinct values by a sketch instead.
     """
     if not columns:
         raise ValueError("no columns to describe")
-    if approximate:
-        aggregates = []
-        for i, c in enumerate(columns):
-            text = cell_text(df, c)
-            aggregates += [
-                F.count_if(F.col(c).isNull()).alias(f"_nulls{i}"),
-                F.approx_count_distinct(c).alias(f"_distinct{i}"),
-                F.min(c).cast("string").alias(f"_min{i}"), F.max(c).cast("string").alias(f"_max{i}"),
-                F.avg(F.when(F.col(c).isNotNull(), F.length(text))).alias(f"_avg{i}"),
-                F.max(F.when(F.col(c).isNotNull(), F.length(text))).alias(f"_long{i}"),
-            ]
-        one = df.agg(F.count(F.lit(1)).alias("_rows"), *aggregates)
-        rows = [
-            F.struct(
-                F.lit(c).alias("column"), F.col("_rows").alias("rows"), F.col(f"_nulls{i}").alias("nulls"),
-                F.col(f"_distinct{i}").alias("distinct_values"), F.col(f"_min{i}").alias("min_value"),
-                F.col(f"_max{i}").alias("max_value"), F.col(f"_avg{i}").alias("avg_length"),
-                F.col(f"_long{i}").alias("max_length"),
-            )
-            for i, c in enumerate(columns)
+    distinct = F.approx_count_distinct if approximate else F.count_distinct
+    aggregates = []
+    for i, c in enumerate(columns):
+        length = F.when(F.col(c).isNotNull(), F.length(cell_text(df, c)))
+        aggregates += [
+            F.count_if(F.col(c).isNull()).alias(f"_nulls{i}"), distinct(F.col(c)).alias(f"_distinct{i}"),
+            F.min(c).cast("string").alias(f"_min{i}"), F.max(c).cast("string").alias(f"_max{i}"),
+            F.avg(length).alias(f"_avg{i}"), F.max(length).alias(f"_long{i}"),
         ]
-        return one.select(F.inline(F.array(*rows)))
-    parts = []
-    for c in columns:
-        per_value = df.groupBy(F.col(c).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-        filled = F.col("_v").isNotNull()
-        length = F.when(filled, F.length(cell_text(per_value, "_v")))
-        parts.append(
-            per_value.agg(
-                F.sum("_n").alias("rows"),
-                F.coalesce(F.sum(F.when(~filled, F.col("_n"))), F.lit(0)).alias("nulls"),
-                F.count("_v").alias("distinct_values"),
-                F.min("_v").cast("string").alias("min_value"), F.max("_v").cast("string").alias("max_value"),
-                (F.sum(length * F.col("_n")) / F.nullif(F.sum(F.when(filled, F.col("_n"))), F.lit(0))).alias("avg_length"),
-                F.max(length).alias("max_length"),
-            ).select(F.lit(c).alias("column"), "*")
+    one = df.agg(F.count(F.lit(1)).alias("_rows"), *aggregates)
+    rows = [
+        F.struct(
+            F.lit(c).alias("column"), F.col("_rows").alias("rows"), F.col(f"_nulls{i}").alias("nulls"),
+            F.col(f"_distinct{i}").alias("distinct_values"), F.col(f"_min{i}").alias("min_value"),
+            F.col(f"_max{i}").alias("max_value"), F.col(f"_avg{i}").alias("avg_length"),
+            F.col(f"_long{i}").alias("max_length"),
         )
-    return reduce(DataFrame.unionByName, parts)
+        for i, c in enumerate(columns)
+    ]
+    return one.select(F.inline(F.array(*rows)))
 
 
 def count_by(df: DataFrame, *by: Column | str) -> DataFrame:

@@ -11,14 +11,15 @@ units meet each other, and joins of raw events to units go through ``skew_join``
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.functions.stats import critical_z, two_sided_p
+from tidemill.functions.stats import chi_square_p, critical_z, two_sided_p
 from tidemill.functions.time import time_literal
-from tidemill.operators.skew import skew_join
+from tidemill.operators.skew import skew_join, small_side
+from tidemill.session import materialize
 
 
 def canonical_source(
@@ -61,6 +62,14 @@ def first_exposure(
     )
 
 
+def until(df: DataFrame, time: str, day: date | None) -> DataFrame:
+    """The rows up to the end of a day; all rows without one."""
+    if day is None:
+        return df
+    end = datetime(day.year, day.month, day.day) + timedelta(days=1)
+    return df.filter(F.col(time) < time_literal(end, df.schema[time].dataType.simpleString()))
+
+
 def exposure_join(
     events: DataFrame, first: DataFrame, event_id: str, unit: str = "unit", time: str = "ts"
 ) -> DataFrame:
@@ -76,12 +85,17 @@ def unit_totals(
     measures: Mapping[str, Column],
     unit: str = "unit",
     group: str = "group",
+    as_of: date | None = None,
+    time: str = "ts",
 ) -> DataFrame:
     """One row per exposed unit with summed measures; units without events keep zeros.
 
+    With ``as_of`` the result is that of the end of this day: later events and units exposed later do not count yet.
+
     ``measures`` are per-event columns over the joined row (``first_ts`` included),
     zero or NULL where an event does not count.
     """
+    events, first = until(events, time, as_of), until(first, "first_ts", as_of)
     joined = skew_join(events, first.select(unit, "first_ts"), [unit], salt_on=[event_id])
     sums = joined.groupBy(unit).agg(*[F.sum(c).alias(n) for n, c in measures.items()])
     kept = first.select(unit, group).join(sums, unit, "left")
@@ -120,13 +134,16 @@ def funnel_metric(
     """Units reaching each step in order: a step counts only after the previous one's time.
 
     One aggregate per step instead of an ordered walk through a unit's events, so
-    a unit with most of the events stays spread out.
+    a unit with most of the events stays spread out.  Each step's one time per unit is
+    written down, so no step is worked out again for the next ones.
     """
-    reached = events.filter(steps[0]).groupBy(unit).agg(F.min(time).alias("_at"))
+    reached = materialize(events.filter(steps[0]).groupBy(unit).agg(F.min(time).alias("_at")))
     stages = [reached]
     for step in steps[1:]:
-        later = skew_join(events.filter(step).select(unit, time, event_id), reached, [unit], salt_on=[event_id])
-        reached = later.filter(F.col(time) > F.col("_at")).groupBy(unit).agg(F.min(time).alias("_at"))
+        found = events.filter(step).select(unit, time, event_id)
+        side = small_side(reached)
+        later = skew_join(found, reached, [unit], salt_on=[event_id]) if side is None else found.join(side, unit)
+        reached = materialize(later.filter(F.col(time) > F.col("_at")).groupBy(unit).agg(F.min(time).alias("_at")))
         stages.append(reached)
     rows = [s.agg(F.count(F.lit(1)).alias("units")).withColumn("step", F.lit(i)) for i, s in enumerate(stages, 1)]
     counts = rows[0]
@@ -149,11 +166,12 @@ def dimensional_exposures(first: DataFrame, dimension: Column, group: str = "gro
     return first.groupBy(dimension.alias("dimension"), group).agg(F.count(F.lit(1)).alias("units"))
 
 
-def sample_ratio_mismatch(first: DataFrame, split: Mapping[str, float], group: str = "group") -> DataFrame:
-    """Chi-square of the observed groups against the planned split; one row.
+def sample_ratio_mismatch(
+    first: DataFrame, split: Mapping[str, float], group: str = "group", severities: Mapping[str, float] | None = None
+) -> DataFrame:
+    """Chi-square of the observed groups against the planned split, its p-value and severity; one row.
 
-    With two groups (one degree of freedom) the p-value is exact in its normal form;
-    with more it stays NULL and the statistic is to be read against ``df``.
+    The severity is the first of ``severities`` (name to greatest p-value, most severe first) that the p-value does not exceed, else ``none``.
     """
     observed = [
         F.count(F.when(F.col(group) == name, 1)).alias(f"_n{i}") for i, name in enumerate(split)
@@ -166,14 +184,18 @@ def sample_ratio_mismatch(first: DataFrame, split: Mapping[str, float], group: s
         expected = F.col("_total") * (share / total_share)
         parts.append((F.col(f"_n{i}") - expected) * (F.col(f"_n{i}") - expected) / expected)
     chi = sum(parts[1:], parts[0])
-    p = two_sided_p(F.sqrt(F.col("chi_square"))) if len(split) == 2 else F.lit(None).cast("double")
-    return (
-        counts.withColumn("_total", total)
-        .withColumn("chi_square", chi)
-        .select(
-            F.col("_total").alias("units"), "chi_square", F.lit(len(split) - 1).alias("df"), p.alias("p_value")
-        )
+    df = len(split) - 1
+    tested = counts.withColumn("_total", total).withColumn("chi_square", chi).select(
+        F.col("_total").alias("units"), "chi_square", F.lit(df).alias("df"), chi_square_p(F.col("chi_square"), df).alias("p_value")
     )
+    severity = F.lit("none")
+    for name, most in reversed((severities or SEVERITIES).items()):
+        severity = F.when(F.col("p_value") <= most, name).otherwise(severity)
+    return tested.withColumn("severity", severity)
+
+
+# from this p-value down a mismatch is called by the name; ours, since nobody else's are published
+SEVERITIES = {"high": 0.001, "medium": 0.01, "low": 0.05}
 
 
 def arm_moments(units: DataFrame, value: str, by: Sequence[str] = (), group: str = "group") -> DataFrame:
@@ -249,6 +271,32 @@ def ratio_pulse(
     return compare_arms(moments, control, test, confidence, by, group)
 
 
+def _arm_pairs(units: DataFrame, value: str, covariate: str, group: str) -> DataFrame:
+    """Per arm: n, means, variances and the covariance of a value and its covariate."""
+    y, x = F.col(value).cast("double"), F.col(covariate).cast("double")
+    return units.groupBy(group).agg(
+        F.count(F.lit(1)).alias("n"), F.avg(y).alias("_my"), F.avg(x).alias("_mx"),
+        F.var_samp(y).alias("_vy"), F.var_samp(x).alias("_vx"), F.covar_samp(y, x).alias("_cyx"),
+    )
+
+
+def _pooled(arms: DataFrame) -> DataFrame:
+    """The arms with theta = cov(y, x) / var(x) and the covariate's mean over all of them.
+
+    Pooled sums of products are those within the arms plus those between their means; the window spans the arms, a row each.
+    """
+    everything = Window.partitionBy()
+    total = F.sum("n").over(everything)
+    mean = lambda c: F.sum(F.col("n") * F.col(c)).over(everything) / total
+    placed = arms.withColumn("_cy", mean("_my")).withColumn("covariate_mean", mean("_mx"))
+    dx, dy = F.col("_mx") - F.col("covariate_mean"), F.col("_my") - F.col("_cy")
+    within = lambda c: (F.col("n") - 1) * F.coalesce(c, F.lit(0.0))
+    placed = placed.withColumn("_sxx", F.sum(within("_vx") + F.col("n") * dx * dx).over(everything))
+    placed = placed.withColumn("_sxy", F.sum(within("_cyx") + F.col("n") * dx * dy).over(everything))
+    theta = F.coalesce(F.col("_sxy") / F.nullif("_sxx", F.lit(0.0)), F.lit(0.0))
+    return placed.withColumn("theta", theta).drop("_cy", "_sxx", "_sxy")
+
+
 def cuped_theta(units: DataFrame, value: str, covariate: str) -> DataFrame:
     """theta = cov(y, x) / var(x) over all units, and the covariate's mean; one row."""
     y, x = F.col(value).cast("double"), F.col(covariate).cast("double")
@@ -262,32 +310,26 @@ def cuped(
     units: DataFrame, value: str, covariate: str, control: str, test: str,
     confidence: float = 0.95, group: str = "group",
 ) -> DataFrame:
-    """Pulse on the adjusted value y - theta (x - mean(x)).
+    """Pulse on the adjusted value y - theta (x - mean(x)); every unit needs both numbers.
 
     The adjustment is linear, so the arms' means, variances and covariances carry
     everything: one aggregate over the units, then arithmetic on one row per arm.
     """
-    y, x = F.col(value).cast("double"), F.col(covariate).cast("double")
-    arms = units.groupBy(group).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(y).alias("_my"), F.avg(x).alias("_mx"),
-        F.var_samp(y).alias("_vy"), F.var_samp(x).alias("_vx"), F.covar_samp(y, x).alias("_cyx"),
-    )
-    # one row, read back as two numbers: config for the second step
-    pooled = cuped_theta(units, value, covariate).first()
-    theta, centre = F.lit(pooled["theta"]), F.lit(pooled["covariate_mean"])
+    arms = _pooled(_arm_pairs(units, value, covariate, group))
+    theta = F.col("theta")
     moments = arms.select(
-        group, "n",
-        (F.col("_my") - theta * (F.col("_mx") - centre)).alias("mean"),
+        group, "n", "theta",
+        (F.col("_my") - theta * (F.col("_mx") - F.col("covariate_mean"))).alias("mean"),
         (F.col("_vy") - 2 * theta * F.col("_cyx") + theta * theta * F.col("_vx")).alias("variance"),
     )
-    return compare_arms(moments, control, test, confidence, (), group).withColumn("theta", theta)
+    return compare_arms(moments, control, test, confidence, ["theta"], group)
 
 
 def daily_pulse(
-    joined: DataFrame, first: DataFrame, value: Column, control: str, test: str,
+    joined: DataFrame, value: Column, control: str, test: str,
     confidence: float = 0.95, unit: str = "unit", group: str = "group", time: str = "ts",
 ) -> DataFrame:
-    """Pulse per day over the units active that day."""
+    """Pulse per day over the units active that day: those with an event, each with its day's total."""
     per_unit = joined.groupBy(F.to_date(time).alias("ds"), unit, group).agg(F.sum(value).alias("_value"))
     return pulse(per_unit, "_value", control, test, confidence, by=["ds"], group=group)
 

@@ -7,6 +7,7 @@ one summary row per slice across the cuts.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -22,36 +23,54 @@ def order_struct(order: Sequence[str]) -> Column:
 
 @dataclass(frozen=True)
 class HeavyKeys:
-    """Keys too large for one task, by hash, and the width of the time slices they are cut into."""
+    """Keys too large for one task, by hash, each with the moments (in microseconds) at which it is cut."""
 
-    hashes: tuple[int, ...]
-    seconds: int
+    cuts: tuple[tuple[int, tuple[int, ...]], ...] = ()
+
+    @property
+    def hashes(self) -> tuple[int, ...]:
+        return tuple(key for key, _ in self.cuts)
 
     def covers(self, keys: Sequence[str]) -> Column:
         return F.xxhash64(*keys).isin(list(self.hashes))
 
     def slice(self, keys: Sequence[str], moment: Column) -> Column:
-        """The slice number of a heavy key's row; NULL, meaning uncut, for all other keys."""
-        return F.when(self.covers(keys), F.floor(F.unix_seconds(moment.cast("timestamp")) / F.lit(self.seconds)))
+        """The slice number of a heavy key's row, NULL for all other keys: one more than the key's cuts before the moment."""
+        table = F.from_json(F.lit(json.dumps({str(k): c for k, c in self.cuts})), "map<string, array<bigint>>")
+        own = F.try_element_at(table, F.xxhash64(*keys).cast("string"))
+        at = F.unix_micros(moment.cast("timestamp"))
+        # the moment's place among the cuts; a lambda here would hide its columns from the optimizer
+        return F.when(self.covers(keys), F.array_position(F.array_sort(F.array_append(own, at)), at))
 
 
-def heavy_keys(
-    df: DataFrame, keys: Sequence[str], time: str, rows: int = 2_000_000, at_most: int = 10_000, least: int = 1
-) -> HeavyKeys:
-    """Keys with more than ``rows`` rows, and a slice width that gives their slices about that many.
+def heavy_keys(df: DataFrame, keys: Sequence[str], time: str, rows: int | None = None, at_most: int = 1_000) -> HeavyKeys:
+    """Keys with more than ``rows`` rows, cut at quantiles of their own times.
 
-    The densest of them sets the width; ``least`` is a lower bound for it.  Only the
-    ``at_most`` largest keys are listed, so what reaches the driver is bounded, and a
-    key left out owns at most 1/``at_most`` of the rows.  One pass over the key and
-    time columns, reduced in the map tasks.
+    A slice holds about ``rows`` rows however they crowd together; only rows of one and the same
+    microsecond are never parted.  ``rows`` is twice an even share of the shuffle partitions by default.  Counts and quantiles
+    are reduced in the map tasks; at most ``at_most`` keys, and all in all one cut per ``rows`` rows, reach the driver, and a key left
+    out owns at most 1/``at_most`` of the rows.
     """
-    moment = F.unix_seconds(F.col(time).cast("timestamp"))
-    load = df.groupBy(F.xxhash64(*keys).alias("key")).agg(
-        F.count(moment).alias("n"), F.min(moment).alias("lo"), F.max(moment).alias("hi")
-    )
-    found = load.filter(F.col("n") > rows).orderBy(F.col("n").desc(), "key").limit(at_most).collect()
-    widths = [(r.hi - r.lo + 1) * rows // r.n for r in found]
-    return HeavyKeys(tuple(r.key for r in found), max([least, min(widths, default=least)]))
+    moment = F.unix_micros(F.col(time).cast("timestamp"))
+    key = F.xxhash64(*keys).alias("key")
+    load = df.groupBy(key).agg(F.count(moment).alias("n"))
+    if rows is None:
+        total = load.agg(F.sum("n")).first()[0] or 0
+        rows = max(1, 2 * total // int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    found = {r.key: r.n for r in load.filter(F.col("n") > rows).orderBy(F.col("n").desc(), "key").limit(at_most).collect()}
+    if not found:
+        return HeavyKeys()
+    parts = -(-max(found.values()) // rows)
+    shares = [i / parts for i in range(1, parts)]
+    own = df.filter(F.xxhash64(*keys).isin(list(found))).groupBy(key)
+    cut = {r.key: r.at for r in own.agg(F.percentile_approx(moment, shares, 50 * parts).alias("at")).collect()}
+    return HeavyKeys(tuple((k, _spread(cut[k], -(-n // rows))) for k, n in found.items()))
+
+
+def _spread(cuts: Sequence[int], slices: int) -> tuple[int, ...]:
+    """The cuts that part a key into about ``slices`` slices, out of even ones for more slices; equal ones once."""
+    parts = len(cuts) + 1
+    return tuple(sorted({cuts[i * parts // slices - 1] for i in range(1, slices) if i * parts // slices}))
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -78,14 +97,15 @@ def top_n_per_group(
     order: Sequence[Column],
     n: int,
     salt_on: Sequence[str],
-    salts: int = 64,
+    salts: int | None = None,
     rank_name: str = "rank",
 ) -> DataFrame:
     """The first ``n`` rows of each group, ranked, in two steps.
 
     Each (group, salt) keeps its own first ``n``; the final ranking then sees at
-    most ``salts * n`` rows of a group, whatever the group's size.
+    most ``salts * n`` rows of a group, whatever the group's size.  There are as many salts as shuffle partitions.
     """
+    salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*salt_on), F.lit(salts)))
     local = Window.partitionBy(*groups, "_salt").orderBy(*order)
     final = Window.partitionBy(*groups).orderBy(*order)

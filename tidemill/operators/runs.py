@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.time import time_literal
 from tidemill.operators.skew import dimension_join, hot_keys, skew_join
-from tidemill.session import materialize
+from tidemill.session import materialize, materialize_counted
 
 # What a backfill re-runs besides missing dates.
 REPROCESS = {"none": (), "failed": ("failed",), "completed": ("failed", "success")}
@@ -66,29 +66,28 @@ def roots(nodes: DataFrame, edges: DataFrame, node: str = "node") -> DataFrame:
     return nodes.join(children, node, "left_anti")
 
 
-def closure(edges: DataFrame, seeds: DataFrame, direction: str = "downstream", max_rounds: int = 1000) -> DataFrame:
+def closure(edges: DataFrame, seeds: DataFrame, direction: str = "downstream") -> DataFrame:
     """Every node reachable from the seeds, with its least distance (0 for a seed).
 
     Breadth first: each round joins only the newest nodes and drops those already
-    known, so shared descendants are visited once and cycles end.  Rounds are
-    written to the checkpoint folder, which keeps the plan short; a hub's edges are
+    known, so shared descendants are visited once and cycles end, however deep the graph.  A round is
+    one write to the checkpoint folder, which keeps the plan short and counts its rows on the way; a hub's edges are
     spread by its children.
     """
     source, target = ("parent", "child") if direction == "downstream" else ("child", "parent")
     steps = materialize(edges.select(F.col(source).alias("node"), F.col(target).alias("_next")).distinct())
     hot = cache(lambda: hot_keys(steps, ["node"]))
     known = materialize(seeds.select("node").distinct().withColumn("distance", F.lit(0)))
-    newest = known
-    for distance in range(1, max_rounds + 1):
-        taken = dimension_join(steps, newest.select("node"), ["node"], "left_semi", hot=hot)
+    newest, size, distance = known, None, 0
+    while size != 0:
+        distance += 1
+        taken = dimension_join(steps, newest.select("node"), ["node"], "left_semi", hot=hot, rows=size)
         found = taken.select(F.col("_next").alias("node")).distinct()
-        newest = materialize(found.join(known, "node", "left_anti").withColumn("distance", F.lit(distance)))
-        if newest.isEmpty():
-            return known
-        known = known.unionByName(newest)
+        newest, size = materialize_counted(found.join(known, "node", "left_anti").withColumn("distance", F.lit(distance)))
+        known = known.unionByName(newest) if size else known
         if distance % ROUNDS_KEPT == 0:
             known = materialize(known)
-    raise RuntimeError(f"the graph is deeper than {max_rounds}")
+    return known
 
 
 def clear_selection(
@@ -118,9 +117,7 @@ def clear_selection(
     return skew_join(rows, chosen.distinct().withColumnRenamed("node", task), [task], how="left_semi")
 
 
-def tree_expand(
-    edges: DataFrame, start: DataFrame, place: str = "place", max_rounds: int = 100
-) -> DataFrame:
+def tree_expand(edges: DataFrame, start: DataFrame, place: str = "place") -> DataFrame:
     """The depth-first outline of a graph, each node expanded once.
 
     ``start`` is (node, place): the roots in order.  Result rows: path (the places
@@ -138,24 +135,21 @@ def tree_expand(
     hot = cache(lambda: hot_keys(links, ["parent"]))
     firsts = start.select("node", F.array(F.col(place).cast("long")).alias("path"))
     best = materialize(firsts.groupBy("node").agg(F.min("path").alias("path")))
-    changed = best
-    for _ in range(max_rounds):
+    changed, size = best, None
+    while size != 0:
         offered = (
-            dimension_join(links, changed.withColumnRenamed("node", "parent"), ["parent"], "inner", hot=hot)
+            dimension_join(links, changed.withColumnRenamed("node", "parent"), ["parent"], "inner", hot=hot, rows=size)
             .select("node", F.concat("path", F.array("_place")).alias("path"))
             .groupBy("node").agg(F.min("path").alias("path"))
         )
         current = best.withColumnRenamed("path", "_known")
-        changed = materialize(
+        changed, size = materialize_counted(
             offered.join(current, "node", "left")
             .filter(F.col("_known").isNull() | (F.col("path") < F.col("_known")))
             .select("node", "path")
         )
-        if changed.isEmpty():
-            break
-        best = materialize(best.unionByName(changed).groupBy("node").agg(F.min("path").alias("path")))
-    else:
-        raise RuntimeError(f"the graph is deeper than {max_rounds}")
+        if size:
+            best = materialize(best.unionByName(changed).groupBy("node").agg(F.min("path").alias("path")))
     at = best.select("node", F.col("path").alias("_home"))
     parents = best.withColumnRenamed("node", "parent")
     below = dimension_join(links, parents, ["parent"], "inner", hot=hot).select(

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.time import time_literal
-from tidemill.operators.ordering import HeavyKeys, with_previous
+from tidemill.operators.ordering import HeavyKeys, as_of_join, with_previous
+from tidemill.session import materialize
 
 # The value a dashboard's "all" selection and interval macro stand for.
 ALL_VALUE = ".+"
@@ -111,46 +113,35 @@ def counter_rate(
     counting as a reset to zero, over the time between its first and last sample.
     One sample gives NULL.  There is no extrapolation to the window's edges.
 
-    ``(series, time)`` is unique.  A ``heavy`` series is cut into slices at least one
-    window wide, and each slice also gets the rows of the previous one that its
-    windows reach back to, so the series is not confined to one task.  The work is
-    linear however dense the samples are: increases are summed once from the slice's
-    start, and a marker at the start of every window picks up the first sample at or
-    after it in one backward sweep.
+    ``(series, time)`` is unique.  The work is linear however dense the samples are: increases are summed once
+    from the series' start, and a marker at the start of every window picks up the first sample at or
+    after it in one backward sweep.  A ``heavy`` series does the same slice by slice.
     """
+    if heavy is not None and heavy.hashes:
+        is_heavy = heavy.covers(series)
+        light = counter_rate(samples.filter(~is_heavy), series, window_seconds, time, value)
+        return light.unionByName(_sliced_rate(samples.filter(is_heavy), series, window_seconds, time, value, heavy))
     stamp = F.unix_micros(F.col(time).cast("timestamp"))
     reach = F.lit(window_seconds * 1_000_000)
-    rows = samples.select(
+    placed = samples.select(
         *series, stamp.alias("_at"), F.col(value).alias("_value"), F.struct(*samples.columns).alias("_row")
     )
-    if heavy is not None and heavy.hashes:
-        span = F.lit(max(window_seconds, heavy.seconds) * 1_000_000)
-        rows = rows.withColumn("_home", F.when(heavy.covers(series), F.floor(F.col("_at") / span)))
-        needed_next = F.col("_at") + reach >= (F.col("_home") + 1) * span
-        slices = F.when(needed_next, F.array(F.col("_home"), F.col("_home") + 1)).otherwise(F.array("_home"))
-    else:
-        rows = rows.withColumn("_home", F.lit(None).cast("long"))
-        slices = F.array("_home")
-    placed = rows.withColumn("_slice", F.explode(slices))
-
-    forward = Window.partitionBy(*series, "_slice").orderBy("_at")
+    forward = Window.partitionBy(*series).orderBy("_at")
     before = F.lag("_value").over(forward)
     rise = F.when(F.col("_value") < before, F.col("_value")).otherwise(F.col("_value") - before)
     so_far = forward.rowsBetween(Window.unboundedPreceding, 0)
     summed = placed.withColumn("_rise", F.coalesce(rise, F.col("_value") - F.col("_value"))).withColumn(
         "_sum", F.sum("_rise").over(so_far)
     )
-    at_home = F.col("_slice").eqNullSafe(F.col("_home"))
     point = F.struct(F.col("_at").alias("at"), F.col("_sum").alias("sum"))
     sample = F.struct(F.col("_at").alias("time"), point.alias("point"), F.lit(None).cast(samples.schema).alias("row"))
     marker = F.struct((F.col("_at") - reach).alias("time"), F.lit(None).cast("void").alias("point"), F.col("_row").alias("row"))
-    both = F.when(at_home, F.array(sample, marker)).otherwise(F.array(sample))
-    merged = summed.select(*series, "_slice", point.alias("_own"), F.explode(both).alias("_m")).select(
-        *series, "_slice", "_own", "_m.*"
+    merged = summed.select(*series, point.alias("_own"), F.explode(F.array(sample, marker)).alias("_m")).select(
+        *series, "_own", "_m.*"
     )
     # backwards, a sample comes ahead of a marker of the same time
     backward = (
-        Window.partitionBy(*series, "_slice")
+        Window.partitionBy(*series)
         .orderBy(F.col("time").desc(), F.col("row").isNotNull())
         .rowsBetween(Window.unboundedPreceding, 0)
     )
@@ -162,6 +153,41 @@ def counter_rate(
     )
 
 
+def _sliced_rate(
+    samples: DataFrame, series: Sequence[str], window_seconds: int, time: str, value: str, heavy: HeavyKeys
+) -> DataFrame:
+    """The rate of heavy series: no step holds more than a slice of one.
+
+    The increase over the previous sample, a running sum within the slice on top of the earlier slices' totals, and
+    the first sample of the window as an as-of match along the reversed time.
+    """
+    row = F.struct(*samples.columns).alias("_row")
+    slots = samples.select(*series, F.unix_micros(F.col(time).cast("timestamp")).alias("_at"), F.col(value).alias("_value"), row)
+    cut = heavy.slice(series, F.timestamp_micros("_at"))
+    paired = with_previous(slots, series, ["_at"], ["_value"], cut, name="_before")
+    before = F.col("_before._value")
+    rise = F.when(F.col("_value") < before, F.col("_value")).otherwise(F.col("_value") - before)
+    risen = paired.select(*series, "_at", "_row", F.coalesce(rise, F.col("_value") - F.col("_value")).alias("_rise"))
+    # written down: three steps read it, and the slices of a series are many
+    risen = materialize(risen.withColumn("_slice", cut))
+    totals = risen.groupBy(*series, "_slice").agg(F.sum("_rise").alias("_total"))
+    earlier = Window.partitionBy(*series).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.withColumn("_carried", F.sum("_total").over(earlier)).drop("_total")
+    so_far = Window.partitionBy(*series, "_slice").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    summed = risen.withColumn("_sum", F.sum("_rise").over(so_far)).alias("a").join(
+        carried.alias("b"), reduce(Column.__and__, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in [*series, "_slice"]])
+    )
+    total = F.col("_sum") + F.coalesce("_carried", F.col("_sum") - F.col("_sum"))
+    points = summed.select(*[F.col(f"a.{c}").alias(c) for c in series], "_at", "_row", total.alias("_sum"))
+    back = lambda c: -heavy.slice(series, F.timestamp_micros(-c))
+    versions = points.select(*series, (-F.col("_at")).alias("_then"), F.struct("_at", "_sum").alias("_point"))
+    facts = points.withColumn("_now", F.lit(window_seconds * 1_000_000) - F.col("_at"))
+    matched = as_of_join(facts, versions, series, "_now", "_then", back, name="_first")
+    elapsed = (F.col("_at") - F.col("_first._point._at")) / F.lit(1_000_000)
+    rate = (F.col("_sum") - F.col("_first._point._sum")).cast("double") / elapsed
+    return matched.select(*[F.col("_row")[c].alias(c) for c in samples.columns], F.when(elapsed > 0, rate).alias("rate"))
+
+
 def last_not_null(
     samples: DataFrame, series: Sequence[str], time: str = "ts", value: str = "value", tiebreak: Sequence[str] = ()
 ) -> DataFrame:

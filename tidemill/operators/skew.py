@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 HOT_KEYS = 100
 LEAST_SALTS = 32
 SMALL_ROWS = 100_000
+SMALL_BYTES = 64 << 20
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], at_most: int = HOT_KEYS) -> list[int]:
@@ -65,12 +66,14 @@ def _output(facts: DataFrame, keyed: DataFrame, keys: Sequence[str], how: str) -
     return [*facts.columns, *[c for c in keyed.columns if c not in keys]]
 
 
-def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame | None:
-    """A broadcast hint, given only after counting that the side is small; else None.
+def small_side(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> DataFrame | None:
+    """A broadcast hint, given only after measuring that the side is small in rows and in bytes; else None.
 
-    The count stops at ``max_rows + 1`` rows.
+    One job that reads at most ``max_rows + 1`` rows.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else None
+    size = F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("long"))
+    rows, length = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
+    return F.broadcast(df) if rows <= max_rows and length <= max_bytes else None
 
 
 def dimension_join(
@@ -80,12 +83,20 @@ def dimension_join(
     how: str = "left",
     max_rows: int = SMALL_ROWS,
     hot: Callable[[], list[int]] | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
-    """A keyed dimension joined by broadcast where it is counted to be small, else by ``skew_join``.
+    """A keyed dimension joined by broadcast where it is measured to be small, else by ``skew_join``.
 
-    On a stream a large dimension goes through Spark's own stream-static join.
+    ``rows`` is its row count where the caller knows it; such a side must be narrow.
+    A stream reads its dimension anew for every batch, so no hint is kept for it: Spark's own stream-static
+    join decides batch by batch.
     """
-    side = small_side(dimension, max_rows)
+    if facts.isStreaming:
+        side = None
+    elif rows is not None:
+        side = F.broadcast(dimension) if rows <= max_rows else None
+    else:
+        side = small_side(dimension, max_rows)
     if side is None and not facts.isStreaming:
         return skew_join(facts, dimension, keys, how=how, hot=hot() if hot else None)
     joined = facts.join(dimension if side is None else side, list(keys), how)

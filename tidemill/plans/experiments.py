@@ -111,26 +111,26 @@ def _post(t: Tables) -> DataFrame:
     return x.exposure_join(_events(t), _first(t), "event_id")
 
 
-def _units(t: Tables) -> DataFrame:
+def _units(t: Tables, as_of: date | None = None) -> DataFrame:
     after = F.col("ts") >= F.col("first_ts")
     measures = {
         "y": F.when((F.col("event_type") == "purchase") & after, F.col("value")),
         "n_events": F.when(after, 1).otherwise(0),
         "x": F.when(~after, F.col("value")),
     }
-    return x.unit_totals(_events(t), _first(t), "event_id", measures)
+    return x.unit_totals(_events(t), _first(t), "event_id", measures, as_of=as_of)
 
 
 @query(
     "canonical_source",
     """
     SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS ds, user_id AS "userID", event_type AS metric, value AS amount
-    FROM events WHERE value > 50
+    FROM events
     """,
 )
 def source(t: Tables) -> DataFrame:
     rows = x.canonical_source(
-        t.events.filter(F.col("value") > 50), "ts", {"userID": "user_id"},
+        t.events, "ts", {"userID": "user_id"},
         {"event_type": "metric", "value": "amount"}, timestamp_as_day=True,
     )
     return rows.select(F.date_format("ts", "yyyy-MM-dd").alias("ds"), "userID", "metric", "amount")
@@ -277,6 +277,23 @@ def mismatch(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "sample_ratio_mismatch_of_three",
+    _FIRST + """
+    , g AS (SELECT CASE WHEN unit % 5 = 0 THEN 'third' ELSE grp END AS grp, count(*) AS n FROM first GROUP BY 1),
+    e AS (SELECT grp, n, (SELECT sum(n) FROM g) * CASE grp WHEN 'third' THEN 0.2 ELSE 0.4 END AS expected FROM g),
+    s AS (SELECT CAST(sum(n) AS BIGINT) AS units, sum((n - expected) * (n - expected) / expected) AS chi FROM e)
+    SELECT units, 2 AS df, round(chi, 6) AS chi_square, round(exp(-chi / 2), 6) AS p_value,
+           CASE WHEN exp(-chi / 2) <= 0.001 THEN 'high' WHEN exp(-chi / 2) <= 0.01 THEN 'medium' WHEN exp(-chi / 2) <= 0.05 THEN 'low' ELSE 'none' END AS severity
+    FROM s
+    """,
+)
+def mismatch_of_three(t: Tables) -> DataFrame:
+    group = F.when(F.col("unit") % 5 == 0, "third").otherwise(F.col("group"))
+    rows = x.sample_ratio_mismatch(_first(t).withColumn("group", group), {"control": 2, "test": 2, "third": 1})
+    return rows.select("units", "df", F.round("chi_square", 6).alias("chi_square"), F.round("p_value", 6).alias("p_value"), "severity")
+
+
 @query(
     "pulse",
     _UNITS + """
@@ -287,6 +304,19 @@ def pulse(t: Tables) -> DataFrame:
     return _rounded(x.pulse(_units(t), "y", "control", "test"))
 
 
+@query(
+    "pulse_as_of",
+    _UNITS.replace("FROM first f LEFT JOIN events e ON e.user_id = f.unit", """FROM (SELECT * FROM first WHERE first_ts < TIMESTAMP '2024-01-21') f
+      LEFT JOIN (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-21') e ON e.user_id = f.unit""")
+    + """
+    , m AS (SELECT grp, count(*) AS n, CAST(sum(y) AS DOUBLE) / count(*) AS mean, var_samp(y) AS variance FROM units GROUP BY 1)
+    """ + _comparison() + f"SELECT {_shown()} FROM d",
+)
+def earlier_pulse(t: Tables) -> DataFrame:
+    """The result as it stood at the end of a day."""
+    return _rounded(x.pulse(_units(t, date(2024, 1, 20)), "y", "control", "test"))
+
+
 @query(
     "ratio_pulse",
     _UNITS + """
@@ -320,7 +350,7 @@ def adjusted(t: Tables) -> DataFrame:
     """ + _comparison("ds") + f"SELECT strftime(ds, '%Y-%m-%d') AS ds, {_shown()} FROM d",
 )
 def by_day(t: Tables) -> DataFrame:
-    rows = x.daily_pulse(_post(t), _first(t), F.col("value"), "control", "test")
+    rows = x.daily_pulse(_post(t), F.col("value"), "control", "test")
     return _rounded(rows.withColumn("ds", F.col("ds").cast("string")), "ds")
 
 

@@ -405,15 +405,17 @@ def both_modes(t: Tables) -> DataFrame:
 
 @query(
     "change_feed",
-    _LATEST.replace("SELECT *", "SELECT user_id, event_id, 'snapshot' AS phase").replace("FROM events", "FROM events WHERE ts < TIMESTAMP '2024-01-15'")
-    + " UNION ALL SELECT user_id, event_id, 'change' FROM events WHERE ts >= TIMESTAMP '2024-01-15'",
+    "SELECT user_id, event_id, phase FROM ("
+    + _LATEST.replace("SELECT *", "SELECT user_id, event_id, 'snapshot' AS phase, event_type").replace("FROM events", "FROM events WHERE ts < TIMESTAMP '2024-01-15'")
+    + ") WHERE event_type <> 'error' UNION ALL SELECT user_id, event_id, 'change' FROM events WHERE ts >= TIMESTAMP '2024-01-15'",
 )
 def feed(t: Tables) -> DataFrame:
-    """A change table read from a point on: the state up to there, then every change behind it."""
+    """A change table read from a point on: the state up to there, then every change behind it.  Errors delete."""
     from datetime import datetime
 
-    rows = t.events.select("user_id", "ts", "event_id")
-    return keyed.change_feed(rows, KEYS, ORDER, "ts", datetime(2024, 1, 15)).select("user_id", "event_id", "phase")
+    rows = t.events.select("user_id", "ts", "event_id", "event_type")
+    feed = keyed.change_feed(rows, KEYS, ORDER, "ts", datetime(2024, 1, 15), is_delete=F.col("event_type") == "error")
+    return feed.select("user_id", "event_id", "phase")
 
 
 @query(

@@ -105,3 +105,13 @@ def materialize(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """The same, with the number of rows, counted while they are written."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    seen = Observation()
+    stored = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return stored, seen.get["rows"]

@@ -74,15 +74,17 @@ def changelog_sink(
         batch = batch.persist()
         rows = batch.select(*batch.columns, F.lit(True).alias("_new"))
         if path_exists(spark, table):
-            past = read_keyed_table(spark, table, keys, order, before_batch=batch_id)
+            # only the touched keys' rows are sorted out: the semi join comes first, the aggregate after
+            stored = spark.read.parquet(table).filter(F.col("batch_id") < batch_id).drop("batch_id")
             touched = batch.select(*keys).distinct()
-            rows = past.join(touched, list(keys), "left_semi").select(
-                *batch.columns, F.lit(False).alias("_new")
-            ).unionByName(rows)
-        log = to_changelog(rows, keys, [*order, "_new"], values, is_delete, slice_by)
-        log.filter(F.col("_new")).drop("_new").write.mode("overwrite").parquet(f"{changes}/batch_id={batch_id}")
-        store(batch, batch_id)
-        batch.unpersist()
+            past = current_state(stored.join(touched, list(keys), "left_semi"), keys, order)
+            rows = past.select(*batch.columns, F.lit(False).alias("_new")).unionByName(rows)
+        try:
+            log = to_changelog(rows, keys, [*order, "_new"], values, is_delete, slice_by)
+            log.filter(F.col("_new")).drop("_new").write.mode("overwrite").parquet(f"{changes}/batch_id={batch_id}")
+            store(batch, batch_id)
+        finally:
+            batch.unpersist()
 
     return write
 
@@ -158,16 +160,18 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 
 def change_feed(
-    changes: DataFrame, keys: Sequence[str], order: Sequence[str], time: str, start: datetime, snapshot: bool = True
+    changes: DataFrame, keys: Sequence[str], order: Sequence[str], time: str, start: datetime, snapshot: bool = True,
+    is_delete: Column | None = None,
 ) -> DataFrame:
     """A change table from ``start`` on, with a ``phase``.
 
     The first rows are the ``snapshot`` of what the earlier changes left (one row per
-    key), the rest every later ``change`` in full; without a snapshot, only the latter.
+    key, none where the last earlier change was a delete), the rest every later ``change`` in full, deletes included; without a
+    snapshot, only the latter.
     """
     mark = time_literal(start, changes.schema[time].dataType.simpleString())
     later = changes.filter(F.col(time) >= mark).withColumn("phase", F.lit("change"))
     if not snapshot:
         return later
-    held = latest_per_key(changes.filter(F.col(time) < mark), keys, order)
+    held = current_state(changes.filter(F.col(time) < mark), keys, order, is_delete)
     return held.withColumn("phase", F.lit("snapshot")).unionByName(later)

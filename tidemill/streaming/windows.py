@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.operators.ordering import HeavyKeys, as_of_join, with_previous
-from tidemill.operators.skew import dimension_join
+from tidemill.operators.skew import dimension_join, skew_join
 
 
 def watermarked(df: DataFrame, time: str, delay: str) -> DataFrame:
@@ -114,9 +114,9 @@ def interval_join(
             return F.floor(F.unix_seconds(c.cast("timestamp")) / F.lit(width))
 
         spread = left.withColumn("_bucket", F.explode(F.sequence(bucket(low), bucket(high))))
-        placed = other.withColumn("_r_bucket", bucket(F.col(right_time)))
-        joined = spread.join(placed, [*same, F.col("_bucket") == F.col("_r_bucket"), inside], "inner")
-        joined = joined.drop("_bucket", "_r_bucket")
+        placed = right.withColumn("_bucket", bucket(F.col(right_time)))
+        # a bucket that holds most of the left rows is spread over as many tasks as there are salts
+        return skew_join(spread, placed, [*keys, "_bucket"], salt_on=left.columns).filter(inside).drop("_bucket")
     return joined.drop(*[f"_r_{k}" for k in keys])
 
 
