@@ -73,11 +73,11 @@ class Bins:
                 insort(open_bins, (room - need, number))
 
     def search(self, steps: int) -> None:
-        """Shift tokens out of the emptiest bins, as long as that empties them.
+        """Shift tokens out of the emptier of two bins, the emptiest first, until bins are empty.
 
         A step moves an item, swaps one for one or two for one between two underfull bins; each is
         taken only if the sum of squared fills grows, so the search cannot turn in circles.
-        It stops at the volume bound, at ``steps`` steps, or when no emptiest bin can be emptied further.
+        It stops at the volume bound, at ``steps`` steps, or when no bin can improve any other.
         """
         need = -(-sum(self.lengths) // self.capacity)
         used = sum(1 for b in self.items if b)
@@ -88,13 +88,15 @@ class Bins:
             if source is None:
                 break
             partners = sorted(sources, key=lambda b: (-self.free[b], b))[:PARTNERS]
+            before = steps
             while self.items[source] and steps > 0 and self._improve(source, partners):
                 steps -= 1
+            if steps < before:  # what was stuck may have room or a partner now
+                stuck.clear()
             if self.items[source]:
                 stuck.add(source)
             else:
                 used -= 1
-                stuck.clear()
 
     def _improve(self, source: int, partners: list[int]) -> bool:
         """The step out of ``source`` that fills another bin best; False where there is none."""

@@ -143,14 +143,14 @@ def parse_transcripts(
     def read(group: pd.DataFrame) -> list[int]:
         return [SHOWS.index(read_line(t)[0]) for t in group["line"]]
 
-    def sum_up(key, group: pd.DataFrame) -> pd.DataFrame:
+    def sum_up(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("at")
         ways = [block_matrix(read(group), first).ravel().tolist() for first in (True, False)]
         return pd.DataFrame({"conv_id": [key[0]], "block": [key[1]], "begun": [ways[0]], "carried": [ways[1]]})
 
     sums = placed.groupBy("conv_id", "block").applyInPandas(sum_up, f"conv_id {kind}, block long, begun array<double>, carried array<double>")
 
-    def chain(key, group: pd.DataFrame) -> pd.DataFrame:
+    def chain(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("block")
         size = len(STATES)
         told = [group["begun"].iloc[0], *group["carried"].iloc[1:]]
@@ -160,7 +160,7 @@ def parse_transcripts(
     ways = sums.groupBy("conv_id").applyInPandas(chain, f"conv_id {kind}, block long, before array<double>, last int")
     both = _beside(placed, materialize(ways), ["conv_id", "block"])
 
-    def decode(key, group: pd.DataFrame) -> pd.DataFrame:
+    def decode(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("at")
         seen = [read_line(t) for t in group["line"]]
         head = not any(group["before"].iloc[0])

@@ -136,9 +136,8 @@ def fit_grid(classes: DataFrame, threshold: float) -> Grid | None:
     return Grid(grid.halves, 1.5 * furthest * 4 / BINS + 0.01)
 
 
-def _compare(grid_key: tuple, group: pd.DataFrame, threshold: float) -> pd.DataFrame:
+def _compare(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
     """Links of one block of a cell with one block of its visitors: partial counts and a spanning forest."""
-    cell = grid_key[0]
     home, guest = group[group["home"]], group[~group["home"]]
     columns = ["node", "links", "into"]
     if not len(home) or not len(guest):
@@ -168,7 +167,6 @@ def _compare(grid_key: tuple, group: pd.DataFrame, threshold: float) -> pd.DataF
     np.add.at(links, g_at, g_links)
     np.add.at(links, h_at, h_links)
     told = (links > 0) | (label != np.arange(len(nodes)))
-    del cell
     return pd.DataFrame({"node": nodes[told], "links": links[told], "into": nodes[label][told]})
 
 
@@ -236,7 +234,7 @@ def _links(classes: DataFrame, threshold: float) -> DataFrame:
     guest = placed.withColumn("cell", F.explode("visits")).join(sizes, "cell").withColumn("g", spread("gs")).withColumn("h", every("hs"))
     both = home.withColumn("home", F.lit(True)).select(*columns).unionByName(guest.withColumn("home", F.lit(False)).select(*columns))
 
-    def compare(key, group: pd.DataFrame) -> pd.DataFrame:
-        return _compare(key, group, threshold)
+    def compare(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        return _compare(group, threshold)
 
     return both.groupBy("cell", "h", "g").applyInPandas(compare, "node long, links long, into long")
