@@ -237,4 +237,6 @@ def _links(classes: DataFrame, threshold: float) -> DataFrame:
     def compare(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         return _compare(group, threshold)
 
-    return both.groupBy("cell", "h", "g").applyInPandas(compare, "node long, links long, into long")
+    # dealt out by block: a join by cell alone would leave all blocks of a hot cell in one task
+    dealt = both.repartition("cell", "h", "g")
+    return dealt.groupBy("cell", "h", "g").applyInPandas(compare, "node long, links long, into long")
