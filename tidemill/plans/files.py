@@ -89,20 +89,51 @@ def fixtures(t: Tables) -> DataFrame:
     """
     SELECT * FROM (VALUES ('events', 'value', 'string', 'double', 'updated'), ('events', 'extra', 'int', NULL, 'updated'),
       ('old', 'a', 'int', NULL, 'deleted'), ('events', 'event_type', NULL, 'string', 'updated')) v("table", "column", old_type, new_type, change)
-    UNION ALL SELECT 'parts', 'p_name', NULL, 'string', 'created'
+    UNION ALL SELECT DISTINCT 'priority_' || left(o_orderpriority, 1), 'o_clerk', NULL, 'string', 'created' FROM orders
     """,
 )
 def discovered(t: Tables) -> DataFrame:
-    """Schemas inferred from written JSON, against a catalog that lags behind."""
+    """Tables found below a folder (one for each priority that orders have), against a catalog that lags behind."""
     path = scratch_path(t.spark, "crawl")
-    t.events.select("event_id", "event_type", "value").write.json(f"{path}/events")
-    t.part.select("p_name").write.json(f"{path}/parts")
-    found = [files.schema_table(t.spark.read.json(f"{path}/{name}"), name) for name in ("events", "parts")]
+    t.events.select("event_id", "event_type", "value").write.partitionBy("event_type").json(f"{path}/events")
+    for (priority,) in t.orders.select("o_orderpriority").distinct().collect():
+        own = t.orders.filter(F.col("o_orderpriority") == priority).select(F.concat(F.lit("clerk "), "o_orderkey").alias("o_clerk"))
+        own.write.json(f"{path}/priority_{priority[0]}")
+    found = files.discover_tables(t.spark, path, "json").drop("is_partition")
     known = t.spark.createDataFrame(
         [("events", "event_id", "bigint"), ("events", "value", "string"), ("events", "extra", "int"), ("old", "a", "int")],
         "table string, column string, type string",
     )
-    return files.discover_schema(found[0].unionByName(found[1]), known)
+    return files.discover_schema(found, known)
+
+
+@query(
+    "discover_partitions",
+    "SELECT event_type, strftime(ts, '%Y-%m-%d') AS day, CAST(1 AS BIGINT) AS files, true AS filled FROM events GROUP BY 1, 2",
+)
+def found_partitions(t: Tables) -> DataFrame:
+    """Partitions read off the paths of written files."""
+    path = scratch_path(t.spark, "parts")
+    days = t.events.select("event_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    days.repartition("event_type", "day").write.partitionBy("event_type", "day").json(path)
+    found = files.discover_partitions(t.spark, path)
+    return found.select(F.col("values")["event_type"].alias("event_type"), F.col("values")["day"].alias("day"), "files", (F.col("size") > 0).alias("filled"))
+
+
+@query(
+    "object_head_files",
+    """
+    SELECT source, md5(array_to_string(string_split(string_agg(text, chr(10) ORDER BY doc_id), chr(10))[1:4], chr(10))) AS digest,
+           CAST(sum(strlen(text) + 1) AS BIGINT) AS length FROM documents GROUP BY 1
+    """,
+)
+def heads(t: Tables) -> DataFrame:
+    """The first lines of the file that holds a source's texts; of a file no more than its first 64 KiB are read."""
+    path = scratch_path(t.spark, "heads")
+    t.documents.repartition("source").sortWithinPartitions("source", "doc_id").select("source", "text").write.partitionBy("source").text(path)
+    read = files.object_head(t.spark, path, lines=4)
+    source = F.regexp_extract("path", "/source=([^/]*)/", 1)
+    return read.select(source.alias("source"), F.md5(F.encode("head", "UTF-8")).alias("digest"), "length")
 
 
 @query("upload_table", "SELECT c_mktsegment, count(*) AS customers, max(c_custkey) AS last FROM customer GROUP BY 1")

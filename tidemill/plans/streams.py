@@ -105,9 +105,9 @@ def dedupe_stream(t: Tables) -> DataFrame:
     return once.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
 
 
-@query("file_sink", "SELECT event_id, event_type FROM events WHERE value >= 40")
+@query("file_sink", "SELECT event_id, event_type FROM events")
 def file_sink(t: Tables) -> DataFrame:
-    kept = t.stream("events").filter(F.col("value") >= 40).select("event_id", "event_type")
+    kept = t.stream("events").select("event_id", "event_type")
     path = scratch_path(t.spark, "sink")
     runs.bounded_run(kept, path, scratch_path(t.spark, "progress"), fmt="json", partitions=_partitions(t))
     return t.spark.read.schema("event_id bigint, event_type string").json(path)
@@ -168,6 +168,33 @@ def expiring(t: Tables) -> DataFrame:
     return log.groupBy("user_id", "op", "v").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query(
+    "state_expired",
+    _CHANGELOG.replace("PARTITION BY user_id", "PARTITION BY user_id, ts < TIMESTAMP '2024-01-15'")
+    + "SELECT user_id, op, v, count(*) AS rows FROM log GROUP BY 1, 2, 3",
+)
+def expired(t: Tables) -> DataFrame:
+    """State that lives for a second: what arrives seconds later finds no image and starts anew."""
+    import time
+
+    source, log, progress = (scratch_path(t.spark, n) for n in ("source", "log", "progress"))
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = t.spark.conf.get(provider)
+    keyed.use_rocksdb(t.spark)
+    early = F.col("ts") < F.lit("2024-01-15").cast("timestamp")
+    try:
+        for part in (early, ~early):
+            t.events.filter(part).coalesce(1).write.mode("append").parquet(source)
+            stream = runs.replay(t.spark, source, t.events.schema, event_time="ts")
+            marked = stream.withColumn("v", F.round(F.col("value") / 50, 0)).withColumn("gone", F.col("event_type") == "error")
+            changes = keyed.expiring_changelog(marked, KEYS, ORDER, ["v"], "gone", ttl_seconds=1)
+            runs.bounded_run(changes, log, progress, idle_batches=False, partitions=_partitions(t))
+            time.sleep(2)
+    finally:
+        t.spark.conf.set(provider, before)
+    return t.spark.read.parquet(log).groupBy("user_id", "op", "v").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query(
     "statement_set",
     """
@@ -353,13 +380,13 @@ def tail(t: Tables) -> DataFrame:
     "stream_join",
     """
     SELECT s.user_id, s.event_id AS signup_id, p.event_id AS purchase_id FROM events s JOIN events p ON s.user_id = p.user_id
-    AND s.event_type = 'signup' AND p.event_type = 'purchase' AND s.value > 60 AND p.value > 90
+    AND s.event_type = 'signup' AND p.event_type = 'purchase'
     """,
 )
 def joined_streams(t: Tables) -> DataFrame:
     """Two unbounded sides joined on their key alone."""
-    signups = t.stream("events").filter((F.col("event_type") == "signup") & (F.col("value") > 60))
-    bought = t.stream("events").filter((F.col("event_type") == "purchase") & (F.col("value") > 90))
+    signups = t.stream("events").filter(F.col("event_type") == "signup")
+    bought = t.stream("events").filter(F.col("event_type") == "purchase")
     pairs = windows.regular_join(
         signups.select("user_id", F.col("event_id").alias("signup_id")),
         bought.select("user_id", F.col("event_id").alias("purchase_id")), KEYS,

@@ -110,6 +110,30 @@ def fixture_files(spark: SparkSession, path: str, schema: str, streaming: bool =
     return reader.schema(schema).json(path)
 
 
+def discover_tables(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
+    """(table, column, type, is_partition): every folder below ``root`` that holds files is a table.
+
+    Folders named ``key=value`` are partitions, whose types are inferred.  Schemas are read by Spark, one table after the other.
+    """
+    found = file_inventory(spark, root).select(F.substring_index("key", "/", 1).alias("table"), "key").filter(F.col("key").contains("/"))
+    rows = []
+    for (table,) in found.select("table").distinct().orderBy("table").collect():  # one row per table
+        frame = spark.read.format(fmt).load(f"{root.rstrip('/')}/{table}")
+        keys = discover_partitions(spark, f"{root.rstrip('/')}/{table}").select(F.explode(F.map_keys("values"))).distinct()
+        parts = {r[0] for r in keys.collect()}
+        rows += [(table, f.name, f.dataType.simpleString(), f.name in parts) for f in frame.schema]
+    return spark.createDataFrame(rows, "table string, column string, type string, is_partition boolean")
+
+
+def discover_partitions(spark: SparkSession, path: str) -> DataFrame:
+    """(values, files, size): the partitions of a table's folder by the ``key=value`` steps of its files' paths."""
+    steps = F.filter(F.split(F.col("key"), "/"), lambda s: s.rlike("^[^=]+="))
+    pairs = F.transform(steps, lambda s: F.struct(F.substring_index(s, "=", 1).alias("k"), F.url_decode(F.regexp_replace(s, "^[^=]+=", "")).alias("v")))
+    listed = file_inventory(spark, path).select(pairs.alias("pairs"), "size")
+    grouped = listed.groupBy("pairs").agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("size"))
+    return grouped.select(F.map_from_entries("pairs").alias("values"), "files", "size")
+
+
 def discover_schema(discovered: DataFrame, known: DataFrame) -> DataFrame:
     """Column changes between a discovered and a known catalog: (table, column, change).
 

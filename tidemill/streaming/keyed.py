@@ -99,26 +99,24 @@ class _ExpiringImages(StatefulProcessor):
         self.last = handle.getValueState("last", self.image, ttlDurationMs=self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pending = pd.concat(list(rows), ignore_index=True).sort_values(self.order)
+        pending = pd.concat(list(rows), ignore_index=True).sort_values(self.order, ignore_index=True)
         old = tuple(self.last.get()) if self.last.exists() else None
-        before, out = old, []
-        for row in pending.to_dict("records"):
-            new = tuple(row[c] for c in self.columns)
-            if row[self.delete]:
-                if old is not None:
-                    out.append((DELETE, *old))
-                old = None
-            elif old is None:
-                out.append((INSERT, *new))
-                old = new
-            elif old != new:
-                out += [(UPDATE_BEFORE, *old), (UPDATE_AFTER, *new)]
-                old = new
-        if old is None and before is not None:
-            self.last.clear()
+        new, gone = pending[self.columns], pending[self.delete].astype(bool)
+        # what each row finds: the row before it, and the stored image in front of the first
+        found = new.shift(1)
+        if old is not None:
+            found = found.astype(object)
+            found.iloc[0] = list(old)
+        alive = ~gone.shift(1, fill_value=old is None).astype(bool)
+        same = ((new.reset_index(drop=True) == found) | (new.isna() & found.isna())).all(axis=1)
+        changed = ~gone & alive & ~same
+        kinds = [(DELETE, gone & alive, found), (INSERT, ~gone & ~alive, new), (UPDATE_BEFORE, changed, found), (UPDATE_AFTER, changed, new)]
+        shown = pd.concat([image[rows_].assign(op=op, _n=number) for number, (op, rows_, image) in enumerate(kinds)])
+        shown = shown.rename_axis("_row").sort_values(["_row", "_n"])[["op", *self.columns]]
+        if not gone.iloc[-1]:
+            self.last.update(tuple(new.iloc[-1].astype(object).where(new.iloc[-1].notna(), None)))
         elif old is not None:
-            self.last.update(old)
-        shown = pd.DataFrame(out, columns=["op", *self.columns])
+            self.last.clear()
         for name, value in zip(self._keys, key):
             shown.insert(0, name, value)
         yield shown
