@@ -22,7 +22,7 @@ from tidemill.session import materialize
 #: vectors that the codebooks are fitted on, at most
 FIT_ROWS = 16_384
 #: vectors whose true neighbours set the cutoff, at most
-PROBE_ROWS = 512
+PROBE_ROWS = 2_048
 #: vectors of a cell that one task compares with as many visitors
 BLOCK_ROWS = 1_024
 #: codewords of a half, at most: the codebooks are sent to every task
@@ -132,8 +132,8 @@ def fit_grid(classes: DataFrame, threshold: float) -> Grid | None:
 
     seen = map_rows(classes.select("unit"), [("bin", "int"), ("n", "bigint")], start).groupBy("bin").agg(F.sum("n").alias("n"))
     furthest = max((r.bin for r in seen.collect()), default=0)  # at most BINS + 1 rows
-    # all sampled neighbours lie within; half as much again for those that were not sampled
-    return Grid(grid.halves, 1.5 * furthest * 4 / BINS + 0.01)
+    # all sampled neighbours lie within; as much again for those that were not sampled
+    return Grid(grid.halves, 2 * furthest * 4 / BINS + 0.01)
 
 
 def _compare(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
