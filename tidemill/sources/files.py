@@ -115,13 +115,14 @@ def discover_tables(spark: SparkSession, root: str, fmt: str = "parquet") -> Dat
 
     Folders named ``key=value`` are partitions, whose types are inferred.  Schemas are read by Spark, one table after the other.
     """
-    found = file_inventory(spark, root).select(F.substring_index("key", "/", 1).alias("table"), "key").filter(F.col("key").contains("/"))
+    steps = F.filter(F.split(F.col("key"), "/"), lambda s: s.rlike("^[^=]+="))
+    named = F.transform(steps, lambda s: F.substring_index(s, "=", 1))
+    listed = file_inventory(spark, root).filter(F.col("key").contains("/")).select(F.substring_index("key", "/", 1).alias("table"), named.alias("keys"))
+    tables = listed.groupBy("table").agg(F.array_distinct(F.flatten(F.collect_set("keys"))).alias("keys")).orderBy("table")
     rows = []
-    for (table,) in found.select("table").distinct().orderBy("table").collect():  # one row per table
-        frame = spark.read.format(fmt).load(f"{root.rstrip('/')}/{table}")
-        keys = discover_partitions(spark, f"{root.rstrip('/')}/{table}").select(F.explode(F.map_keys("values"))).distinct()
-        parts = {r[0] for r in keys.collect()}
-        rows += [(table, f.name, f.dataType.simpleString(), f.name in parts) for f in frame.schema]
+    for table, keys in tables.collect():  # one row per table
+        schema = spark.read.format(fmt).load(f"{root.rstrip('/')}/{table}").schema
+        rows += [(table, f.name, f.dataType.simpleString(), f.name in keys) for f in schema]
     return spark.createDataFrame(rows, "table string, column string, type string, is_partition boolean")
 
 
