@@ -69,7 +69,7 @@ def test_token_counts(spark, folder):
 
 
 def test_token_files(spark, folder):
-    t, at, wanted = brute.tokenizer("byte_bpe_50k.json"), {}, []
+    t, at = brute.tokenizer("byte_bpe_50k.json"), {}
     found = queries.op10_token_files(spark, folder).collect()
     rows = rows_of(spark, folder)
     for k, x in rows:
@@ -81,7 +81,6 @@ def test_token_files(spark, folder):
         place += r.n_tokens
     keys = [r.doc_id for r in sorted(found, key=lambda r: r.start)]
     assert keys == sorted(keys, key=lambda k: (k is not None, k or 0))
-    del wanted
 
 
 def test_secrets(spark, folder):

@@ -63,6 +63,12 @@ def candidates(text: Column) -> Column:
     return F.when(text.rlike(_ANY), F.array_sort(F.concat(*base, *added))).otherwise(F.array().cast(SPANS))
 
 
+def _hashed(spans: Column) -> Column:
+    """Spans with their value's digest in place of the value."""
+    kept = ("start", "rank", "stop", "kind")
+    return F.transform(spans, lambda s: F.struct(*[s[c].alias(c) for c in kept], F.sha2(s["value"], 256).alias("hash")))
+
+
 def ownership(hits: DataFrame) -> DataFrame:
     """(hash, n_rows, n_repos, n_owners) of candidates (hash, repo, owner).
 
@@ -91,8 +97,7 @@ def scan_secrets(
         F.col(f"`{id_col}`").alias("doc_id"), (blank if repo is None else repo).alias("repo"), (blank if owner is None else owner).alias("owner"),
         F.coalesce(F.col(f"`{text_col}`"), blank).alias("text"),
     )
-    hashed = lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["stop"].alias("stop"), s["kind"].alias("kind"), F.sha2(s["value"], 256).alias("hash"))
-    rows = materialize(rows.select("doc_id", "repo", "owner", F.transform(candidates(F.col("text")), hashed).alias("found")))
+    rows = materialize(rows.select("doc_id", "repo", "owner", _hashed(candidates(F.col("text"))).alias("found")))
     rows = rows.withColumn("row", F.monotonically_increasing_id())  # fixed, since it numbers stored rows
     judged = _judged(rows, most_owners)
     return rows.join(judged, "row", "left").select("doc_id", F.coalesce("spans", F.array().cast(judged.schema["spans"].dataType)).alias("spans"))
@@ -125,8 +130,7 @@ def redact_secrets(
         F.struct("*").alias("input"), F.col(f"`{text_col}`").alias("text"),
         (blank if repo is None else repo).alias("repo"), (blank if owner is None else owner).alias("owner"),
     )
-    hashed = lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["stop"].alias("stop"), s["kind"].alias("kind"), F.sha2(s["value"], 256).alias("hash"))
-    rows = materialize(rows.withColumn("found", F.transform(candidates(text), hashed)))
+    rows = materialize(rows.withColumn("found", _hashed(candidates(text))))
     rows = rows.withColumn("row", F.monotonically_increasing_id())
     changed = rows.select("row", "input", "text").join(_judged(rows, most_owners), "row", "left")
     new = F.when(F.size("spans") > 0, _replaced(text, F.col("spans"))).otherwise(text)

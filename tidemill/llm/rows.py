@@ -1,11 +1,11 @@
-"""What the operators share: narrow inputs, row-wise Python steps, Parquet-free cuts of lineage."""
+"""What the operators share: narrow inputs, row-wise Python steps, bounded slices."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -47,7 +47,3 @@ def map_rows(df: DataFrame, fields: list[tuple[str, str]], function: Callable[[]
 
     return df.mapInArrow(run, schema)
 
-
-def same_id(left: str, right: str) -> Column:
-    """Equality of ids in which NULL equals NULL."""
-    return F.col(left).eqNullSafe(F.col(right))
