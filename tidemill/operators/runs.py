@@ -15,8 +15,6 @@ from tidemill.session import materialize, materialize_counted
 
 # What a backfill re-runs besides missing dates.
 REPROCESS = {"none": (), "failed": ("failed",), "completed": ("failed", "success")}
-# rounds of a graph search whose results are read side by side before they are folded into one
-ROUNDS_KEPT = 16
 
 
 def backfill_plan(
@@ -69,24 +67,23 @@ def roots(nodes: DataFrame, edges: DataFrame, node: str = "node") -> DataFrame:
 def closure(edges: DataFrame, seeds: DataFrame, direction: str = "downstream") -> DataFrame:
     """Every node reachable from the seeds, with its least distance (0 for a seed).
 
-    Breadth first: each round joins only the newest nodes and drops those already
-    known, so shared descendants are visited once and cycles end, however deep the graph.  A round is
-    one write to the checkpoint folder, which keeps the plan short and counts its rows on the way; a hub's edges are
-    spread by its children.
+    Breadth first: each round joins only the newest nodes, and the least distance of a node is the one
+    it was first reached at, so shared descendants are visited once and cycles end, however deep the graph.  A round is
+    one shuffle and one write to the checkpoint folder, which keeps the plan short and counts the newest nodes on the way; a
+    hub's edges are spread by its children.
     """
     source, target = ("parent", "child") if direction == "downstream" else ("child", "parent")
     steps = materialize(edges.select(F.col(source).alias("node"), F.col(target).alias("_next")).distinct())
     hot = cache(lambda: hot_keys(steps, ["node"]))
     known = materialize(seeds.select("node").distinct().withColumn("distance", F.lit(0)))
-    newest, size, distance = known, None, 0
+    size, distance = None, 0
     while size != 0:
+        newest = known.filter(F.col("distance") == distance).select("node")
         distance += 1
-        taken = dimension_join(steps, newest.select("node"), ["node"], "left_semi", hot=hot, rows=size)
-        found = taken.select(F.col("_next").alias("node")).distinct()
-        newest, size = materialize_counted(found.join(known, "node", "left_anti").withColumn("distance", F.lit(distance)))
-        known = known.unionByName(newest) if size else known
-        if distance % ROUNDS_KEPT == 0:
-            known = materialize(known)
+        taken = dimension_join(steps, newest, ["node"], "left_semi", hot=hot, rows=size)
+        found = taken.select(F.col("_next").alias("node"), F.lit(distance).alias("distance"))
+        reached = known.unionByName(found).groupBy("node").agg(F.min("distance").alias("distance"))
+        known, size = materialize_counted(reached, F.col("distance") == distance)
     return known
 
 
@@ -135,23 +132,17 @@ def tree_expand(edges: DataFrame, start: DataFrame, place: str = "place") -> Dat
     hot = cache(lambda: hot_keys(links, ["parent"]))
     firsts = start.select("node", F.array(F.col(place).cast("long")).alias("path"))
     best = materialize(firsts.groupBy("node").agg(F.min("path").alias("path")))
-    changed, size = best, None
+    size = None
     while size != 0:
-        offered = (
-            dimension_join(links, changed.withColumnRenamed("node", "parent"), ["parent"], "inner", hot=hot, rows=size)
-            .select("node", F.concat("path", F.array("_place")).alias("path"))
-            .groupBy("node").agg(F.min("path").alias("path"))
-        )
-        current = best.withColumnRenamed("path", "_known")
-        changed, size = materialize_counted(
-            offered.join(current, "node", "left")
-            .filter(F.col("_known").isNull() | (F.col("path") < F.col("_known")))
-            .select("node", "path")
-        )
-        if size:
-            best = materialize(best.unionByName(changed).groupBy("node").agg(F.min("path").alias("path")))
+        changed = best.select("node", "path") if size is None else best.filter("_new").select("node", "path")
+        offered = dimension_join(links, changed.withColumnRenamed("node", "parent"), ["parent"], "inner", hot=hot, rows=size)
+        offered = offered.select("node", F.concat("path", F.array("_place")).alias("path"), F.lit(None).cast("array<bigint>").alias("_known"))
+        both = best.select("node", "path", F.col("path").alias("_known")).unionByName(offered)
+        least = both.groupBy("node").agg(F.min("path").alias("path"), F.min("_known").alias("_known"))
+        least = least.select("node", "path", (F.col("_known").isNull() | (F.col("path") < F.col("_known"))).alias("_new"))
+        best, size = materialize_counted(least, F.col("_new"))
     at = best.select("node", F.col("path").alias("_home"))
-    parents = best.withColumnRenamed("node", "parent")
+    parents = best.select(F.col("node").alias("parent"), "path")
     below = dimension_join(links, parents, ["parent"], "inner", hot=hot).select(
         "node", F.concat("path", F.array("_place")).alias("path")
     )

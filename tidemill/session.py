@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 # folders of local sessions that name none, by application
 _OWN: dict[str, str] = {}
@@ -107,11 +107,12 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
-    """The same, with the number of rows, counted while they are written."""
+def materialize_counted(df: DataFrame, of: Column | None = None) -> tuple[DataFrame, int]:
+    """The same, with the number of rows (those ``of`` a condition), counted while they are written."""
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
 
     seen = Observation()
-    stored = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    counted = F.count(F.lit(1)) if of is None else F.count_if(of)
+    stored = materialize(df.observe(seen, counted.alias("rows")))
     return stored, seen.get["rows"]
