@@ -96,17 +96,30 @@ def json_objects(doc: Column, keep: Iterable[str] = ()) -> Column:
 
     @F.arrow_udf(OBJECTS)
     def unfold(docs: pa.Array) -> pa.Array:
-        return pa.array([_objects(text.as_py(), kept) for text in docs], type=_OBJECTS_TYPE)
+        paths, keys, parts = [], [], []
+        of_doc, of_object = [0], [0]
+        for text in docs.to_pylist():
+            for path, members in _objects(text, kept):
+                paths.append(path)
+                keys.extend(members)
+                parts.extend(members.values())
+                of_object.append(len(keys))
+            of_doc.append(len(paths))
+        columns = zip(*parts) if parts else ((), (), (), ())
+        arrays = [pa.array(list(c), type=kind) for c, kind in zip(columns, (pa.string(), pa.string(), pa.int32(), pa.int32()))]
+        values = pa.StructArray.from_arrays(arrays, names=["kind", "text", "at", "place"])
+        members = pa.MapArray.from_arrays(pa.array(of_object, pa.int32()), pa.array(keys, pa.string()), values)
+        objects = pa.StructArray.from_arrays([pa.array(paths, pa.string()), members], names=["path", "members"])
+        return pa.ListArray.from_arrays(pa.array(of_doc, pa.int32()), objects)
 
     return unfold(doc)
 
 
-_MEMBER_TYPE = pa.struct([("kind", pa.string()), ("text", pa.string()), ("at", pa.int32()), ("place", pa.int32())])
-_OBJECTS_TYPE = pa.list_(pa.struct([("path", pa.string()), ("members", pa.map_(pa.string(), _MEMBER_TYPE))]))
 _KINDS = {str: "string", bool: "boolean", int: "number", float: "number", dict: "object", list: "array", type(None): "null"}
 
 
-def _objects(text: str | None, keep: frozenset[str]) -> list[dict]:
+def _objects(text: str | None, keep: frozenset[str]) -> list[tuple[str, dict]]:
+    """(path, members) of every object; a member is (kind, text, at, place)."""
     try:
         root = json.loads(text)
     except (TypeError, ValueError):
@@ -117,8 +130,8 @@ def _objects(text: str | None, keep: frozenset[str]) -> list[dict]:
         """The node's parts, each with the members that it goes into (none for a list) and the path to it."""
         if isinstance(node, list):
             return ((None, v, None, path + "[]") for v in node)
-        members: dict[str, dict] = {}
-        found.append({"path": path, "members": members})
+        members: dict[str, tuple] = {}
+        found.append((path, members))
         return ((k, v, members, f"{path}/{k}" if path else k) for k, v in node.items())
 
     open_nodes = [within(root, "")] if isinstance(root, (dict, list)) else []
@@ -128,15 +141,20 @@ def _objects(text: str | None, keep: frozenset[str]) -> list[dict]:
             open_nodes.pop()
             continue
         key, value, members, path = part
+        kind = _KINDS[type(value)]
+        nested = kind in ("object", "array")
         if members is not None:
-            kind, place = _KINDS[type(value)], place + 1
-            shown = value if kind == "string" else json.dumps(value, ensure_ascii=False)
-            if kind == "null" or (kind in ("object", "array") and key not in keep):
+            place += 1
+            if kind == "string":
+                shown = value
+            elif kind == "null" or (nested and key not in keep):
                 shown = None
-            members[key] = {"kind": kind, "text": shown, "at": len(found) if kind == "object" else None, "place": place}
-        if isinstance(value, (dict, list)):
+            else:
+                shown = json.dumps(value, ensure_ascii=False)
+            members[key] = (kind, shown, len(found) if kind == "object" else None, place)
+        if nested:
             open_nodes.append(within(value, path))
-    return [{"path": o["path"], "members": list(o["members"].items())} for o in found]
+    return found
 
 
 def member(of: Column, key: str) -> Column:
