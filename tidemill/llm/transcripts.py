@@ -9,11 +9,13 @@ summed up in a small matrix, the matrices are chained, and every block is then w
 from __future__ import annotations
 
 import re
+from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemill.operators.ordering import number_rows
 from tidemill.session import materialize
@@ -21,7 +23,7 @@ from tidemill.session import materialize
 ROLES = ["system", "user", "assistant"]
 #: states: the first line of a role's turn, then a later line of it
 STATES = [(r, first) for r in ROLES for first in (True, False)]
-#: lines of a conversation that are decoded together
+#: lines that are decoded together
 BLOCK_LINES = 512
 
 #: speaker markers, by the role that they speak for; chosen for this library, matched at a line's start
@@ -129,8 +131,8 @@ def parse_transcripts(
     Lines are ordered by their number, ties by their text; repeated rows are lines of their own; a NULL text is a
     blank line; a NULL conversation is a conversation; a NULL number comes first.  An empty table gives no rows.
     ``rendered`` is the role in ``<|role|>``, the text and ``<|end|>`` on lines of their own.  All lines are numbered
-    by ranges and cut every ``block_lines`` lines, so a task holds one block; only a small matrix per block meets the others of
-    its conversation, and a turn is joined from its lines at the end.
+    by ranges and cut every ``block_lines`` lines, however many conversations that is, so a task holds one block; of a conversation that
+    reaches beyond its block only a small matrix per block meets the others, and a turn is joined from its lines at the end.
     """
     kind = lines.schema[conv_col].dataType.simpleString()
     rows = lines.select(
@@ -139,46 +141,80 @@ def parse_transcripts(
     )
     placed = number_rows(rows, ["conv_id", "line_no", "line"], "at").drop("line_no")
     placed = placed.withColumn("block", F.floor(F.col("at") / block_lines))
+    size = len(STATES)
+    conv = to_arrow_schema(placed.select("conv_id").schema)[0]
+
+    def sum_up(table: pa.Table) -> pa.Table:
+        # only a block's first and last conversation can reach beyond it
+        runs = _runs(table.sort_by("at"))
+        edges = [runs[i] for i in sorted({0, len(runs) - 1})]
+        shows = [[SHOWS.index(read_line(t)[0]) for t in lines] for _, lines, _ in edges]
+        ways = [[block_matrix(s, first).ravel().tolist() for s in shows] for first in (True, False)]
+        columns = [[e[0].conv_id for e in edges], [e[0].block for e in edges], *ways]
+        return _table(columns, [conv, ("block", pa.int64()), ("begun", _DOUBLES), ("carried", _DOUBLES)])
+
+    sums = placed.groupBy("block").applyInArrow(sum_up, f"conv_id {kind}, block long, begun array<double>, carried array<double>")
+
+    def chain(table: pa.Table) -> pa.Table:
+        rows = table.sort_by("block").to_pylist()
+        told = [rows[0]["begun"], *[r["carried"] for r in rows[1:]]]
+        before, last = chain_blocks([np.asarray(m, float).reshape(size, size) for m in told])
+        columns = [[r["conv_id"] for r in rows], [r["block"] for r in rows], [b.tolist() for b in before], last]
+        return _table(columns, [conv, ("block", pa.int64()), ("before", _DOUBLES), ("last", pa.int32())])
 
-    def read(group: pd.DataFrame) -> list[int]:
-        return [SHOWS.index(read_line(t)[0]) for t in group["line"]]
+    ways = sums.groupBy("conv_id").applyInArrow(chain, f"conv_id {kind}, block long, before array<double>, last int")
+    both = _beside(placed, materialize(ways), ["conv_id", "block"])
 
-    def sum_up(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("at")
-        ways = [block_matrix(read(group), first).ravel().tolist() for first in (True, False)]
-        return pd.DataFrame({"conv_id": [key[0]], "block": [key[1]], "begun": [ways[0]], "carried": [ways[1]]})
+    def decode(table: pa.Table) -> pa.Table:
+        made = []
+        for first, lines, places in _runs(table.sort_by("at")):
+            seen = [read_line(t) for t in lines]
+            head = first.before is None or not any(first.before)  # nothing comes before: the scores there are zero
+            path = walk_block([SHOWS.index(show) for show, _ in seen], None if head else np.asarray(first.before, float), first.last)
+            for n, (at, (_, body), state) in enumerate(zip(places, seen, path, strict=True)):
+                role, opens = STATES[state]
+                made.append((first.conv_id, first.block, at, role, opens or (head and n == 0), body))
+        fields = [conv, ("block", pa.int64()), ("at", pa.int64()), ("role", pa.string()), ("opens", pa.bool_()), ("body", pa.string())]
+        return _table([list(c) for c in zip(*made, strict=True)], fields)
+
+    told = both.groupBy("block").applyInArrow(decode, f"conv_id {kind}, block long, at long, role string, opens boolean, body string")
+    return _turns(materialize(told))
 
-    sums = placed.groupBy("conv_id", "block").applyInPandas(sum_up, f"conv_id {kind}, block long, begun array<double>, carried array<double>")
 
-    def chain(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("block")
-        size = len(STATES)
-        told = [group["begun"].iloc[0], *group["carried"].iloc[1:]]
-        before, last = chain_blocks([np.asarray(m, float).reshape(size, size) for m in told])
-        return pd.DataFrame({"conv_id": group["conv_id"], "block": group["block"], "before": [b.tolist() for b in before], "last": last})
+_DOUBLES = pa.list_(pa.float64())
 
-    ways = sums.groupBy("conv_id").applyInPandas(chain, f"conv_id {kind}, block long, before array<double>, last int")
-    both = _beside(placed, materialize(ways), ["conv_id", "block"])
 
-    def decode(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("at")
-        seen = [read_line(t) for t in group["line"]]
-        head = not any(group["before"].iloc[0])
-        path = walk_block(read(group), None if head else np.asarray(group["before"].iloc[0], float), int(group["last"].iloc[0]))
-        states = [STATES[p] for p in path]
-        return pd.DataFrame({
-            "conv_id": group["conv_id"], "block": group["block"], "at": group["at"], "role": [r for r, _ in states],
-            "opens": [f or (head and n == 0) for n, (_, f) in enumerate(states)], "body": [b for _, b in seen],
-        })
-
-    told = both.groupBy("conv_id", "block").applyInPandas(decode, f"conv_id {kind}, block long, at long, role string, opens boolean, body string")
-    return _turns(materialize(told))
+class _First(NamedTuple):
+    """What holds for all lines of a conversation within a block."""
+
+    conv_id: object
+    block: int
+    before: list | None
+    last: int | None
+
+
+def _runs(table: pa.Table) -> list[tuple[_First, list[str], list[int]]]:
+    """The conversations of a block in order: (what holds for them, lines, places)."""
+    names = [n for n in ("conv_id", "block", "before", "last") if n in table.column_names]
+    firsts = [_First(*(list(r) + [None] * (4 - len(r)))) for r in zip(*(table[n].to_pylist() for n in names), strict=True)]
+    found: list[tuple[_First, list[str], list[int]]] = []
+    for first, line, at in zip(firsts, table["line"].to_pylist(), table["at"].to_pylist(), strict=True):
+        if not found or found[-1][0].conv_id != first.conv_id:
+            found.append((first, [], []))
+        found[-1][1].append(line)
+        found[-1][2].append(at)
+    return found
+
+
+def _table(columns: list[list], fields: list) -> pa.Table:
+    schema = pa.schema(fields)
+    return pa.Table.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
 def _beside(rows: DataFrame, blocks: DataFrame, keys: list[str]) -> DataFrame:
-    """``rows`` with the columns of their block; NULL keys meet each other."""
+    """``rows`` with the columns of their block, NULL where it has none; NULL keys meet each other."""
     on = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
-    return rows.alias("l").join(blocks.alias("r"), on[0] & on[1]).select("l.*", *[f"r.{c}" for c in blocks.columns if c not in keys])
+    return rows.alias("l").join(blocks.alias("r"), on[0] & on[1], "left").select("l.*", *[f"r.{c}" for c in blocks.columns if c not in keys])
 
 
 def _turns(told: DataFrame) -> DataFrame:
