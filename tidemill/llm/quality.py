@@ -94,15 +94,22 @@ def fit_ordinal(
     """
     if n_grades < 2:
         raise ValueError("two grades at least")
+    grade = np.array([g for _, g in rows], np.int64)
+    doc = np.repeat(np.arange(len(rows)), [len(s) for s, _ in rows])
+    slot = np.concatenate([np.asarray(s, np.int64) for s, _ in rows]) if rows else np.zeros(0, np.int64)
+    return _fit(doc, slot, grade, n_grades, bits, least_docs, shrink, rounds)
+
+
+def _fit(
+    doc: np.ndarray, slot: np.ndarray, grade: np.ndarray, n_grades: int, bits: int = BITS, least_docs: int = 3, shrink: float = 1e-4, rounds: int = 400
+) -> OrdinalModel:
+    """The same from flat arrays: the document number and hash slot of every feature, the grade of every document."""
     weights, cuts = np.zeros(1 << bits), np.linspace(-0.5, 0.5, n_grades - 1) if n_grades > 2 else np.zeros(1)
-    if not rows:
+    if not len(grade):
         return OrdinalModel(weights, cuts, bits)
-    grade = np.array([g for _, g in rows])
-    doc = np.repeat(np.arange(len(rows)), [len(s) for s, _ in rows])
-    slot = np.concatenate([np.asarray(s, np.int64) for s, _ in rows])
-    share = np.clip(np.cumsum(np.bincount(grade, minlength=n_grades))[:-1] / len(rows), 1e-6, 1 - 1e-6)
+    share = np.clip(np.cumsum(np.bincount(grade, minlength=n_grades))[:-1] / len(grade), 1e-6, 1 - 1e-6)
     cuts = np.maximum.accumulate(np.log(share / (1 - share)) + 1e-3 * np.arange(n_grades - 1))
-    pull = _gradient(np.zeros(len(rows)), grade, cuts)[0]
+    pull = _gradient(np.zeros(len(grade)), grade, cuts)[0]
     count = np.bincount(slot, minlength=1 << bits)
     z = np.bincount(slot, weights=(pull - pull.mean())[doc], minlength=1 << bits) / np.sqrt(np.maximum(count, 1) * max(pull.var(), 1e-12))
     telling = (count >= least_docs) & (np.abs(z) > np.sqrt(2 * np.log(max(2, (count >= least_docs).sum()))))
@@ -116,9 +123,9 @@ def fit_ordinal(
     for t in range(1, rounds + 1):
         w, first, gap = state[:size], state[size], state[size + 1 :]
         cuts = first + np.concatenate([[0], np.cumsum(np.exp(gap))])
-        score = np.bincount(doc, weights=w[slot], minlength=len(rows))
+        score = np.bincount(doc, weights=w[slot], minlength=len(grade))
         by_score, by_cut, _ = _gradient(score, grade, cuts)
-        by_w = np.bincount(slot, weights=by_score[doc], minlength=size) / len(rows) + shrink * w
+        by_w = np.bincount(slot, weights=by_score[doc], minlength=size) / len(grade) + shrink * w
         tail = np.cumsum(by_cut[::-1])[::-1]
         step = np.concatenate([by_w, tail[:1], tail[1:] * np.exp(gap)])
         m, v = 0.9 * m + 0.1 * step, 0.999 * v + 0.001 * step * step
@@ -152,7 +159,9 @@ def fit_on_ratings(
     hashed = map_rows(chosen, [("doc_id", kind), ("grade", "int"), ("slots", "array<int>")], start)
     one = hashed.groupBy("doc_id").agg(F.min(F.struct("slots", "grade")).alias("row"))
     found = one.select("doc_id", "row.slots", "row.grade").toArrow().sort_by("doc_id")
-    return fit_ordinal(list(zip(found["slots"].to_pylist(), found["grade"].to_pylist(), strict=True)), n_grades, bits)
+    slots = found["slots"].combine_chunks()
+    doc = np.repeat(np.arange(len(found)), slots.value_lengths().to_numpy(zero_copy_only=False))
+    return _fit(doc, slots.flatten().to_numpy(zero_copy_only=False).astype(np.int64), found["grade"].to_numpy().astype(np.int64), n_grades, bits)
 
 
 def grade_documents(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text", least_tail: float = 0.7) -> DataFrame:
