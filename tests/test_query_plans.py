@@ -5,7 +5,9 @@ from contextlib import redirect_stdout
 
 import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
 
+from tidemill.operators import checks, ordering, series
 from tidemill.plans import QUERIES
 
 
@@ -73,7 +75,22 @@ def test_top_n_ranks_within_salts_first(spark):
 
 
 def test_cut_keys_shuffle_by_slice(spark):
-    for name in ("state_changes", "to_changelog", "counter_rate", "temporal_join"):
+    for name in ("state_changes", "to_changelog", "temporal_join"):
         text = plan(spark, name)
         keyed = [line for line in text.splitlines() if "hashpartitioning" in line]
         assert any("_slice" in line for line in keyed), name
+
+
+def test_heavy_series_shuffle_by_slice(spark):
+    rows = [("a", i, i) for i in range(40)] + [("b", 1, 1)]
+    samples = spark.createDataFrame(rows, "k string, sec int, value int").withColumn("ts", F.timestamp_seconds("sec"))
+    heavy = ordering.heavy_keys(samples, ["k"], "ts", rows=10)
+    assert len(heavy.hashes) == 1
+    text = series.counter_rate(samples, ["k"], 5, heavy=heavy)._jdf.queryExecution().toString()
+    assert any("_slice" in line for line in text.splitlines() if "hashpartitioning" in line)
+
+
+def test_one_scan_for_several_columns(spark, small):
+    orders = spark.read.parquet(f"{small}/orders.parquet")
+    found = checks.column_statistics(orders, ["o_orderkey", "o_orderstatus", "o_custkey", "o_orderpriority"])
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1

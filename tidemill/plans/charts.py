@@ -51,7 +51,7 @@ def chart(t: Tables) -> DataFrame:
     """
     SELECT o_orderstatus, o_orderpriority, count(o_orderkey) AS orders,
            count(DISTINCT o_custkey) AS customers, min(o_totalprice) AS least, max(o_totalprice) AS most,
-           avg(o_totalprice) AS mean_price
+           CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean_price
     FROM orders
     WHERE o_orderstatus IN ('F', 'O') AND o_totalprice >= 1000 AND o_orderpriority NOT IN ('5-LOW')
       AND o_orderpriority LIKE '%-%' AND o_custkey IS NOT NULL AND o_custkey % 7 <> 3
@@ -64,7 +64,7 @@ def filters(t: Tables) -> DataFrame:
         "metrics": [
             _metric("COUNT", "o_orderkey", "orders"), _metric("COUNT_DISTINCT", "o_custkey", "customers"),
             _metric("MIN", "price", "least"), _metric("MAX", "price", "most"),
-            _metric("AVG", "price", "mean_price"),
+            _metric("AVG", "o_totalprice", "mean_price"),
         ],
         "filters": [
             {"col": "o_orderstatus", "op": "IN", "val": ["F", "O"]},
