@@ -110,10 +110,13 @@ def test_a_run_leaves_the_settings_alone(spark, tmp_path):
 
 
 def test_policies_are_settings(spark):
-    windows.multi_source_policy(spark, slowest=False)
-    assert spark.conf.get("spark.sql.streaming.multipleWatermarkPolicy") == "max"
-    windows.multi_source_policy(spark)
-    assert spark.conf.get("spark.sql.streaming.multipleWatermarkPolicy") == "min"
+    name = "spark.sql.streaming.multipleWatermarkPolicy"
+    with windows.multi_source_policy(spark, slowest=False):
+        assert spark.conf.get(name) == "max"
+        with windows.multi_source_policy(spark):
+            assert spark.conf.get(name) == "min"
+        assert spark.conf.get(name) == "max"
+    assert spark.conf.get(name) == "min"
 
 
 def test_shadow_run_refuses_what_could_leave(spark, tmp_path):

@@ -453,12 +453,9 @@ def idle(t: Tables) -> DataFrame:
     """Two sources, one of which falls silent after a third of the time; the other one drives the watermark."""
     events = t.stream("events", event_time="ts")
     silent = (F.col("event_type") == "view") & (F.col("ts") < F.lit("2024-01-10").cast("timestamp"))
-    windows.multi_source_policy(t.spark, slowest=False)
-    try:
+    with windows.multi_source_policy(t.spark, slowest=False):
         both = windows.union_sources([events.filter(silent), events.filter(~silent)], "ts", "10 minutes")
         return _windows(_run(t, windows.time_windows(both, "ts", "1 hour", _metrics(), ["event_type"], delay=None)), "event_type")
-    finally:
-        windows.multi_source_policy(t.spark)
 
 
 @query("run_timeout", "SELECT true AS finished, count(*) AS rows FROM events WHERE event_type <> 'view'")

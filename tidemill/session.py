@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -39,7 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session that names none gets a folder of its own; a cluster
     without the setting is refused, since a driver-local folder would be lost
-    to the executors.
+    to the executors.  That folder goes with the process.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -49,6 +51,7 @@ def shared_dir(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _OWN:
         _OWN[app] = tempfile.mkdtemp(prefix="tidemill-")
+        atexit.register(shutil.rmtree, _OWN[app], ignore_errors=True)
     return _OWN[app]
 
 

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemill.session import stored_bytes
+from tidemill.streaming.windows import MERGE_SESSIONS
 
 IDLE_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
@@ -47,7 +48,7 @@ def report(query: StreamingQuery, finished: bool = True) -> RunReport:
 
 def bounded_run(
     stream: DataFrame, path: str, checkpoint: str, output_mode: str = "append", fmt: str = "parquet",
-    idle_batches: bool = True, partitions: int | None = None,
+    idle_batches: bool = True, partitions: int | None = None, merge_sessions: bool = True,
 ) -> RunReport:
     """Process everything available into files and stop.
 
@@ -55,11 +56,13 @@ def bounded_run(
     continues behind the last commit.  ``idle_batches`` lets a last batch without
     input close what the watermark has passed; state that expires by the clock asks
     for such batches for ever, so a bounded run over it must turn them off.
+    ``merge_sessions`` lets session windows merge in the map tasks first; all settings are put back once the run has started.
     ``partitions`` sets the number of state partitions, which a checkpoint keeps for
     good (see ``state_partitions``).
     """
     writer = stream.writeStream.format(fmt).outputMode(output_mode).option("path", path)
-    return _finish(stream, writer, checkpoint, {IDLE_BATCHES: str(idle_batches).lower()}, partitions)
+    settings = {IDLE_BATCHES: str(idle_batches).lower(), MERGE_SESSIONS: str(merge_sessions).lower()}
+    return _finish(stream, writer, checkpoint, settings, partitions)
 
 
 def bounded_batches(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -12,18 +13,29 @@ from tidemill.operators.ordering import HeavyKeys, as_of_join, with_previous
 from tidemill.operators.skew import dimension_join, skew_join
 
 
+_POLICY = "spark.sql.streaming.multipleWatermarkPolicy"
+# merges the sessions of a micro-batch in the map tasks first; a run's setting, see ``bounded_run``
+MERGE_SESSIONS = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+
+
 def watermarked(df: DataFrame, time: str, delay: str) -> DataFrame:
     """Declare the lateness bound.  A batch needs none and is left alone."""
     return df.withWatermark(time, delay) if df.isStreaming else df
 
 
-def multi_source_policy(spark, slowest: bool = True) -> None:
-    """Which source drives the watermark of a query over several: the slowest, or the fastest.
+@contextmanager
+def multi_source_policy(spark, slowest: bool = True) -> Iterator[None]:
+    """Which source drives the watermark of queries over several that are started inside: the slowest, or the fastest.
 
     Spark knows no idle marking per partition; ``fastest`` keeps an idle source from
-    holding back results, at the price of dropping what it brings later.
+    holding back results, at the price of dropping what it brings later.  What was set before is set again at the end.
     """
-    spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min" if slowest else "max")
+    before = spark.conf.get(_POLICY)
+    spark.conf.set(_POLICY, "min" if slowest else "max")
+    try:
+        yield
+    finally:
+        spark.conf.set(_POLICY, before)
 
 
 def union_sources(sources: Sequence[DataFrame], time: str, delay: str) -> DataFrame:
@@ -50,13 +62,11 @@ def session_windows(
 ) -> DataFrame:
     """Runs of events of a key with pauses shorter than the gap; a session ends a gap after its last event.
 
-    A stream merges the sessions of each micro-batch in the map tasks first.  A batch
+    A stream run with ``MERGE_SESSIONS`` on merges the sessions of each micro-batch in the map tasks first.  A batch
     brings all events of a key together, so ``heavy`` keys go another way: their
     events are compared slice by slice, those that start a session are few (a key's
     sessions lie a gap apart), and each event takes its start from them.
     """
-    if df.isStreaming:
-        df.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     gap = f"{gap_seconds} seconds"
     if df.isStreaming or heavy is None or not heavy.hashes:
         return _windowed(watermarked(df, time, delay), F.session_window(F.col(time), gap), metrics, by)
