@@ -221,3 +221,15 @@ def test_interval_join_against_all_pairs(spark):
     got = as_set(windows.interval_join(a, b, ["k"], "lt", "rt", 600, 1800).select("l", "r"))
     want = {(i, j) for k, i, t in left for q, j, u in right if k == q and -600 <= (u - t).total_seconds() <= 1800}
     assert got == want
+
+
+def test_folding_survives_a_retry(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sink = keyed.keyed_table_sink(path, ["k"], ["n"], compact_every=2)
+    batches = [[("a", 1), ("b", 1)], [("a", 2)], [("c", 3)], [("a", 4), ("c", 4)]]
+    frames = [spark.createDataFrame(b, "k string, n int") for b in batches]
+    for number in (0, 1, 1, 2, 2, 3, 3):
+        sink(frames[number], number)
+    assert as_set(keyed.read_keyed_table(spark, path, ["k"], ["n"])) == {("a", 4), ("b", 1), ("c", 4)}
+    assert {r.batch_id for r in keyed.snapshots(spark, path).collect()} == {-1, 3}
+    assert keyed.active_folder(spark, path).endswith(".folded-000000000003")

@@ -130,6 +130,23 @@ def upserts(t: Tables) -> DataFrame:
     return state.select("user_id", "event_id", "event_type")
 
 
+@query(
+    "folding_sink",
+    f"""
+    WITH l AS ({_LATEST}), k AS (SELECT user_id, event_id, event_type FROM l WHERE event_type <> 'error')
+    SELECT user_id, event_id, event_type, CAST(2 AS BIGINT) AS parts FROM k
+    """,
+)
+def folding(t: Tables) -> DataFrame:
+    """Five batches into a table that folds itself after every second one: a folded part and the last batch are left."""
+    table = scratch_path(t.spark, "table")
+    stream = runs.replay(t.spark, _split(t, 5), t.events.schema, max_files=1)
+    sink = keyed.keyed_table_sink(table, KEYS, ORDER, compact_every=2)
+    runs.bounded_batches(stream, sink, scratch_path(t.spark, "progress"), partitions=_partitions(t))
+    state = keyed.read_keyed_table(t.spark, table, KEYS, ORDER, F.col("event_type") == "error")
+    return state.select("user_id", "event_id", "event_type", F.lit(keyed.snapshots(t.spark, table).count()).cast("long").alias("parts"))
+
+
 @query("compact_keyed_table", f"SELECT CAST(1 AS BIGINT) AS snapshots, count(*) AS rows, count(DISTINCT user_id) AS keys FROM ({_LATEST})")
 def compacted(t: Tables) -> DataFrame:
     table, folded = scratch_path(t.spark, "table"), scratch_path(t.spark, "folded")

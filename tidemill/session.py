@@ -72,6 +72,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none where there is no folder."""
+    files, target = _on_file_system(spark, path)
+    return [entry.getPath().getName() for entry in files.listStatus(target)] if files.exists(target) else []
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    files, target = _on_file_system(spark, path)
+    files.mkdirs(target)
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
     """The size of a file or folder, from its file system's own listing."""
     files, target = _on_file_system(spark, path)

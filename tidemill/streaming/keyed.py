@@ -20,24 +20,58 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from tidemill.functions.time import time_literal
 from tidemill.operators.keyed import DELETE, INSERT, UPDATE_AFTER, UPDATE_BEFORE, current_state, to_changelog
 from tidemill.operators.ordering import latest_per_key
-from tidemill.session import path_exists
+from tidemill.session import folder_names, make_folder, path_exists
 
 
-def keyed_table_sink(path: str, keys: Sequence[str], order: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """A per-batch function that upserts into the table at ``path``; deletes are kept as rows."""
+# the partition of a folded state; batches count from 0
+FOLDED = -1
+
+
+def keyed_table_sink(
+    path: str, keys: Sequence[str], order: Sequence[str], compact_every: int | None = None
+) -> Callable[[DataFrame, int], None]:
+    """A per-batch function that upserts into the table at ``path``; deletes are kept as rows.
+
+    With ``compact_every`` the table is folded after so many batches.  A retried batch writes its rows again next to a state that
+    may hold them already, which changes nothing.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        latest_per_key(batch, keys, order).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        folder = active_folder(spark, path)
+        latest_per_key(batch, keys, order).write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            fold_keyed_table(spark, path, keys, order, batch_id)
 
     return write
 
 
+def active_folder(spark: SparkSession, path: str) -> str:
+    """Where the table's rows are now: the folder that the newest pointer names, at first the path itself."""
+    newest = max(folder_names(spark, f"{path}.pointers"), default=None)
+    return path if newest is None else f"{path}.folded-{newest}"
+
+
+def fold_keyed_table(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str], number: int) -> None:
+    """Write the state as one partition of a new folder, then point to it; readers see the old folder or the new one.
+
+    A pointer is an empty folder with a number for its name, so it appears at once.  Readers that began on
+    the old folder can finish there; it is not removed.
+    """
+    name = f"{number:012d}"
+    if name in folder_names(spark, f"{path}.pointers"):
+        return
+    state = latest_per_key(spark.read.parquet(active_folder(spark, path)).drop("batch_id"), keys, order)
+    state.write.mode("overwrite").parquet(f"{path}.folded-{name}/batch_id={FOLDED}")
+    make_folder(spark, f"{path}.pointers/{name}")
+
+
 def read_keyed_table(
     spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str],
     is_delete: Column | None = None, before_batch: int | None = None,
 ) -> DataFrame:
     """The table's current state, or its state ahead of a batch."""
-    stored = spark.read.parquet(path)
+    stored = spark.read.parquet(active_folder(spark, path))
     if before_batch is not None:
         stored = stored.filter(F.col("batch_id") < before_batch)
     return current_state(stored.drop("batch_id"), keys, order, is_delete)
@@ -45,7 +79,7 @@ def read_keyed_table(
 
 def snapshots(spark: SparkSession, path: str) -> DataFrame:
     """One row per stored batch with its number of upserts."""
-    return spark.read.parquet(path).groupBy("batch_id").agg(F.count(F.lit(1)).alias("upserts"))
+    return spark.read.parquet(active_folder(spark, path)).groupBy("batch_id").agg(F.count(F.lit(1)).alias("upserts"))
 
 
 def compact_keyed_table(
