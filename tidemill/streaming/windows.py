@@ -134,10 +134,22 @@ def temporal_batches(
     versions: DataFrame, keys: Sequence[str], fact_time: str, version_time: str,
     slice_of: Callable[[Column], Column], write: Callable[[DataFrame, int], None],
 ) -> Callable[[DataFrame, int], None]:
-    """A per-batch function: each fact of the stream with the version valid at its time."""
+    """A per-batch function: each fact of the stream with the version valid at its time.
+
+    Of the versions only those of the batch's keys, up to its latest time, are sorted out; the history of other keys stays where it is.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        write(as_of_join(batch, versions, keys, fact_time, version_time, slice_of), batch_id)
+        facts = batch.persist()
+        try:
+            touched = facts.select(*keys).distinct()
+            needed = versions.join(touched, list(keys), "left_semi").select(*versions.columns)
+            latest = facts.agg(F.max(fact_time)).first()[0]
+            if latest is not None:
+                needed = needed.filter(F.col(version_time) <= F.lit(latest))
+            write(as_of_join(facts, needed, keys, fact_time, version_time, slice_of), batch_id)
+        finally:
+            facts.unpersist()
 
     return run
 
