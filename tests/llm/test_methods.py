@@ -168,6 +168,21 @@ def test_leaks_of_templates(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [3, 5, 6, 7, 9]
 
 
+def leaks_of(spark, docs, items):
+    made = [spark.createDataFrame(rows, f"{name} bigint, text string") for rows, name in ((docs, "doc_id"), (items, "item_id"))]
+    return {(r.doc_id, r.item_id): (r.n_found, r.n_windows) for r in find_leaks(*made).collect()}
+
+
+def test_a_contradicting_slot_costs_its_own_windows_only(spark):
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60)]
+    words[10] = words[40] = "12"
+    edited = [*words[:40], "13", *words[41:]]
+    pears = "then Peter takes 5 apples and 3 pears home to the old house by the sea"
+    found = leaks_of(spark, [(1, " ".join(edited)), (2, pears.replace("5", "4").replace("3", "4"))], [(1, " ".join(words)), (2, pears)])
+    assert set(found) == {(1, 1), (2, 2)}
+    assert found[1, 1] == (51, 56)
+
+
 def test_leaks_of_the_small_table(spark, small):
     """Against containment of five-word windows counted in plain Python; the items have no slots."""
     import re

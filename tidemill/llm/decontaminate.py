@@ -3,7 +3,7 @@
 Numbers, units after numbers and names inside sentences become typed placeholders, so a question
 keeps its template when its parameters change.  Template windows of documents are hash-joined with those of the
 benchmark; a document that holds enough of an item's windows is a leak if the values in the slots
-fit together: each value of the item stands for one value of the document, and the other way round.
+fit together: each value of the item stands for one value of the document.  Windows whose raw words are equal always count.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ UNITS = (
 ).split()
 
 NUMBER, UNIT, NAME = "\u0001", "\u0002", "\u0003"
+AFTER = "\u0004"  # words that begin with a mark sort before it
 _NUMBER_UNIT = rf"([0-9]+)(\s*)((?i:{'|'.join(UNITS)}))(?![\p{{L}}\p{{N}}])"
 _NAME = r"(?<=[\p{Ll},;]\x20)(\p{Lu}\p{L}*)"
 
@@ -48,6 +49,11 @@ def template_words(text: Column) -> Column:
     return _words(F.regexp_replace(marked(_plain(text)), rf"(?<=[{NUMBER}-{NAME}])[\p{{L}}\p{{N}}]+", ""))
 
 
+def _value(word: Column) -> Column:
+    """The word without its mark."""
+    return F.when(word < AFTER, F.substring(word, 2, 1 << 30)).otherwise(word)
+
+
 def _plain(text: Column) -> Column:
     return F.translate(text, NUMBER + UNIT + NAME, "   ")
 
@@ -83,8 +89,8 @@ def find_leaks(
 ) -> DataFrame:
     """(doc_id, text_hash, item_id, n_windows, n_found, similarity): one row per text of an id and item that it leaks.
 
-    ``n_windows`` counts the distinct template windows of the item, ``n_found`` those that the document holds with
-    consistent slots.  Items shorter than a window are one window of their own length.  NULL or empty
+    ``n_windows`` counts the distinct template windows of the item, ``n_found`` those that the document holds word by word
+    or with consistent slots.  Items shorter than a window are one window of their own length.  NULL or empty
     texts leak nothing and are leaked by nobody; repeated rows give one row; a NULL id is kept; empty tables give no rows.
     Matches are counted per document and window before they are shuffled.
     """
@@ -110,7 +116,7 @@ def find_leaks(
     doubtful = materialize(near.join(slotted, "item", "left_semi"))
     sure = near.join(slotted, "item", "left_anti")
     if not doubtful.isEmpty():
-        sure = sure.unionByName(_consistent(plain, items, doubtful, found, similarity, width))
+        sure = sure.unionByName(_consistent(plain, items, doubtful, found, similarity))
     named = sure.join(items.select("item", "item_id"), "item")
     rows = named.groupBy("doc_id", "text_hash", "item_id").agg(F.max(F.struct("n_found", "n_windows")).alias("m"))
     return rows.select("doc_id", "text_hash", "item_id", "m.n_windows", "m.n_found", (F.col("m.n_found") / F.col("m.n_windows")).alias("similarity"))
@@ -121,28 +127,31 @@ def text_hash(text: Column) -> Column:
     return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(7), text).alias("b"))
 
 
-def _consistent(plain: DataFrame, items: DataFrame, doubtful: DataFrame, found: DataFrame, similarity: float, width: int) -> DataFrame:
-    """The doubtful pairs that remain when windows of an alignment with contradicting slots are left out."""
-    pair = ["doc_id", "text_hash", "item"]
-    same = [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in pair]
-    hits = found.alias("x").join(doubtful.select(*pair, "n_windows").alias("y"), same[0] & same[1] & same[2])
-    hits = hits.select("x.*", "y.n_windows", (F.col("x.place") - F.col("x.at")).alias("shift"))
-    needed = doubtful.select("text_hash").distinct()
-    words = plain.join(needed, "text_hash", "left_semi").select("text_hash", "text").groupBy("text_hash").agg(F.first("text").alias("text"))
+def _consistent(plain: DataFrame, items: DataFrame, doubtful: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
+    """The doubtful pairs that remain when windows over a contradicting slot are left out.
+
+    Along one alignment a value of the item stands for the value of the document that it meets at most places; of
+    equally frequent ones for itself, else for the first.  Only windows that cover another value are left out.
+    """
+    pair, aligned = ["text_hash", "item"], ["text_hash", "item", "shift"]
+    hits = found.join(doubtful.select(*pair).distinct(), pair, "left_semi").select(*pair, "hash", "at", "place").distinct()
+    words = plain.join(doubtful.select("text_hash").distinct(), "text_hash", "left_semi").groupBy("text_hash").agg(F.first("text").alias("text"))
     words = words.select("text_hash", raw_words(F.col("text")).alias("theirs"))
-    both = hits.select(*pair, "shift", "at", "place").join(words, "text_hash").join(items.select("item", "raw", "width"), "item")
-    steps = both.select(*pair, "shift", "raw", "theirs", "at", "place", F.explode(F.sequence(F.lit(1), F.col("width"))).alias("k"))
-    slots = steps.select(
-        *pair, "shift", F.element_at("raw", F.col("at") + F.col("k")).alias("ours"), F.element_at("theirs", F.col("place") + F.col("k")).alias("other")
-    ).filter(F.col("ours").rlike(f"^[{NUMBER}-{NAME}]"))
-    aligned = [*pair, "shift"]
-    judged = slots.groupBy(*aligned, "ours", "other").count().groupBy(*aligned).agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct("ours").alias("n_ours"), F.countDistinct("other").alias("n_other")
+    both = hits.join(words, "text_hash").join(items.select("item", "raw", "width"), "item").select(
+        *pair, (F.col("place") - F.col("at")).alias("shift"), "hash", "at",
+        F.slice("raw", F.col("at") + 1, F.col("width")).alias("ours"), F.slice("theirs", F.col("place") + 1, F.col("width")).alias("other"),
+    )
+    both = materialize(both.withColumn("exact", F.transform("ours", _value) == F.transform("other", _value)))
+    steps = both.select(*aligned, "hash", "at", "exact", F.posexplode(F.arrays_zip("ours", "other")).alias("k", "w"))
+    steps = steps.filter(F.col("w.ours").rlike(f"^[{NUMBER}-{NAME}]")).select(
+        *aligned, "hash", "at", "exact", (F.col("at") + F.col("k")).alias("spot"), F.col("w.ours").alias("ours"), _value(F.col("w.other")).alias("other")
     )
-    wrong = judged.filter("n > n_ours OR n > n_other")
-    on = [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in aligned]
-    kept = hits.alias("x").join(wrong.alias("y"), on[0] & on[1] & on[2] & on[3], "left_anti")
-    again = kept.groupBy(*pair, "n_windows").agg(F.countDistinct("hash").alias("n_found"))
+    votes = steps.groupBy(*aligned, "ours", "other").agg(F.countDistinct("spot").alias("n"), F.min("spot").alias("first"))
+    rank = F.struct("n", (_value(F.col("ours")) == F.col("other")).alias("same"), -F.col("first"))
+    means = votes.groupBy(*aligned, "ours").agg(F.max_by("other", rank).alias("means"))
+    wrong = steps.filter(~F.col("exact")).join(means, [*aligned, "ours"]).filter(F.col("other") != F.col("means"))
+    kept = both.join(wrong.select(*aligned, "at").distinct(), [*aligned, "at"], "left_anti")
+    again = doubtful.drop("n_found").join(kept.groupBy(*pair).agg(F.countDistinct("hash").alias("n_found")), pair)
     return again.filter(F.col("n_found") >= similarity * F.col("n_windows")).select(*doubtful.columns)
 
 
