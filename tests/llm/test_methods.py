@@ -183,6 +183,16 @@ def test_a_contradicting_slot_costs_its_own_windows_only(spark):
     assert found[1, 1] == (51, 56)
 
 
+def test_copies_in_other_cases_and_wrappings_are_leaks(spark):
+    question = "What is the capital of France"
+    docs = [
+        (1, ITEMS[0][1].lower()), (2, ITEMS[0][1].replace(" Peter", "\n  Peter")), (3, f"they had to answer the question {question}"), (4, f"here, {question}?"),
+        (5, "the question What is the capital of Spain"), (6, "what was the capital of France"),
+    ]
+    found = leaks_of(spark, docs, [(1, ITEMS[0][1]), (2, question)])
+    assert found == {(1, 1): (19, 19), (2, 1): (19, 19), (3, 2): (2, 2), (4, 2): (2, 2), (5, 2): (2, 2)}
+
+
 def test_leaks_of_the_small_table(spark, small):
     """Against containment of five-word windows counted in plain Python; the items have no slots."""
     import re

@@ -28,7 +28,7 @@ UNITS = (
 NUMBER, UNIT, NAME = "\u0001", "\u0002", "\u0003"
 AFTER = "\u0004"  # words that begin with a mark sort before it
 _NUMBER_UNIT = rf"([0-9]+)(\s*)((?i:{'|'.join(UNITS)}))(?![\p{{L}}\p{{N}}])"
-_NAME = r"(?<=[\p{Ll},;]\x20)(\p{Lu}\p{L}*)"
+_NAME = r"(?<=[\p{Ll},;]\s{1,8})(\p{Lu}\p{L}*)"
 
 
 def marked(text: Column) -> Column:
@@ -44,16 +44,25 @@ def raw_words(text: Column) -> Column:
     return _words(marked(_plain(text)))
 
 
-def template_words(text: Column) -> Column:
-    """The same words with bare marks in the slots."""
-    return _words(F.regexp_replace(marked(_plain(text)), rf"(?<=[{NUMBER}-{NAME}])[\p{{L}}\p{{N}}]+", ""))
-
-
 def _value(word: Column) -> Column:
     """The word without its mark."""
     return F.when(word < AFTER, F.substring(word, 2, 1 << 30)).otherwise(word)
 
 
+def _slot(word: Column) -> Column:
+    """The word, or the bare mark of its slot."""
+    return F.when(word < AFTER, F.substring(word, 1, 1)).otherwise(word)
+
+
+#: a window matches if any reading of it does: its words, or its template
+READINGS = {"plain": _value, "template": _slot}
+
+
+def _read(raw: Column) -> Column:
+    """Hashes of every word, by reading."""
+    return F.transform(raw, lambda w: F.struct(*[F.xxhash64(read(w)).alias(name) for name, read in READINGS.items()]))
+
+
 def _plain(text: Column) -> Column:
     return F.translate(text, NUMBER + UNIT + NAME, "   ")
 
@@ -63,24 +72,30 @@ def _words(text: Column) -> Column:
 
 
 def _windows(words: str, width: int) -> Column:
-    """Hash of every run of ``width`` words; none where there are fewer."""
-    last = F.size(words) - (width - 1)
-    runs = F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice(words, i, width)))
-    return F.when(last > 0, runs).otherwise(F.array().cast("array<bigint>"))
+    """Hashes of every run of ``width`` words, by reading; none where there are fewer."""
+    last = F.size(words) - (width - 1)  # words are named twice, so they are not worked out anew for every run
+    runs = F.transform(F.sequence(F.lit(1), last), lambda i: F.slice(words, i, width))
+    hashes = F.transform(runs, lambda run: F.struct(*[F.xxhash64(run[name]).alias(name) for name in READINGS]))
+    return F.when(last > 0, hashes).otherwise(F.array().cast(f"array<struct<{','.join(f'{name}:bigint' for name in READINGS)}>>"))
 
 
 def _items(benchmark: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(item_id, words, raw, width, n_windows); texts without words are left out."""
+    """(item_id, raw, words, width, item); texts without words are left out."""
     rows = benchmark.select(F.col(f"`{id_col}`").alias("item_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    rows = rows.select("item_id", template_words(F.col("text")).alias("words"), raw_words(F.col("text")).alias("raw")).distinct()
-    rows = rows.filter(F.size("words") > 0).withColumn("width", F.least(F.size("words"), F.lit(width)))
+    rows = rows.select("item_id", raw_words(F.col("text")).alias("raw")).distinct().withColumn("words", _read(F.col("raw")))
+    rows = rows.filter(F.size("raw") > 0).withColumn("width", F.least(F.size("raw"), F.lit(width)))
     return rows.withColumn("item", F.xxhash64("item_id", "raw"))
 
 
 def _item_windows(items: DataFrame, width: int) -> DataFrame:
-    """(item, hash, at): the distinct windows of each item, and where they stand."""
+    """(item, width, at, window, hash): the windows of each item, named by their words, and the hashes that match them."""
     at = [F.when(F.col("width") == w, _windows("words", w)) for w in range(1, width + 1)]
-    return items.select("item", "width", F.posexplode(F.coalesce(*at)).alias("at", "hash"))
+    rows = items.select("item", "width", F.posexplode(F.coalesce(*at)).alias("at", "read"))
+    return rows.select("item", "width", "at", F.col("read.plain").alias("window"), F.explode(_distinct("read")).alias("hash"))
+
+
+def _distinct(read: str) -> Column:
+    return F.array_distinct(F.array(*[F.col(f"{read}.{name}") for name in READINGS]))
 
 
 def find_leaks(
@@ -89,32 +104,33 @@ def find_leaks(
 ) -> DataFrame:
     """(doc_id, text_hash, item_id, n_windows, n_found, similarity): one row per text of an id and item that it leaks.
 
-    ``n_windows`` counts the distinct template windows of the item, ``n_found`` those that the document holds word by word
-    or with consistent slots.  Items shorter than a window are one window of their own length.  NULL or empty
+    ``n_windows`` counts the item's windows of distinct words, ``n_found`` those that the document holds word by word
+    or as a template with consistent slots.  Items shorter than a window are one window of their own length.  NULL or empty
     texts leak nothing and are leaked by nobody; repeated rows give one row; a NULL id is kept; empty tables give no rows.
     Matches are counted per document and window before they are shuffled.
     """
     items = materialize(_items(benchmark, item_id_col, item_text_col, width))
     stored = materialize(_item_windows(items, width))
-    sizes = stored.groupBy("item").agg(F.countDistinct("hash").alias("n_windows"))
+    sizes = stored.groupBy("item").agg(F.countDistinct("window").alias("n_windows"))
     widths = sorted(r.width for r in stored.select("width").distinct().collect())  # at most ``width`` numbers
     plain = texts(docs, id_col, text_col).select("doc_id", text_hash(F.col("text")).alias("text_hash"), "text")
-    worded = plain.select("doc_id", "text_hash", template_words(F.col("text")).alias("words"))
+    worded = plain.select("doc_id", "text_hash", _read(raw_words(F.col("text"))).alias("words"))
     found = None
     for w in widths:
-        windows = worded.select("doc_id", "text_hash", F.posexplode(_windows("words", w)).alias("place", "hash"))
-        keys = stored.filter(F.col("width") == w).select("hash", "item", "at")
-        part = windows.join(small_side(keys) or keys, "hash").select("doc_id", "text_hash", "item", "hash", "at", "place")
+        windows = worded.select("doc_id", "text_hash", F.posexplode(_windows("words", w)).alias("place", "read"))
+        windows = windows.select("doc_id", "text_hash", "place", F.explode(_distinct("read")).alias("hash"))
+        keys = stored.filter(F.col("width") == w).select("hash", "item", "at", "window")
+        part = windows.join(small_side(keys) or keys, "hash").select("doc_id", "text_hash", "item", "window", "at", "place", (F.col("hash") == F.col("window")).alias("exact"))
         found = part if found is None else found.unionByName(part)
     if found is None:
-        found = stored.select(F.lit(None).cast(docs.schema[id_col].dataType).alias("doc_id"), F.struct(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b")).alias("text_hash"), "item", "hash", "at", F.lit(0).alias("place"))
+        found = stored.select(F.lit(None).cast(docs.schema[id_col].dataType).alias("doc_id"), F.struct(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b")).alias("text_hash"), "item", "window", "at", F.lit(0).alias("place"), F.lit(True).alias("exact"))
     pair = ["doc_id", "text_hash", "item"]
     found = materialize(found)
-    counted = found.groupBy(*pair, "hash").count().groupBy(*pair).agg(F.count(F.lit(1)).alias("n_found")).join(sizes, "item")
+    counted = found.groupBy(*pair, "window").agg(F.max("exact").alias("exact")).groupBy(*pair)
+    counted = counted.agg(F.count(F.lit(1)).alias("n_found"), F.count_if("exact").alias("n_exact")).join(sizes, "item")
     near = materialize(counted.filter(F.col("n_found") >= similarity * F.col("n_windows")))
-    slotted = items.filter(F.exists("words", lambda w: w.isin(NUMBER, UNIT, NAME))).select("item")
-    doubtful = materialize(near.join(slotted, "item", "left_semi"))
-    sure = near.join(slotted, "item", "left_anti")
+    doubtful = materialize(near.filter("n_exact < n_found").drop("n_exact"))
+    sure = near.filter("n_exact = n_found").drop("n_exact")
     if not doubtful.isEmpty():
         sure = sure.unionByName(_consistent(plain, items, doubtful, found, similarity))
     named = sure.join(items.select("item", "item_id"), "item")
@@ -134,24 +150,24 @@ def _consistent(plain: DataFrame, items: DataFrame, doubtful: DataFrame, found:
     equally frequent ones for itself, else for the first.  Only windows that cover another value are left out.
     """
     pair, aligned = ["text_hash", "item"], ["text_hash", "item", "shift"]
-    hits = found.join(doubtful.select(*pair).distinct(), pair, "left_semi").select(*pair, "hash", "at", "place").distinct()
+    hits = found.join(doubtful.select(*pair).distinct(), pair, "left_semi").groupBy(*pair, "window", "at", "place").agg(F.max("exact").alias("exact"))
     words = plain.join(doubtful.select("text_hash").distinct(), "text_hash", "left_semi").groupBy("text_hash").agg(F.first("text").alias("text"))
     words = words.select("text_hash", raw_words(F.col("text")).alias("theirs"))
     both = hits.join(words, "text_hash").join(items.select("item", "raw", "width"), "item").select(
-        *pair, (F.col("place") - F.col("at")).alias("shift"), "hash", "at",
+        *pair, (F.col("place") - F.col("at")).alias("shift"), "window", "at", "exact",
         F.slice("raw", F.col("at") + 1, F.col("width")).alias("ours"), F.slice("theirs", F.col("place") + 1, F.col("width")).alias("other"),
     )
-    both = materialize(both.withColumn("exact", F.transform("ours", _value) == F.transform("other", _value)))
-    steps = both.select(*aligned, "hash", "at", "exact", F.posexplode(F.arrays_zip("ours", "other")).alias("k", "w"))
+    both = materialize(both)
+    steps = both.select(*aligned, "at", "exact", F.posexplode(F.arrays_zip("ours", "other")).alias("k", "w"))
     steps = steps.filter(F.col("w.ours").rlike(f"^[{NUMBER}-{NAME}]")).select(
-        *aligned, "hash", "at", "exact", (F.col("at") + F.col("k")).alias("spot"), F.col("w.ours").alias("ours"), _value(F.col("w.other")).alias("other")
+        *aligned, "at", "exact", (F.col("at") + F.col("k")).alias("spot"), F.col("w.ours").alias("ours"), _value(F.col("w.other")).alias("other")
     )
     votes = steps.groupBy(*aligned, "ours", "other").agg(F.countDistinct("spot").alias("n"), F.min("spot").alias("first"))
     rank = F.struct("n", (_value(F.col("ours")) == F.col("other")).alias("same"), -F.col("first"))
     means = votes.groupBy(*aligned, "ours").agg(F.max_by("other", rank).alias("means"))
     wrong = steps.filter(~F.col("exact")).join(means, [*aligned, "ours"]).filter(F.col("other") != F.col("means"))
     kept = both.join(wrong.select(*aligned, "at").distinct(), [*aligned, "at"], "left_anti")
-    again = doubtful.drop("n_found").join(kept.groupBy(*pair).agg(F.countDistinct("hash").alias("n_found")), pair)
+    again = doubtful.drop("n_found").join(kept.groupBy(*pair).agg(F.countDistinct("window").alias("n_found")), pair)
     return again.filter(F.col("n_found") >= similarity * F.col("n_windows")).select(*doubtful.columns)
 
 
