@@ -193,6 +193,18 @@ def test_copies_in_other_cases_and_wrappings_are_leaks(spark):
     assert found == {(1, 1): (19, 19), (2, 1): (19, 19), (3, 2): (2, 2), (4, 2): (2, 2), (5, 2): (2, 2)}
 
 
+def test_first_names_and_units_of_other_languages_are_slots(spark):
+    apples = "Alice has 5 apples. Alice gives 2 to Bob. Alice buys 3 more. How many apples does Alice have now?"
+    train = 'Der Zug braucht 3 Stunden bis zur Stadt, "Karl" wartet dort (Otto auch) noch 20 Minuten auf ihn'
+    docs = [
+        (1, apples.replace("Alice", "Maria").replace("5", "8")), (2, train.replace("3 Stunden", "2 Tage").replace("20 Minuten", "4 Wochen").replace("Karl", "Hans").replace("Otto", "Emil")),
+        (3, "so, if Alice has 9 apples and 3 pears then Bob has none"), (4, "Bob sold 5 apples. Carol gives 2 to Dave. Eve buys 3 more. How many pears does Frank have now?"),
+    ]
+    found = leaks_of(spark, docs, [(1, apples), (2, train), (3, "If Peter has 4 apples and 2 pears then Bob has none")])
+    assert set(found) == {(1, 1), (2, 2), (3, 3)}
+    assert found[1, 1] == (16, 16)
+
+
 def test_leaks_of_the_small_table(spark, small):
     """Against containment of five-word windows counted in plain Python; the items have no slots."""
     import re

@@ -1,7 +1,7 @@
 """Benchmark decontamination by template windows, with built-in functions only.
 
-Numbers, units after numbers and names inside sentences become typed placeholders, so a question
-keeps its template when its parameters change.  Template windows of documents are hash-joined with those of the
+Numbers, units after numbers and names become typed placeholders, so a question keeps its template when its parameters
+change.  A capital at the start of a sentence may be a name or not, so its windows are read both ways.  Template windows of documents are hash-joined with those of the
 benchmark; a document that holds enough of an item's windows is a leak if the values in the slots
 fit together: each value of the item stands for one value of the document.  Windows whose raw words are equal always count.
 """
@@ -19,16 +19,24 @@ from tidemill.session import materialize
 WIDTH = 5
 SIMILARITY = 0.8
 
-# fixed values: units that are recognised behind a number
+# fixed values: units that are recognised behind a number, in English, German, French and Spanish
 UNITS = (
     "km m cm mm miles mile ft feet inches inch kg g mg lb lbs oz tons l ml litres liters hours hour minutes minute seconds second "
-    "days day weeks week months month years year dollars dollar cents euros euro pounds percent degrees mph kmh"
+    "days day weeks week months month years year dollars dollar cents euros euro pounds percent degrees mph kmh "
+    "stunden stunde minuten sekunden sekunde tagen tage tag wochen woche monaten monate monat jahren jahre jahr meilen meile meter metern "
+    "kilometer kilometern zentimeter millimeter gramm kilogramm kilo pfund tonnen tonne liter cent franken prozent grad "
+    "heures heure secondes seconde jours jour semaines semaine mois ans an années année mètres mètre kilomètres kilomètre centimètres centimètre "
+    "grammes gramme kilogrammes kilogramme kilos tonnes litre centimes centime francs franc pourcent degrés degré "
+    "horas hora minutos minuto segundos segundo días día semanas semana meses mes años año metros metro kilómetros kilómetro centímetros centímetro "
+    "gramos gramo kilogramos kilogramo toneladas tonelada litros litro dólares dólar céntimos céntimo pesos peso grados grado"
 ).split()
 
-NUMBER, UNIT, NAME = "\u0001", "\u0002", "\u0003"
-AFTER = "\u0004"  # words that begin with a mark sort before it
-_NUMBER_UNIT = rf"([0-9]+)(\s*)((?i:{'|'.join(UNITS)}))(?![\p{{L}}\p{{N}}])"
-_NAME = r"(?<=[\p{Ll},;]\s{1,8})(\p{Lu}\p{L}*)"
+NUMBER, UNIT, NAME, FIRST = "\u0001", "\u0002", "\u0003", "\u0004"
+AFTER = "\u0005"  # words that begin with a mark sort before it
+_NUMBER_UNIT = rf"([0-9]++)(\s*+)((?iu:{'|'.join(dict.fromkeys(UNITS))}))(?![\p{{L}}\p{{N}}])"
+# the first capital of a text or behind the end of a sentence; all others that begin a word
+_FIRST = r"(^|[.!?:\u2026][^\p{L}\p{N}\s]{0,3}\s)([^\p{L}\p{N}]*)(?=\p{Lu})"
+_NAME = rf"(?<![\p{{L}}\p{{N}}{NUMBER}-{FIRST}])(?=\p{{Lu}})"
 
 
 def marked(text: Column) -> Column:
@@ -36,7 +44,8 @@ def marked(text: Column) -> Column:
     joined = F.regexp_replace(text, r"(?<=[0-9])[.,](?=[0-9])", "")
     counted = F.regexp_replace(joined, _NUMBER_UNIT, f" {NUMBER}$1 {UNIT}$3 ")
     counted = F.regexp_replace(counted, rf"(?<![0-9{NUMBER}])([0-9]+)", f" {NUMBER}$1 ")
-    return F.regexp_replace(F.when(text.rlike("[0-9]"), counted).otherwise(text), _NAME, f"{NAME}$1")
+    named = F.regexp_replace(F.when(text.rlike("[0-9]"), counted).otherwise(text), _FIRST, f"$1$2{FIRST}")
+    return F.regexp_replace(named, _NAME, NAME)
 
 
 def raw_words(text: Column) -> Column:
@@ -50,12 +59,17 @@ def _value(word: Column) -> Column:
 
 
 def _slot(word: Column) -> Column:
-    """The word, or the bare mark of its slot."""
-    return F.when(word < AFTER, F.substring(word, 1, 1)).otherwise(word)
+    """The word, or the bare mark of its slot; a sentence's first capital is a name."""
+    return F.when(word >= AFTER, word).when(word >= NAME, F.lit(NAME)).otherwise(F.substring(word, 1, 1))
 
 
-#: a window matches if any reading of it does: its words, or its template
-READINGS = {"plain": _value, "template": _slot}
+def _inner_slot(word: Column) -> Column:
+    """The same, but a sentence's first capital is a word like any other."""
+    return F.when(word >= AFTER, word).when(word >= FIRST, F.substring(word, 2, 1 << 30)).otherwise(F.substring(word, 1, 1))
+
+
+#: a window matches if any reading of it does: its words, or one of its templates
+READINGS = {"plain": _value, "template": _slot, "inner": _inner_slot}
 
 
 def _read(raw: Column) -> Column:
@@ -64,11 +78,11 @@ def _read(raw: Column) -> Column:
 
 
 def _plain(text: Column) -> Column:
-    return F.translate(text, NUMBER + UNIT + NAME, "   ")
+    return F.translate(text, NUMBER + UNIT + NAME + FIRST, "    ")
 
 
 def _words(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(text), rf"[^\p{{L}}\p{{N}}{NUMBER}-{NAME}]+"), "")
+    return F.array_remove(F.split(F.lower(text), rf"[^\p{{L}}\p{{N}}{NUMBER}-{FIRST}]+"), "")
 
 
 def _windows(words: str, width: int) -> Column:
@@ -159,8 +173,8 @@ def _consistent(plain: DataFrame, items: DataFrame, doubtful: DataFrame, found:
     )
     both = materialize(both)
     steps = both.select(*aligned, "at", "exact", F.posexplode(F.arrays_zip("ours", "other")).alias("k", "w"))
-    steps = steps.filter(F.col("w.ours").rlike(f"^[{NUMBER}-{NAME}]")).select(
-        *aligned, "at", "exact", (F.col("at") + F.col("k")).alias("spot"), F.col("w.ours").alias("ours"), _value(F.col("w.other")).alias("other")
+    steps = steps.filter(F.col("w.ours").rlike(f"^[{NUMBER}-{FIRST}]")).select(
+        *aligned, "at", "exact", (F.col("at") + F.col("k")).alias("spot"), F.translate("w.ours", FIRST, NAME).alias("ours"), _value(F.col("w.other")).alias("other")
     )
     votes = steps.groupBy(*aligned, "ours", "other").agg(F.countDistinct("spot").alias("n"), F.min("spot").alias("first"))
     rank = F.struct("n", (_value(F.col("ours")) == F.col("other")).alias("same"), -F.col("first"))
