@@ -205,6 +205,16 @@ def test_first_names_and_units_of_other_languages_are_slots(spark):
     assert found[1, 1] == (16, 16)
 
 
+def test_templates_of_slots_alone_match_by_their_values(spark):
+    items = [(1, "12 + 30 = 42"), (2, "2 4 6 8 10 12 14"), (3, "Chapter 7"), (4, "the sum of 1 2 3 4 5 6 7 8 9")]
+    docs = [
+        (1, "printed on 2024-01-15 at noon"), (2, "values 3 5 7 9 11 13 15 17 19 here"), (3, "see Chapter 9 of it"), (4, "now the sum of 9 8 7 6 5 4 3 2 1 is asked"),
+        (5, "so 12 + 30 = 42, in Chapter 7"), (6, "count 2 4 6 8 10 12 14 then stop"), (7, "the sum of 3 is small"),
+    ]
+    found = leaks_of(spark, docs, items)
+    assert found == {(4, 4): (8, 8), (5, 1): (1, 1), (5, 3): (1, 1), (6, 2): (3, 3)}
+
+
 def test_leaks_of_the_small_table(spark, small):
     """Against containment of five-word windows counted in plain Python; the items have no slots."""
     import re

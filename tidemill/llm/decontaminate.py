@@ -18,6 +18,8 @@ from tidemill.session import materialize
 #: words of a window, and the share of an item's windows that makes a leak
 WIDTH = 5
 SIMILARITY = 0.8
+#: literal words that an item's template holds at least, or only its own words match it
+LITERALS = 2
 
 # fixed values: units that are recognised behind a number, in English, German, French and Spanish
 UNITS = (
@@ -102,10 +104,25 @@ def _items(benchmark: DataFrame, id_col: str, text_col: str, width: int) -> Data
 
 
 def _item_windows(items: DataFrame, width: int) -> DataFrame:
-    """(item, width, at, window, hash): the windows of each item, named by their words, and the hashes that match them."""
+    """(item, width, at, window, bare, hash): the windows of each item, named by their words, and the hashes that match them.
+
+    A template without a literal word, or of an item with too few of them, matches nothing by itself; a window
+    that has no other is ``bare``.
+    """
     at = [F.when(F.col("width") == w, _windows("words", w)) for w in range(1, width + 1)]
-    rows = items.select("item", "width", F.posexplode(F.coalesce(*at)).alias("at", "read"))
-    return rows.select("item", "width", "at", F.col("read.plain").alias("window"), F.explode(_distinct("read")).alias("hash"))
+    rows = items.select("item", "width", "raw", F.posexplode(F.coalesce(*at)).alias("at", "read"))
+    run = F.slice("raw", F.col("at") + 1, F.col("width"))
+
+    def literal(words: Column, read) -> Column:
+        return F.size(F.array_distinct(F.filter(words, lambda w: read(w) >= AFTER)))
+
+    templates = {name: read for name, read in READINGS.items() if name != "plain"}
+    keys = [F.when((literal(run, read) > 0) & (literal(F.col("raw"), read) >= LITERALS), F.col(f"read.{name}")) for name, read in templates.items()]
+    keys = F.array_compact(F.array(*keys))
+    return rows.select(
+        "item", "width", "at", F.col("read.plain").alias("window"), (F.size(keys) == 0).alias("bare"),
+        F.explode(F.array_distinct(F.concat(F.array("read.plain"), keys))).alias("hash"),
+    )
 
 
 def _distinct(read: str) -> Column:
@@ -119,13 +136,15 @@ def find_leaks(
     """(doc_id, text_hash, item_id, n_windows, n_found, similarity): one row per text of an id and item that it leaks.
 
     ``n_windows`` counts the item's windows of distinct words, ``n_found`` those that the document holds word by word
-    or as a template with consistent slots.  Items shorter than a window are one window of their own length.  NULL or empty
+    or as a template with consistent slots.  Items shorter than a window are one window of their own length.
+    Windows of slots alone count if they are equal, or as templates beside a window with literal words; items with fewer than
+    ``LITERALS`` literal words are matched by their words alone.  NULL or empty
     texts leak nothing and are leaked by nobody; repeated rows give one row; a NULL id is kept; empty tables give no rows.
     Matches are counted per document and window before they are shuffled.
     """
     items = materialize(_items(benchmark, item_id_col, item_text_col, width))
     stored = materialize(_item_windows(items, width))
-    sizes = stored.groupBy("item").agg(F.countDistinct("window").alias("n_windows"))
+    sizes = stored.groupBy("item").agg(F.countDistinct("window").alias("n_windows"), F.countDistinct(F.when(F.col("bare"), F.col("window"))).alias("n_bare"))
     widths = sorted(r.width for r in stored.select("width").distinct().collect())  # at most ``width`` numbers
     plain = texts(docs, id_col, text_col).select("doc_id", text_hash(F.col("text")).alias("text_hash"), "text")
     worded = plain.select("doc_id", "text_hash", _read(raw_words(F.col("text"))).alias("words"))
@@ -133,20 +152,23 @@ def find_leaks(
     for w in widths:
         windows = worded.select("doc_id", "text_hash", F.posexplode(_windows("words", w)).alias("place", "read"))
         windows = windows.select("doc_id", "text_hash", "place", F.explode(_distinct("read")).alias("hash"))
-        keys = stored.filter(F.col("width") == w).select("hash", "item", "at", "window")
-        part = windows.join(small_side(keys) or keys, "hash").select("doc_id", "text_hash", "item", "window", "at", "place", (F.col("hash") == F.col("window")).alias("exact"))
+        keys = stored.filter(F.col("width") == w).select("hash", "item", "at", "window", "bare")
+        part = windows.join(small_side(keys) or keys, "hash").select("doc_id", "text_hash", "item", "window", "bare", "at", "place", (F.col("hash") == F.col("window")).alias("exact"))
         found = part if found is None else found.unionByName(part)
     if found is None:
-        found = stored.select(F.lit(None).cast(docs.schema[id_col].dataType).alias("doc_id"), F.struct(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b")).alias("text_hash"), "item", "window", "at", F.lit(0).alias("place"), F.lit(True).alias("exact"))
+        found = stored.select(F.lit(None).cast(docs.schema[id_col].dataType).alias("doc_id"), F.struct(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b")).alias("text_hash"), "item", "window", "bare", "at", F.lit(0).alias("place"), F.lit(True).alias("exact"))
     pair = ["doc_id", "text_hash", "item"]
     found = materialize(found)
-    counted = found.groupBy(*pair, "window").agg(F.max("exact").alias("exact")).groupBy(*pair)
-    counted = counted.agg(F.count(F.lit(1)).alias("n_found"), F.count_if("exact").alias("n_exact")).join(sizes, "item")
-    near = materialize(counted.filter(F.col("n_found") >= similarity * F.col("n_windows")))
-    doubtful = materialize(near.filter("n_exact < n_found").drop("n_exact"))
-    sure = near.filter("n_exact = n_found").drop("n_exact")
+    counted = found.groupBy(*pair, "window").agg(F.max("exact").alias("exact"), F.min("bare").alias("bare")).groupBy(*pair).agg(
+        F.count(F.lit(1)).alias("n_found"), F.count_if("exact").alias("n_exact"), F.count_if(~F.col("bare")).alias("n_rich")
+    )
+    enough, might = F.col("n_found") >= similarity * F.col("n_windows"), F.col("n_rich") + F.col("n_bare") >= similarity * F.col("n_windows")
+    near = materialize(counted.join(sizes, "item").filter(enough | ((F.col("n_rich") > 0) & might)))
+    doubt = (F.col("n_exact") < F.col("n_found")) | ((F.col("n_bare") > 0) & (F.col("n_found") < F.col("n_windows")))
+    columns = [*pair, "n_windows", "n_found"]
+    doubtful, sure = materialize(near.filter(doubt).select(*columns)), near.filter(~doubt).select(*columns)
     if not doubtful.isEmpty():
-        sure = sure.unionByName(_consistent(plain, items, doubtful, found, similarity))
+        sure = sure.unionByName(_consistent(plain, items, stored, doubtful, found, similarity))
     named = sure.join(items.select("item", "item_id"), "item")
     rows = named.groupBy("doc_id", "text_hash", "item_id").agg(F.max(F.struct("n_found", "n_windows")).alias("m"))
     return rows.select("doc_id", "text_hash", "item_id", "m.n_windows", "m.n_found", (F.col("m.n_found") / F.col("m.n_windows")).alias("similarity"))
@@ -157,21 +179,27 @@ def text_hash(text: Column) -> Column:
     return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(7), text).alias("b"))
 
 
-def _consistent(plain: DataFrame, items: DataFrame, doubtful: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
+def _consistent(plain: DataFrame, items: DataFrame, stored: DataFrame, doubtful: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
     """The doubtful pairs that remain when windows over a contradicting slot are left out.
 
     Along one alignment a value of the item stands for the value of the document that it meets at most places; of
     equally frequent ones for itself, else for the first.  Only windows that cover another value are left out.
+    Windows of slots alone are matched here, along the alignments of windows with literal words.
     """
     pair, aligned = ["text_hash", "item"], ["text_hash", "item", "shift"]
-    hits = found.join(doubtful.select(*pair).distinct(), pair, "left_semi").groupBy(*pair, "window", "at", "place").agg(F.max("exact").alias("exact"))
+    hits = found.join(doubtful.select(*pair).distinct(), pair, "left_semi").groupBy(*pair, "window", "bare", "at", "place").agg(F.max("exact").alias("exact"))
+    lines = hits.filter("NOT bare").select(*pair, (F.col("place") - F.col("at")).alias("shift")).distinct()
+    bare = lines.join(stored.filter("bare").select("item", "window", "bare", "at").distinct(), "item").withColumn("place", F.col("shift") + F.col("at"))
+    bare = bare.filter("place >= 0").withColumn("exact", F.lit(False)).select(*hits.columns)
+    hits = hits.unionByName(bare)
     words = plain.join(doubtful.select("text_hash").distinct(), "text_hash", "left_semi").groupBy("text_hash").agg(F.first("text").alias("text"))
     words = words.select("text_hash", raw_words(F.col("text")).alias("theirs"))
     both = hits.join(words, "text_hash").join(items.select("item", "raw", "width"), "item").select(
         *pair, (F.col("place") - F.col("at")).alias("shift"), "window", "at", "exact",
         F.slice("raw", F.col("at") + 1, F.col("width")).alias("ours"), F.slice("theirs", F.col("place") + 1, F.col("width")).alias("other"),
     )
-    both = materialize(both)
+    alike = [F.transform("ours", read) == F.transform("other", read) for read in READINGS.values()]
+    both = materialize(both.filter(F.col("exact") | alike[0] | alike[1] | alike[2]).withColumn("exact", F.col("exact") | alike[0]))
     steps = both.select(*aligned, "at", "exact", F.posexplode(F.arrays_zip("ours", "other")).alias("k", "w"))
     steps = steps.filter(F.col("w.ours").rlike(f"^[{NUMBER}-{FIRST}]")).select(
         *aligned, "at", "exact", (F.col("at") + F.col("k")).alias("spot"), F.translate("w.ours", FIRST, NAME).alias("ours"), _value(F.col("w.other")).alias("other")
