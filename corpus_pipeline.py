@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.credentials import redact_secrets
+from tidemill.llm.credentials import HANDFUL, redact_secrets
 from tidemill.llm.decontaminate import without_leaks
 from tidemill.llm.packing import pack_documents
 from tidemill.llm.quality import accepted_documents, fit_on_ratings, graded_labels
@@ -35,7 +35,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The same documents with their secrets replaced."""
-    return redact_secrets(docs, repo=F.concat_ws("/", "source", "lang"), owner=F.col("source"), length_col="n_chars")
+    repo = F.concat_ws("/", "source", "lang")
+    return redact_secrets(docs, repo=repo, owner=F.col("source"), length_col="n_chars", most_owners=HANDFUL, examples=True)
 
 
 def packing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -12,6 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidemill.llm import queries
 from tidemill.llm.components import connected_components
 from tidemill.llm.credentials import redact_secrets, scan_secrets
@@ -255,6 +256,19 @@ def test_ownership_tells_examples_from_live_ones(spark):
     assert text[20][0] == "[SECRET]db and 😀 [SECRET]"
 
 
+def test_ownership_sets_only_the_class_of_the_added_kinds(spark, tmp_path):
+    key = "-----BEGIN PRIVATE KEY-----\n" + "QUJD" * 8 + "\n-----END PRIVATE KEY-----"
+    rows = [(i, f"key {VENDOR} here", f"s{i}") for i in range(7)] + [(10, f"the\n{key}", "a"), (11, f"a copy: {key}", "b")]
+    rows += [(20 + i, f"number {i}: see {SHARED}", f"s{i}") for i in range(7)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").withColumn("lang", F.lit("en")).withColumn("n_chars", F.length("text").cast("long"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: (r.spans.split(":")[0], r.n_live) for r in queries.op2_secret_scan(spark, str(tmp_path)).collect()}
+    # copies of one text are one owner; seven owners of differing texts hold an example
+    assert found == {**{i: ("vendor", 1) for i in range(7)}, 10: ("pem", 1), 11: ("pem", 1), **{20 + i: ("vendor", 0) for i in range(7)}}
+    text = {r.doc_id: r.text for r in corpus_pipeline.secrets(spark, docs, str(tmp_path)).collect()}
+    assert (text[0], text[10], text[11], text[20]) == ("key [SECRET] here", "the\n[SECRET]", "a copy: [SECRET]", "number 0: see [EXAMPLE]")
+
+
 def test_redaction_merges_overlaps(spark):
     nested = 'a token = "' + "0f" * 20 + '" b'
     rows = [(1, nested), (2, "none"), (3, None), (4, nested + nested)]

@@ -18,7 +18,7 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 LEAST_VALUE = 8
 
-#: kinds that count as secrets only while they look owned: private keys, signed tokens, vendor prefixes, logins in URLs
+#: kinds that count as secrets only while they look owned, unless examples are asked for too: private keys, signed tokens, vendor prefixes, logins in URLs
 ADDED = {
     "pem": r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[A-Za-z0-9+/=\s]{16,}-----END [A-Z ]{0,20}PRIVATE KEY-----",
     "jwt": r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}",
@@ -28,6 +28,8 @@ ADDED = {
 KINDS = ["assign", "access", "hex", *ADDED]
 #: a hash that more owners hold is a copied example
 MOST_OWNERS = 1
+#: with ``examples``: a value that no more owners, or no more repositories, hold in differing texts is live
+HANDFUL = 5
 
 # where no text matches this, no pattern does
 _ANY = r"""(?i:passw(?:or)?d|secret|token|api_?key)["']?\x20*[:=]|AKIA|[0-9a-f]{32}|PRIVATE KEY-----|eyJ|gh[pousr]_|glpat-|xox[abprs]-|[sr]k_live_|AIza|://"""
@@ -84,12 +86,13 @@ def ownership(hits: DataFrame) -> DataFrame:
 
 def scan_secrets(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo: Column | None = None, owner: Column | None = None,
-    most_owners: int = MOST_OWNERS,
+    most_owners: int = MOST_OWNERS, examples: bool = False,
 ) -> DataFrame:
     """(doc_id, spans): one row per input row; a span is (start, rank, stop, kind, hash, n_repos, n_owners, live).
 
     Base kinds are always spans; the other kinds are spans if they are live, that is if at most
-    ``most_owners`` owners hold the value.  A NULL text is empty and has no spans; repeated rows are rows of their own;
+    ``most_owners`` owners hold the value.  With ``examples`` every candidate is a span and ownership sets its class alone:
+    live if at most ``most_owners`` owners or as many repositories hold the value, where copies of one text count once.  A NULL text is empty and has no spans; repeated rows are rows of their own;
     NULL ids, repositories and owners are allowed; an empty table gives no rows.
     """
     blank = F.lit("")
@@ -97,31 +100,38 @@ def scan_secrets(
         F.col(f"`{id_col}`").alias("doc_id"), (blank if repo is None else repo).alias("repo"), (blank if owner is None else owner).alias("owner"),
         F.coalesce(F.col(f"`{text_col}`"), blank).alias("text"),
     )
-    rows = materialize(rows.select("doc_id", "repo", "owner", _hashed(candidates(F.col("text"))).alias("found")))
+    rows = materialize(rows.select("doc_id", "repo", "owner", F.xxhash64("text").alias("copy"), _hashed(candidates(F.col("text"))).alias("found")))
     rows = rows.withColumn("row", F.monotonically_increasing_id())  # fixed, since it numbers stored rows
-    judged = _judged(rows, most_owners)
+    judged = _judged(rows, most_owners, examples)
     return rows.join(judged, "row", "left").select("doc_id", F.coalesce("spans", F.array().cast(judged.schema["spans"].dataType)).alias("spans"))
 
 
-def _judged(rows: DataFrame, most_owners: int) -> DataFrame:
-    """(row, spans) of the rows with candidates (row, repo, owner, found)."""
-    hits = rows.select("row", "repo", "owner", F.explode("found").alias("s")).select("row", "repo", "owner", "s.*")
-    known = materialize(ownership(hits))
-    told = hits.drop("repo", "owner").join(known.drop("n_rows"), "hash").withColumn("live", F.col("n_owners") <= most_owners)
-    told = told.filter(F.col("live") | (F.col("rank") < 3))
+def _judged(rows: DataFrame, most_owners: int, examples: bool) -> DataFrame:
+    """(row, spans) of the rows with candidates (row, repo, owner, copy, found); ``copy`` is a hash of the text."""
+    hits = rows.select("row", "repo", "owner", "copy", F.explode("found").alias("s")).select("row", "repo", "owner", "copy", "s.*")
+    held = hits
+    if examples:  # one holder of each text, any of them
+        holder = F.struct("repo", "owner")
+        held = hits.groupBy("hash", "copy").agg(F.min_by(holder, F.struct(F.xxhash64("copy", holder), holder)).alias("h")).select("hash", "h.*")
+    known = materialize(ownership(held))
+    live = F.col("n_owners") <= most_owners
+    told = hits.drop("repo", "owner", "copy").join(known.drop("n_rows"), "hash")
+    told = told.withColumn("live", (live | (F.col("n_repos") <= most_owners)) if examples else live)
+    if not examples:
+        told = told.filter(F.col("live") | (F.col("rank") < 3))
     span = F.struct("start", "rank", "stop", "kind", "hash", "n_repos", "n_owners", "live")
     return told.groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("spans"))
 
 
 def redact_secrets(
     docs: DataFrame, text_col: str = "text", repo: Column | None = None, owner: Column | None = None, length_col: str | None = None,
-    most_owners: int = MOST_OWNERS,
+    most_owners: int = MOST_OWNERS, examples: bool = False,
 ) -> DataFrame:
     """``docs`` with every span replaced in its text: live ones by ``[SECRET]``, copied examples by ``[EXAMPLE]``.
 
     Rows without candidates are passed on where they are read, others are numbered and joined with their spans.
     Overlapping spans are one, live if one of them is.  All columns are kept; ``length_col`` is set to the new
-    text's length in changed rows.  A NULL text stays NULL.
+    text's length in changed rows.  A NULL text stays NULL.  ``examples`` is that of ``scan_secrets``.
     """
     blank = F.lit("")
     text = F.col("text")
@@ -130,9 +140,9 @@ def redact_secrets(
         F.struct("*").alias("input"), F.col(f"`{text_col}`").alias("text"),
         (blank if repo is None else repo).alias("repo"), (blank if owner is None else owner).alias("owner"),
     )
-    rows = materialize(rows.withColumn("found", _hashed(candidates(text))))
+    rows = materialize(rows.withColumn("copy", F.xxhash64("text")).withColumn("found", _hashed(candidates(text))))
     rows = rows.withColumn("row", F.monotonically_increasing_id())
-    changed = rows.select("row", "input", "text").join(_judged(rows, most_owners), "row", "left")
+    changed = rows.select("row", "input", "text").join(_judged(rows, most_owners, examples), "row", "left")
     new = F.when(F.size("spans") > 0, _replaced(text, F.col("spans"))).otherwise(text)
     changed = changed.withColumn("new", new)
     columns = []

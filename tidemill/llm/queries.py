@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.credentials import scan_secrets
+from tidemill.llm.credentials import HANDFUL, scan_secrets
 from tidemill.llm.decontaminate import find_leaks
 from tidemill.llm.packing import pack_documents
 from tidemill.llm.pii import find_personal_data
@@ -51,7 +51,7 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets of every document; a source is an owner, its part in one language a repository."""
     docs = _table(spark, folder, "documents")
     repo = F.concat_ws("/", "source", "lang")
-    found = scan_secrets(docs, repo=repo, owner=F.col("source"))
+    found = scan_secrets(docs, repo=repo, owner=F.col("source"), most_owners=HANDFUL, examples=True)
     base = joined_spans("spans", lambda s: s["rank"] < 3)
     return found.select(
         "doc_id", *[_of_kind("spans", k) for k in ("assign", "access", "hex")], F.sha2(base, 256).alias("base_sha256"),
