@@ -115,6 +115,26 @@ def test_search_empties_bins_that_best_fit_leaves():
     assert all(2048 - f == sum(many[i] for i in b) for f, b in zip(bins.free, bins.items, strict=True))
 
 
+def test_search_goes_on_until_no_step_improves():
+    draw = random.Random(5)
+    group = [draw.randrange(300, 1200) for _ in range(16_384)]
+    found = pack_lengths(group, 2048)
+    assert sorted(i for b in found for i in b) == list(range(len(group))) and max(sum(group[i] for i in b) for b in found) <= 2048
+    # best fit alone has 6060 sequences, 400 steps leave 6043; the volume asks for 5986
+    assert len(found) <= 6010
+    draw = random.Random(5)
+    few = [draw.randrange(500, 1300) for _ in range(60)]
+    bins = Bins(few, 2048)
+    bins.best_fit()
+    bins.search()
+    parts = [[few[i] for i in b] for b in bins.items if b]
+    assert len(parts) > -(-sum(few) // 2048)
+    for source, target in itertools.permutations([p for p in parts if sum(p) < 2048], 2):
+        outs = [*source, *map(sum, itertools.combinations(source, 2))]
+        steps = [(n, 0) for n in source] + [(out, back) for out in outs for back in target]
+        assert not any(out > back and sum(source) < sum(target) + out - back <= 2048 for out, back in steps)
+
+
 def test_ordinal_regression_on_held_out_rows():
     draw = random.Random(11)
     rows = []

@@ -16,8 +16,6 @@ from tidemill.session import materialize
 
 #: pieces that one task packs together
 GROUP_PIECES = 16_384
-#: the emptiest bins, among which a group's search exchanges documents
-PARTNERS = 256
 #: bins filled below this share are taken apart and packed anew across groups
 GOOD_FILL = 0.99
 
@@ -72,72 +70,76 @@ class Bins:
             if room > need:
                 insort(open_bins, (room - need, number))
 
-    def search(self, steps: int) -> None:
+    def search(self, steps: int | None = None) -> None:
         """Shift tokens out of the emptier of two bins, the emptiest first, until bins are empty.
 
-        A step moves an item, swaps one for one or two for one between two underfull bins; each is
-        taken only if the sum of squared fills grows, so the search cannot turn in circles.
-        It stops at the volume bound, at ``steps`` steps, or when no bin can improve any other.
+        A step moves an item, swaps one for one or two for one between any two underfull bins; each is
+        taken only if the sum of squared fills grows, so the search ends by itself.
+        It stops at the volume bound, at ``steps`` steps if that is a number, or when no bin can improve any other.
         """
         need = -(-sum(self.lengths) // self.capacity)
         used = sum(1 for b in self.items if b)
-        stuck: set[int] = set()
-        while steps > 0 and used > need:
-            sources = [b for b in range(len(self.items)) if self.items[b] and self.free[b]]
-            source = max((b for b in sources if b not in stuck), key=lambda b: (self.free[b], b), default=None)
-            if source is None:
-                break
-            partners = sorted(sources, key=lambda b: (-self.free[b], b))[:PARTNERS]
-            before = steps
-            while self.items[source] and steps > 0 and self._improve(source, partners):
-                steps -= 1
-            if steps < before:  # what was stuck may have room or a partner now
-                stuck.clear()
-            if self.items[source]:
-                stuck.add(source)
-            else:
-                used -= 1
-
-    def _improve(self, source: int, partners: list[int]) -> bool:
+        self._sizes, self._free = np.array(self.lengths, dtype=np.int64), np.array(self.free, dtype=np.int64)
+        self._bin = np.empty(len(self.lengths), dtype=np.int64)
+        for number, members in enumerate(self.items):
+            self._bin[members] = number
+        left, improved = float("inf") if steps is None else steps, True
+        while improved and left > 0 and used > need:
+            improved = False
+            underfull = np.array([b for b, members in enumerate(self.items) if members and self._free[b]], dtype=np.int64)
+            pool = np.flatnonzero(self._free[self._bin] > 0)  # a full bin stays full
+            for source in underfull[np.argsort(-self._free[underfull], kind="stable")].tolist():
+                while left > 0 and used > need and self.items[source] and self._improve(source, underfull, pool):
+                    left, improved = left - 1, True
+                    used -= not self.items[source]
+        self.free = self._free.tolist()
+
+    def _improve(self, source: int, underfull: np.ndarray, pool: np.ndarray) -> bool:
         """The step out of ``source`` that fills another bin best; False where there is none."""
-        lengths, fill = self.lengths, self.capacity - self.free[source]
-        own = sorted(self.items[source], key=lambda i: (lengths[i], i))
-        singles = [(lengths[i], (i,)) for i in own]
-        pairs = [(lengths[a] + lengths[b], (a, b)) for k, a in enumerate(own[:24]) for b in own[k + 1 : 24]]
-        outs = sorted(singles + pairs)
-        sizes = [size for size, _ in outs]
-        best = None
-        for target in partners:
-            room = self.free[target]
-            if target == source or not room or not self.items[target]:
-                continue
-            there = self.capacity - room
-            for back in (None, *self.items[target]):
-                size = lengths[back] if back is not None else 0
-                at = bisect_left(sizes, room + size + 1) - 1
-                shift = sizes[at] - size if at >= 0 else 0
-                if shift <= 0 or (back is None and len(outs[at][1]) > 1) or there + shift <= fill:
-                    continue
-                gain = (there + shift) ** 2 - there**2 + (fill - shift) ** 2 - fill**2
-                if gain > 0 and (best is None or (room - shift, -gain) < best[0]):
-                    best = ((room - shift, -gain), target, outs[at][1], back, shift)
-            if best and not best[0][0]:
-                break
-        if best is None:
+        fill = self.capacity - int(self._free[source])
+        if not self._free[source]:
+            return False
+        own: dict[int, list[int]] = {}
+        for i in self.items[source]:
+            own.setdefault(self.lengths[i], []).append(i)
+        # a bin has few distinct lengths, since their sum is within the capacity: all pairs are tried
+        singles, outs = np.zeros(self.capacity + 1, dtype=np.int64), np.zeros(self.capacity + 1, dtype=np.int64)
+        sizes = np.fromiter(own, dtype=np.int64, count=len(own))
+        singles[sizes] = sizes
+        sums = (sizes[:, None] + sizes)[np.triu_indices(len(sizes), 1)]
+        twice = [2 * n for n, members in own.items() if len(members) > 1]
+        outs[sizes], outs[sums], outs[twice] = sizes, sums, twice
+        singles, outs = np.maximum.accumulate(singles), np.maximum.accumulate(outs)  # the largest within each size
+
+        targets = np.concatenate([underfull, self._bin[pool]])
+        back = np.concatenate([np.zeros(len(underfull), dtype=np.int64), self._sizes[pool]])
+        room = self._free[targets]
+        most = np.minimum(room + back, self.capacity)
+        shift = np.concatenate([singles[most[: len(underfull)]], outs[most[len(underfull) :]]]) - back
+        grows = shift - room + self._free[source]  # half of what squared fill gains by each token
+        good = np.flatnonzero((shift > 0) & (grows > 0) & (room > 0) & (room < self.capacity) & (targets != source))
+        if not len(good):
             return False
-        _, target, moved, back, shift = best
+        at = good[np.argmin((room[good] - shift[good]) * (1 << 40) - shift[good] * grows[good])]
+        target, size = int(targets[at]), int(shift[at] + back[at])
+        returned = int(pool[at - len(underfull)]) if at >= len(underfull) else None
+        moved = own[size][:1] if size in own else next(
+            [own[n][0], own[size - n][-1]] for n in own if size - n in own and (2 * n != size or len(own[n]) > 1)
+        )
         for item in moved:
             self.items[source].remove(item)
             self.items[target].append(item)
-        if back is not None:
-            self.items[target].remove(back)
-            self.items[source].append(back)
-        self.free[target] -= shift
-        self.free[source] += shift
+            self._bin[item] = target
+        if returned is not None:
+            self.items[target].remove(returned)
+            self.items[source].append(returned)
+            self._bin[returned] = source
+        self._free[target] -= shift[at]
+        self._free[source] += shift[at]
         return True
 
 
-def pack_lengths(lengths: list[int], capacity: int, steps: int = 400) -> list[list[int]]:
+def pack_lengths(lengths: list[int], capacity: int, steps: int | None = None) -> list[list[int]]:
     """Positions of ``lengths``, bin by bin."""
     bins = Bins(lengths, capacity)
     bins.best_fit()
@@ -145,7 +147,7 @@ def pack_lengths(lengths: list[int], capacity: int, steps: int = 400) -> list[li
     return [b for b in bins.items if b]
 
 
-def _pack_groups(pieces: DataFrame, n_groups: int, capacity: int, steps: int) -> DataFrame:
+def _pack_groups(pieces: DataFrame, n_groups: int, capacity: int, steps: int | None) -> DataFrame:
     """(key, length, sequence_id, offset, fill), every group packed by itself."""
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
@@ -165,7 +167,7 @@ def _pack_groups(pieces: DataFrame, n_groups: int, capacity: int, steps: int) ->
 
 def pack_documents(
     docs: DataFrame, tokenizer_path: str, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0,
-    group_pieces: int = GROUP_PIECES, steps: int = 400,
+    group_pieces: int = GROUP_PIECES, steps: int | None = None,
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset): one row per piece.
 
