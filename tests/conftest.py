@@ -10,7 +10,7 @@ for folder in (ROOT, ROOT / "tests"):
     if str(folder) not in sys.path:
         sys.path.insert(0, str(folder))
 
-SMALL = "/root/testdata/sf0.001"
+from helpers import SMALL  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -30,7 +30,3 @@ def spark(tmp_path_factory):
 @pytest.fixture()
 def small() -> str:
     return SMALL
-
-
-def as_set(df) -> set:
-    return {tuple(r) for r in df.collect()}

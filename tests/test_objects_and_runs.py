@@ -1,7 +1,7 @@
 from datetime import date, datetime
 
 import pytest
-from conftest import as_set
+from helpers import as_set
 from pyspark.sql import functions as F
 
 from tidemill.operators import checks, keyed, objects, rows, runs

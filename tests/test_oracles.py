@@ -2,7 +2,7 @@
 
 import pytest
 from compare import difference
-from conftest import SMALL
+from helpers import SMALL
 
 from tidemill.plans import ORACLES, QUERIES
 

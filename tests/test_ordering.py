@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import as_set
+from helpers import as_set
 from pyspark.sql import functions as F
 
 from tidemill.operators import keyed, ordering, series, skew

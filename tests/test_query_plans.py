@@ -4,7 +4,7 @@ import io
 from contextlib import redirect_stdout
 
 import pytest
-from conftest import SMALL
+from helpers import SMALL
 from pyspark.sql import functions as F
 
 from tidemill.operators import checks, ordering, series
