@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import brute
+import brute_force as brute
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F

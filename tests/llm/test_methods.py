@@ -5,7 +5,7 @@ from __future__ import annotations
 import itertools
 import random
 
-import brute
+import brute_force as brute
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
