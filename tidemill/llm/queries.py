@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tidemill.llm.collocations import mine_collocations
 from tidemill.llm.credentials import HANDFUL, scan_secrets
 from tidemill.llm.decontaminate import find_leaks
-from tidemill.llm.oracles import COLLOCATIONS
+from tidemill.llm.hard_negatives import mine_hard_negatives
+from tidemill.llm.oracles import COLLOCATIONS, HARD_NEGATIVES
 from tidemill.llm.packing import pack_documents
 from tidemill.llm.pii import find_personal_data
 from tidemill.llm.quality import fit_on_ratings, grade_documents, graded_labels
@@ -113,6 +114,13 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return read_documents(manifest, docs.schema["doc_id"].dataType.simpleString())
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten negatives for each of the five positives of every hundredth vector."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, folder, "embeddings").withColumn("label", label)
+    return mine_hard_negatives(rows, anchor=F.col("id") % 100 == 0)
+
+
 def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
     """The best 2,000 phrases of each language."""
     return mine_collocations(_table(spark, folder, "documents"))
@@ -122,9 +130,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_secret_scan, op3_best_fit_packing, op4_quality, op5_token_counts, op6_personal_data, op7_transcripts,
-        op8_near_vectors, op9_simhash, op10_token_files, op13_collocations,
+        op8_near_vectors, op9_simhash, op10_token_files, op12_hard_negatives, op13_collocations,
     )
 }
 
 # A query has its SQL where whole tables are within SQL's reach; the others are tested against brute force.
-ORACLES: dict[str, str] = {"op13_collocations": COLLOCATIONS}
+ORACLES: dict[str, str] = {"op12_hard_negatives": HARD_NEGATIVES, "op13_collocations": COLLOCATIONS}
