@@ -11,6 +11,7 @@ from tidemill.llm.collocations import mine_collocations
 from tidemill.llm.credentials import HANDFUL, scan_secrets
 from tidemill.llm.decontaminate import find_leaks
 from tidemill.llm.hard_negatives import mine_hard_negatives
+from tidemill.llm.language_kernel import fit_languages, identify_languages
 from tidemill.llm.oracles import COLLOCATIONS, HARD_NEGATIVES
 from tidemill.llm.packing import pack_documents
 from tidemill.llm.pii import find_personal_data
@@ -114,6 +115,15 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return read_documents(manifest, docs.schema["doc_id"].dataType.simpleString())
 
 
+def op11_language_kernel(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of all documents, learnt from four fifths of them."""
+    docs = _table(spark, folder, "documents")
+    held_out = lambda key: F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    model = fit_languages(docs, learn=~held_out("doc_id"))
+    found = identify_languages(docs, model)
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     """Ten negatives for each of the five positives of every hundredth vector."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -130,7 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_secret_scan, op3_best_fit_packing, op4_quality, op5_token_counts, op6_personal_data, op7_transcripts,
-        op8_near_vectors, op9_simhash, op10_token_files, op12_hard_negatives, op13_collocations,
+        op8_near_vectors, op9_simhash, op10_token_files, op11_language_kernel, op12_hard_negatives, op13_collocations,
     )
 }
 
