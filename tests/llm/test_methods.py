@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemill.llm import queries
+from tidemill.llm import queries, vector_dedup
 from tidemill.llm.components import connected_components
 from tidemill.llm.credentials import redact_secrets, scan_secrets
 from tidemill.llm.decontaminate import find_leaks, without_leaks
@@ -357,3 +357,42 @@ def test_transcripts_do_not_depend_on_blocks(spark):
 def test_raw_lines_keep_the_text(spark):
     table = spark.createDataFrame([(1, 0, "user", "a\nb"), (1, 1, None, None), (None, 0, "system", "x")], "conv_id bigint, turn bigint, role string, text string")
     assert raw_lines(table).count() == 4
+
+
+def _near_copies(seed, n, spread, d=12):
+    draw = np.random.default_rng(seed)
+    middle = draw.normal(size=d)
+    made = middle + spread * np.linalg.norm(middle) * draw.normal(size=(n, d)) / np.sqrt(d)
+    return [v.astype(np.float32).tolist() for v in made]
+
+
+@pytest.mark.parametrize("spread", [0.1, 0.3, 0.6])
+def test_crowded_cells_count_all_links(spark, monkeypatch, spread):
+    monkeypatch.setattr(vector_dedup, "CORE_ROWS", 5)
+    monkeypatch.setattr(vector_dedup, "BLOCK_ROWS", 16)
+    vectors = _near_copies(1, 150, spread) + _near_copies(2, 60, 0.05) + _near_copies(3, 60, 2.0) + [_near_copies(1, 1, spread)[0]] * 3
+    rows = list(enumerate(vectors))
+    got = near_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")).collect()
+    assert sorted(map(tuple, got), key=str) == brute.vector_links(rows)
+
+
+def test_cutoff_reaches_the_target_on_probes_that_did_not_set_it(spark, monkeypatch):
+    monkeypatch.setattr(vector_dedup, "CELL_ROWS", 4)
+    vectors = [v for i in range(80) for v in _near_copies(i, 4, 0.15)]
+    raws = [(i, np.array(v, np.float32).tobytes(), 1) for i, v in enumerate(vectors)]
+    grid = vector_dedup.fit_grid(spark.createDataFrame(raws, "node bigint, raw binary, copies bigint"), 12, 0.9)
+    assert grid.recall is not None and min(grid.recall) > 0.9
+    units = vector_dedup._units([r for _, r, _ in raws], 12)
+    first, second = grid.distances(units)
+    cells = grid.cells(first, second)
+    visits = [set(grid.visits(a, b)) for a, b in zip(first, second, strict=True)]
+    linked = [(i, j) for i, j in zip(*np.nonzero(units @ units.T >= 0.9), strict=True) if i != j]
+    found = sum(cells[j] in visits[i] or cells[i] in visits[j] for i, j in linked)
+    assert found >= 0.999 * len(linked) > 100
+
+
+def test_a_vector_is_kept_in_the_narrowest_floats():
+    whole, fine = np.array([0.5, 0.25]), np.array([0.1, 0.2])
+    for v in (whole, fine):
+        raw = (v.astype(np.float32) if (v.astype(np.float32) == v).all() else v).tobytes()
+        assert (vector_dedup._units([raw], 2)[0] == v / np.abs(v).max() / np.sqrt(((v / np.abs(v).max()) ** 2).sum())).all()

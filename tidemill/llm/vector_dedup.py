@@ -2,12 +2,16 @@
 
 Each half of a unit vector has a codebook of its own; the two nearest codewords name a cell of
 the product grid.  A vector visits cells in the order of the sum of its two squared distances, until the excess
-over its own cell passes a cutoff.  The cutoff is set so that the true neighbours of a sample of vectors, found by brute
-force against all vectors, lie within it.  What shares a visited cell is verified by cosine in double precision.
+over its own cell passes a cutoff.  The cutoff is the smallest one that reaches the target recall on a sample of vectors, whose true
+neighbours are found by brute force against all vectors.  What shares a visited cell is verified by cosine in double precision.
+
+A cell that holds many vectors has a core: those so near its centre that any two of them are linked.  Their links with each other
+are counted, not compared, so a large group of near copies costs what its members cost.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,18 +21,21 @@ from pyspark.sql import functions as F
 
 from tidemill.llm.components import connected_components
 from tidemill.llm.rows import map_rows
+from tidemill.operators.skew import dimension_join
 from tidemill.session import materialize
 
 #: vectors that the codebooks are fitted on, at most
 FIT_ROWS = 16_384
-#: vectors whose true neighbours set the cutoff, at most
-PROBE_ROWS = 2_048
+#: vectors whose true neighbours set and measure the cutoff, at most
+PROBE_ROWS = 4_096
+#: share of the links that a cutoff has to reach, over all links and over the mean of the probes
+TARGET_RECALL = 0.999
 #: vectors of a cell that one task compares with as many visitors
 BLOCK_ROWS = 1_024
 #: codewords of a half, at most: the codebooks are sent to every task
 MOST_WORDS = 2_048
-#: vectors that a cell should hold
-CELL_ROWS = 16
+#: vectors that a cell should hold, and with how many it gets a core
+CELL_ROWS, CORE_ROWS = 64, 256
 BINS = 4_000
 
 
@@ -38,6 +45,8 @@ class Grid:
 
     halves: tuple[np.ndarray, np.ndarray]
     cutoff: float
+    #: share of links within the cutoff, of probes that did not set it (over all links, over the mean of the probes)
+    recall: tuple[float, float] | None = None
 
     def distances(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Squared distances to the codewords of either half, one row per vector."""
@@ -87,32 +96,49 @@ def _matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.float64).reshape(len(column), -1)
 
 
+def _unit(v: np.ndarray) -> np.ndarray:
+    v = v / np.abs(v).max()  # so that squares neither overflow nor vanish
+    return v / np.sqrt((v * v).sum())
+
+
+def _units(raws: list[bytes], size: int) -> np.ndarray:
+    """Unit vectors of ``size`` doubles from bytes of floats or doubles."""
+    made = np.empty((len(raws), size))
+    for i, raw in enumerate(raws):
+        made[i] = _unit(np.frombuffer(raw, np.float32 if len(raw) == 4 * size else np.float64).astype(np.float64))
+    return made
+
+
 def unit_vectors(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(vec_id, unit): unit vectors as bytes of doubles, NULL where there is none."""
+    """(vec_id, d, raw, key): a vector as bytes of floats, or of doubles where floats would not do, and a digest of its unit vector; NULL where there is none."""
 
-    def unit(vector) -> bytes | None:
+    def told(vector) -> tuple:
         if not vector or any(x is None for x in vector):
-            return None
+            return None, None, None
         v = np.asarray(vector, np.float64)
-        with np.errstate(all="ignore"):
-            most = np.abs(v).max()
-            if not np.isfinite(v).all() or not most:
-                return None
-            v = v / most  # so that squares neither overflow nor vanish
-            return (v / np.sqrt((v * v).sum())).tobytes()
+        if not np.isfinite(v).all() or not v.any():
+            return None, None, None
+        with np.errstate(over="ignore"):
+            short = v.astype(np.float32)
+        raw = short if (short == v).all() else v
+        return len(v), raw.tobytes(), hashlib.sha256(_unit(v).tobytes()).digest()
 
     kind = table.schema[id_col].dataType.simpleString()
     rows = table.select(F.col(f"`{id_col}`").alias("vec_id"), F.col(f"`{vector_col}`").cast("array<double>").alias("v"))
-    return map_rows(rows, [("vec_id", kind), ("unit", "binary")], lambda: lambda rows: [(i, unit(v)) for i, v in rows])
+    fields = [("vec_id", kind), ("d", "int"), ("raw", "binary"), ("key", "binary")]
+    return map_rows(rows, fields, lambda: lambda rows: [(i, *told(v)) for i, v in rows])
+
 
+def fit_grid(classes: DataFrame, size: int, threshold: float) -> Grid | None:
+    """Codebooks and cutoff for (node, raw, copies) of ``size`` dimensions; None without classes.
 
-def fit_grid(classes: DataFrame, threshold: float) -> Grid | None:
-    """Codebooks and cutoff for (node, unit, copies); None without classes."""
+    One half of the probes sets the cutoff, the other measures it; if it falls short of the target there, all probes set it.
+    """
     count = classes.count()
-    sample = classes.select("unit").orderBy(F.xxhash64("unit"), "unit").limit(FIT_ROWS).toPandas()["unit"].tolist()
+    sample = classes.select("raw").orderBy(F.xxhash64("raw"), "raw").limit(FIT_ROWS).toPandas()["raw"].tolist()
     if not sample:
         return None
-    units = _matrix(sample)
+    units = _units(sample, size)
     words = int(np.clip(np.sqrt(count / CELL_ROWS), 1, min(MOST_WORDS, max(1, len(units) // 4))))
     grid = Grid(fit_books(units, words), 0.0)
     probes = units[:PROBE_ROWS]
@@ -121,29 +147,45 @@ def fit_grid(classes: DataFrame, threshold: float) -> Grid | None:
 
     def start():
         def excess(rows: list) -> list[tuple]:
-            them = _matrix([u for (u,) in rows])
+            them = _units([u for (u,) in rows], size)
             d = grid.distances(them)
             who, whom = np.nonzero(probes @ them.T >= threshold)
             far = first[who, d[0].argmin(1)[whom]] + second[who, d[1].argmin(1)[whom]] - own[who]
-            bins, n = np.unique(np.minimum(np.ceil(np.maximum(far, 0) * BINS / 4), BINS).astype(int), return_counts=True)
-            return list(zip(bins.tolist(), n.tolist(), strict=True))
+            bins = np.minimum(np.ceil(np.maximum(far, 0) * BINS / 4), BINS).astype(int)
+            told, n = np.unique(who * (BINS + 1) + bins, return_counts=True)
+            return [(k // (BINS + 1), k % (BINS + 1), c) for k, c in zip(told.tolist(), n.tolist(), strict=True)]
 
         return excess
 
-    seen = map_rows(classes.select("unit"), [("bin", "int"), ("n", "bigint")], start).groupBy("bin").agg(F.sum("n").alias("n"))
-    furthest = max((r.bin for r in seen.collect()), default=0)  # at most BINS + 1 rows
-    # all sampled neighbours lie within; as much again for those that were not sampled
-    return Grid(grid.halves, 2 * furthest * 4 / BINS + 0.01)
+    seen = map_rows(classes.select("raw"), [("probe", "int"), ("bin", "int"), ("n", "bigint")], start)
+    seen = materialize(seen.groupBy("probe", "bin").agg(F.sum("n").alias("n")))
+    totals = seen.groupBy("probe").agg((F.sum("n") - 1).alias("total")).filter("total > 0")  # without the probe itself
+    other = F.col("n") - F.when(F.col("bin") == 0, 1).otherwise(0)
+    shares = seen.join(totals, "probe").select((F.col("probe") % 2).alias("half"), "bin", other.alias("n"), (other / F.col("total")).alias("share"))
+    reached = np.zeros((2, 2, BINS + 1))
+    for r in shares.groupBy("half", "bin").agg(F.sum("n").alias("n"), F.sum("share").alias("share")).collect():  # at most 2 * (BINS + 1) rows
+        reached[r.half, :, r.bin] = r.n, r.share
 
+    def until(found: np.ndarray) -> int:
+        """The first bin up to which both shares reach the target."""
+        return max(int(np.searchsorted(np.cumsum(x), TARGET_RECALL * x.sum() - 1e-9)) for x in found) if found.any() else 0
 
-def _compare(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    edge, recall = until(reached[0]), None
+    if reached[1].any():
+        recall = tuple(float(x[: edge + 1].sum() / x.sum()) for x in reached[1])
+        if min(recall) < TARGET_RECALL:
+            edge = max(edge, until(reached[1]), until(reached.sum(0)))
+    return Grid(grid.halves, (edge + 1) * 4 / BINS, recall)
+
+
+def _compare(group: pd.DataFrame, size: int, threshold: float) -> pd.DataFrame:
     """Links of one block of a cell with one block of its visitors: partial counts and a spanning forest."""
     home, guest = group[group["home"]], group[~group["home"]]
     columns = ["node", "links", "into"]
     if not len(home) or not len(guest):
         return pd.DataFrame([], columns=columns)
     h_node, g_node = home["node"].to_numpy(np.int64), guest["node"].to_numpy(np.int64)
-    linked = _matrix(guest["unit"].tolist()) @ _matrix(home["unit"].tolist()).T >= threshold
+    linked = _units(guest["raw"].tolist(), size) @ _units(home["raw"].tolist(), size).T >= threshold
     linked &= g_node[:, None] != h_node[None, :]
     if not linked.any():
         return pd.DataFrame([], columns=columns)
@@ -179,14 +221,14 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     that repeat an id are rows of their own; a NULL id is never a component's id unless no other is there.
     An empty table gives no rows.  A cell is compared block by block; only counts and a spanning forest leave a task.
     """
-    rows = materialize(unit_vectors(table, id_col, vector_col).withColumn("key", F.sha2("unit", 256)))
-    made = rows.filter("unit IS NOT NULL").groupBy("key").agg(
-        F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("unit").alias("unit")
+    rows = materialize(unit_vectors(table, id_col, vector_col))
+    made = rows.filter("raw IS NOT NULL").groupBy("key").agg(
+        F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("d").alias("d"), F.first("raw").alias("raw")
     )
     classes = materialize(materialize(made).withColumn("node", F.monotonically_increasing_id()))
     parts = [
-        _links(classes.filter(F.octet_length("unit") == r.size).select("node", "unit", "copies"), threshold)
-        for r in classes.groupBy(F.octet_length("unit").alias("size")).count().collect()  # one row per vector length
+        _links(classes.filter(F.col("d") == r.d).select("node", "raw", "copies"), r.d, threshold)
+        for r in classes.groupBy("d").count().collect()  # one row per vector length
     ]
     found = None
     for part in parts:
@@ -200,43 +242,70 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
     named = named.join(smallest, "root").select("key", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     joined = rows.join(materialize(named), "key", "left")
-    component = F.when(F.col("unit").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
+    component = F.when(F.col("raw").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return joined.select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
         F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"),
     )
 
 
-def _links(classes: DataFrame, threshold: float) -> DataFrame:
+def _links(classes: DataFrame, size: int, threshold: float) -> DataFrame:
     """(node, links, into) of classes of one length: partial counts, and links of a spanning forest."""
-    grid = fit_grid(classes, threshold)
+    grid = fit_grid(classes, size, threshold)
+    n_cells = len(grid.halves[0]) * len(grid.halves[1])
+
+    def cell_of():
+        return lambda rows: [(c,) for c in grid.cells(*grid.distances(_units([u for (u,) in rows], size))).tolist()]
+
+    counts = map_rows(classes.select("raw"), [("cell", "int")], cell_of).groupBy("cell").agg(F.count(F.lit(1)).alias("n")).toArrow()
+    homes = np.zeros(n_cells, np.int64)  # at most MOST_WORDS * MOST_WORDS numbers
+    homes[counts["cell"].to_numpy()] = counts["n"].to_numpy()
+    # two vectors within half the angle of a centre are within the angle of each other
+    half = np.cos(np.arccos(threshold) / 2 - 1e-6)
 
     def start():
         def place(rows: list) -> list[tuple]:
-            d = grid.distances(_matrix([u for _, u, _ in rows]))
-            return [
-                (node, unit, copies, cell, grid.visits(a, b))
-                for (node, unit, copies), cell, a, b in zip(rows, grid.cells(*d).tolist(), *d, strict=True)
-            ]
+            units = _units([raw for _, raw, _ in rows], size)
+            d = grid.distances(units)
+            cells = grid.cells(*d)
+            middle = np.concatenate([grid.halves[0][cells // len(grid.halves[1])], grid.halves[1][cells % len(grid.halves[1])]], axis=1)
+            near = (units * middle).sum(1) >= half * np.sqrt((middle * middle).sum(1))
+            core = near & (homes[cells] > CORE_ROWS) & (middle.any(1))
+            made = []
+            for (node, raw, copies), cell, own, a, b in zip(rows, cells.tolist(), core.tolist(), *d, strict=True):
+                visits = [c for c in grid.visits(a, b) if homes[c] and not (own and c == cell)]
+                made.append((node, raw, copies, cell, own, visits))
+            return made
 
         return place
 
-    fields = [("node", "bigint"), ("unit", "binary"), ("copies", "bigint"), ("cell_of", "int"), ("visits", "array<int>")]
+    fields = [("node", "bigint"), ("raw", "binary"), ("copies", "bigint"), ("cell_of", "int"), ("core", "boolean"), ("visits", "array<int>")]
     placed = materialize(map_rows(classes, fields, start))
-    blocks = lambda n: F.ceil(F.col(n) / BLOCK_ROWS).cast("int")
-    homes = placed.groupBy(F.col("cell_of").alias("cell")).agg(F.count(F.lit(1)).alias("at_home"))
-    guests = placed.select(F.explode("visits").alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("calling"))
-    sizes = materialize(homes.join(guests, "cell").select("cell", blocks("at_home").alias("hs"), blocks("calling").alias("gs")))
+    cores = placed.filter("core").select("node", "copies", F.col("cell_of").alias("cell"))
+    heart = cores.groupBy("cell").agg(F.sum("copies").alias("all"), F.min("node").alias("into"))
+    settled = dimension_join(cores, heart, ["cell"], "inner").select("node", (F.col("all") - F.col("copies")).alias("links"), "into")
+
+    blocks = lambda n: F.greatest(F.ceil(F.col(n) / BLOCK_ROWS).cast("int"), F.lit(1))
+    at_home = placed.groupBy(F.col("cell_of").alias("cell")).agg(F.count(F.lit(1)).alias("at_home"))
+    calling = placed.select(F.explode("visits").alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("calling"))
+    crowded = at_home.join(calling, "cell").filter((F.col("at_home") > BLOCK_ROWS) | (F.col("calling") > BLOCK_ROWS))
+    crowded = materialize(crowded.select("cell", blocks("at_home").alias("hs"), blocks("calling").alias("gs")))
     spread = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    columns = ["cell", "h", "g", "home", "node", "unit", "copies", "cell_of", "visits"]
-    home = placed.withColumn("cell", F.col("cell_of")).join(sizes, "cell").withColumn("h", spread("hs")).withColumn("g", every("gs"))
-    guest = placed.withColumn("cell", F.explode("visits")).join(sizes, "cell").withColumn("g", spread("gs")).withColumn("h", every("hs"))
+    columns = ["cell", "h", "g", "home", "node", "raw", "copies", "cell_of", "visits"]
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        found = dimension_join(rows, crowded, ["cell"])
+        return found.withColumns({n: F.coalesce(n, F.lit(1)) for n in ("hs", "gs")})
+
+    home = dealt(placed.withColumn("cell", F.col("cell_of"))).withColumn("h", spread("hs")).withColumn("g", every("gs"))
+    guest = placed.withColumn("cell", F.explode("visits")).withColumn("visits", F.lit(None).cast("array<int>"))
+    guest = dealt(guest).withColumn("g", spread("gs")).withColumn("h", every("hs"))
     both = home.withColumn("home", F.lit(True)).select(*columns).unionByName(guest.withColumn("home", F.lit(False)).select(*columns))
 
     def compare(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        return _compare(group, threshold)
+        return _compare(group, size, threshold)
 
-    # dealt out by block: a join by cell alone would leave all blocks of a hot cell in one task
-    dealt = both.repartition("cell", "h", "g")
-    return dealt.groupBy("cell", "h", "g").applyInPandas(compare, "node long, links long, into long")
+    # dealt out by block: by cell alone all blocks of a hot cell would meet in one task
+    found = both.repartition("cell", "h", "g").groupBy("cell", "h", "g").applyInPandas(compare, "node long, links long, into long")
+    return found.unionByName(settled)
