@@ -21,6 +21,8 @@ def spark(tmp_path_factory):
         "tests", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="6g",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
+        spark__eventLog__enabled="true", spark__eventLog__dir=f"file:{tmp_path_factory.mktemp('events')}", spark__eventLog__compress="false",
+        spark__eventLog__rolling__enabled="false",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -171,6 +171,47 @@ def changelog_stream(t: Tables) -> DataFrame:
     return t.spark.read.parquet(log).select("event_id", "user_id", "op", "v")
 
 
+def _in_order(t: Tables, files: int = 5) -> str:
+    """The events as files that follow one another in time, written one after the other, as a stream takes them."""
+    path = scratch_path(t.spark, "ordered")
+    moment = F.unix_micros(F.col("ts").cast("timestamp"))
+    cuts = t.events.agg(F.percentile_approx(moment, [i / files for i in range(1, files)], 1_000)).first()[0] or []
+    edges = [None, *sorted(set(cuts)), None]
+    for low, high in zip(edges, edges[1:]):
+        above = F.lit(True) if low is None else moment > low
+        below = F.lit(True) if high is None else moment <= high
+        t.events.filter(above & below).write.mode("append").parquet(path)
+    return path
+
+
+def _folded_changes(t: Tables, table: str, log: str) -> None:
+    """Change rows of five batches into a table that folds itself after every second one."""
+    sink = keyed.changelog_sink(table, log, KEYS, ORDER, ["v"], F.col("gone"), time_slice(F.col("ts"), 86_400), compact_every=2)
+    stream = runs.replay(t.spark, _in_order(t), t.events.schema, max_files=t.spark.sparkContext.defaultParallelism, event_time="ts")
+    marked = stream.withColumn("v", F.round(F.col("value") / 50, 0)).withColumn("gone", F.col("event_type") == "error")
+    runs.bounded_batches(marked, sink, scratch_path(t.spark, "progress"), partitions=_partitions(t))
+
+
+@query("changelog_folding", _CHANGELOG + "SELECT event_id, user_id, op, v FROM log")
+def changelog_folding(t: Tables) -> DataFrame:
+    """Change rows against a state that lies in folded files and in later batches."""
+    table, log = scratch_path(t.spark, "state"), scratch_path(t.spark, "log")
+    _folded_changes(t, table, log)
+    return t.spark.read.parquet(log).select("event_id", "user_id", "op", "v")
+
+
+@query(
+    "keyed_lookup",
+    f"SELECT user_id, event_id FROM ({_LATEST}) WHERE event_type <> 'error' AND user_id IN (SELECT user_id FROM events WHERE event_type = 'purchase')",
+)
+def looked_up(t: Tables) -> DataFrame:
+    """The state of those who ever bought, from the files whose filters may hold them."""
+    table, log = scratch_path(t.spark, "state"), scratch_path(t.spark, "log")
+    _folded_changes(t, table, log)
+    buyers = t.events.filter("event_type = 'purchase'").select("user_id")
+    return keyed.read_keyed_table(t.spark, table, KEYS, ORDER, F.col("gone"), only=buyers).select("user_id", "event_id")
+
+
 @query("state_ttl", _CHANGELOG + "SELECT user_id, op, v, count(*) AS rows FROM log GROUP BY 1, 2, 3")
 def expiring(t: Tables) -> DataFrame:
     """The same change rows from expiring keyed state; the run is over long before anything expires."""
@@ -475,22 +516,22 @@ def idle(t: Tables) -> DataFrame:
         return _windows(_run(t, windows.time_windows(both, "ts", "1 hour", _metrics(), ["event_type"], delay=None)), "event_type")
 
 
-@query("run_timeout", "SELECT true AS finished, count(*) AS rows FROM events WHERE event_type <> 'view'")
+@query("run_timeout", "SELECT true AS finished, count(*) AS rows, count(DISTINCT event_id) AS events FROM events")
 def limited_run(t: Tables) -> DataFrame:
     """A run that may take ten minutes and needs less."""
     path = scratch_path(t.spark, "limited")
-    kept = t.stream("events").filter(F.col("event_type") != "view")
     started = (
-        kept.writeStream.format("parquet").option("path", path)
+        t.stream("events").writeStream.format("parquet").option("path", path)
         .option("checkpointLocation", scratch_path(t.spark, "progress")).trigger(availableNow=True).start()
     )
     report = runs.run_timeout(started, 600)
-    return t.spark.read.parquet(path).agg(F.lit(report.finished).alias("finished"), F.count(F.lit(1)).alias("rows"))
+    return t.spark.read.parquet(path).agg(
+        F.lit(report.finished).alias("finished"), F.count(F.lit(1)).alias("rows"), F.count_distinct("event_id").alias("events")
+    )
 
 
-@query("discard_sink", "SELECT count(*) AS discarded, count(*) AS rows FROM events WHERE value > 20")
+@query("discard_sink", "SELECT count(*) AS discarded, count(*) AS rows FROM events")
 def discarded(t: Tables) -> DataFrame:
     """The rows a discarded run reports, next to the rows there are."""
-    kept = t.events.filter(F.col("value") > 20)
-    count = discard(kept)
-    return kept.agg(F.lit(count).cast("long").alias("discarded"), F.count(F.lit(1)).alias("rows"))
+    count = discard(t.events)
+    return t.events.agg(F.lit(count).cast("long").alias("discarded"), F.count(F.lit(1)).alias("rows"))

@@ -3,13 +3,14 @@
 A keyed table is a folder of ``batch_id=N`` partitions with at most one row per key
 each.  A micro-batch only adds its own partition, so a batch costs its own size and
 a retried batch overwrites itself.  Reading takes the last row per key; compaction
-folds the partitions when there are many.
+folds the partitions when there are many.  With filters (``keyfilters``) a few keys are read from the files that may hold them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from datetime import datetime
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,7 @@ from tidemill.functions.time import time_literal
 from tidemill.operators.keyed import DELETE, INSERT, UPDATE_AFTER, UPDATE_BEFORE, current_state, to_changelog
 from tidemill.operators.ordering import latest_per_key
 from tidemill.session import folder_names, make_folder, path_exists
+from tidemill.streaming.keyfilters import by_buckets, files_with, read_files, write_filters
 
 
 # the partition of a folded state; batches count from 0
@@ -28,32 +30,45 @@ FOLDED = -1
 
 
 def keyed_table_sink(
-    path: str, keys: Sequence[str], order: Sequence[str], compact_every: int | None = None
+    path: str, keys: Sequence[str], order: Sequence[str], compact_every: int | None = None, filters: bool = False
 ) -> Callable[[DataFrame, int], None]:
     """A per-batch function that upserts into the table at ``path``; deletes are kept as rows.
 
-    With ``compact_every`` the table is folded after so many batches.  A retried batch writes its rows again next to a state that
-    may hold them already, which changes nothing.
+    With ``compact_every`` the table is folded after so many batches, with ``filters`` it can be read by key.  A retried batch
+    writes its rows again next to a state that may hold them already, which changes nothing.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         folder = active_folder(spark, path)
-        latest_per_key(batch, keys, order).write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+        _store(latest_per_key(batch, keys, order), folder, batch_id, keys, filters)
         if compact_every and (batch_id + 1) % compact_every == 0:
-            fold_keyed_table(spark, path, keys, order, batch_id)
+            fold_keyed_table(spark, path, keys, order, batch_id, filters)
 
     return write
 
 
-def active_folder(spark: SparkSession, path: str) -> str:
-    """Where the table's rows are now: the folder that the newest pointer names, at first the path itself."""
-    newest = max(folder_names(spark, f"{path}.pointers"), default=None)
-    return path if newest is None else f"{path}.folded-{newest}"
+def _store(rows: DataFrame, folder: str, batch_id: int, keys: Sequence[str], filters: bool) -> None:
+    """Write one partition, and its filters after it."""
+    rows = by_buckets(rows, keys) if filters else rows
+    rows.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+    if filters:
+        write_filters(rows.sparkSession, folder, f"batch_id={batch_id}", keys)
 
 
-def fold_keyed_table(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str], number: int) -> None:
-    """Write the state as one partition of a new folder, then point to it; readers see the old folder or the new one.
+def active_folder(spark: SparkSession, path: str, before_batch: int | None = None) -> str:
+    """Where the table's rows are now: the folder that the newest pointer names, at first the path itself.
+
+    A pointer's number is the last batch that its folder has folded; ``before_batch`` asks for the folder that was in use when that batch came.
+    """
+    names = [n for n in folder_names(spark, f"{path}.pointers") if before_batch is None or int(n) < before_batch]
+    return f"{path}.folded-{max(names)}" if names else path
+
+
+def fold_keyed_table(
+    spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str], number: int, filters: bool = False
+) -> None:
+    """Write the state up to batch ``number`` as one partition of a new folder, then point to it; readers see the old folder or the new one.
 
     A pointer is an empty folder with a number for its name, so it appears at once.  Readers that began on
     the old folder can finish there; it is not removed.
@@ -61,20 +76,33 @@ def fold_keyed_table(spark: SparkSession, path: str, keys: Sequence[str], order:
     name = f"{number:012d}"
     if name in folder_names(spark, f"{path}.pointers"):
         return
-    state = latest_per_key(spark.read.parquet(active_folder(spark, path)).drop("batch_id"), keys, order)
-    state.write.mode("overwrite").parquet(f"{path}.folded-{name}/batch_id={FOLDED}")
+    state = latest_per_key(spark.read.parquet(active_folder(spark, path, number)).drop("batch_id"), keys, order)
+    _store(state, f"{path}.folded-{name}", FOLDED, keys, filters)
     make_folder(spark, f"{path}.pointers/{name}")
 
 
 def read_keyed_table(
     spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str],
-    is_delete: Column | None = None, before_batch: int | None = None,
+    is_delete: Column | None = None, before_batch: int | None = None, only: DataFrame | None = None,
 ) -> DataFrame:
-    """The table's current state, or its state ahead of a batch."""
-    stored = spark.read.parquet(active_folder(spark, path))
+    """The table's current state, or its state ahead of a batch, folds included.
+
+    ``only``: the state of that frame's keys (NULL is one), read from the files whose filters may hold them; the keys are read twice.
+    """
+    folder = active_folder(spark, path, before_batch)
+    stored = spark.read.parquet(folder)
+    if only is not None:
+        files = files_with(folder, stored.inputFiles(), only, keys)
+        stored = read_files(spark, folder, files) if files else stored.limit(0)
     if before_batch is not None:
         stored = stored.filter(F.col("batch_id") < before_batch)
-    return current_state(stored.drop("batch_id"), keys, order, is_delete)
+    stored = stored.drop("batch_id")
+    if only is not None:
+        # only the touched keys' rows are sorted out: the semi join comes first, the aggregate after
+        asked = only.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+        stored = stored.join(asked, same, "left_semi")
+    return current_state(stored, keys, order, is_delete)
 
 
 def snapshots(spark: SparkSession, path: str) -> DataFrame:
@@ -93,27 +121,25 @@ def compact_keyed_table(
 
 def changelog_sink(
     table: str, changes: str, keys: Sequence[str], order: Sequence[str], values: Sequence[str],
-    is_delete: Column, slice_by: Column,
+    is_delete: Column, slice_by: Column, compact_every: int | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A per-batch function that writes change rows to ``changes`` and the state to ``table``.
 
     The stored rows of the batch's keys stand in front of the batch as their past;
-    the rest is the batch operator, slices included.  Batches must not be older than
+    the rest is the batch operator, slices included.  Only files whose filters may hold a key of the batch are opened for it, so a
+    batch costs its own size however large the table is; ``compact_every`` folds it.  Batches must not be older than
     the stored state of their keys.
     """
-    store = keyed_table_sink(table, keys, order)
+    store = keyed_table_sink(table, keys, order, compact_every, filters=True)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
         rows = batch.select(*batch.columns, F.lit(True).alias("_new"))
-        if path_exists(spark, table):
-            # only the touched keys' rows are sorted out: the semi join comes first, the aggregate after
-            stored = spark.read.parquet(table).filter(F.col("batch_id") < batch_id).drop("batch_id")
-            touched = batch.select(*keys).distinct()
-            past = current_state(stored.join(touched, list(keys), "left_semi"), keys, order)
-            rows = past.select(*batch.columns, F.lit(False).alias("_new")).unionByName(rows)
         try:
+            if path_exists(spark, active_folder(spark, table, batch_id)):
+                past = read_keyed_table(spark, table, keys, order, before_batch=batch_id, only=batch)
+                rows = past.select(*batch.columns, F.lit(False).alias("_new")).unionByName(rows)
             log = to_changelog(rows, keys, [*order, "_new"], values, is_delete, slice_by)
             log.filter(F.col("_new")).drop("_new").write.mode("overwrite").parquet(f"{changes}/batch_id={batch_id}")
             store(batch, batch_id)
