@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import json
+import math
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -56,25 +57,182 @@ def pairs_to_map(pairs: Column) -> Column:
     return F.map_from_arrays(distinct, latest)
 
 
+class Raw(str):
+    """The text of a number that Python's own numbers would not give back."""
+
+
+def parse(text: str, pairs_hook=None) -> tuple[object, bool]:
+    """A JSON document of any depth, with numbers of any length, and whether some are held as text; ValueError for text that is none.
+
+    The parser of the standard library comes first.  What nests deeper than it can go is parsed again with a stack.
+    """
+    long: list[str] = []
+
+    def number(digits: str):
+        value = _number(digits)
+        if type(value) is Raw:
+            long.append(value)
+        return value
+
+    try:
+        try:
+            return json.loads(text, object_pairs_hook=pairs_hook, parse_float=number), bool(long)
+        except json.JSONDecodeError:
+            raise
+        except ValueError:  # a whole number beyond Python's own limit
+            return json.loads(text, object_pairs_hook=pairs_hook, parse_float=number, parse_int=number), True
+    except RecursionError:
+        return _parse_deep(text, pairs_hook or dict), True
+
+
+def _number(text: str):
+    if len(text) > 4_000:
+        return Raw(text)
+    if text.lstrip("-").isdigit():
+        return int(text)
+    value = float(text)
+    return value if math.isfinite(value) else Raw(text)
+
+
+_TOKEN = re.compile(
+    r'[ \t\n\r]*+(?:([\[\]{},:])|("(?:[^"\\\x00-\x1f]++|\\.)*+")|(-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?)|(true|false|null|NaN|-?Infinity))'
+)
+_WORDS = {"true": True, "false": False, "null": None, "NaN": math.nan, "Infinity": math.inf, "-Infinity": -math.inf}
+
+
+def _parse_deep(text: str, pairs_hook):
+    """The same with a stack of open lists and objects; an object is the list of its keys and values in turn."""
+    stack, at = [], 0
+    may = "value"  # or value-end (in a fresh list), key, key-end (in a fresh object), colon, next
+    while True:
+        token = _TOKEN.match(text, at)
+        if not token:
+            raise ValueError(f"no JSON at {at}")
+        at = token.end()
+        mark, string, number, word = token.groups()
+        if mark in ("[", "{") and may in ("value", "value-end"):
+            stack.append((mark, []))
+            may = "value-end" if mark == "[" else "key-end"
+            continue
+        if mark == ":" and may == "colon":
+            may = "value"
+            continue
+        if mark == "," and may == "next" and stack:
+            may = "value" if stack[-1][0] == "[" else "key"
+            continue
+        if string is not None and may in ("key", "key-end"):
+            stack[-1][1].append(json.loads(string))
+            may = "colon"
+            continue
+        if mark == "]" and may in ("next", "value-end") and stack and stack[-1][0] == "[":
+            value = stack.pop()[1]
+        elif mark == "}" and may in ("next", "key-end") and stack and stack[-1][0] == "{":
+            parts = stack.pop()[1]
+            value = pairs_hook(list(zip(parts[::2], parts[1::2], strict=True)))
+        elif mark is None and may in ("value", "value-end"):
+            value = json.loads(string) if string is not None else _number(number) if number is not None else _WORDS[word]
+        else:
+            raise ValueError(f"no JSON at {at}")
+        if not stack:
+            if text[at:].strip(" \t\n\r"):
+                raise ValueError(f"no JSON at {at}")
+            return value
+        stack[-1][1].append(value)
+        may = "next"
+
+
+def write(value, indent: int | None = None, long_numbers: bool = True) -> str:
+    """A parsed document as text, as the standard library writes it; where that can't, part by part.
+
+    ``long_numbers``: whether numbers may be held as text.
+    """
+    try:
+        return _write(value, indent) if long_numbers and _has_raw(value) else json.dumps(value, ensure_ascii=False, indent=indent)
+    except RecursionError:
+        return _write(value, indent)
+
+
+def _has_raw(value) -> bool:
+    """Whether a number is held as text, found without recursion."""
+    nodes = [value]
+    while nodes:
+        node = nodes.pop()
+        if isinstance(node, dict):
+            nodes.extend(v for v in node.values() if isinstance(v, (dict, list, Raw)))
+        elif isinstance(node, list):
+            nodes.extend(v for v in node if isinstance(v, (dict, list, Raw)))
+        elif isinstance(node, Raw):
+            return True
+    return False
+
+
+def _write(value, indent: int | None) -> str:
+    made: list[str] = []
+
+    def line(depth: int) -> str:
+        return "" if indent is None else "\n" + " " * (indent * depth)
+
+    between = ", " if indent is None else ","
+    open_parts: list[tuple] = []  # (iterator, closing mark)
+    scalar = lambda v: str(v) if isinstance(v, Raw) else json.dumps(v, ensure_ascii=False)
+
+    def put(node) -> None:
+        if isinstance(node, (dict, list)) and node:
+            made.append("{" if isinstance(node, dict) else "[")
+            parts = iter(node.items()) if isinstance(node, dict) else ((None, v) for v in node)
+            open_parts.append([parts, "}" if isinstance(node, dict) else "]", True])
+        else:
+            made.append(scalar(node))
+
+    put(value)
+    while open_parts:
+        parts, closing, first = open_parts[-1]
+        part = next(parts, None)
+        if part is None:
+            open_parts.pop()
+            made.append(line(len(open_parts)) + closing)
+            continue
+        made.append(("" if first else between) + line(len(open_parts)))
+        open_parts[-1][2] = False
+        key, node = part
+        if key is not None:
+            made.append(json.dumps(key, ensure_ascii=False) + ": ")
+        put(node)
+    return "".join(made)
+
+
+def _utf8(texts: list) -> list:
+    """The same without lone surrogates, which JSON may spell but no text column can hold: U+FFFD stands for each."""
+    return [t if t is None or t.isascii() else t.encode("utf-16", "surrogatepass").decode("utf-16", "replace") for t in texts]
+
+
+def _strings(texts: list) -> pa.Array:
+    try:
+        return pa.array(texts, pa.string())
+    except UnicodeEncodeError:
+        return pa.array(_utf8(texts), pa.string())
+
+
 def redact_keys(doc: Column, keys: Iterable[str], indent: int | None = None) -> Column:
     """The document without any entry named like one of ``keys``, at every depth.
 
     The depth is open, which built-in functions cannot follow; the work is one
-    Arrow-batched pass without a shuffle.  Text that is no JSON becomes NULL.
+    Arrow-batched pass without a shuffle.  Text that is no JSON becomes NULL; depth, long numbers and lone surrogates (which become U+FFFD) do no harm.
     """
     banned = frozenset(k.lower() for k in keys)
 
-    @F.pandas_udf(T.StringType())
-    def strip(docs: pd.Series) -> pd.Series:
+    @F.arrow_udf(T.StringType())
+    def strip(docs: pa.Array) -> pa.Array:
         keep = lambda pairs: {k: v for k, v in pairs if k.lower() not in banned}
 
         def one(text):
             try:
-                return json.dumps(json.loads(text, object_pairs_hook=keep), ensure_ascii=False, indent=indent)
+                value, long_numbers = parse(text, keep)
+                return write(value, indent, long_numbers)
             except (TypeError, ValueError):
                 return None
 
-        return docs.map(one)
+        return _strings([one(t) for t in docs.to_pylist()])
 
     return strip(doc)
 
@@ -87,7 +245,8 @@ def json_objects(doc: Column, keep: Iterable[str] = ()) -> Column:
 
     ``path`` spells how an object is reached by keys, ``[]`` standing for a list's place: ``panels[]/targets[]``.
     A member has its ``kind`` (object, array, string, number, boolean, null), its ``text`` (of a scalar, or of a whole member named in
-    ``keep``), the index ``at`` of the object that it is, and its ``place`` in the document.  Text that is no JSON has no objects.
+    ``keep``), the index ``at`` of the object that it is, and its ``place`` in the document.  Text that is no JSON has no objects; depth, long
+    numbers and lone surrogates (which become U+FFFD) do no harm.
 
     This is all that Python does with a document; rules on its parts are Column expressions on the
     array.  Put it into a projection of its own before rules that use it inside a lambda.
@@ -99,61 +258,142 @@ def json_objects(doc: Column, keep: Iterable[str] = ()) -> Column:
         paths, keys, parts = [], [], []
         of_doc, of_object = [0], [0]
         for text in docs.to_pylist():
-            for path, members in _objects(text, kept):
+            for path, members, _, _ in _objects(text, kept):
                 paths.append(path)
                 keys.extend(members)
                 parts.extend(members.values())
                 of_object.append(len(keys))
             of_doc.append(len(paths))
         columns = zip(*parts) if parts else ((), (), (), ())
-        arrays = [pa.array(list(c), type=kind) for c, kind in zip(columns, (pa.string(), pa.string(), pa.int32(), pa.int32()))]
+        makers = (_strings, _strings, lambda c: pa.array(c, pa.int32()), lambda c: pa.array(c, pa.int32()))
+        arrays = [make(list(c)) for c, make in zip(columns, makers)]
         values = pa.StructArray.from_arrays(arrays, names=["kind", "text", "at", "place"])
-        members = pa.MapArray.from_arrays(pa.array(of_object, pa.int32()), pa.array(keys, pa.string()), values)
-        objects = pa.StructArray.from_arrays([pa.array(paths, pa.string()), members], names=["path", "members"])
+        members = pa.MapArray.from_arrays(pa.array(of_object, pa.int32()), _strings(keys), values)
+        objects = pa.StructArray.from_arrays([_strings(paths), members], names=["path", "members"])
         return pa.ListArray.from_arrays(pa.array(of_doc, pa.int32()), objects)
 
     return unfold(doc)
 
 
-_KINDS = {str: "string", bool: "boolean", int: "number", float: "number", dict: "object", list: "array", type(None): "null"}
+def named_objects(doc: Column, names: Sequence[str]) -> Column:
+    """The objects of a document as ``json_objects`` gives them, with a column for each member of these names and no other.
+
+    A member is a struct of ``kind``, ``text`` and ``at``, NULL where the object has none.  ``up`` is the index of the object that
+    this one is a direct member of, ``key`` the member's name; both are NULL for the document itself and for parts of a list.  What is not named
+    never leaves the document, and looking at a member is no search.
+    """
+    names = list(names)
+    part = "struct<kind: string, text: string, at: int>"
+    schema = f"array<struct<up: int, key: string, {', '.join(f'`{n}`: {part}' for n in names)}>>"
+
+    @F.arrow_udf(schema)
+    def unfold(docs: pa.Array) -> pa.Array:
+        told = frozenset(names)
+        ups, keys, of_doc = [], [], [0]
+        where: dict[str, list[int]] = {n: [] for n in names}
+        parts: dict[str, list[tuple]] = {n: [] for n in names}
+        for text in docs.to_pylist():
+            for _, members, up, key in _objects(text, frozenset(), told):
+                for name, (kind, shown, at, _) in members.items():
+                    where[name].append(len(ups))
+                    parts[name].append((kind, shown, at))
+                ups.append(up)
+                keys.append(key)
+            of_doc.append(len(ups))
+        columns = [pa.array(ups, pa.int32()), _strings(keys)]
+        for n in names:
+            kind, shown, at = map(list, zip(*parts[n])) if parts[n] else ([], [], [])
+            found = pa.StructArray.from_arrays([pa.array(kind, pa.string()), _strings(shown), pa.array(at, pa.int32())], names=["kind", "text", "at"])
+            place = np.full(len(ups), -1)
+            place[where[n]] = np.arange(len(found))
+            columns.append(found.take(pa.array(place, pa.int64(), mask=place < 0)))
+        return pa.ListArray.from_arrays(pa.array(of_doc, pa.int32()), pa.StructArray.from_arrays(columns, names=["up", "key", *names]))
+
+    return unfold(doc)
 
 
-def _objects(text: str | None, keep: frozenset[str]) -> list[tuple[str, dict]]:
-    """(path, members) of every object; a member is (kind, text, at, place)."""
+_KINDS = {str: "string", bool: "boolean", int: "number", float: "number", Raw: "number", dict: "object", list: "array", type(None): "null"}
+#: a path longer than this is told by its end, or deep documents would spell their own depth squared
+LONGEST_PATH = 4_096
+
+
+def _objects(text: str | None, keep: frozenset[str], names: frozenset[str] | None = None) -> list[tuple]:
+    """(path, members, up, key) of every object; a member is (kind, text, at, place)."""
     try:
-        root = json.loads(text)
+        root, long_numbers = parse(text)
     except (TypeError, ValueError):
         return []
-    found, place = [], 0
+    if not isinstance(root, (dict, list)):
+        return []
+    try:
+        return _unfold(root, keep, names, long_numbers)
+    except RecursionError:
+        return _unfold_deep(root, keep, names)
+
+
+def _shown(value, kind: str, kept: bool, long_numbers: bool) -> str | None:
+    if kind == "string":
+        return value
+    if kind == "null" or (kind in ("object", "array") and not kept):
+        return None
+    return write(value, None, long_numbers)
+
+
+def _unfold(root: dict | list, keep: frozenset[str], names: frozenset[str] | None, long_numbers: bool) -> list[tuple]:
+    found: list[tuple] = []
+    place = 0
+
+    def inside(node: dict | list, path: str, up: int | None, key: str | None) -> None:
+        nonlocal place
+        path = path[-LONGEST_PATH:]
+        if type(node) is list:
+            for value in node:
+                if type(value) in (dict, list):
+                    inside(value, path + "[]", None, None)
+            return
+        own, members = len(found), {}
+        found.append((path, members, up, key))
+        for k, value in node.items():
+            place += 1
+            kind = _KINDS[type(value)]
+            if names is None or k in names:
+                members[k] = (kind, _shown(value, kind, k in keep, long_numbers), len(found) if kind == "object" else None, place)
+            if kind in ("object", "array"):
+                inside(value, f"{path}/{k}" if path else k, own, k)
+
+    inside(root, "", None, None)
+    return found
+
+
+def _unfold_deep(root: dict | list, keep: frozenset[str], names: frozenset[str] | None) -> list[tuple]:
+    """The same with a stack."""
+    found: list[tuple] = []
+    place = 0
 
-    def within(node: dict | list, path: str):
-        """The node's parts, each with the members that it goes into (none for a list) and the path to it."""
+    def within(node: dict | list, path: str, up: int | None = None, key: str | None = None):
+        """The node's parts, each with the members that it goes into (none for a list), the path to it and its object's number."""
+        path = path[-LONGEST_PATH:]
         if isinstance(node, list):
-            return ((None, v, None, path + "[]") for v in node)
+            return ((None, v, None, path + "[]", None) for v in node)
         members: dict[str, tuple] = {}
-        found.append((path, members))
-        return ((k, v, members, f"{path}/{k}" if path else k) for k, v in node.items())
+        own = len(found)
+        found.append((path, members, up, key))
+        return ((k, v, members, f"{path}/{k}" if path else k, own) for k, v in node.items())
 
-    open_nodes = [within(root, "")] if isinstance(root, (dict, list)) else []
+    open_nodes = [within(root, "")]
     while open_nodes:
         part = next(open_nodes[-1], None)
         if part is None:
             open_nodes.pop()
             continue
-        key, value, members, path = part
+        key, value, members, path, own = part
         kind = _KINDS[type(value)]
-        nested = kind in ("object", "array")
         if members is not None:
             place += 1
-            if kind == "string":
-                shown = value
-            elif kind == "null" or (nested and key not in keep):
-                shown = None
-            else:
-                shown = json.dumps(value, ensure_ascii=False)
-            members[key] = (kind, shown, len(found) if kind == "object" else None, place)
-        if nested:
-            open_nodes.append(within(value, path))
+            if names is None or key in names:
+                members[key] = (kind, _shown(value, kind, key in keep, True), len(found) if kind == "object" else None, place)
+        if kind in ("object", "array"):
+            open_nodes.append(within(value, path, own, key))
     return found
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemill.functions.json import json_objects, member, member_object, member_text
+from tidemill.functions.json import named_objects
 
 # Keys that name a tool or a command, words that mean failure, usage counters.
 TOOL_KEYS = ("tool_name", "tool", "name")
@@ -55,19 +55,23 @@ def line_errors(lines: DataFrame) -> DataFrame:
 
 def _kind(of: Column) -> Column:
     """What a record says it is; an empty, zero or false ``type`` says nothing."""
-    said = [F.when(~member(of, k)["text"].isin("", "false", "0", "0.0") & ~member(of, k)["kind"].isin("object", "array"), member(of, k)["text"]) for k in ("type", "action_type")]
+    said = [F.when(~of[k]["text"].isin("", "false", "0", "0.0") & ~of[k]["kind"].isin("object", "array"), of[k]["text"]) for k in ("type", "action_type")]
     return F.lower(F.coalesce(*said, F.lit("")))
 
 
+def _text(of: Column, key: str) -> Column:
+    return F.when(of[key]["kind"] == "string", of[key]["text"])
+
+
 def _named(of: Column, keys: Sequence[str]) -> Column:
     """The first of the members that is a string."""
-    return F.coalesce(*[member_text(of, k) for k in keys])
+    return F.coalesce(*[_text(of, k) for k in keys])
 
 
 def _failure(of: Column, tool: Column) -> Column:
     """(tool, status) of a record that failed: its failure word, or ``false`` for an unsuccessful one."""
-    word = F.lower(F.coalesce(member(of, "status")["text"], F.lit("")))
-    unsuccessful = F.coalesce((member(of, "success")["kind"] == "boolean") & (member(of, "success")["text"] == "false"), F.lit(False))
+    word = F.lower(F.coalesce(of["status"]["text"], F.lit("")))
+    unsuccessful = F.coalesce((of["success"]["kind"] == "boolean") & (of["success"]["text"] == "false"), F.lit(False))
     status = F.when(word.isin(*FAILURE_WORDS), word).when(unsuccessful, F.when(word == "", "false").otherwise(word))
     return F.when(status.isNotNull(), F.struct(tool.alias("tool"), status.alias("status")))
 
@@ -78,12 +82,16 @@ def _filled(text: Column) -> Column:
 
 def _whole(of: Column, field: str) -> Column:
     """A counter as a whole number: absent and empty ones are 0, unreadable ones NULL."""
-    m = member(of, field)
-    number = F.when(m["kind"] == "string", F.btrim(m["text"]).try_cast("bigint")).when(m["kind"] == "number", m["text"].try_cast("double").cast("bigint"))
+    m = of[field]
+    number = F.when(m["kind"] == "string", F.btrim(m["text"]).try_cast("bigint")).when(m["kind"] == "number", m["text"].try_cast("double").try_cast("bigint"))
     empty = m.isNull() | (m["kind"] == "null") | (m["text"] == "") | (m["text"] == "false")
     return F.when(empty, F.lit(0)).when(m["text"] == "true", F.lit(1)).otherwise(number).cast("bigint")
 
 
+#: the members that the rules on calls look at; no other text leaves a message
+CALL_MEMBERS = ("type", "action_type", "payload", "arguments", "input", "toolName", "toolParams", "result", "status", "success", *TOOL_KEYS, *COMMAND_KEYS, *USAGE_FIELDS)
+
+
 def extract_calls(messages: DataFrame, message: str, name: str = "calls") -> DataFrame:
     """Add the calls inside JSON messages of any nesting, as one struct (tools, commands, failures, usage).
 
@@ -92,50 +100,47 @@ def extract_calls(messages: DataFrame, message: str, name: str = "calls") -> Dat
     the greatest count, and any other object that names a tool and looks like a call is one.  The outcome
     inside a result's payload is judged there and not a second time.  Each message stays in its row.
     """
-    records = messages.withColumn("_objects", json_objects(F.col(message)))
+    records = messages.withColumn("_objects", named_objects(F.col(message), CALL_MEMBERS))
     objects = F.col("_objects")
-    payload = lambda o: member_object(objects, o, "payload")
-    carries = lambda o, kind: (_kind(o) == kind) & payload(o).isNotNull()
-    special = lambda o: payload(o).isNotNull() & _kind(o).isin("call-tool", "call-tool-result", "usage")
-    results = F.transform(objects, lambda o: F.when(carries(o, "call-tool-result"), member(payload(o), "result")["at"]))
-    records = records.withColumn("_outcomes", F.array_compact(results))
-    plain = lambda o, i: ~special(o) & ~F.array_contains("_outcomes", i)
+    of = lambda o, key: F.get(objects, o[key]["at"])
+    up = lambda o: F.get(objects, o["up"])
+    carries = lambda o, kind: o["payload"]["at"].isNotNull() & (_kind(o) == kind)
 
-    def given(o: Column) -> Column:
-        return F.coalesce(member_object(objects, o, "arguments"), member_object(objects, o, "input"))
+    def plain(o: Column) -> Column:
+        """Neither one of the three records nor the outcome in one."""
+        special = o["payload"]["at"].isNotNull() & _kind(o).isin("call-tool", "call-tool-result", "usage")
+        outcome = (o["key"] == "result") & (up(o)["key"] == "payload") & (_kind(up(up(o))) == "call-tool-result")
+        return ~special & ~F.coalesce(outcome, F.lit(False))
 
     def command(o: Column) -> Column:
-        return _filled(F.coalesce(_named(o, COMMAND_KEYS), _named(given(o), COMMAND_KEYS)))
-
-    def is_call(o: Column) -> Column:
-        looks = _kind(o).contains("tool") | command(o).isNotNull() | member(o, "arguments").isNotNull() | member(o, "input").isNotNull()
-        return _filled(_named(o, TOOL_KEYS)).isNotNull() & looks
-
-    tool_of = lambda o, i: (
-        F.when(carries(o, "call-tool"), F.coalesce(member_text(payload(o), "toolName"), F.lit("unknown")))
-        .when(plain(o, i) & is_call(o), _named(o, TOOL_KEYS))
-    )
-    command_of = lambda o, i: F.btrim(
-        F.when(carries(o, "call-tool"), _filled(_named(member_object(objects, payload(o), "toolParams"), COMMAND_KEYS)))
-        .when(plain(o, i) & _filled(_named(o, TOOL_KEYS)).isNotNull(), command(o)),
-        F.lit(BLANKS),
-    )
-
-    def failure_of(o: Column, i: Column) -> Column:
-        asked = F.coalesce(_filled(member(payload(o), "toolName")["text"]), F.lit("unknown"))
-        own = F.coalesce(_filled(_named(o, TOOL_KEYS)), F.lit("unknown"))
-        outcome = member_object(objects, payload(o), "result")
-        return F.when(carries(o, "call-tool-result"), _failure(outcome, asked)).when(plain(o, i), _failure(o, own))
+        given = F.coalesce(of(o, "arguments"), of(o, "input"))
+        return _filled(F.coalesce(_named(o, COMMAND_KEYS), _named(given, COMMAND_KEYS)))
 
-    def counter(field: str) -> Column:
-        told = lambda o: F.when(carries(o, "usage"), F.greatest(F.lit(0).cast("bigint"), _whole(payload(o), field)))
-        return F.array_max(F.transform(objects, told)).alias(field)
+    def tool_of(o: Column) -> Column:
+        own = _filled(_named(o, TOOL_KEYS))
+        looks = o["arguments"].isNotNull() | o["input"].isNotNull() | _kind(o).contains("tool") | command(o).isNotNull()
+        return F.when(carries(o, "call-tool"), F.coalesce(_text(of(o, "payload"), "toolName"), F.lit("unknown"))).when(own.isNotNull() & plain(o) & looks, own)
 
-    counters = [counter(f) for f in USAGE_FIELDS]
-    calls = F.struct(
-        F.array_compact(F.transform(objects, tool_of)).alias("tools"), F.array_compact(F.transform(objects, command_of)).alias("commands"),
-        F.array_compact(F.transform(objects, failure_of)).alias("failures"), F.struct(*counters).alias("usage"),
-    )
+    def command_of(o: Column) -> Column:
+        params = of(of(o, "payload"), "toolParams")
+        own = F.when(_filled(_named(o, TOOL_KEYS)).isNotNull() & plain(o), command(o))
+        return F.btrim(F.when(carries(o, "call-tool"), _filled(_named(params, COMMAND_KEYS))).otherwise(own), F.lit(BLANKS))
+
+    def failure_of(o: Column) -> Column:
+        asked = F.coalesce(_filled(of(o, "payload")["toolName"]["text"]), F.lit("unknown"))
+        own = F.coalesce(_filled(_named(o, TOOL_KEYS)), F.lit("unknown"))
+        outcome = of(of(o, "payload"), "result")
+        return F.when(carries(o, "call-tool-result"), _failure(outcome, asked)).when((o["status"].isNotNull() | o["success"].isNotNull()) & plain(o), _failure(o, own))
+
+    def counters(o: Column) -> Column:
+        payload = of(o, "payload")
+        told = F.struct(*[F.greatest(F.lit(0).cast("bigint"), _whole(payload, f)).alias(f) for f in USAGE_FIELDS])
+        return F.when(carries(o, "usage"), told)
+
+    part = lambda rule: F.array_compact(F.transform(objects, rule))
+    usage = part(counters)
+    greatest = F.struct(*[F.array_max(usage[f]).alias(f) for f in USAGE_FIELDS])
+    calls = F.struct(part(tool_of).alias("tools"), part(command_of).alias("commands"), part(failure_of).alias("failures"), greatest.alias("usage"))
     return records.select(*messages.columns, calls.alias(name))
 
 
