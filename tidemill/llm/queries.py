@@ -94,7 +94,7 @@ def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 
 def op7_transcripts(spark: SparkSession, folder: str) -> DataFrame:
     """Turns recovered from the conversations' transcripts."""
-    return parse_transcripts(raw_lines(_table(spark, folder, "conversations")))
+    return parse_transcripts(raw_lines(_table(spark, folder, "conversations")), line_col=("turn_no", "line_no"))
 
 
 def op8_near_vectors(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,14 +1,17 @@
 """Roles of transcript lines by a hidden Markov model, and their canonical rendering.
 
 A line is seen as its speaker marker (if any), its shape and its place; the hidden states are
-the roles, each as the first line of a turn or a later one.  Viterbi finds the most likely path.  Scores of
-runs of lines combine associatively, so a conversation of any length is decoded block by block: each block is
-summed up in a small matrix, the matrices are chained, and every block is then walked by itself.
+the roles, each as the first line of a turn or a later one, or as an item of a list within it.  A dash may open a turn or an item: which
+of the two it does belongs to the whole conversation and is hidden, too, so named speakers, runs of dashes and alternation all
+weigh in.  Viterbi finds the most likely path.  Scores of runs of lines combine associatively, so a conversation of any length is
+decoded block by block: each block is summed up in a small matrix, the matrices are chained in levels, and every block is then walked by itself.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -18,11 +21,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemill.operators.ordering import number_rows
-from tidemill.session import materialize
+from tidemill.session import materialize, materialize_counted
 
 ROLES = ["system", "user", "assistant"]
-#: states: the first line of a role's turn, then a later line of it
-STATES = [(r, first) for r in ROLES for first in (True, False)]
+#: states: (role, place, style).  Where dashes speak, a turn has a first line and later ones; where they list, it has items, too
+STATES = [(r, place, style) for style, places in (("speaks", "first later"), ("lists", "first later item")) for r in ROLES for place in places.split()]
+#: blocks of a conversation that are chained at a time
+FAN = 256
 #: lines that are decoded together
 BLOCK_LINES = 512
 
@@ -57,31 +62,40 @@ _LOG = lambda p: np.log(np.asarray(p, float))
 def _emissions() -> np.ndarray:
     """log P(what a line shows | state)."""
     table = np.full((len(STATES), len(SHOWS)), 1e-4)
-    for s, (role, first) in enumerate(STATES):
-        if first:
-            table[s, SHOWS.index(role)] = 0.8
-            table[s, SHOWS.index("turn")] = 0.08
+    for s, (role, place, style) in enumerate(STATES):
+        if place == "first":
+            table[s, SHOWS.index(role)] = 0.001 if style == "speaks" else 0.8
+            table[s, SHOWS.index("turn")] = 0.85 if style == "speaks" else 0.08
             table[s, SHOWS.index("text")] = 0.05
             table[s, SHOWS.index("asks")] = 0.05 if role == "user" else 0.01
-        else:
+        elif place == "later":
             table[s, SHOWS.index("text")] = 0.85
             table[s, SHOWS.index("asks")] = 0.08
             table[s, SHOWS.index("blank")] = 0.06
+        else:
+            table[s, SHOWS.index("turn")] = 0.9
+            table[s, SHOWS.index("text")] = 0.06
+            table[s, SHOWS.index("blank")] = 0.03
     return _LOG(table / table.sum(1, keepdims=True))
 
 
 def _transitions() -> np.ndarray:
-    """log P(next state | state): a turn goes on, or another role takes over."""
+    """log P(next state | state): a turn goes on, or another role takes over; the style stays."""
     after = {"system": {"user": 0.9, "assistant": 0.09, "system": 0.01}, "user": {"assistant": 0.96, "user": 0.03, "system": 0.01}, "assistant": {"user": 0.96, "assistant": 0.03, "system": 0.01}}
+    over = {"speaks": 0.6, "lists": 0.4}
+    stay = {"first": {"later": 0.996, "item": 0.004}, "later": {"later": 0.996, "item": 0.004}, "item": {"later": 0.2, "item": 0.8}}
     table = np.zeros((len(STATES), len(STATES)))
-    for s, (role, _) in enumerate(STATES):
-        for t, (other, first) in enumerate(STATES):
-            table[s, t] = 0.4 * after[role][other] if first else 0.6 * (other == role)
+    for s, (role, place, style) in enumerate(STATES):
+        for t, (other, to, same) in enumerate(STATES):
+            if same == style:
+                share = 1.0 if style == "speaks" else stay[place].get(to, 0)
+                table[s, t] = over[style] * after[role][other] if to == "first" else (1 - over[style]) * share * (other == role)
     return _LOG(np.maximum(table, 1e-12))
 
 
 EMIT, MOVE = _emissions(), _transitions()
-BEGIN = _LOG([{"system": 0.3, "user": 0.6, "assistant": 0.1}[r] if first else 1e-9 for r, first in STATES])
+_BEGIN = {"system": 0.3, "user": 0.6, "assistant": 0.1}
+BEGIN = _LOG([_BEGIN[r] * {"speaks": 0.3, "lists": 0.7}[style] if place == "first" else 1e-9 for r, place, style in STATES])
 
 
 def block_matrix(shows: list[int], first: bool) -> np.ndarray:
@@ -112,34 +126,45 @@ def walk_block(shows: list[int], before: np.ndarray | None, last: int | None = N
     return path[::-1]
 
 
-def chain_blocks(matrices: list[np.ndarray]) -> tuple[list[np.ndarray], list[int]]:
-    """Scores before every block of a conversation, and the state of its last line on the best path."""
-    before = [np.zeros(len(STATES))]
+def chained(matrices: list[np.ndarray]) -> np.ndarray:
+    """The matrix of consecutive runs of lines as one."""
+    best = matrices[0]
+    for m in matrices[1:]:
+        best = (best[:, :, None] + m[None]).max(1)
+    return best
+
+
+def walk_back(matrices: list[np.ndarray], before: np.ndarray, last: int | None) -> tuple[list[np.ndarray], list[int]]:
+    """Scores before every one of consecutive runs and the state of its last line on the best path, given those of all together."""
+    scores = [before]
     for m in matrices:
-        before.append((before[-1][:, None] + m).max(0))
-    ends = [int(before[-1].argmax())]
-    for scores, m in zip(before[-2:0:-1], matrices[:0:-1], strict=True):
-        ends.append(int((scores + m[:, ends[-1]]).argmax()))
-    return before[:-1], ends[::-1]
+        scores.append((scores[-1][:, None] + m).max(0))
+    ends = [int(scores[-1].argmax()) if last is None else last]
+    for score, m in zip(scores[-2:0:-1], matrices[:0:-1], strict=True):
+        ends.append(int((score + m[:, ends[-1]]).argmax()))
+    return scores[:-1], ends[::-1]
 
 
 def parse_transcripts(
-    lines: DataFrame, conv_col: str = "conv_id", line_col: str = "line_no", text_col: str = "line", block_lines: int = BLOCK_LINES
+    lines: DataFrame, conv_col: str = "conv_id", line_col: str | Sequence[str] = "line_no", text_col: str = "line", block_lines: int = BLOCK_LINES, fan: int = FAN
 ) -> DataFrame:
     """(conv_id, turn, role, text, rendered): one row per recovered turn of the transcripts' lines.
 
-    Lines are ordered by their number, ties by their text; repeated rows are lines of their own; a NULL text is a
+    Lines are ordered by their number, or several such columns in turn, ties by their text; repeated rows are lines of their own; a NULL text is a
     blank line; a NULL conversation is a conversation; a NULL number comes first.  An empty table gives no rows.
+    A turn's first line loses its marker, no other line loses anything.  A marker that names none of the three roles is text.
     ``rendered`` is the role in ``<|role|>``, the text and ``<|end|>`` on lines of their own.  All lines are numbered
     by ranges and cut every ``block_lines`` lines, however many conversations that is, so a task holds one block; of a conversation that
-    reaches beyond its block only a small matrix per block meets the others, and a turn is joined from its lines at the end.
+    reaches beyond its block only a small matrix per block meets the others, ``fan`` of them at a time, and a turn is joined from its lines at the end.
     """
     kind = lines.schema[conv_col].dataType.simpleString()
+    order = [line_col] if isinstance(line_col, str) else list(line_col)
+    numbers = {f"line_no_{i}": F.col(f"`{c}`").cast("long") for i, c in enumerate(order)}
     rows = lines.select(
-        F.col(f"`{conv_col}`").alias("conv_id"), F.col(f"`{line_col}`").cast("long").alias("line_no"),
+        F.col(f"`{conv_col}`").alias("conv_id"), *[c.alias(n) for n, c in numbers.items()],
         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("line"),
     )
-    placed = number_rows(rows, ["conv_id", "line_no", "line"], "at").drop("line_no")
+    placed = number_rows(rows, ["conv_id", *numbers, "line"], "at").drop(*numbers)
     placed = placed.withColumn("block", F.floor(F.col("at") / block_lines))
     size = len(STATES)
     conv = to_arrow_schema(placed.select("conv_id").schema)[0]
@@ -155,15 +180,8 @@ def parse_transcripts(
 
     sums = placed.groupBy("block").applyInArrow(sum_up, f"conv_id {kind}, block long, begun array<double>, carried array<double>")
 
-    def chain(table: pa.Table) -> pa.Table:
-        rows = table.sort_by("block").to_pylist()
-        told = [rows[0]["begun"], *[r["carried"] for r in rows[1:]]]
-        before, last = chain_blocks([np.asarray(m, float).reshape(size, size) for m in told])
-        columns = [[r["conv_id"] for r in rows], [r["block"] for r in rows], [b.tolist() for b in before], last]
-        return _table(columns, [conv, ("block", pa.int64()), ("before", _DOUBLES), ("last", pa.int32())])
-
-    ways = sums.groupBy("conv_id").applyInArrow(chain, f"conv_id {kind}, block long, before array<double>, last int")
-    both = _beside(placed, materialize(ways), ["conv_id", "block"])
+    ways = _chain(materialize(sums), kind, fan)
+    both = _beside(placed, ways, ["conv_id", "block"])
 
     def decode(table: pa.Table) -> pa.Table:
         made = []
@@ -171,9 +189,10 @@ def parse_transcripts(
             seen = [read_line(t) for t in lines]
             head = first.before is None or not any(first.before)  # nothing comes before: the scores there are zero
             path = walk_block([SHOWS.index(show) for show, _ in seen], None if head else np.asarray(first.before, float), first.last)
-            for n, (at, (_, body), state) in enumerate(zip(places, seen, path, strict=True)):
-                role, opens = STATES[state]
-                made.append((first.conv_id, first.block, at, role, opens or (head and n == 0), body))
+            for n, (at, line, (_, body), state) in enumerate(zip(places, lines, seen, path, strict=True)):
+                role, place, _ = STATES[state]
+                opens = place == "first" or (head and n == 0)
+                made.append((first.conv_id, first.block, at, role, opens, body if opens else line))
         fields = [conv, ("block", pa.int64()), ("at", pa.int64()), ("role", pa.string()), ("opens", pa.bool_()), ("body", pa.string())]
         return _table([list(c) for c in zip(*made, strict=True)], fields)
 
@@ -184,6 +203,54 @@ def parse_transcripts(
 _DOUBLES = pa.list_(pa.float64())
 
 
+def _chain(sums: DataFrame, kind: str, fan: int) -> DataFrame:
+    """(conv_id, block, before, last) of every row of (conv_id, block, begun, carried).
+
+    ``fan`` consecutive blocks of a conversation become one row, these again, until a conversation is one row; then every level is
+    walked back down.  So no task meets more than ``fan`` matrices of a conversation, however long it is.
+    """
+    size = len(STATES)
+    conv = to_arrow_schema(sums.select("conv_id").schema)[0]
+    matrix = lambda values: np.asarray(values, float).reshape(size, size)
+    first = sums.groupBy("conv_id").agg(F.min("block").alias("first"))
+    level, n = materialize_counted(_beside(sums, first, ["conv_id"]).select("conv_id", (F.col("block") - F.col("first")).alias("at"), "block", "begun", "carried"))
+    n_convs = first.count()
+    levels = [level]
+
+    def up(table: pa.Table) -> pa.Table:
+        rows = table.sort_by("at").to_pylist()
+        carried = [matrix(r["carried"]) for r in rows]
+        whole = [chained(carried), chained([matrix(rows[0]["begun"]), *carried[1:]])]
+        columns = [[rows[0]["conv_id"]], [rows[0]["at"] // fan], [rows[0]["block"]], *[[m.ravel().tolist()] for m in reversed(whole)]]
+        return _table(columns, [conv, ("at", pa.int64()), ("block", pa.int64()), ("begun", _DOUBLES), ("carried", _DOUBLES)])
+
+    while n > n_convs:
+        grouped = levels[-1].groupBy("conv_id", F.floor(F.col("at") / fan))
+        level, n = materialize_counted(grouped.applyInArrow(up, f"conv_id {kind}, at long, block long, begun array<double>, carried array<double>"))
+        levels.append(level)
+
+    known = levels[-1].select("conv_id", "at", F.array_repeat(F.lit(0.0), size).alias("before"), F.lit(None).cast("int").alias("last"))
+
+    def down(table: pa.Table) -> pa.Table:
+        rows = table.sort_by("at").to_pylist()
+        told = [matrix(r["carried"]) for r in rows]
+        if rows[0]["at"] == 0:
+            told[0] = matrix(rows[0]["begun"])
+        before, last = walk_back(told, np.asarray(rows[0]["before"], float), rows[0]["last"])
+        columns = [[r[c] for r in rows] for c in ("conv_id", "at", "block")]
+        return _table([*columns, [b.tolist() for b in before], last], [conv, ("at", pa.int64()), ("block", pa.int64()), ("before", _DOUBLES), ("last", pa.int32())])
+
+    schema = f"conv_id {kind}, at long, block long, before array<double>, last int"
+    ends = known.withColumnRenamed("at", "group")
+    for depth, level in enumerate(reversed(levels)):
+        # the topmost level knows its own ends; below, a row's group is the row of the level above
+        group = F.col("at") if depth == 0 else F.floor(F.col("at") / fan)
+        known = _beside(level.withColumn("group", group), ends, ["conv_id", "group"])
+        known = materialize(known.groupBy("conv_id", "group").applyInArrow(down, schema))
+        ends = known.select("conv_id", F.col("at").alias("group"), "before", "last")
+    return known.drop("at")
+
+
 class _First(NamedTuple):
     """What holds for all lines of a conversation within a block."""
 
@@ -213,8 +280,8 @@ def _table(columns: list[list], fields: list) -> pa.Table:
 
 def _beside(rows: DataFrame, blocks: DataFrame, keys: list[str]) -> DataFrame:
     """``rows`` with the columns of their block, NULL where it has none; NULL keys meet each other."""
-    on = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
-    return rows.alias("l").join(blocks.alias("r"), on[0] & on[1], "left").select("l.*", *[f"r.{c}" for c in blocks.columns if c not in keys])
+    on = reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
+    return rows.alias("l").join(blocks.alias("r"), on, "left").select("l.*", *[f"r.{c}" for c in blocks.columns if c not in keys])
 
 
 def _turns(told: DataFrame) -> DataFrame:
@@ -234,9 +301,10 @@ def _turns(told: DataFrame) -> DataFrame:
 
 
 def raw_lines(conversations: DataFrame) -> DataFrame:
-    """(conv_id, line_no, line): transcripts as people paste them, from a table (conv_id, turn, role, text).
+    """(conv_id, turn_no, line_no, line): transcripts as people paste them, from a table (conv_id, turn, role, text).
 
-    The style of the markers follows from the conversation's id; some turns go without one, as transcripts do.
+    The style of the markers follows from the conversation's id; some turns go without one, as transcripts do.  A NULL role speaks as the
+    user; a role other than the three is named in the markers that name roles, which no parser then takes for one of them.
     """
     style = F.pmod(F.xxhash64("conv_id"), F.lit(6))
     role = F.lower(F.coalesce("role", F.lit("user")))
@@ -254,4 +322,4 @@ def raw_lines(conversations: DataFrame) -> DataFrame:
     marker = F.when(bare, F.lit("- ")).otherwise(marker)
     text = F.coalesce("text", F.lit(""))
     parts = conversations.select("conv_id", "turn", F.posexplode(F.split(F.concat(marker, text), "\n")).alias("n", "line"))
-    return parts.select("conv_id", (F.col("turn").cast("long") * (1 << 20) + F.col("n")).alias("line_no"), "line")
+    return parts.select("conv_id", F.col("turn").cast("long").alias("turn_no"), F.col("n").cast("long").alias("line_no"), "line")
