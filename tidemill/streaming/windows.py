@@ -9,8 +9,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.operators.bands import band_join
 from tidemill.operators.ordering import HeavyKeys, as_of_join, with_previous
-from tidemill.operators.skew import dimension_join, skew_join
+from tidemill.operators.skew import dimension_join
 
 
 _POLICY = "spark.sql.streaming.multipleWatermarkPolicy"
@@ -106,28 +107,17 @@ def interval_join(
 ) -> DataFrame:
     """Pairs of a key whose right time lies in [left - before, left + after].  Column names must differ but for keys.
 
-    In batch both sides meet only inside time buckets as wide as the interval, so a
-    key's rows are not paired with its whole history and a hot key spreads over its
-    buckets.  On streams, the time condition lets Spark expire the state.
+    In batch this is a band join: rows of a key meet in stretches of time, crowded ones in finer cuts, so a
+    key's rows are not paired with its whole history and a hot key or minute spreads.  On streams, the time condition lets Spark expire the state.
     """
     low = F.col(left_time) - F.expr(f"INTERVAL {before_seconds} SECONDS")
     high = F.col(left_time) + F.expr(f"INTERVAL {after_seconds} SECONDS")
-    inside = (F.col(right_time) >= low) & (F.col(right_time) <= high)
+    if not (left.isStreaming or right.isStreaming):
+        return band_join(left, right, keys, low, high, right_time, before_seconds + after_seconds)
     other = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
     same = [F.col(k) == F.col(f"_r_{k}") for k in keys]
-    if left.isStreaming or right.isStreaming:
-        joined = left.join(other, [*same, inside], "inner")
-    else:
-        width = max(before_seconds + after_seconds, 1)
-
-        def bucket(c: Column) -> Column:
-            return F.floor(F.unix_seconds(c.cast("timestamp")) / F.lit(width))
-
-        spread = left.withColumn("_bucket", F.explode(F.sequence(bucket(low), bucket(high))))
-        placed = right.withColumn("_bucket", bucket(F.col(right_time)))
-        # a bucket that holds most of the left rows is spread over as many tasks as there are salts
-        return skew_join(spread, placed, [*keys, "_bucket"], salt_on=left.columns).filter(inside).drop("_bucket")
-    return joined.drop(*[f"_r_{k}" for k in keys])
+    inside = (F.col(right_time) >= low) & (F.col(right_time) <= high)
+    return left.join(other, [*same, inside], "inner").drop(*[f"_r_{k}" for k in keys])
 
 
 def temporal_batches(
