@@ -1,3 +1,4 @@
+import random
 from datetime import date, datetime
 
 import pytest
@@ -239,3 +240,42 @@ def test_fields(spark):
     for wrong in ("a,c", "", []):
         with pytest.raises(ValueError):
             rows.select_fields(frame, wrong)
+
+
+def plain_closure(edges, seeds):
+    distance, newest, far = {}, set(seeds), 0
+    while newest:
+        distance.update(dict.fromkeys(newest, far))
+        newest, far = {b for a, b in edges if a in newest} - set(distance), far + 1
+    return set(distance.items())
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_contracted_closure_against_a_walk(spark, seed):
+    draw = random.Random(seed)
+    n = 60
+    edges = [(i, draw.randrange(max(1, i - 3), i) if i > 1 else 0) for i in range(1, n)]  # a deep tree, seen from its leaves and from its root
+    edges = [(b, a) for a, b in edges] + [(draw.randrange(n), draw.randrange(n)) for _ in range(seed * 6)]
+    edges += [(100 + i, 100 + (i + 1) % 7) for i in range(7)] + [(200, 201), (201, 202), (3, 3)]  # a circle that nothing enters, a way of its own
+    if seed % 2:
+        edges += [(5, 100), (41, 103)]
+    frame = spark.createDataFrame(edges, "parent int, child int")
+    seeds = [0, 200, 500] if seed else [104, 0]
+    for direction, pairs in (("downstream", edges), ("upstream", [(b, a) for a, b in edges])):
+        got = runs.closure(frame, spark.createDataFrame([(s,) for s in seeds], "node int"), direction, plain_rounds=seed % 3)
+        assert as_set(got) == plain_closure(pairs, seeds) and got.count() == len(as_set(got))
+
+
+def test_a_long_chain_ends_in_few_rounds(spark, monkeypatch):
+    rounds = []
+    counted = runs.materialize_counted
+
+    def count(*given):
+        rounds.append(1)
+        return counted(*given)
+
+    monkeypatch.setattr(runs, "materialize_counted", count)
+    chain = spark.range(10_000).select(F.col("id").alias("parent"), (F.col("id") + 1).alias("child"))
+    found = runs.closure(chain, spark.createDataFrame([(0,)], "node bigint"))
+    assert found.agg(F.count(F.lit(1)), F.sum(F.abs(F.col("node") - F.col("distance"))), F.max("distance")).first() == (10_001, 0, 10_000)
+    assert len(rounds) <= runs.PLAIN_ROUNDS + 17

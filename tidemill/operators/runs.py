@@ -64,11 +64,16 @@ def roots(nodes: DataFrame, edges: DataFrame, node: str = "node") -> DataFrame:
     return nodes.join(children, node, "left_anti")
 
 
-def closure(edges: DataFrame, seeds: DataFrame, direction: str = "downstream") -> DataFrame:
+#: levels of a graph that are walked one by one before long ways are contracted
+PLAIN_ROUNDS = 6
+
+
+def closure(edges: DataFrame, seeds: DataFrame, direction: str = "downstream", plain_rounds: int = PLAIN_ROUNDS) -> DataFrame:
     """Every node reachable from the seeds, with its least distance (0 for a seed).
 
-    Breadth first: each round joins only the newest nodes, and the least distance of a node is the one
-    it was first reached at, so shared descendants are visited once and cycles end, however deep the graph.  A round is
+    Breadth first for the first levels: each round joins only the newest nodes, and the least distance of a node is the one
+    it was first reached at, so shared descendants are visited once and cycles end.  What lies deeper is reached through
+    ``_contracted``, in rounds that grow with the logarithm of a way's length.  A round is
     one shuffle and one write to the checkpoint folder, which keeps the plan short and counts the newest nodes on the way; a
     hub's edges are spread by its children.
     """
@@ -77,14 +82,57 @@ def closure(edges: DataFrame, seeds: DataFrame, direction: str = "downstream") -
     hot = cache(lambda: hot_keys(steps, ["node"]))
     known = materialize(seeds.select("node").distinct().withColumn("distance", F.lit(0)))
     size, distance = None, 0
-    while size != 0:
+    while size != 0 and distance < plain_rounds:
         newest = known.filter(F.col("distance") == distance).select("node")
         distance += 1
         taken = dimension_join(steps, newest, ["node"], "left_semi", hot=hot, rows=size)
         found = taken.select(F.col("_next").alias("node"), F.lit(distance).alias("distance"))
         reached = known.unionByName(found).groupBy("node").agg(F.min("distance").alias("distance"))
         known, size = materialize_counted(reached, F.col("distance") == distance)
-    return known
+    return known if size == 0 else _contracted(steps, known)
+
+
+def _contracted(steps: DataFrame, known: DataFrame) -> DataFrame:
+    """The closure of ``known`` (node, distance) where all nodes up to some distance are known.
+
+    A node that is entered by one step alone is as far as the node before it, plus one.  Its pointer to that node doubles its reach in
+    every round until it ends at an anchor: a known node, or one entered by several steps.  Only anchors are then
+    walked, by weighted steps whose targets are offered ever shorter distances, and all others take theirs from their anchor.  So rounds are the logarithm of
+    the longest way without a meeting, and the number of meetings on a way.  Pointers that circle are those of no reachable node.
+    """
+    open_steps = skew_join(steps.withColumnRenamed("node", "_from").withColumnRenamed("_next", "node"), known.select("node"), ["node"], how="left_anti")
+    entered = open_steps.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("_from").alias("to"))
+    entered = materialize(entered)
+    single = entered.filter("n = 1").select("node", "to", F.lit(1).alias("far"))
+
+    pointing = single.select(F.col("node").alias("to"), F.lit(False).alias("_ends"))
+    begun = skew_join(single, pointing, ["to"], how="left").select("node", "to", "far", F.coalesce("_ends", F.lit(True)).alias("done"))
+    pointers, size = materialize_counted(begun, ~F.col("done"))
+    before = None
+    while size and size != before:
+        before = size
+        ends = pointers.select(F.col("node").alias("to"), F.col("to").alias("_then"), F.col("far").alias("_more"), F.col("done").alias("_done"))
+        moved = skew_join(pointers.filter("NOT done"), ends, ["to"], how="left")
+        moved = moved.select("node", F.coalesce("_then", "to").alias("to"), (F.col("far") + F.coalesce("_more", F.lit(0))).alias("far"), F.coalesce("_done", F.lit(True)).alias("done"))
+        pointers, size = materialize_counted(pointers.filter("done").unionByName(moved), ~F.col("done"))
+    pointers = pointers.select("node", "to", F.when(F.col("done"), F.col("far")).alias("far"))  # a circle reaches no anchor
+
+    meetings = entered.filter("n > 1").select("node")
+    into = skew_join(open_steps, meetings, ["node"], how="left_semi").select(F.col("node").alias("target"), F.col("_from").alias("node"))
+    anchored = skew_join(into, pointers, ["node"], how="left").filter(F.col("to").isNull() | F.col("far").isNotNull())
+    anchored = anchored.select(F.coalesce("to", "node").alias("node"), "target", (F.coalesce("far", F.lit(0)) + 1).alias("weight"))
+    ways = materialize(anchored.groupBy("node", "target").agg(F.min("weight").alias("weight")))
+    best = materialize(known.select("node", "distance", F.lit(True).alias("new")))
+    size = None
+    while size != 0:
+        newest = best.filter("new").select("node", "distance")
+        offered = skew_join(ways, newest, ["node"]).select(F.col("target").alias("node"), (F.col("distance") + F.col("weight")).alias("distance"), F.lit(None).cast("int").alias("had"))
+        both = best.select("node", "distance", F.col("distance").alias("had")).unionByName(offered)
+        least = both.groupBy("node").agg(F.min("distance").alias("distance"), F.min("had").alias("had"))
+        best, size = materialize_counted(least.select("node", "distance", (F.col("had").isNull() | (F.col("distance") < F.col("had"))).alias("new")), F.col("new"))
+    best = best.select("node", "distance")
+    behind = skew_join(pointers.filter("far IS NOT NULL"), best.withColumnRenamed("node", "to"), ["to"])
+    return best.unionByName(behind.select("node", (F.col("distance") + F.col("far")).alias("distance")))
 
 
 def clear_selection(
