@@ -37,14 +37,44 @@ _ANY = r"""(?i:passw(?:or)?d|secret|token|api_?key)["']?\x20*[:=]|AKIA|[0-9a-f]{
 SPANS = "array<struct<start:bigint,rank:int,stop:bigint,kind:string,value:string>>"
 
 
+#: an array is summed up, and a text cut up, so many elements or characters at a time
+STRETCH = 256
+CHUNK = 4_096
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)``, with the value worked out once however often it is named, also in lambdas."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _running(values: Column, zero: Column, step) -> Column:
+    """For every element what ``step`` (associative, ``zero`` changes nothing) makes of it and all before it.
+
+    Appending to an array copies it, so long arrays are done in stretches whose totals are then put in front of them.
+    """
+
+    def plain(xs: Column) -> Column:
+        grown = F.aggregate(xs, F.array(zero), lambda done, x: F.concat(done, F.array(step(F.element_at(done, -1), x))))
+        return F.slice(grown, F.lit(2), F.greatest(F.size(xs), F.lit(0)))
+
+    def long(xs: Column) -> Column:
+        places = F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / STRETCH).cast("int"))
+        return _bound(F.transform(places, lambda i: plain(F.slice(xs, i * STRETCH + 1, F.lit(STRETCH)))), joined)
+
+    def joined(parts: Column) -> Column:
+        before = _bound(F.transform(parts, lambda part: F.element_at(part, -1)), lambda ends: F.concat(F.array(zero), plain(ends)))
+        return F.flatten(F.zip_with(parts, F.slice(before, F.lit(1), F.size(parts)), lambda part, past: F.transform(part, lambda x: step(past, x))))
+
+    return _bound(values, lambda xs: F.when(F.size(xs) <= STRETCH, plain(xs)).otherwise(long(xs)))
+
+
 def _found(text: Column, kind: str, pattern: str, group: int = 0) -> Column:
     """Spans of a pattern in code points, from the texts between its matches."""
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = whole if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(whole))
     steps = F.zip_with(gaps, whole, lambda g, m: (F.length(g) + F.length(m)).cast("long"))
-    first = F.array(F.lit(0).cast("long"))
-    ends = F.slice(F.aggregate(steps, first, lambda ends, s: F.concat(ends, F.array(F.element_at(ends, -1) + s))), F.lit(2), F.size(whole))
+    ends = _running(steps, F.lit(0).cast("long"), lambda a, b: a + b)
     placed = F.zip_with(whole, ends, lambda m, e: F.struct(m.alias("m"), e.alias("e")))
     spans = F.zip_with(
         placed, value,
@@ -157,26 +187,38 @@ def redact_secrets(
 
 
 def _replaced(text: Column, spans: Column) -> Column:
-    """The text with merged spans replaced, in one pass over the spans."""
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,stop:bigint,live:boolean>>").alias("done"))
-
-    def merge(acc: Column, s: Column) -> Column:
-        own = F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["live"].alias("live"))
-        last = F.element_at(acc["done"], -1)
-        wider = F.struct(last["start"].alias("start"), F.greatest(last["stop"], s["stop"]).alias("stop"), (last["live"] | s["live"]).alias("live"))
-        before = F.slice(acc["done"], F.lit(1), F.size(acc["done"]) - 1)
-        joined = F.when((F.size(acc["done"]) > 0) & (s["start"] < acc["at"]), F.concat(before, F.array(wider))).otherwise(F.concat(acc["done"], F.array(own)))
-        return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), joined.alias("done"))
-
-    merged = F.aggregate(spans, start, merge)["done"]
-    stops = F.concat(F.array(F.lit(0).cast("long")), F.transform(merged, lambda s: s["stop"]))
-    pieces = F.zip_with(
-        F.slice(stops, F.lit(1), F.size(merged)), merged,
-        lambda before, s: F.concat(
-            F.substr(text, (before + 1).cast("int"), (s["start"] - before).cast("int")), F.when(s["live"], F.lit("[SECRET]")).otherwise(F.lit("[EXAMPLE]"))
-        ),
-    )
-    tail = F.substr(text, (F.element_at(stops, -1) + 1).cast("int"), F.length(text))
-    return F.concat(F.array_join(pieces, ""), tail)
-
-
+    """The text with merged spans replaced; spans come in the order of their starts."""
+    reaches = _running(F.transform(spans, lambda s: s["stop"]), F.lit(0).cast("long"), lambda a, b: F.greatest(a, b))
+
+    def merged(at: Column) -> Column:
+        """(start, stop, live) of spans that overlap or of one alone; ``at`` has the spans and how far they and those before them reach."""
+        own, reach = at["spans"], at["reaches"]
+        begun = F.filter(F.sequence(F.lit(1), F.size(own)), lambda i: (i == 1) | (own[i - 1]["start"] >= reach[F.greatest(i - 2, F.lit(0))]))
+        ends = lambda first: F.concat(F.slice(first, F.lit(2), F.size(first)), F.array(F.size(own) + 1))
+        group = lambda i, j: F.struct(
+            own[i - 1]["start"].alias("start"), reach[j - 2].alias("stop"), F.exists(F.slice(own, i, j - i), lambda s: s["live"]).alias("live")
+        )
+        return _bound(begun, lambda first: F.zip_with(first, ends(first), group))
+
+    def said(live: Column) -> Column:
+        return F.when(live, F.lit("[SECRET]")).otherwise(F.lit("[EXAMPLE]"))
+
+    def cut(at: Column) -> Column:
+        """The text between and behind the merged spans, from its chunks: a place far into a text is not looked for from its beginning."""
+        chunks, found = at["chunks"], at["merged"]
+
+        def between(start: Column, stop: Column) -> Column:
+            places = F.sequence(F.floor(start / CHUNK).cast("int"), F.floor(stop / CHUNK).cast("int"))
+            inside = lambda i: F.substr(
+                F.coalesce(F.get(chunks, i), F.lit("")), (F.greatest(start - i * CHUNK, F.lit(0)) + 1).cast("int"),
+                (stop - F.greatest(start, (i * CHUNK).cast("long"))).cast("int"),
+            )
+            return F.array_join(F.transform(places, inside), "")
+
+        starts = F.concat(F.array(F.lit(0).cast("long")), F.transform(found, lambda s: s["stop"]))
+        pieces = F.zip_with(F.slice(starts, F.lit(1), F.size(found)), found, lambda before, s: F.concat(between(before, s["start"]), said(s["live"])))
+        return F.concat(F.array_join(pieces, ""), between(F.element_at(found, -1)["stop"], at["length"]))
+
+    whole = _bound(F.struct(spans.alias("spans"), reaches.alias("reaches")), merged)
+    chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    return _bound(F.struct(chunks.alias("chunks"), whole.alias("merged"), F.length(text).cast("long").alias("length")), cut)

@@ -24,20 +24,23 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 
-#: words near a span that speak for it, and against any
+#: words near a span that speak for it, and against any; in English, German, French and Spanish
 FOR = {
-    "email": "email mail contact write address".split(),
-    "ip": "ip address host server login".split(),
-    "card": "card visa mastercard credit payment cvv expiry".split(),
-    "phone": "phone call tel telephone mobile fax whatsapp".split(),
-    "iban": "iban account bank transfer bic swift".split(),
-    "ssn": "ssn social security".split(),
+    "email": "email mail contact write address kontakt schreiben adresse postfach courriel écrire contacter correo escribir contacto dirección".split(),
+    "ip": "ip address host server login adresse rechner anmeldung serveur connexion hôte servidor conexión dirección".split(),
+    "card": "card visa mastercard credit payment cvv expiry karte kreditkarte zahlung ablauf carte bancaire paiement crédit tarjeta crédito pago".split(),
+    "phone": "phone call tel telephone mobile fax whatsapp telefon anruf anrufen handy rufnummer téléphone appeler appel portable teléfono llamar móvil llamada".split(),
+    "iban": "iban account bank transfer bic swift konto überweisung bankverbindung compte virement banque cuenta transferencia banco".split(),
+    "ssn": "ssn social security sozialversicherung sozialversicherungsnummer sécurité sociale seguridad".split(),
 }
-AGAINST = "example sample test dummy fake version isbn order".split()
+AGAINST = (
+    "example sample test dummy fake version isbn order beispiel muster probe bestellung bestellnummer "
+    "exemple échantillon essai factice commande ejemplo muestra prueba pedido versión"
+).split()
 WINDOW = 40
 _WORD = re.compile(r"[^\W\d_]+")
 #: score of a kind before context; checksums have passed by then
-START = {"email": 0.8, "ip": 0.5, "card": 0.7, "phone": 0.6, "iban": 0.8, "ssn": 0.3}
+START = {"email": 0.8, "ip": 0.5, "card": 0.7, "phone": 0.6, "iban": 0.65, "ssn": 0.3}
 LEAST_SCORE = 0.5
 
 
@@ -159,7 +162,9 @@ SPANS = "array<struct<start:bigint,rank:int,stop:bigint,kind:string,score:double
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, spans): one row per input row, spans by start, then kind as listed.
+    """(doc_id, spans): one row per input row, spans by start, then kind as listed; a span is (start, rank, stop, kind, score).
+
+    The base kinds are spans at any score, so that whoever asks may set a bound; the others are spans from ``LEAST_SCORE`` on.
 
     A NULL text is empty and has none; repeated rows and NULL ids are rows like any other; an empty table gives
     no rows.  Every row is judged where it is read, nothing is shuffled.

@@ -88,7 +88,7 @@ def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     base = joined_spans("spans", lambda s: s["rank"] < 4)
     return found.select(
         "doc_id", *[_of_kind("spans", k) for k in ("email", "ip", "card", "phone")], F.sha2(base, 256).alias("base_sha256"),
-        joined_spans("spans").alias("spans"),
+        joined_spans("spans").alias("spans"), F.array_join(F.transform("spans", lambda s: s["score"].cast("string")), ",").alias("scores"),
     )
 
 
