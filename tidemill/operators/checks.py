@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill.functions.json import json_path
 from tidemill.functions.text import sha256_text
@@ -205,31 +206,48 @@ def same_multiset(left: DataFrame, right: DataFrame) -> DataFrame:
 def column_statistics(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
     """One row per column: rows, nulls, distinct values, min, max, average and longest text.
 
-    All columns share one scan.  The exact distinct counts expand its rows once, by column, and are reduced map-side to
-    one row per value and task; ``approximate`` counts distinct values by a sketch instead.
+    All columns share one scan.  The exact distinct counts take another: every value becomes its column's number and 128 bits of its
+    hash, which are reduced map-side to one row per value and task; ``approximate`` counts distinct values by a sketch in the first scan instead.
     """
     if not columns:
         raise ValueError("no columns to describe")
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
     aggregates = []
     for i, c in enumerate(columns):
         length = F.when(F.col(c).isNotNull(), F.length(cell_text(df, c)))
         aggregates += [
-            F.count_if(F.col(c).isNull()).alias(f"_nulls{i}"), distinct(F.col(c)).alias(f"_distinct{i}"),
-            F.min(c).cast("string").alias(f"_min{i}"), F.max(c).cast("string").alias(f"_max{i}"),
+            F.count_if(F.col(c).isNull()).alias(f"_nulls{i}"), F.min(c).cast("string").alias(f"_min{i}"), F.max(c).cast("string").alias(f"_max{i}"),
             F.avg(length).alias(f"_avg{i}"), F.max(length).alias(f"_long{i}"),
         ]
+        if approximate:
+            aggregates.append(F.approx_count_distinct(F.col(c)).alias(f"_distinct{i}"))
     one = df.agg(F.count(F.lit(1)).alias("_rows"), *aggregates)
     rows = [
         F.struct(
-            F.lit(c).alias("column"), F.col("_rows").alias("rows"), F.col(f"_nulls{i}").alias("nulls"),
-            F.col(f"_distinct{i}").alias("distinct_values"), F.col(f"_min{i}").alias("min_value"),
+            F.lit(i).alias("_column"), F.lit(c).alias("column"), F.col("_rows").alias("rows"), F.col(f"_nulls{i}").alias("nulls"),
+            (F.col(f"_distinct{i}") if approximate else F.lit(None).cast("long")).alias("distinct_values"), F.col(f"_min{i}").alias("min_value"),
             F.col(f"_max{i}").alias("max_value"), F.col(f"_avg{i}").alias("avg_length"),
             F.col(f"_long{i}").alias("max_length"),
         )
         for i, c in enumerate(columns)
     ]
-    return one.select(F.inline(F.array(*rows)))
+    told = one.select(F.inline(F.array(*rows)))
+    if not approximate:
+        counts = _distinct_values(df, columns)
+        told = told.drop("distinct_values").join(counts, "_column", "left").withColumn("distinct_values", F.coalesce("distinct_values", F.lit(0)))
+    return told.select("column", "rows", "nulls", "distinct_values", "min_value", "max_value", "avg_length", "max_length")
+
+
+def _distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(_column, distinct_values) of the columns that have values."""
+
+    def hashed(i: int, c: str) -> Column:
+        value = F.col(c)
+        if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
+            value = value + F.lit(0.0)  # the two zeros are one value
+        return F.when(F.col(c).isNotNull(), F.struct(F.lit(i).alias("_column"), F.xxhash64(value).alias("a"), F.xxhash64(F.lit(7), value).alias("b")))
+
+    values = df.select(F.explode(F.array_compact(F.array(*[hashed(i, c) for i, c in enumerate(columns)]))).alias("v")).select("v.*")
+    return values.distinct().groupBy("_column").agg(F.count(F.lit(1)).alias("distinct_values"))
 
 
 def count_by(df: DataFrame, *by: Column | str) -> DataFrame:
