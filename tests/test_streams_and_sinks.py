@@ -233,3 +233,21 @@ def test_folding_survives_a_retry(spark, tmp_path):
     assert as_set(keyed.read_keyed_table(spark, path, ["k"], ["n"])) == {("a", 4), ("b", 1), ("c", 4)}
     assert {r.batch_id for r in keyed.snapshots(spark, path).collect()} == {-1, 3}
     assert keyed.active_folder(spark, path).endswith(".folded-000000000003")
+
+
+def test_versions_of_a_table(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS kept")
+    spark.sql("CREATE TABLE kept.tasks (id BIGINT, name STRING, day STRING) USING parquet PARTITIONED BY (day)")
+    spark.sql("INSERT INTO kept.tasks VALUES (1, 'a', '2026-01-01')")
+    first, second = datetime(2026, 1, 1), datetime(2026, 2, 1)
+    assert [catalog.record_version(spark, "kept.tasks", m) for m in (first, first, second)] == [1, 1, 1]
+    spark.sql("ALTER TABLE kept.tasks ADD COLUMNS (owner STRING)")
+    assert catalog.record_version(spark, "kept.tasks", second) == 2
+    assert as_set(catalog.table_versions(spark, "kept.tasks")) == {(1, first, "id bigint, name string, day string"), (2, second, "id bigint, name string, owner string, day string")}
+    assert as_set(catalog.version_changes(spark, "kept.tasks")) == {(2, "owner", "added", None, "string")}
+    moments = (datetime(2025, 1, 1), first, datetime(2026, 1, 15), second, datetime(2027, 1, 1))
+    assert [catalog.version_as_of(spark, "kept.tasks", m) for m in moments] == [None, 1, 1, 2, 2]
+    assert catalog.read_version(spark, "kept.tasks", 1).columns == ["id", "name", "day"]
+    assert tuple(catalog.read_version(spark, "kept.tasks", 2).first()) == (1, "a", None, "2026-01-01")
+    with pytest.raises(ValueError, match="no version 3"):
+        catalog.read_version(spark, "kept.tasks", 3)

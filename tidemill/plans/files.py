@@ -151,6 +151,46 @@ def preview(t: Tables) -> DataFrame:
     return catalog.table_preview(t.spark, name, ["o_orderkey"]).select("o_orderkey", "o_orderstatus")
 
 
+@query(
+    "table_versions",
+    """
+    SELECT v.version, v.shape, c.changes, count(o.o_orderkey) AS rows, sum(CASE WHEN v.version < 3 THEN o.o_custkey END)::BIGINT AS keys
+    FROM orders o, (VALUES (1, 'o_orderkey bigint, o_custkey bigint'), (2, 'o_orderkey bigint, o_custkey bigint, note string'), (3, 'o_orderkey bigint, note string, rank int')) v(version, shape)
+    JOIN (VALUES (1, ''), (2, 'added note'), (3, 'added rank,removed o_custkey')) c(version, changes) USING (version)
+    GROUP BY 1, 2, 3
+    """,
+)
+def versions(t: Tables) -> DataFrame:
+    """A table whose columns change twice, with the versions recorded on the way; all rows as each version names them."""
+    from datetime import datetime
+
+    name, kept_at = _table_name("versions"), scratch_path(t.spark, "history")
+    t.orders.select("o_orderkey", "o_custkey").write.option("path", scratch_path(t.spark, "versions")).saveAsTable(name)
+    seen = []
+    for day, change in enumerate((None, "ADD COLUMNS (note STRING)", None, "REPLACE"), 1):
+        if change == "REPLACE":
+            # the catalog's table is made anew over other files, as a rewrite does
+            kept = t.spark.table(name).select("o_orderkey", "note", F.lit(1).alias("rank"))
+            path = scratch_path(t.spark, "versions")
+            kept.write.parquet(path)
+            t.spark.sql(f"DROP TABLE {name}")
+            t.spark.catalog.createTable(name, path, "parquet")
+        elif change:
+            t.spark.sql(f"ALTER TABLE {name} {change}")
+        number = catalog.record_version(t.spark, name, datetime(2024, 1, day), kept_at)
+        if number not in seen:
+            seen.append(number)
+            held = catalog.read_version(t.spark, name, number)
+            keys = F.sum("o_custkey") if "o_custkey" in held.columns else F.lit(None)
+            told = held.agg(F.count("o_orderkey").alias("rows"), keys.cast("long").alias("keys")).withColumn("version", F.lit(number))
+            found = told if number == 1 else found.unionByName(told)
+    changes = catalog.version_changes(t.spark, name).groupBy("version").agg(F.array_sort(F.collect_list(F.concat_ws(" ", "change", "column"))).alias("c"))
+    listed = catalog.table_versions(t.spark, name).join(changes, "version", "left")
+    return listed.join(found, "version").select(
+        "version", F.col("columns").alias("shape"), F.coalesce(F.array_join("c", ","), F.lit("")).alias("changes"), "rows", "keys"
+    )
+
+
 @query("result_export", "SELECT doc_id, md5(text) AS digest FROM documents")
 def exported(t: Tables) -> DataFrame:
     """Whole texts, line breaks and quotes included, through CSV and back."""

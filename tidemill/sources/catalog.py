@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,6 +92,71 @@ def upload_table(
     return spark.table(table)
 
 
+#: behind a table's name: the table that keeps its versions
+VERSIONS = "__versions"
+_VERSION = "version int, updated timestamp, position int, column string, type string, is_partition boolean"
+
+
+def _beside(table: str) -> str:
+    """The name of the table that keeps the versions."""
+    database, dot, name = table.rpartition(".")
+    return f"{database}{dot}`{name.strip('`')}{VERSIONS}`"
+
+
+def record_version(spark: SparkSession, table: str, updated: datetime, location: str | None = None) -> int:
+    """Keep the table's columns as its next version, unless they are those of the last one; gives the version's number, from 1.
+
+    Versions lie in a table of their own beside it (in the warehouse, or at ``location``), one row per column, and are only ever
+    added; their numbers follow the order of recording.
+    """
+    columns = [(i, c.name, c.dataType, bool(c.isPartition)) for i, c in enumerate(spark.catalog.listColumns(table))]
+    last = 0
+    if spark.catalog.tableExists(_beside(table)):
+        known = spark.table(_beside(table))
+        last = known.agg(F.max("version")).first()[0] or 0
+        rows = known.filter(F.col("version") == last).select("position", "column", "type", "is_partition").collect()  # a table's columns
+        if sorted(map(tuple, rows)) == columns:
+            return last
+    rows = spark.createDataFrame([(last + 1, updated, *c) for c in columns], _VERSION).coalesce(1)
+    writer = rows.write.mode("append")
+    (writer.option("path", location) if location else writer).saveAsTable(_beside(table))
+    return last + 1
+
+
+def table_versions(spark: SparkSession, table: str) -> DataFrame:
+    """(version, updated, columns): one row per version."""
+    shown = F.struct("position", F.concat_ws(" ", "column", "type").alias("shown"))
+    listed = F.transform(F.array_sort(F.collect_list(shown)), lambda c: c["shown"])
+    return spark.table(_beside(table)).groupBy("version", "updated").agg(F.array_join(listed, ", ").alias("columns"))
+
+
+def version_changes(spark: SparkSession, table: str) -> DataFrame:
+    """(version, column, change, before, after): columns added, removed and retyped from one version to the next."""
+    stored = spark.table(_beside(table)).select("version", "column", "type")
+    last = stored.agg(F.max("version").alias("last"))
+    old = stored.select((F.col("version") + 1).alias("version"), "column", F.col("type").alias("before"))
+    old = old.join(F.broadcast(last), F.col("version") <= F.col("last")).drop("last")  # one row
+    both = old.join(stored.withColumnRenamed("type", "after"), ["version", "column"], "full")
+    change = F.when(F.col("before").isNull(), "added").when(F.col("after").isNull(), "removed").when(F.col("before") != F.col("after"), "retyped")
+    return both.select("version", "column", change.alias("change"), "before", "after").filter((F.col("version") > 1) & F.col("change").isNotNull())
+
+
+def version_as_of(spark: SparkSession, table: str, moment: datetime) -> int | None:
+    """The version that was in force at a moment; None before the first."""
+    earlier = spark.table(_beside(table)).filter(F.col("updated") <= F.lit(moment))
+    return earlier.agg(F.max("version")).first()[0]
+
+
+def read_version(spark: SparkSession, table: str, version: int) -> DataFrame:
+    """The table's rows as a version names, orders and types its columns; a column that the table has no longer is NULL."""
+    rows = spark.table(_beside(table)).filter(F.col("version") == version).orderBy("position").select("column", "type").collect()
+    if not rows:
+        raise ValueError(f"{table} has no version {version}")
+    stored = spark.table(table)
+    there = set(stored.columns)
+    return stored.select(*[(F.col(f"`{r.column}`").try_cast(r.type) if r.column in there else F.lit(None).cast(r.type)).alias(r.column) for r in rows])
+
+
 def analyze_table(spark: SparkSession, table: str, columns: list[str] | None = None) -> DataFrame:
     """Collect and show the catalog's own column statistics."""
     chosen = ", ".join(f"`{c}`" for c in columns) if columns else None
