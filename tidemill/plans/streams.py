@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -13,7 +14,7 @@ from tidemill.operators.ordering import as_of_join, heavy_keys
 from tidemill.operators.skew import skew_join
 from tidemill.plans.keyed import _CHANGELOG, _LATEST
 from tidemill.plans.registry import Tables, money, query, shown
-from tidemill.session import scratch_path
+from tidemill.session import materialize, scratch_path
 from tidemill.sources.sinks import discard, shadow_run, statement_set
 from tidemill.streaming import keyed, runs, windows
 
@@ -226,6 +227,59 @@ def expiring(t: Tables) -> DataFrame:
     return log.groupBy("user_id", "op", "v").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def _images_until(t: Tables, moment: str, keep: str) -> tuple[str, str]:
+    """The folders of the change rows up to a moment, and of the progress of the run that made them, which is then over."""
+    early, log, progress = (scratch_path(t.spark, n) for n in (f"early-{keep}", "log", "progress"))
+    t.events.filter(F.col("ts") < F.lit(moment).cast("timestamp")).write.parquet(early)
+    runs.bounded_run(_marked(t, early, None), log, progress, partitions=_partitions(t))
+    return log, progress
+
+
+def _marked(t: Tables, source: str, initial: DataFrame | None) -> DataFrame:
+    stream = runs.replay(t.spark, source, t.events.schema, event_time="ts")
+    marked = stream.withColumn("v", F.round(F.col("value") / 50, 0)).withColumn("gone", F.col("event_type") == "error")
+    return keyed.expiring_changelog(marked, KEYS, ORDER, ["v"], "gone", initial=initial)
+
+
+@contextmanager
+def _rocksdb(t: Tables):
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = t.spark.conf.get(provider)
+    keyed.use_rocksdb(t.spark)
+    try:
+        yield
+    finally:
+        t.spark.conf.set(provider, before)
+
+
+@query(
+    "stored_state",
+    """
+    WITH e AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events WHERE ts < TIMESTAMP '2024-01-15')
+    SELECT user_id, round(value / 50, 0) AS v, 'transformWithStateInPandasExec' AS held_by FROM e WHERE n = 1 AND event_type <> 'error'
+    """,
+)
+def stored(t: Tables) -> DataFrame:
+    """The state that a stopped run has stored, row by row, beside the operator that holds it."""
+    with _rocksdb(t):
+        _, progress = _images_until(t, "2024-01-15", "stored")
+        names = [r.name for r in keyed.state_stores(t.spark, progress).collect()]  # one row per stateful operator
+        return materialize(keyed.stored_images(t.spark, progress).withColumn("held_by", F.lit(",".join(names))))
+
+
+@query("state_restore", _CHANGELOG + "SELECT user_id, op, v, count(*) AS rows FROM log GROUP BY 1, 2, 3")
+def restored(t: Tables) -> DataFrame:
+    """The later events against the state that an earlier run left, read as a table and handed to a run of its own."""
+    with _rocksdb(t):
+        early, progress = _images_until(t, "2024-01-15", "restored")
+        images = materialize(keyed.stored_images(t.spark, progress))
+        late, log = scratch_path(t.spark, "late"), scratch_path(t.spark, "log")
+        t.events.filter(F.col("ts") >= F.lit("2024-01-15").cast("timestamp")).write.parquet(late)
+        runs.bounded_run(_marked(t, late, images), log, scratch_path(t.spark, "progress"), partitions=_partitions(t))
+    both = t.spark.read.parquet(early).unionByName(t.spark.read.parquet(log))
+    return both.groupBy("user_id", "op", "v").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query(
     "state_expired",
     _CHANGELOG.replace("PARTITION BY user_id", "PARTITION BY user_id, ts < TIMESTAMP '2024-01-15'")
@@ -242,7 +296,7 @@ def expired(t: Tables) -> DataFrame:
     early = F.col("ts") < F.lit("2024-01-15").cast("timestamp")
     try:
         for part in (early, ~early):
-            t.events.filter(part).coalesce(1).write.mode("append").parquet(source)
+            t.events.filter(part).write.mode("append").parquet(source)
             stream = runs.replay(t.spark, source, t.events.schema, event_time="ts")
             marked = stream.withColumn("v", F.round(F.col("value") / 50, 0)).withColumn("gone", F.col("event_type") == "error")
             changes = keyed.expiring_changelog(marked, KEYS, ORDER, ["v"], "gone", ttl_seconds=1)

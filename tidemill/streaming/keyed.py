@@ -181,6 +181,10 @@ class _ExpiringImages(StatefulProcessor):
             shown.insert(0, name, value)
         yield shown
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        image = initialState[self.columns].iloc[0].astype(object)
+        self.last.update(tuple(image.where(image.notna(), None)))
+
     _keys: list[str] = []
 
     def close(self) -> None:
@@ -189,12 +193,13 @@ class _ExpiringImages(StatefulProcessor):
 
 def expiring_changelog(
     stream: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str], delete: str,
-    ttl_seconds: int | None = None,
+    ttl_seconds: int | None = None, initial: DataFrame | None = None,
 ) -> DataFrame:
     """Change rows of a stream whose per-key state expires ``ttl_seconds`` after its last update.
 
     Needs the RocksDB state store; with a time to live, a bounded run needs
-    ``idle_batches=False``.  One key's rows of a micro-batch are one task's
+    ``idle_batches=False``.  ``initial``: images (keys and values, one row per key, see ``stored_images``) that a run with a
+    fresh checkpoint starts from.  One key's rows of a micro-batch are one task's
     work, so bound the batch (files or offsets per trigger) where keys are hot, or
     use ``changelog_sink``, which splits them.
     """
@@ -207,9 +212,26 @@ def expiring_changelog(
     return stream.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=out, outputMode="Append",
         timeMode="ProcessingTime" if ttl_seconds else "None",
+        initialState=None if initial is None else initial.select(*keys, *values).groupBy(*keys),
     )
 
 
+def stored_images(spark: SparkSession, checkpoint: str, batch: int | None = None) -> DataFrame:
+    """The state of a stopped ``expiring_changelog`` as a table, keys and values: as of its last batch, or of an earlier one."""
+    reader = spark.read.format("statestore").option("stateVarName", "last")
+    stored = (reader if batch is None else reader.option("batchId", batch)).load(checkpoint)
+    return stored.select("key.*", "value.*")
+
+
+def state_stores(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(operator, name, partitions, first_batch, last_batch) of the states that a checkpoint holds."""
+    held = spark.read.format("state-metadata").load(checkpoint)
+    return held.select(
+        F.col("operatorId").alias("operator"), F.col("operatorName").alias("name"), F.col("numPartitions").alias("partitions"),
+        F.col("minBatchId").alias("first_batch"), F.col("maxBatchId").alias("last_batch"),
+    ).distinct()
+
+
 def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set(
         "spark.sql.streaming.stateStore.providerClass",
