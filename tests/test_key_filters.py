@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import json
 import shutil
 from pathlib import Path
 
 import pytest
-from helpers import as_set
+from helpers import as_set, lines_of, task_sum
 from pyspark.sql import functions as F
 
 from tidemill.streaming import keyed, keyfilters
@@ -75,17 +74,6 @@ def test_missing_filters_lose_no_row(spark, tmp_path):
     assert nobody.columns == held.columns and nobody.count() == 0
 
 
-def bytes_read(folder: str, since: int) -> int:
-    """Of all tasks that the event log has from a line on."""
-    lines = [line for p in sorted(Path(folder).iterdir()) if p.is_file() for line in p.open()][since:]
-    ended = [json.loads(line) for line in lines if '"SparkListenerTaskEnd"' in line]
-    return sum((e.get("Task Metrics") or {}).get("Input Metrics", {}).get("Bytes Read", 0) for e in ended)
-
-
-def lines_of(folder: str) -> int:
-    return sum(1 for p in Path(folder).iterdir() if p.is_file() for _ in p.open())
-
-
 @pytest.fixture()
 def many_files(spark):
     names = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k"}
@@ -117,6 +105,6 @@ def test_a_batch_reads_in_proportion_to_itself(spark, tmp_path, many_files):
         begun = lines_of(events)
         past = keyed.read_keyed_table(spark, state, ["k"], ORDER, only=few)
         assert past.count() == n
-        read[n] = bytes_read(events, begun) - filters
+        read[n] = task_sum(events, begun, "Input Metrics", "Bytes Read") - filters
     assert read[1] < 0.12 * whole and read[10] < 0.75 * whole and read[1] < read[10] < read[60_000]
     assert read[60_000] >= 0.8 * whole

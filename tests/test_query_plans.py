@@ -90,7 +90,10 @@ def test_heavy_series_shuffle_by_slice(spark):
     assert any("_slice" in line for line in text.splitlines() if "hashpartitioning" in line)
 
 
-def test_one_scan_for_several_columns(spark, small):
+def test_two_scans_for_any_number_of_columns(spark, small):
     orders = spark.read.parquet(f"{small}/orders.parquet")
     found = checks.column_statistics(orders, ["o_orderkey", "o_orderstatus", "o_custkey", "o_orderpriority"])
-    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+    assert "Expand" not in found._jdf.queryExecution().executedPlan().toString()
+    sketch = checks.column_statistics(orders, ["o_orderkey", "o_orderstatus", "o_custkey", "o_orderpriority"], approximate=True)
+    assert sketch._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidemill.functions.json import json_path
 from tidemill.functions.text import sha256_text
-from tidemill.operators.rows import cell_text, multiset_diff
+from tidemill.operators.rows import cell_text, differing_ranges, multiset_diff, multiset_diff_by_digests
 from tidemill.operators.skew import skew_join
 from tidemill.session import materialize
 
@@ -131,8 +131,16 @@ def manifest_check(
     return result
 
 
-def content_equal(left: DataFrame, right: DataFrame, key: str, content: str) -> DataFrame:
-    """Objects whose digests differ or that exist on one side only.  Contents are digested before they shuffle."""
+def content_equal(left: DataFrame, right: DataFrame, key: str, content: str, by_ranges: bool = False) -> DataFrame:
+    """Objects whose digests differ or that exist on one side only.  Contents are digested before they shuffle.
+
+    ``by_ranges``: for large sides that should be equal; they are scanned first, and only objects of ranges of keys whose digests differ are compared.
+    """
+    if by_ranges:
+        left, right = left.select(key, content), right.select(key, content)
+        apart = differing_ranges(left, right, [key], [key, content])
+        apart = F.lit(False) if apart is None else apart
+        left, right = left.filter(apart), right.filter(apart)
     digest = F.sha2(F.col(content).cast("binary"), 256)
     a = left.select(key, digest.alias("left_sha256"))
     b = right.select(key, digest.alias("right_sha256"))
@@ -203,6 +211,11 @@ def same_multiset(left: DataFrame, right: DataFrame) -> DataFrame:
     return multiset_diff(left, right)
 
 
+def same_multiset_by_digests(left: DataFrame, right: DataFrame) -> DataFrame:
+    """The same for large tables that should be equal: what they exchange are digests of ranges, and the rows of ranges that differ."""
+    return multiset_diff_by_digests(left, right)
+
+
 def column_statistics(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
     """One row per column: rows, nulls, distinct values, min, max, average and longest text.
 

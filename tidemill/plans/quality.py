@@ -106,6 +106,23 @@ def multiset(t: Tables) -> DataFrame:
     return checks.same_multiset(_types(t, third != 0), _types(t, third != 1))
 
 
+@query(
+    "same_multiset_digests",
+    """
+    SELECT l_orderkey, l_linenumber, l_suppkey, CAST(1 AS BIGINT) AS left_rows, CAST(0 AS BIGINT) AS right_rows FROM lineitem WHERE l_orderkey % 997 = 3 AND l_linenumber = 1
+    UNION ALL SELECT l_orderkey, l_linenumber, l_suppkey + 1, 0, 1 FROM lineitem WHERE l_orderkey % 997 = 3 AND l_linenumber = 1
+    UNION ALL SELECT l_orderkey, l_linenumber, l_suppkey, 1, 2 FROM lineitem WHERE l_orderkey % 1009 = 5 AND NOT (l_orderkey % 997 = 3 AND l_linenumber = 1)
+    """,
+)
+def multiset_digests(t: Tables) -> DataFrame:
+    """All shipments against a copy in which a few are changed and a few are there twice; only their ranges are compared."""
+    items = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey")
+    changed = (F.col("l_orderkey") % 997 == 3) & (F.col("l_linenumber") == 1)
+    copy = items.withColumn("l_suppkey", F.when(changed, F.col("l_suppkey") + 1).otherwise(F.col("l_suppkey")))
+    copy = copy.unionByName(items.filter((F.col("l_orderkey") % 1009 == 5) & ~changed))
+    return checks.same_multiset_by_digests(items, copy)
+
+
 @query(
     "same_set",
     _COUNTS + """
@@ -313,6 +330,19 @@ def contents(t: Tables) -> DataFrame:
     return checks.content_equal(t.pages, copy, "page_id", "html")
 
 
+@query(
+    "content_equal_ranges",
+    """
+    SELECT page_id, sha256(html) AS left_sha256, sha256(html || 'x') AS right_sha256 FROM pages WHERE page_id % 9 = 2
+    UNION ALL SELECT page_id, sha256(html), NULL FROM pages WHERE page_id % 9 = 4
+    """,
+)
+def contents_by_ranges(t: Tables) -> DataFrame:
+    rest = F.col("page_id") % 9
+    copy = t.pages.filter(rest != 4).withColumn("html", F.when(rest == 2, F.concat("html", F.lit("x"))).otherwise(F.col("html")))
+    return checks.content_equal(t.pages, copy, "page_id", "html", by_ranges=True)
+
+
 @query(
     "referential_check",
     """
