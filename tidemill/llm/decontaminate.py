@@ -96,8 +96,8 @@ def _windows(words: str, width: int) -> Column:
 
 
 def _placed_windows(words: str, width: int) -> Column:
-    """The same with their width and place."""
-    return F.transform(_windows(words, width), lambda read, at: F.struct(F.lit(width).alias("width"), at.alias("place"), read.alias("read")))
+    """The same with their place."""
+    return F.transform(_windows(words, width), lambda read, at: F.struct(at.alias("place"), read.alias("read")))
 
 
 def _items(benchmark: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -156,13 +156,14 @@ def find_leaks(
     found = None
     if widths:  # windows of all widths from one reading of a text
         if len(widths) == 1:
-            placed = worded.select("doc_id", "text_hash", F.lit(widths[0]).alias("width"), F.posexplode(_windows("words", widths[0])).alias("place", "read"))
+            placed = worded.select("doc_id", "text_hash", F.posexplode(_windows("words", widths[0])).alias("place", "read"))
         else:
             placed = worded.select("doc_id", "text_hash", F.explode(F.concat(*[_placed_windows("words", w) for w in widths])).alias("x"))
             placed = placed.select("doc_id", "text_hash", "x.*")
-        windows = placed.select("doc_id", "text_hash", "width", "place", F.explode(_distinct("read")).alias("hash"))
-        keys = stored.select("width", "hash", "item", "at", "window", "bare")
-        found = windows.join(small_side(keys) or keys, ["width", "hash"]).select("doc_id", "text_hash", "item", "window", "bare", "at", "place", (F.col("hash") == F.col("window")).alias("exact"))
+        # a hash is that of a run of words and so of its width, too
+        windows = placed.select("doc_id", "text_hash", "place", F.explode(_distinct("read")).alias("hash"))
+        keys = stored.select("hash", "item", "at", "window", "bare")
+        found = windows.join(small_side(keys) or keys, "hash").select("doc_id", "text_hash", "item", "window", "bare", "at", "place", (F.col("hash") == F.col("window")).alias("exact"))
     if found is None:
         found = stored.select(F.lit(None).cast(docs.schema[id_col].dataType).alias("doc_id"), F.struct(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b")).alias("text_hash"), "item", "window", "bare", "at", F.lit(0).alias("place"), F.lit(True).alias("exact"))
     pair = ["doc_id", "text_hash", "item"]
