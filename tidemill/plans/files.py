@@ -12,7 +12,7 @@ from tidemill.operators.checks import column_statistics
 from tidemill.operators.objects import apply_copy_plan
 from tidemill.plans.registry import Tables, money, query
 from tidemill.session import qualified, scratch_path
-from tidemill.sources import catalog, files, sinks
+from tidemill.sources import catalog, files, listing, sinks
 from tidemill.sources.connectors import decode_topic
 
 
@@ -60,6 +60,25 @@ def written_files(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "folder_inventory",
+    """
+    SELECT DISTINCT 'event_type=' || event_type || '/ds=' || strftime(ts, '%Y-%m-%d') AS folder, CAST(1 AS BIGINT) AS files, true AS filled, true AS as_listed FROM events
+    """,
+)
+def listed_by_tasks(t: Tables) -> DataFrame:
+    """One file per event type and day, listed folder by folder in the tasks; ``as_listed``: the same sizes and times as in Spark's own listing."""
+    path = scratch_path(t.spark, "folders")
+    days = t.events.withColumn("ds", F.date_format("ts", "yyyy-MM-dd"))
+    days.repartition("event_type", "ds").write.partitionBy("event_type", "ds").parquet(path)
+    ours = listing.folder_inventory(t.spark, path, "*.parquet")
+    other = files.file_inventory(t.spark, path, "*.parquet").select("key", F.struct("uri", "size", "updated").alias("other"))
+    both = ours.join(other, "key", "full")
+    return both.groupBy(F.substring_index("key", "/", 2).alias("folder")).agg(
+        F.count("bucket").alias("files"), (F.min("size") > 0).alias("filled"), F.every(F.struct("uri", "size", "updated").eqNullSafe(F.col("other"))).alias("as_listed")
+    )
+
+
 @query(
     "datagen",
     """

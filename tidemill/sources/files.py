@@ -20,7 +20,10 @@ LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 
 
 def file_inventory(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Files below a folder: (bucket, key, uri, size, updated).  Contents are not read."""
+    """Files below a folder that are not empty: (bucket, key, uri, size, updated, is_directory).  Contents are not read.
+
+    Spark lists them on the driver and passes over empty ones; ``listing.folder_inventory`` lists in the tasks and has both.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
