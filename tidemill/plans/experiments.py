@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.time import time_literal
 from tidemill.operators import experiments as x
+from tidemill.operators import partial_states
 from tidemill.plans.registry import Tables, money, query, shown
+from tidemill.session import scratch_path
 
 START = datetime(2024, 1, 11)
 
@@ -342,18 +344,29 @@ def adjusted(t: Tables) -> DataFrame:
     return _rounded(x.cuped(_units(t), "y", "x", "control", "test"), extra=("theta",), exact=False)
 
 
-@query(
-    "daily_pulse",
-    _POST + """
+_DAILY = _POST + """
     , per AS (SELECT ds, unit, grp, sum(value) AS y FROM post GROUP BY 1, 2, 3),
     m AS (SELECT ds, grp, count(*) AS n, CAST(sum(y) AS DOUBLE) / count(*) AS mean, var_samp(y) AS variance FROM per GROUP BY 1, 2)
-    """ + _comparison("ds") + f"SELECT strftime(ds, '%Y-%m-%d') AS ds, {_shown()} FROM d",
-)
+    """ + _comparison("ds") + f"SELECT strftime(ds, '%Y-%m-%d') AS ds, {_shown()} FROM d"
+
+
+@query("daily_pulse", _DAILY)
 def by_day(t: Tables) -> DataFrame:
     rows = x.daily_pulse(_post(t), F.col("value"), "control", "test")
     return _rounded(rows.withColumn("ds", F.col("ds").cast("string")), "ds")
 
 
+@query("incremental_pulse", _DAILY)
+def by_day_late(t: Tables) -> DataFrame:
+    """The same from states: three batches, of which the later ones reach back into all days, the last one done twice."""
+    path, post = scratch_path(t.spark, "states"), _post(t)
+    for batch, (low, high) in enumerate([(0, 7), (7, 9), (9, 10), (9, 10)]):
+        part = post.filter((F.col("event_id") % 10 >= low) & (F.col("event_id") % 10 < high))
+        partial_states.add_to_states(part, "value", path, min(batch, 2))
+    rows = partial_states.pulse_from_states(t.spark, path, "control", "test")
+    return _rounded(rows.withColumn("ds", F.col("ds").cast("string")), "ds")
+
+
 @query(
     "topline_impact",
     _POST + """
