@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator, Sequence
 from datetime import datetime
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -149,43 +150,89 @@ def changelog_sink(
     return write
 
 
+def _sorted(rows: pd.DataFrame, order: list[str]) -> pd.DataFrame:
+    """Rows in order, NULL last; rows that are equal in it stay as they came."""
+    columns = [rows[c].to_numpy() for c in reversed(order)]
+    if any(c.dtype.kind not in "iufbM" for c in columns):
+        return rows.sort_values(order, ignore_index=True, kind="stable")
+    return rows.take(np.lexsort(columns))
+
+
+def _tuples(rows: pd.DataFrame, mark: str, fields: list[T.StructField]) -> list[tuple]:
+    """The rows of the columns with a mark (see ``_marked``), with None for what is missing."""
+    columns = []
+    for number, field in enumerate(fields):
+        column = rows[f"{mark}{number}"]
+        missing, values = column.isna().tolist(), column.tolist()
+        given = int if isinstance(field.dataType, T.IntegralType) else None
+        columns.append([None if gone else given(v) if given else v for v, gone in zip(values, missing)])
+    return list(zip(*columns)) if columns else [()] * len(rows)
+
+
+def _series(values: Sequence, field: T.StructField) -> pd.Series:
+    """Values as a column; whole numbers keep all their digits beside a missing one."""
+    if isinstance(field.dataType, T.IntegralType):
+        return pd.Series(values, dtype="Int64")
+    return pd.Series(values, dtype=object).infer_objects()
+
+
+def _marked(mark: str, fields: Sequence[T.StructField]) -> list[Column]:
+    """Columns under numbered names (no underscore in front, which a named tuple would drop).  Whole numbers travel as text: pandas would make them floats next to a NULL."""
+    whole = lambda f: F.col(f.name).cast(f.dataType).cast("string") if isinstance(f.dataType, T.IntegralType) else F.col(f.name).cast(f.dataType)
+    return [whole(f).alias(f"{mark}{n}") for n, f in enumerate(fields)]
+
+
+#: groups that keys are dealt into, each with an image per key; a checkpoint keeps the number for good
+KEY_BUCKETS = 4_096
+
+
+def _bucket(fields: Sequence[T.StructField]) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(f.name).cast(f.dataType) for f in fields]), F.lit(KEY_BUCKETS)).alias("bucket")
+
+
 class _ExpiringImages(StatefulProcessor):
-    """Change rows against the last image of a key, which is forgotten after a while."""
+    """Change rows against the last image of a key, which is forgotten after a while.
 
-    def __init__(self, image: T.StructType, columns: list[str], order: list[str], delete: str, ttl_ms: int | None):
-        self.image, self.columns, self.order, self.delete, self.ttl_ms = image, columns, order, delete, ttl_ms
+    A group is a bucket of keys: what Spark and pandas take for a group is far more than a key's rows cost.
+    """
+
+    def __init__(self, key: T.StructType, image: T.StructType, order: list[str], ttl_ms: int | None):
+        self.key, self.image, self.order, self.ttl_ms = key, image, order, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", self.image, ttlDurationMs=self.ttl_ms)
+        self.last = handle.getMapState("last", self.key, self.image, ttlDurationMs=self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pending = pd.concat(list(rows), ignore_index=True).sort_values(self.order, ignore_index=True)
-        old = tuple(self.last.get()) if self.last.exists() else None
-        new, gone = pending[self.columns], pending[self.delete].astype(bool)
-        # what each row finds: the row before it, and the stored image in front of the first
-        found = new.shift(1)
-        if old is not None:
-            found = found.astype(object)
-            found.iloc[0] = list(old)
-        alive = ~gone.shift(1, fill_value=old is None).astype(bool)
-        same = ((new.reset_index(drop=True) == found) | (new.isna() & found.isna())).all(axis=1)
-        changed = ~gone & alive & ~same
-        kinds = [(DELETE, gone & alive, found), (INSERT, ~gone & ~alive, new), (UPDATE_BEFORE, changed, found), (UPDATE_AFTER, changed, new)]
-        shown = pd.concat([image[rows_].assign(op=op, _n=number) for number, (op, rows_, image) in enumerate(kinds)])
-        shown = shown.rename_axis("_row").sort_values(["_row", "_n"])[["op", *self.columns]]
-        if not gone.iloc[-1]:
-            self.last.update(tuple(new.iloc[-1].astype(object).where(new.iloc[-1].notna(), None)))
-        elif old is not None:
-            self.last.clear()
-        for name, value in zip(self._keys, key):
-            shown.insert(0, name, value)
-        yield shown
+        pending = _sorted(pd.concat(list(rows), ignore_index=True), self.order)
+        known = self.last.exists()
+        stored: dict[tuple, tuple | None] = {}
+        held: dict[tuple, tuple | None] = {}
+        shown: list[tuple] = []
+        whose, images = _tuples(pending, "k", self.key.fields), _tuples(pending, "v", self.image.fields)
+        for who, new, gone in zip(whose, images, pending["gone"].astype(bool).tolist()):
+            if who not in held:
+                held[who] = stored[who] = tuple(self.last.getValue(who)) if known and self.last.containsKey(who) else None
+            # what a row finds: the row before it, and the stored image in front of the first
+            image = held[who]
+            held[who] = None if gone else new
+            if gone and image is not None:
+                shown.append((*who, DELETE, *image))
+            elif not gone and image is None:
+                shown.append((*who, INSERT, *new))
+            elif not gone and new != image:
+                shown += [(*who, UPDATE_BEFORE, *image), (*who, UPDATE_AFTER, *new)]
+        for who, image in held.items():
+            if image is not None:
+                self.last.updateValue(who, image)
+            elif stored[who] is not None:
+                self.last.removeKey(who)
+        if shown:
+            kinds = [*self.key.fields, T.StructField("op", T.StringType()), *self.image.fields]
+            yield pd.DataFrame({f.name: _series(values, f) for f, values in zip(kinds, zip(*shown))})
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        image = initialState[self.columns].iloc[0].astype(object)
-        self.last.update(tuple(image.where(image.notna(), None)))
-
-    _keys: list[str] = []
+        for who, image in zip(_tuples(initialState, "k", self.key.fields), _tuples(initialState, "v", self.image.fields)):
+            self.last.updateValue(who, image)
 
     def close(self) -> None:
         pass
@@ -199,20 +246,22 @@ def expiring_changelog(
 
     Needs the RocksDB state store; with a time to live, a bounded run needs
     ``idle_batches=False``.  ``initial``: images (keys and values, one row per key, see ``stored_images``) that a run with a
-    fresh checkpoint starts from.  One key's rows of a micro-batch are one task's
+    fresh checkpoint starts from.  One bucket's rows of a micro-batch (``KEY_BUCKETS``) are one task's
     work, so bound the batch (files or offsets per trigger) where keys are hot, or
     use ``changelog_sink``, which splits them.
     """
-    image = T.StructType([stream.schema[v] for v in values])
-    processor = _ExpiringImages(image, list(values), list(order), delete, ttl_seconds and ttl_seconds * 1000)
-    processor._keys = list(reversed(keys))
-    out = T.StructType(
-        [stream.schema[k] for k in keys] + [T.StructField("op", T.StringType())] + list(image.fields)
+    key, image = T.StructType([stream.schema[k] for k in keys]), T.StructType([stream.schema[v] for v in values])
+    sorted_by = [f"o{n}" for n in range(len(order))]
+    read = stream.select(
+        _bucket(key.fields), *_marked("k", key.fields), *_marked("v", image.fields),
+        *[F.col(c).alias(name) for c, name in zip(order, sorted_by)], F.col(delete).alias("gone"),
     )
-    return stream.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=out, outputMode="Append",
+    first = None if initial is None else initial.select(_bucket(key.fields), *_marked("k", key.fields), *_marked("v", image.fields))
+    return read.groupBy("bucket").transformWithStateInPandas(
+        statefulProcessor=_ExpiringImages(key, image, sorted_by, ttl_seconds and ttl_seconds * 1000),
+        outputStructType=T.StructType([*key.fields, T.StructField("op", T.StringType()), *image.fields]), outputMode="Append",
         timeMode="ProcessingTime" if ttl_seconds else "None",
-        initialState=None if initial is None else initial.select(*keys, *values).groupBy(*keys),
+        initialState=None if first is None else first.groupBy("bucket"),
     )
 
 
@@ -220,7 +269,7 @@ def stored_images(spark: SparkSession, checkpoint: str, batch: int | None = None
     """The state of a stopped ``expiring_changelog`` as a table, keys and values: as of its last batch, or of an earlier one."""
     reader = spark.read.format("statestore").option("stateVarName", "last")
     stored = (reader if batch is None else reader.option("batchId", batch)).load(checkpoint)
-    return stored.select("key.*", "value.*")
+    return stored.select("user_map_key.*", "user_map_value.*")
 
 
 def state_stores(spark: SparkSession, checkpoint: str) -> DataFrame:
