@@ -137,3 +137,13 @@ def test_line_numbers_across_splits(spark, tmp_path, split_bytes):
         ("a.txt", 60, "line 60: payload is not an object"), ("b.txt", 3, "line 3: payload is not an object"),
     }
     assert {tuple(r) for r in good} == {("a.txt", 56), ("b.txt", 1)}
+
+
+def test_commands_unfold_a_message_once(spark):
+    call = '{"type":"tool_call","tool_name":"t","arguments":{"command":"%s"}}'
+    rows = [("s", call % "ls"), ("s", call % "ls"), ("s", call % "pwd"), ("s", "{}"), ("s", None)]
+    calls = sessions.extract_calls(spark.createDataFrame(rows, "session string, message string"), "message")
+    for made, wanted in ((sessions.duplicate_commands(calls, ["session"]), [("s", "ls", 2)]), (sessions.tool_counts(calls, ["session"]), [("s", "t", 3)])):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1
+        assert [tuple(r) for r in made.collect()] == wanted

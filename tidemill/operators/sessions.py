@@ -144,17 +144,22 @@ def extract_calls(messages: DataFrame, message: str, name: str = "calls") -> Dat
     return records.select(*messages.columns, calls.alias(name))
 
 
+def _each(calls: DataFrame, by: Sequence[str], parts: str, name: str) -> DataFrame:
+    """One row per part of a call list.
+
+    Spark would test the list of a plain explode below the projection that makes it, and for that unfold every message a second time.
+    """
+    each = calls.select(*by, F.posexplode_outer(parts).alias("_at", name))
+    return each.filter(F.col("_at").isNotNull()).drop("_at")
+
+
 def tool_counts(calls: DataFrame, by: Sequence[str], column: str = "calls") -> DataFrame:
-    return calls.select(*by, F.explode(f"{column}.tools").alias("tool")).groupBy(*by, "tool").agg(
-        F.count(F.lit(1)).alias("count")
-    )
+    return _each(calls, by, f"{column}.tools", "tool").groupBy(*by, "tool").agg(F.count(F.lit(1)).alias("count"))
 
 
 def duplicate_commands(calls: DataFrame, by: Sequence[str], column: str = "calls") -> DataFrame:
     """Commands run more than once."""
-    counts = calls.select(*by, F.explode(f"{column}.commands").alias("command")).groupBy(*by, "command").agg(
-        F.count(F.lit(1)).alias("count")
-    )
+    counts = _each(calls, by, f"{column}.commands", "command").groupBy(*by, "command").agg(F.count(F.lit(1)).alias("count"))
     return counts.filter(F.col("count") > 1)
 
 
