@@ -209,7 +209,7 @@ class _ExpiringImages(StatefulProcessor):
         held: dict[tuple, tuple | None] = {}
         shown: list[tuple] = []
         whose, images = _tuples(pending, "k", self.key.fields), _tuples(pending, "v", self.image.fields)
-        for who, new, gone in zip(whose, images, pending["gone"].astype(bool).tolist()):
+        for who, new, gone in zip(whose, images, pending["gone"].tolist()):
             if who not in held:
                 held[who] = stored[who] = tuple(self.last.getValue(who)) if known and self.last.containsKey(who) else None
             # what a row finds: the row before it, and the stored image in front of the first
@@ -254,7 +254,7 @@ def expiring_changelog(
     sorted_by = [f"o{n}" for n in range(len(order))]
     read = stream.select(
         _bucket(key.fields), *_marked("k", key.fields), *_marked("v", image.fields),
-        *[F.col(c).alias(name) for c, name in zip(order, sorted_by)], F.col(delete).alias("gone"),
+        *[F.col(c).alias(name) for c, name in zip(order, sorted_by)], F.coalesce(F.col(delete).cast("boolean"), F.lit(False)).alias("gone"),
     )
     first = None if initial is None else initial.select(_bucket(key.fields), *_marked("k", key.fields), *_marked("v", image.fields))
     return read.groupBy("bucket").transformWithStateInPandas(
